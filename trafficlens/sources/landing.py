@@ -1,0 +1,105 @@
+"""Report-API pages derived from a table (the input of the page reader).
+
+There is no network here, so the pages an extractor would land are derived
+from a table with the API's semantics: per request window, rows are unique
+per dimension tuple with summed metrics, split into pages; every page repeats
+the window's total ``rowCount``. Page membership is a hash of the dimension
+tuple (unique per window), so no window is ever sorted or collected whole: a
+page holds about half of ``page_size`` rows and is the only group collected.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from trafficlens.sources.schemas import REPORT_PAGE, REPORT_ROWS
+
+
+def window_days(windows: DataFrame) -> DataFrame:
+    """(window_start, window_end, day) for every day of every window. Its size
+    is the number of days requested, not the data."""
+    return windows.select(
+        "window_start", "window_end",
+        F.explode(F.sequence("window_start", "window_end")).alias("day"),
+    )
+
+
+def api_report_rows(
+    source: DataFrame,
+    windows: DataFrame,
+    dimensions: Sequence[tuple[str, Column]],
+    metrics: Sequence[tuple[str, Column]],
+    day: Column,
+) -> DataFrame:
+    """The rows the API returns per window: ``(window_start, window_end,
+    dims..., metrics...)``, one row per dimension tuple, metrics summed, all
+    values as text (the API's wire format)."""
+    days = window_days(windows)
+    tagged = source.select(
+        day.alias("day"),
+        *[expr.cast("string").alias(f"d{i}") for i, (_, expr) in enumerate(dimensions)],
+        *[expr.cast("bigint").alias(f"m{j}") for j, (_, expr) in enumerate(metrics)],
+    )
+    joined = tagged.join(days, "day")
+    dim_cols = [f"d{i}" for i in range(len(dimensions))]
+    return joined.groupBy("window_start", "window_end", *dim_cols).agg(
+        *[F.sum(f"m{j}").cast("string").alias(f"m{j}") for j in range(len(metrics))])
+
+
+def land_pages(
+    rows: DataFrame,
+    windows: DataFrame,
+    dimension_names: Sequence[str],
+    metric_names: Sequence[str],
+    page_size: int,
+    sampled: bool = False,
+) -> DataFrame:
+    """Pages (``REPORT_PAGE`` schema) for ``rows`` from ``api_report_rows``.
+    Windows without rows get one page without ``rows`` (as the API answers).
+    ``sampled`` marks responses as sampled (``samplesReadCounts`` present)."""
+    n_dims, n_mets = len(dimension_names), len(metric_names)
+    dim_cols = [F.col(f"d{i}") for i in range(n_dims)]
+    counts = rows.groupBy("window_start", "window_end").agg(F.count(F.lit(1)).alias("row_count"))
+    per_page = max(1, page_size // 2)
+    paged = (rows.join(counts, ["window_start", "window_end"])
+                 .withColumn("page", F.pmod(F.xxhash64(*dim_cols),
+                                            F.ceil(F.col("row_count") / F.lit(per_page)).cast("bigint"))))
+    row_struct = F.struct(
+        F.array(*dim_cols).alias("dimensions"),
+        F.array(F.struct(F.array(*[F.col(f"m{j}") for j in range(n_mets)]).alias("values"))).alias("metrics"),
+    )
+    full = paged.groupBy("window_start", "window_end", "page").agg(
+        F.max("row_count").alias("row_count"),
+        F.collect_list(row_struct).alias("rows"),
+    )
+    empty = (windows.join(counts, ["window_start", "window_end"], "left_anti")
+                    .select("window_start", "window_end", F.lit(0).cast("bigint").alias("page"),
+                            F.lit(None).cast("bigint").alias("row_count"),
+                            F.lit(None).cast(REPORT_ROWS).alias("rows")))
+    pages = full.unionByName(empty)
+    header = F.struct(
+        F.array(*[F.lit(n) for n in dimension_names]).alias("dimensions"),
+        F.struct(F.array(*[F.struct(F.lit(n).alias("name"), F.lit("INTEGER").alias("type"))
+                           for n in metric_names]).alias("metricHeaderEntries")).alias("metricHeader"),
+    )
+    data = F.struct(
+        F.col("rows").alias("rows"),
+        F.col("row_count").alias("rowCount"),
+        F.lit(True).alias("isDataGolden"),
+        (F.array(F.lit("1")) if sampled else F.lit(None).cast("array<string>")).alias("samplesReadCounts"),
+    )
+    out = pages.select(
+        F.col("window_start").cast("string").alias("startDate"),
+        F.col("window_end").cast("string").alias("endDate"),
+        (F.col("page") * F.lit(page_size)).cast("string").alias("pageToken"),
+        F.array(F.struct(header.alias("columnHeader"), data.alias("data"))).alias("reports"),
+    )
+    return out.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in REPORT_PAGE.fields])
+
+
+def write_pages(pages: DataFrame, path: str) -> None:
+    """Land pages as JSON lines (one page per line)."""
+    pages.write.mode("overwrite").json(path)
