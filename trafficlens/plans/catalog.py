@@ -46,12 +46,12 @@ def query(key: str):
     return register
 
 
-_MARTS: dict[tuple[int, str], Mart] = {}
+_MARTS: dict[tuple[int, str, str], Mart] = {}
 
 
 def mart(spark: SparkSession, sf_dir: str) -> Mart:
     ensure_required_conf(spark)
-    cache_key = (id(spark), sf_dir)
+    cache_key = (id(spark), spark.sparkContext.applicationId, sf_dir)
     if cache_key not in _MARTS:
         _MARTS[cache_key] = Mart.from_testdata(spark, sf_dir)
     return _MARTS[cache_key]

@@ -18,10 +18,12 @@ def append(df: DataFrame, path: str, partition_by: Sequence[str] = ("date",)) ->
 
     Only the partitions present in ``df`` are (re)written; all others are kept
     (``partitionOverwriteMode=dynamic``). Rows are clustered by the partition
-    columns first so each task writes few files.
+    columns with a ``REBALANCE`` hint, so each task writes few files while AQE
+    splits a hot date (one date holding a large share of the rows) over
+    several tasks instead of one.
     """
     cols = list(partition_by)
-    (df.repartition(*cols).write
+    (df.hint("rebalance", *cols).write
        .option("partitionOverwriteMode", "dynamic")
        .mode("overwrite")
        .partitionBy(*cols)
