@@ -11,8 +11,9 @@ partitions otherwise. No side is broadcast on a guess.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -71,35 +72,64 @@ def join_cohort(activity: DataFrame, first: DataFrame, key: str = "dimension1")
     return activity.join(first, on=key, how="inner")
 
 
-def combine(frames: Sequence[DataFrame], key: str = "isoweek", how: str = "position") -> DataFrame:
-    """Put report frames side by side.
+def stack_frames(frames: Sequence[DataFrame], key: str) -> tuple[DataFrame, list[str]]:
+    """Long form ``(_frame, _key, value columns...)`` of separate frames; each
+    row carries only its own frame's values (the others are NULL)."""
+    value_cols = [c for f in frames for c in f.columns if c != key]
+    if len(set(value_cols)) != len(value_cols):
+        raise ValueError(f"value columns must be distinct: {value_cols}")
+    tagged = [f.select(F.lit(i).alias("_frame"), F.col(key).alias("_key"),
+                       *[F.col(c) for c in f.columns if c != key])
+              for i, f in enumerate(frames)]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged), value_cols
+
+
+def stack_columns(df: DataFrame, key: str, frames: Sequence[tuple[str, Column]], value_cols: Sequence[str],
+                  first_frame: int = 0) -> DataFrame:
+    """Long form of frames that are columns of one aggregate: frame
+    ``first_frame + i`` is ``(key, frames[i][0])`` on the rows where
+    ``frames[i][1]`` holds. The aggregate is computed once for all of them."""
+    types = dict(df.dtypes)
+    structs = []
+    for i, (name, keep) in enumerate(frames):
+        vals = [(F.col(c) if c == name else F.lit(None).cast(types.get(name, "bigint"))).alias(c)
+                for c in value_cols]
+        structs.append(F.struct(F.lit(first_frame + i).alias("_frame"), F.col(key).alias("_key"), *vals,
+                                keep.alias("_keep")))
+    exploded = df.select(F.explode(F.array(*structs)).alias("_s")).select("_s.*")
+    return exploded.where(F.col("_keep")).drop("_keep")
+
+
+def combine_stacked(long: DataFrame, key: str, value_cols: Sequence[str], how: str = "position") -> DataFrame:
+    """J6 over the long form: frame 0's key, then every value column.
+
+    ``position``: row *i* of every frame lands on row *i* (each frame ordered
+    by key ascending, NULLs first); only frame 0's key is kept, so a week
+    missing in one frame shifts its rows, as the reference's positional concat
+    does. ``key``: rows with equal key side by side (a full outer join on it;
+    NULL keys never pair up).
+
+    One aggregate folds the frames (no joins); the position numbering is a
+    window partitioned by frame, and each frame is a weekly aggregate (at most
+    54 rows).
+    """
+    if how not in ("position", "key"):
+        raise ValueError(f"unknown combine mode {how!r}")
+    values = [F.first(c, ignorenulls=True).alias(c) for c in value_cols]
+    if how == "key":
+        group = F.when(F.col("_key").isNull(), F.col("_frame")).alias("_null_frame")
+        out = long.groupBy("_key", group).agg(*values)
+        return out.select(F.col("_key").alias(key), *value_cols)
+    pos = F.row_number().over(Window.partitionBy("_frame").orderBy(F.col("_key").asc_nulls_first()))
+    out = long.withColumn("_pos", pos).groupBy("_pos").agg(
+        F.first(F.when(F.col("_frame") == 0, F.col("_key")), ignorenulls=True).alias(key), *values)
+    return out.orderBy("_pos").select(key, *value_cols)
 
-    ``position``: row *i* of every frame lands on row *i* (frames ordered by
-    ``key`` ascending, NULLs first); the key column of the first frame is kept,
-    the others' are dropped -- a week missing in one frame shifts its rows.
-    ``key``: full outer join on ``key`` (the safe alignment).
 
-    Each input is a weekly aggregate (at most 53 weeks + NULL), so the
-    position numbering's single ordered window sees at most 54 rows per frame.
-    """
+def combine(frames: Sequence[DataFrame], key: str = "isoweek", how: str = "position") -> DataFrame:
+    """Put report frames (unique keys, distinct value columns) side by
+    side, by position or by key; see ``combine_stacked``."""
     if not frames:
         raise ValueError("nothing to combine")
-    if how == "key":
-        out = frames[0]
-        for f in frames[1:]:
-            out = out.join(f, on=key, how="full")
-        return out
-    if how != "position":
-        raise ValueError(f"unknown combine mode {how!r}")
-    numbered = []
-    for i, f in enumerate(frames):
-        pos = F.row_number().over(Window.orderBy(F.col(key).asc_nulls_first()))
-        g = f.withColumn("_pos", pos)
-        if i > 0:
-            g = g.drop(key)
-        numbered.append(g)
-    out = numbered[0]
-    for g in numbered[1:]:
-        out = out.join(g, on="_pos", how="full")
-    value_cols = [c for f in numbered for c in f.columns if c != "_pos"]
-    return out.orderBy("_pos").select(*value_cols)
+    long, value_cols = stack_frames(frames, key)
+    return combine_stacked(long, key, value_cols, how)

@@ -14,6 +14,8 @@ doubles its event sums in R2 and R4-R7.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,7 +26,7 @@ from trafficlens.operators import filters as flt
 from trafficlens.operators.aggregates import (agg_sum, distinct_count, rounded_sum, second_level,
                                               sort_by, sum_as_bigint)
 from trafficlens.operators.cleanup import purify_banners
-from trafficlens.operators.joins import combine, join_events
+from trafficlens.operators.joins import combine_stacked, join_events, stack_columns
 from trafficlens.operators.retention import retention_matrix
 from trafficlens.params import DIRECT_SOURCE, NO_MEDIUM, NOT_AUTHORIZED, ReportParams
 from trafficlens.sinks.writers import as_view
@@ -169,81 +171,116 @@ def report_registrations_section(mart: Mart, p: ReportParams) -> DataFrame:
 
 
 # ----------------------------------------------------------------------- R8-R10
-def _weekly_label_clicks(mart: Mart, p: ReportParams, label: str, alias: str) -> DataFrame:
-    """Weekly SUM(users) of a label's events, joined to de-duplicated
-    section sessions on session id *and* ISO week."""
+def _any_match(column: str, patterns) -> "F.Column":
+    return reduce(lambda a, b: a | b, [F.col(column).rlike(pat) for pat in patterns])
+
+
+def weekly_label_clicks(mart: Mart, p: ReportParams, labels: dict[str, str]) -> DataFrame:
+    """R8 for several labels in one pass: weekly SUM(users) of each label's
+    events, joined to de-duplicated section sessions on session id *and* ISO
+    week. One scan and one join serve every label; per label ``alias`` the
+    output has the sum and ``_n_{alias}``, the number of joined events (a
+    week belongs to a label's report when that count is positive).
+    """
     tr = mart.table("sessions", ["date", "landingpage", "session_id", "user_id"])
     tr = flt.from_date(tr, "date", p.start_date)
     tr = flt.url_contains(tr, "landingpage", p.section)
     tr = tr.select(iso_week("date").alias("isoweek"), "landingpage", "session_id", "user_id").distinct()
     ev = mart.table("raw_events", ["dateHourMinute", "dimension4", "eventlabel", "users"])
     ev = flt.from_ts(ev, "dateHourMinute", p.deal_from_ts)
-    ev = flt.regex_any(ev, "eventlabel", label)
-    ev = (ev.groupBy("dimension4", _event_week().alias("isoweek"))
-            .agg(F.sum("users").alias("users")))
+    ev = ev.where(_any_match("eventlabel", labels.values()))
+    per_label = []
+    for alias, label in labels.items():
+        hit = F.col("eventlabel").rlike(label)
+        per_label += [F.sum(F.when(hit, F.col("users"))).alias(alias),
+                      F.count(F.when(hit, F.lit(1))).alias(f"_n_{alias}")]
+    ev = ev.groupBy("dimension4", _event_week().alias("isoweek")).agg(*per_label)
     joined = join_events(tr, ev, how="left", require="dimension4", on_week="isoweek")
-    out = joined.groupBy("isoweek").agg(sum_as_bigint("users").alias(alias))
-    return sort_by(out, "isoweek")
+    return joined.groupBy("isoweek").agg(*[
+        c for alias in labels
+        for c in (sum_as_bigint(alias).alias(alias), F.sum(f"_n_{alias}").alias(f"_n_{alias}"))])
+
+
+def label_frame(weekly: DataFrame, alias: str) -> DataFrame:
+    """One label's report (``isoweek, alias``) out of ``weekly_label_clicks``."""
+    return sort_by(weekly.where(F.col(f"_n_{alias}") > 0).select("isoweek", alias), "isoweek")
 
 
 def report_deal_clicks(mart: Mart, p: ReportParams) -> DataFrame:
     """R8a. Columns: isoweek, od_clicks."""
-    return _weekly_label_clicks(mart, p, p.deal_click_label, "od_clicks")
+    return label_frame(weekly_label_clicks(mart, p, {"od_clicks": p.deal_click_label}), "od_clicks")
 
 
 def report_guarantee_clicks(mart: Mart, p: ReportParams) -> DataFrame:
     """R8b. Columns: isoweek, gd_clicks."""
-    return _weekly_label_clicks(mart, p, p.guarantee_click_label, "gd_clicks")
+    return label_frame(weekly_label_clicks(mart, p, {"gd_clicks": p.guarantee_click_label}), "gd_clicks")
 
 
-def _weekly_page_users(mart: Mart, p: ReportParams, page: str, alias: str) -> DataFrame:
-    """Weekly distinct authorised users who viewed a page in a section session.
+def weekly_page_users(mart: Mart, p: ReportParams, pages: dict[str, str]) -> DataFrame:
+    """R9 for several pages in one pass: weekly distinct authorised users who
+    viewed each page in a section session (column per page ``alias``).
 
     The reference chains page views -> sessions -> users with LEFT joins and
-    ``HAVING count > 0``, which equals the inner chain. Only distinct users per
-    week are asked for, so each side is cut to its distinct (date, key) pairs,
-    sessions map views to (date, user) pairs, and the authorised user-days are a
-    semi-join. The (date, user) de-duplication shuffle also serves the
-    semi-join, so no extra exchange is planned for it.
+    ``HAVING count > 0``, which equals the inner chain. Only distinct users are
+    asked for, so views are cut to distinct (date, session) rows first (one flag
+    per page), sessions map them to (date, user), and the
+    authorised user-days are a semi-join. The (date, user) aggregate's shuffle
+    also serves the semi-join. Distinct users per week are then a
+    (week, user) aggregate and a sum of flags.
     """
     views = mart.table("page_views", ["dateHourMinute", "dimension4", "pagepath"])
-    views = flt.regex_any(views, "pagepath", page)
     views = flt.from_ts(views, "dateHourMinute", p.deal_from_ts)
-    views = views.select(F.col("dateHourMinute").cast("date").alias("date"), "dimension4").distinct()
+    views = views.where(_any_match("pagepath", pages.values()))
+    views = views.groupBy(F.col("dateHourMinute").cast("date").alias("date"), "dimension4").agg(
+        *[F.max(F.col("pagepath").rlike(page).cast("int")).alias(alias) for alias, page in pages.items()])
 
+    # Sessions are not de-duplicated: the (date, user) aggregate after the join
+    # absorbs repeats, and the rows shuffle once, straight to the join keys.
     sess = mart.table("sessions", ["date", "session_id", "user_id", "landingpage"])
     sess = flt.url_contains(sess, "landingpage", p.section)
     sess = flt.from_date(sess, "date", p.start_date)
-    sess = sess.select("date", "session_id", "user_id").distinct()
+    sess = sess.select("date", "session_id", "user_id")
 
     users = mart.table("users_dim", ["date", "dimension1", "dimension2"])
     users = flt.not_equal(users, "dimension2", NOT_AUTHORIZED)
     users = flt.from_date(users, "date", p.start_date)
     users = users.select("date", F.col("dimension1").alias("user_id")).distinct()
 
+    flags = list(pages)
     viewers = (views.join(sess, (views["dimension4"] == sess["session_id"]) & (views["date"] == sess["date"]))
-                    .select(sess["date"], sess["user_id"]).distinct())
+                    .groupBy(sess["date"], sess["user_id"]).agg(*[F.max(a).alias(a) for a in flags]))
     authorised = viewers.join(users, ["date", "user_id"], "left_semi")
-    out = authorised.groupBy(iso_week("date").alias("isoweek")).agg(distinct_count("user_id").alias(alias))
-    return sort_by(flt.having_positive(out, alias), "isoweek")
+    per_user_week = authorised.groupBy(iso_week("date").alias("isoweek"), "user_id").agg(
+        *[F.max(a).alias(a) for a in flags])
+    return per_user_week.groupBy("isoweek").agg(*[F.sum(a).cast("bigint").alias(a) for a in flags])
+
+
+def page_frame(weekly: DataFrame, alias: str) -> DataFrame:
+    """One page's report (``isoweek, alias``, HAVING alias > 0) out of ``weekly_page_users``."""
+    return sort_by(flt.having_positive(weekly.select("isoweek", alias), alias), "isoweek")
 
 
 def report_deal_users(mart: Mart, p: ReportParams) -> DataFrame:
     """R9a. Columns: isoweek, od_us."""
-    return _weekly_page_users(mart, p, p.deal_page, "od_us")
+    return page_frame(weekly_page_users(mart, p, {"od_us": p.deal_page}), "od_us")
 
 
 def report_guarantee_users(mart: Mart, p: ReportParams) -> DataFrame:
     """R9b. Columns: isoweek, gd_us."""
-    return _weekly_page_users(mart, p, p.guarantee_page, "gd_us")
+    return page_frame(weekly_page_users(mart, p, {"gd_us": p.guarantee_page}), "gd_us")
 
 
 def report_deal_combined(mart: Mart, p: ReportParams) -> DataFrame:
     """od_us, gd_us, od_clicks, gd_clicks side by side (position mode by
-    default, as the reference). Columns: isoweek, od_us, gd_us, od_clicks, gd_clicks."""
-    frames = [report_deal_users(mart, p), report_guarantee_users(mart, p),
-              report_deal_clicks(mart, p), report_guarantee_clicks(mart, p)]
-    return combine(frames, key="isoweek", how=p.combine_how)
+    default, as the reference). Both pages share one page-view pass and both
+    labels one event pass; each pass is stacked into long form once and folded.
+    Columns: isoweek, od_us, gd_us, od_clicks, gd_clicks."""
+    names = ["od_us", "gd_us", "od_clicks", "gd_clicks"]
+    users = weekly_page_users(mart, p, {"od_us": p.deal_page, "gd_us": p.guarantee_page})
+    clicks = weekly_label_clicks(mart, p, {"od_clicks": p.deal_click_label, "gd_clicks": p.guarantee_click_label})
+    long = stack_columns(users, "isoweek", [(n, F.col(n) > 0) for n in names[:2]], names, 0).unionByName(
+        stack_columns(clicks, "isoweek", [(n, F.col(f"_n_{n}") > 0) for n in names[2:]], names, 2))
+    return combine_stacked(long, "isoweek", names, p.combine_how)
 
 
 # --------------------------------------------------------------------------- R11
