@@ -63,11 +63,13 @@ def agg_by(df: DataFrame, keys: Mapping[str, Column], aggs: Sequence[Column]) ->
     return df.groupBy(*[as_col(e).alias(a) for a, e in keys.items()]).agg(*aggs)
 
 
-def second_level(df: DataFrame, keys: Sequence[str], sums: Mapping[str, str]) -> DataFrame:
+def second_level(df: DataFrame, keys: Sequence[str], sums: Mapping[str, str], ordered: bool = True) -> DataFrame:
     """Pandas-style ``groupby(keys).agg(out=(col, 'sum'))``: rows with a
-    NULL key are dropped, output sorted by the keys."""
+    NULL key are dropped, output sorted by the keys (``ordered=False`` leaves
+    the sort to the consumer)."""
     kept = df.dropna(subset=list(keys))
-    return agg_sum(kept, keys, sums).orderBy(*keys)
+    out = agg_sum(kept, keys, sums)
+    return out.orderBy(*keys) if ordered else out
 
 
 def rounded_sum(c, digits: int = 2, precision: int = 18) -> Column:

@@ -46,7 +46,7 @@ def publish(report_name: str, df: DataFrame, root: str) -> str:
     if report_name not in DESTINATIONS:
         raise KeyError(f"no destination for {report_name}")
     path = f"{root.rstrip('/')}/{report_name}"
-    write_matrix(df, path)
+    write_matrix(df, path, rp.REPORT_ORDER.get(report_name, ()))
     return path
 
 

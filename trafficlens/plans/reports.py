@@ -7,6 +7,10 @@ pre-aggregated per session and output key, which collapses a hot session
 map-side), and the weekly outputs are small. Output columns and their order are
 the reference's.
 
+Reports are returned unordered; the reference's ``ORDER BY`` (``REPORT_ORDER``)
+is applied where the order is consumed -- ``ordered()`` and the published
+matrix -- so no report pays a range shuffle it does not need.
+
 Fan-out is preserved where the reference has it: sessions are de-duplicated
 before the event join only in R1, R8 and R9, so a session id with two rows
 doubles its event sums in R2 and R4-R7.
@@ -59,7 +63,7 @@ def report_phone_clicks(mart: Mart, p: ReportParams) -> DataFrame:
         sum_as_bigint("totalEvents").alias("totalEvents"),
         distinct_count("user_id").alias("dimension1"),
     )
-    return sort_by(out, "week")
+    return out
 
 
 # --------------------------------------------------------------------------- R2
@@ -85,7 +89,7 @@ def report_calls_by_campaign(mart: Mart, p: ReportParams) -> DataFrame:
         campaign_type("utm_campaign").alias("cpc_type"), "totalEvents", "uniqueEvents",
     )
     return second_level(tagged, ["week", "city", "eventlabel", "cpc_type"],
-                        {"tot_event": "totalEvents", "u_event": "uniqueEvents"})
+                        {"tot_event": "totalEvents", "u_event": "uniqueEvents"}, ordered=False)
 
 
 # --------------------------------------------------------------------------- R3
@@ -99,7 +103,7 @@ def report_vas_by_action(mart: Mart, p: ReportParams) -> DataFrame:
     ev = ev.where(length_positive(prefix))
     out = ev.groupBy(iso_week("dateHourMinute").alias("isoweek"), prefix.alias("eventaction")).agg(
         sum_as_bigint("totalEvents").alias("rashlop"))
-    return sort_by(out, "isoweek", "eventaction")
+    return out
 
 
 # ----------------------------------------------------------------------- R4-R7
@@ -126,7 +130,7 @@ def report_mortgage(mart: Mart, p: ReportParams) -> DataFrame:
         sum_as_bigint("totalEvents").alias("totalEvents"),
         distinct_count("user_id").alias("dimension1"),
     )
-    return sort_by(out, "isoweek", "city")
+    return out
 
 
 def report_claims(mart: Mart, p: ReportParams) -> DataFrame:
@@ -141,7 +145,7 @@ def report_claims(mart: Mart, p: ReportParams) -> DataFrame:
     out = joined.groupBy(iso_week("date").alias("isoweek"),
                          city_bucket("landingpage", "REG").alias("city")).agg(
         sum_as_bigint("totalEvents").alias("totalEvents"))
-    return sort_by(out, "isoweek", "city")
+    return out
 
 
 def _registrations(mart: Mart, p: ReportParams, section: bool) -> DataFrame:
@@ -156,7 +160,7 @@ def _registrations(mart: Mart, p: ReportParams, section: bool) -> DataFrame:
     ev = ev.groupBy("dimension4").agg(F.sum("totalEvents").alias("totalEvents"))
     joined = join_events(tr, ev, how="left", require="dimension4")
     out = joined.groupBy(iso_week("date").alias("isoweek")).agg(sum_as_bigint("totalEvents").alias("totalEvents"))
-    return sort_by(out, "isoweek")
+    return out
 
 
 def report_registrations(mart: Mart, p: ReportParams) -> DataFrame:
@@ -203,7 +207,7 @@ def weekly_label_clicks(mart: Mart, p: ReportParams, labels: dict[str, str]) ->
 
 def label_frame(weekly: DataFrame, alias: str) -> DataFrame:
     """One label's report (``isoweek, alias``) out of ``weekly_label_clicks``."""
-    return sort_by(weekly.where(F.col(f"_n_{alias}") > 0).select("isoweek", alias), "isoweek")
+    return weekly.where(F.col(f"_n_{alias}") > 0).select("isoweek", alias)
 
 
 def report_deal_clicks(mart: Mart, p: ReportParams) -> DataFrame:
@@ -257,7 +261,7 @@ def weekly_page_users(mart: Mart, p: ReportParams, pages: dict[str, str]) -> Dat
 
 def page_frame(weekly: DataFrame, alias: str) -> DataFrame:
     """One page's report (``isoweek, alias``, HAVING alias > 0) out of ``weekly_page_users``."""
-    return sort_by(flt.having_positive(weekly.select("isoweek", alias), alias), "isoweek")
+    return flt.having_positive(weekly.select("isoweek", alias), alias)
 
 
 def report_deal_users(mart: Mart, p: ReportParams) -> DataFrame:
@@ -292,7 +296,7 @@ def report_monthly_users(mart: Mart, p: ReportParams) -> DataFrame:
     s = flt.not_equal(s, "utm_medium", NO_MEDIUM)
     s = flt.in_year(s, "date", p.uniques_year)
     out = s.groupBy(month_of("date").alias("month")).agg(distinct_count("user_id").alias("uniqs"))
-    return sort_by(out, "month")
+    return out
 
 
 # --------------------------------------------------------------------------- R12
@@ -306,7 +310,7 @@ def report_weekly_cost(mart: Mart, p: ReportParams) -> DataFrame:
     out = out.withColumn("start_week", iso_week_monday(F.col("isoweek"), p.cost_week_year))
     out = move_column(out, "start_week", 1)
     out = cast_columns(out, {"isoweek": "bigint", "COST": "double", "CITY": "string", "start_week": "string"})
-    return sort_by(out, "isoweek", "CITY")
+    return out
 
 
 # --------------------------------------------------------------------------- R13
@@ -338,7 +342,7 @@ def report_banners(mart: Mart, p: ReportParams, view_name: str = "trafficlens_ba
         GROUP BY 1, 2, 3, 4
     """)
     kept = flt.not_null(grouped, "isoweek")
-    return sort_by(fill_null_zero(kept), "isoweek")
+    return fill_null_zero(kept)
 
 
 # --------------------------------------------------------------------------- R15
@@ -350,7 +354,36 @@ def report_vas_by_city(mart: Mart, p: ReportParams) -> DataFrame:
     ev = flt.regex_any(ev, "eventlabel", p.vas_city_labels)
     out = ev.groupBy(_event_week().alias("isoweek"), city_bucket("pagepath", "REG").alias("city")).agg(
         sum_as_bigint("totalEvents").alias("tot"), sum_as_bigint("uniqueEvents").alias("un"))
-    return sort_by(out, "isoweek", "city")
+    return out
+
+# The reference's row order per report (ORDER BY / pandas group order).
+# report_deal_combined is ordered by position inside the plan itself.
+REPORT_ORDER: dict[str, tuple[str, ...]] = {
+    "report_phone_clicks": ("week",),
+    "report_calls_by_campaign": ("week", "city", "eventlabel", "cpc_type"),
+    "report_vas_by_action": ("isoweek", "eventaction"),
+    "report_mortgage": ("isoweek", "city"),
+    "report_claims": ("isoweek", "city"),
+    "report_registrations": ("isoweek",),
+    "report_registrations_section": ("isoweek",),
+    "report_deal_clicks": ("isoweek",),
+    "report_guarantee_clicks": ("isoweek",),
+    "report_deal_users": ("isoweek",),
+    "report_guarantee_users": ("isoweek",),
+    "report_deal_combined": (),
+    "report_monthly_users": ("month",),
+    "report_weekly_cost": ("isoweek", "CITY"),
+    "report_retention": ("year", "first_dt"),
+    "report_banners": ("isoweek",),
+    "report_vas_by_city": ("isoweek", "city"),
+}
+
+
+def ordered(name: str, df: DataFrame) -> DataFrame:
+    """The report in the reference's row order (a distributed sort)."""
+    keys = REPORT_ORDER[name]
+    return sort_by(df, *keys) if keys else df
+
 
 # Report registry: key -> report function.
 REPORTS = {

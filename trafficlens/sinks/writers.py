@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def append(df: DataFrame, path: str, partition_by: Sequence[str] = ("date",)) -> None:
@@ -41,14 +42,21 @@ def report_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFr
     return df.select(*(columns or df.columns))
 
 
-def write_matrix(df: DataFrame, path: str) -> None:
-    """Write a report as one CSV with a header row.
+def write_matrix(df: DataFrame, path: str, order: Sequence[str] = ()) -> None:
+    """Write a report as one CSV with a header row, rows in ``order``.
 
-    Reports are weekly/monthly aggregates (tens to thousands of rows), so a
-    single output file is bounded; the aggregate itself ran distributed.
+    Reports are weekly/monthly aggregates (tens to thousands of rows); the
+    aggregate itself runs distributed, then its few rows move to one task
+    (one small exchange) and are sorted there -- the published matrix is a
+    single file. Without ``order`` the frame must already be sorted, and its
+    partitions are concatenated in order.
     """
-    (report_matrix(df).coalesce(1).write.mode("overwrite")
-       .option("header", True).option("nullValue", "").csv(path))
+    out = report_matrix(df)
+    if order:
+        out = out.repartition(1).sortWithinPartitions(*[F.col(c).asc_nulls_first() for c in order])
+    else:
+        out = out.coalesce(1)
+    out.write.mode("overwrite").option("header", True).option("nullValue", "").csv(path)
 
 
 def read_matrix(spark: SparkSession, path: str) -> DataFrame:
