@@ -53,6 +53,8 @@ class ReportParams:
 
     # common session-side bounds
     start_date: str = "2022-01-03"
+    # exact COUNT(DISTINCT) by default; True switches to HyperLogLog++ (opt-in)
+    approx_distinct: bool = False
     section: str = SECTION
     test_host: str = TEST_HOST
     # R1

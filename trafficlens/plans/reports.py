@@ -61,7 +61,7 @@ def report_phone_clicks(mart: Mart, p: ReportParams) -> DataFrame:
     joined = join_events(tr, ev, how="right", require="user_id")
     out = joined.groupBy(F.col("isoweek").alias("week")).agg(
         sum_as_bigint("totalEvents").alias("totalEvents"),
-        distinct_count("user_id").alias("dimension1"),
+        distinct_count("user_id", p.approx_distinct).alias("dimension1"),
     )
     return out
 
@@ -128,7 +128,7 @@ def report_mortgage(mart: Mart, p: ReportParams) -> DataFrame:
     joined = join_events(tr, ev, how="left", require="dimension4")
     out = joined.groupBy(iso_week("date").alias("isoweek"), "city").agg(
         sum_as_bigint("totalEvents").alias("totalEvents"),
-        distinct_count("user_id").alias("dimension1"),
+        distinct_count("user_id", p.approx_distinct).alias("dimension1"),
     )
     return out
 
@@ -295,7 +295,7 @@ def report_monthly_users(mart: Mart, p: ReportParams) -> DataFrame:
     s = flt.url_contains(s, "landingpage", p.section)
     s = flt.not_equal(s, "utm_medium", NO_MEDIUM)
     s = flt.in_year(s, "date", p.uniques_year)
-    out = s.groupBy(month_of("date").alias("month")).agg(distinct_count("user_id").alias("uniqs"))
+    out = s.groupBy(month_of("date").alias("month")).agg(distinct_count("user_id", p.approx_distinct).alias("uniqs"))
     return out
 
 

@@ -18,6 +18,19 @@ from pyspark.sql import functions as F
 from trafficlens.sources.schemas import REPORT_PAGE, REPORT_ROWS
 
 
+# Sides with one row per requested day / window are broadcast when their
+# counted size is at most this many rows (tens of bytes each); above it the
+# join stays a shuffle join with AQE skew splitting.
+MAX_BROADCAST_ROWS = 200_000
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """``broadcast(df)`` when ``df`` has at most ``max_rows`` rows (counted
+    with a bounded ``limit``), else ``df`` unchanged."""
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
+
+
 def window_days(windows: DataFrame) -> DataFrame:
     """(window_start, window_end, day) for every day of every window. Its size
     is the number of days requested, not the data."""
@@ -43,7 +56,7 @@ def api_report_rows(
         *[expr.cast("string").alias(f"d{i}") for i, (_, expr) in enumerate(dimensions)],
         *[expr.cast("bigint").alias(f"m{j}") for j, (_, expr) in enumerate(metrics)],
     )
-    joined = tagged.join(days, "day")
+    joined = tagged.join(bounded_broadcast(days), "day")
     dim_cols = [f"d{i}" for i in range(len(dimensions))]
     return joined.groupBy("window_start", "window_end", *dim_cols).agg(
         *[F.sum(f"m{j}").cast("string").alias(f"m{j}") for j in range(len(metrics))])
@@ -63,8 +76,11 @@ def land_pages(
     n_dims, n_mets = len(dimension_names), len(metric_names)
     dim_cols = [F.col(f"d{i}") for i in range(n_dims)]
     counts = rows.groupBy("window_start", "window_end").agg(F.count(F.lit(1)).alias("row_count"))
+    # counts has at most one row per window: size-checked on the windows.
+    n_windows = windows.limit(MAX_BROADCAST_ROWS + 1).count()
+    counts_side = F.broadcast(counts) if n_windows <= MAX_BROADCAST_ROWS else counts
     per_page = max(1, page_size // 2)
-    paged = (rows.join(counts, ["window_start", "window_end"])
+    paged = (rows.join(counts_side, ["window_start", "window_end"])
                  .withColumn("page", F.pmod(F.xxhash64(*dim_cols),
                                             F.ceil(F.col("row_count") / F.lit(per_page)).cast("bigint"))))
     row_struct = F.struct(
