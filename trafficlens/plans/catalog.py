@@ -30,7 +30,7 @@ from trafficlens.sources import landing
 from trafficlens.sources.mart import Mart
 from trafficlens.sources.report_api import (flatten_report, page_completeness, quality_flag,
                                             read_report_pages)
-from trafficlens.sources.schemas import BANNERS
+from trafficlens.sources.schemas import LOADED_BANNERS
 from trafficlens.streaming import incremental as inc
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -199,13 +199,7 @@ def _append_banners(spark, sf_dir):
 
 
 def _target_schema():
-    from pyspark.sql import types as T
-    return T.StructType([
-        T.StructField("isoweek", T.StringType()), T.StructField("eventLabel", T.StringType()),
-        T.StructField("eventCategory", T.StringType()), T.StructField("eventAction", T.StringType()),
-        T.StructField("totalevents", T.StringType()), T.StructField("users", T.LongType()),
-        T.StructField("date", T.StringType()),
-    ])
+    return LOADED_BANNERS
 
 
 @query("replace_temp_view")
@@ -664,4 +658,4 @@ def queries() -> dict[str, Query]:
 # page layout (hash-assigned pages) or on files written by the query.
 ROWS_ONLY = ("report_pages", "page_completeness", "quality_flag", "publish_registry")
 
-__all__ = ["queries", "QUERIES", "ROWS_ONLY", "mart", "P", "BANNERS"]
+__all__ = ["queries", "QUERIES", "ROWS_ONLY", "mart", "P"]

@@ -27,7 +27,7 @@ from trafficlens.functions.calendar import iso_week, iso_week_monday, month_of
 from trafficlens.functions.columns import cast_columns, fill_null_zero, move_column
 from trafficlens.functions.tagging import campaign_type, city_bucket, length_positive, regex_prefix
 from trafficlens.operators import filters as flt
-from trafficlens.operators.aggregates import (agg_sum, distinct_count, rounded_sum, second_level,
+from trafficlens.operators.aggregates import (distinct_count, rounded_sum, second_level,
                                               sort_by, sum_as_bigint)
 from trafficlens.operators.cleanup import purify_banners
 from trafficlens.operators.joins import combine_stacked, join_events, stack_columns
@@ -101,9 +101,8 @@ def report_vas_by_action(mart: Mart, p: ReportParams) -> DataFrame:
     ev = flt.from_ts(ev, "dateHourMinute", p.vas_from_ts)
     prefix = regex_prefix("eventaction")
     ev = ev.where(length_positive(prefix))
-    out = ev.groupBy(iso_week("dateHourMinute").alias("isoweek"), prefix.alias("eventaction")).agg(
+    return ev.groupBy(iso_week("dateHourMinute").alias("isoweek"), prefix.alias("eventaction")).agg(
         sum_as_bigint("totalEvents").alias("rashlop"))
-    return out
 
 
 # ----------------------------------------------------------------------- R4-R7
@@ -142,10 +141,9 @@ def report_claims(mart: Mart, p: ReportParams) -> DataFrame:
     ev = flt.regex_any(ev, "eventlabel", p.claim_labels)
     ev = ev.groupBy("dimension4").agg(F.sum("totalEvents").alias("totalEvents"))
     joined = join_events(tr, ev, how="left", require="dimension4")
-    out = joined.groupBy(iso_week("date").alias("isoweek"),
+    return joined.groupBy(iso_week("date").alias("isoweek"),
                          city_bucket("landingpage", "REG").alias("city")).agg(
         sum_as_bigint("totalEvents").alias("totalEvents"))
-    return out
 
 
 def _registrations(mart: Mart, p: ReportParams, section: bool) -> DataFrame:
@@ -159,8 +157,7 @@ def _registrations(mart: Mart, p: ReportParams, section: bool) -> DataFrame:
     ev = flt.url_excludes(ev, "pagepath", p.registration_page_excluded)
     ev = ev.groupBy("dimension4").agg(F.sum("totalEvents").alias("totalEvents"))
     joined = join_events(tr, ev, how="left", require="dimension4")
-    out = joined.groupBy(iso_week("date").alias("isoweek")).agg(sum_as_bigint("totalEvents").alias("totalEvents"))
-    return out
+    return joined.groupBy(iso_week("date").alias("isoweek")).agg(sum_as_bigint("totalEvents").alias("totalEvents"))
 
 
 def report_registrations(mart: Mart, p: ReportParams) -> DataFrame:
@@ -295,8 +292,7 @@ def report_monthly_users(mart: Mart, p: ReportParams) -> DataFrame:
     s = flt.url_contains(s, "landingpage", p.section)
     s = flt.not_equal(s, "utm_medium", NO_MEDIUM)
     s = flt.in_year(s, "date", p.uniques_year)
-    out = s.groupBy(month_of("date").alias("month")).agg(distinct_count("user_id", p.approx_distinct).alias("uniqs"))
-    return out
+    return s.groupBy(month_of("date").alias("month")).agg(distinct_count("user_id", p.approx_distinct).alias("uniqs"))
 
 
 # --------------------------------------------------------------------------- R12
@@ -309,8 +305,7 @@ def report_weekly_cost(mart: Mart, p: ReportParams) -> DataFrame:
     out = c.groupBy(iso_week("date").alias("isoweek"), "CITY").agg(rounded_sum("COSTS").alias("COST"))
     out = out.withColumn("start_week", iso_week_monday(F.col("isoweek"), p.cost_week_year))
     out = move_column(out, "start_week", 1)
-    out = cast_columns(out, {"isoweek": "bigint", "COST": "double", "CITY": "string", "start_week": "string"})
-    return out
+    return cast_columns(out, {"isoweek": "bigint", "COST": "double", "CITY": "string", "start_week": "string"})
 
 
 # --------------------------------------------------------------------------- R13
@@ -352,9 +347,9 @@ def report_vas_by_city(mart: Mart, p: ReportParams) -> DataFrame:
     ev = mart.table("raw_events", ["dateHourMinute", "eventlabel", "pagepath", "totalEvents", "uniqueEvents"])
     ev = flt.from_date(ev, "dateHourMinute", p.vas_city_from)
     ev = flt.regex_any(ev, "eventlabel", p.vas_city_labels)
-    out = ev.groupBy(_event_week().alias("isoweek"), city_bucket("pagepath", "REG").alias("city")).agg(
+    return ev.groupBy(_event_week().alias("isoweek"), city_bucket("pagepath", "REG").alias("city")).agg(
         sum_as_bigint("totalEvents").alias("tot"), sum_as_bigint("uniqueEvents").alias("un"))
-    return out
+
 
 # The reference's row order per report (ORDER BY / pandas group order).
 # report_deal_combined is ordered by position inside the plan itself.

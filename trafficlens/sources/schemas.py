@@ -34,6 +34,15 @@ BANNERS = _struct(
     ("eventaction", S), ("totalevents", S), ("users", L),
 )
 
+# The banner table as the incremental load writes it: API dimension names with
+# the ``ga:`` prefix stripped, ``users`` cast by the connector, ``totalevents``
+# left as text (the connector's exact-name cast list does not include it), and
+# the ISO ``date`` partition column.
+LOADED_BANNERS = _struct(
+    ("isoweek", S), ("eventLabel", S), ("eventCategory", S), ("eventAction", S),
+    ("totalevents", S), ("users", L), ("date", S),
+)
+
 TABLES: dict[str, T.StructType] = {
     "sessions": SESSIONS,
     "raw_events": RAW_EVENTS,
