@@ -41,6 +41,14 @@ def _event_week(ts_col: str = "dateHourMinute"):
     return iso_week(F.col(ts_col).cast("date"))
 
 
+def session_multiplicity(sessions: DataFrame, *keys) -> DataFrame:
+    """Sessions cut to (session_id, keys...) with ``n``, the number of session
+    rows behind each: the join then multiplies event sums by ``n`` instead of
+    repeating rows. A session id holding a large share of all rows collapses
+    in the map-side partial aggregate before any shuffle."""
+    return sessions.groupBy("session_id", *keys).agg(F.count(F.lit(1)).alias("n"))
+
+
 # --------------------------------------------------------------------------- R1
 def report_phone_clicks(mart: Mart, p: ReportParams) -> DataFrame:
     """Weekly phone-click events and distinct users of section sessions
@@ -71,11 +79,16 @@ def report_calls_by_campaign(mart: Mart, p: ReportParams) -> DataFrame:
     """R2: weekly phone calls by city (event page), label and campaign type.
 
     The reference sums at day grain in SQL, then re-groups by week in pandas;
-    sums compose, so this is one aggregate at week grain. pandas drops NULL
-    group keys (a NULL campaign gives a NULL type), so does this.
+    sums compose, so this is one aggregate at week grain. Sessions are not
+    de-duplicated by the reference, so each session row multiplies the event
+    sums; both sides are pre-aggregated to the report grain first (sessions to
+    (session, week, campaign type) with their row count ``n``), and the sums
+    are taken of ``n * value``. pandas drops NULL group keys (a NULL campaign
+    gives a NULL type), so does this.
     Columns: week, city, eventlabel, cpc_type, tot_event, u_event.
     """
     tr = flt.from_date(mart.table("sessions", ["date", "utm_campaign", "session_id"]), "date", p.start_date)
+    tr = session_multiplicity(tr, iso_week("date").alias("week"), campaign_type("utm_campaign").alias("cpc_type"))
     ev = mart.table("raw_events", ["dateHourMinute", "pagepath", "eventlabel", "uniqueEvents",
                                    "totalEvents", "dimension4"])
     ev = flt.from_date(ev, "dateHourMinute", p.start_date)
@@ -84,10 +97,9 @@ def report_calls_by_campaign(mart: Mart, p: ReportParams) -> DataFrame:
             .agg(F.sum("uniqueEvents").alias("uniqueEvents"), F.sum("totalEvents").alias("totalEvents")))
 
     joined = join_events(tr, ev, how="left", require="eventlabel")
-    tagged = joined.select(
-        iso_week("date").alias("week"), "city", "eventlabel",
-        campaign_type("utm_campaign").alias("cpc_type"), "totalEvents", "uniqueEvents",
-    )
+    tagged = joined.select("week", "city", "eventlabel", "cpc_type",
+                           (F.col("n") * F.col("totalEvents")).alias("totalEvents"),
+                           (F.col("n") * F.col("uniqueEvents")).alias("uniqueEvents"))
     return second_level(tagged, ["week", "city", "eventlabel", "cpc_type"],
                         {"tot_event": "totalEvents", "u_event": "uniqueEvents"}, ordered=False)
 
@@ -117,38 +129,42 @@ def _section_sessions(mart: Mart, p: ReportParams, cols, section: bool, not_test
 
 def report_mortgage(mart: Mart, p: ReportParams) -> DataFrame:
     """Mortgage clicks by session week and city of the event page, with
-    distinct users. Columns: isoweek, city, totalEvents, dimension1."""
+    distinct users. Sessions keep their fan-out as a row count ``n`` per
+    (session, week, user). Columns: isoweek, city, totalEvents, dimension1."""
     tr = _section_sessions(mart, p, ["date", "landingpage", "session_id", "user_id"], True, True)
+    tr = session_multiplicity(tr, iso_week("date").alias("isoweek"), "user_id")
     ev = mart.table("raw_events", ["dateHourMinute", "dimension4", "eventlabel", "pagepath", "totalEvents"])
     ev = flt.from_ts(ev, "dateHourMinute", p.lead_from_ts)
     ev = flt.regex_any(ev, "eventlabel", p.mortgage_labels)
     ev = (ev.groupBy("dimension4", city_bucket("pagepath", "REG").alias("city"))
             .agg(F.sum("totalEvents").alias("totalEvents")))
     joined = join_events(tr, ev, how="left", require="dimension4")
-    out = joined.groupBy(iso_week("date").alias("isoweek"), "city").agg(
-        sum_as_bigint("totalEvents").alias("totalEvents"),
+    return joined.groupBy("isoweek", "city").agg(
+        sum_as_bigint(F.col("n") * F.col("totalEvents")).alias("totalEvents"),
         distinct_count("user_id", p.approx_distinct).alias("dimension1"),
     )
-    return out
 
 
 def report_claims(mart: Mart, p: ReportParams) -> DataFrame:
     """Completed claims by session week and city of the *landing* page.
-    Columns: isoweek, city, totalEvents."""
+    Both sides are pre-aggregated to the report grain (sessions with their row
+    count ``n``). Columns: isoweek, city, totalEvents."""
     tr = _section_sessions(mart, p, ["date", "landingpage", "session_id"], True, False)
+    tr = session_multiplicity(tr, iso_week("date").alias("isoweek"),
+                              city_bucket("landingpage", "REG").alias("city"))
     ev = mart.table("raw_events", ["dateHourMinute", "dimension4", "eventlabel", "totalEvents"])
     ev = flt.from_ts(ev, "dateHourMinute", p.lead_from_ts)
     ev = flt.regex_any(ev, "eventlabel", p.claim_labels)
     ev = ev.groupBy("dimension4").agg(F.sum("totalEvents").alias("totalEvents"))
     joined = join_events(tr, ev, how="left", require="dimension4")
-    return joined.groupBy(iso_week("date").alias("isoweek"),
-                         city_bucket("landingpage", "REG").alias("city")).agg(
-        sum_as_bigint("totalEvents").alias("totalEvents"))
+    return joined.groupBy("isoweek", "city").agg(
+        sum_as_bigint(F.col("n") * F.col("totalEvents")).alias("totalEvents"))
 
 
 def _registrations(mart: Mart, p: ReportParams, section: bool) -> DataFrame:
     cols = ["date", "landingpage", "session_id"]
-    tr = _section_sessions(mart, p, cols, section, True).select("date", "session_id")
+    tr = _section_sessions(mart, p, cols, section, True)
+    tr = session_multiplicity(tr, iso_week("date").alias("isoweek"))
     ev = mart.table("raw_events", ["dateHourMinute", "dimension4", "eventlabel", "eventcategory",
                                    "pagepath", "totalEvents"])
     ev = flt.from_ts(ev, "dateHourMinute", p.registration_from_ts)
@@ -157,7 +173,7 @@ def _registrations(mart: Mart, p: ReportParams, section: bool) -> DataFrame:
     ev = flt.url_excludes(ev, "pagepath", p.registration_page_excluded)
     ev = ev.groupBy("dimension4").agg(F.sum("totalEvents").alias("totalEvents"))
     joined = join_events(tr, ev, how="left", require="dimension4")
-    return joined.groupBy(iso_week("date").alias("isoweek")).agg(sum_as_bigint("totalEvents").alias("totalEvents"))
+    return joined.groupBy("isoweek").agg(sum_as_bigint(F.col("n") * F.col("totalEvents")).alias("totalEvents"))
 
 
 def report_registrations(mart: Mart, p: ReportParams) -> DataFrame:
@@ -179,7 +195,9 @@ def _any_match(column: str, patterns) -> "F.Column":
 def weekly_label_clicks(mart: Mart, p: ReportParams, labels: dict[str, str]) -> DataFrame:
     """R8 for several labels in one pass: weekly SUM(users) of each label's
     events, joined to de-duplicated section sessions on session id *and* ISO
-    week. One scan and one join serve every label; per label ``alias`` the
+    week. Both sides reach the join as one row per (session, week): events
+    summed, sessions as the count ``n`` of their distinct rows, which
+    multiplies the sums. One scan and one join serve every label; per label ``alias`` the
     output has the sum and ``_n_{alias}``, the number of joined events (a
     week belongs to a label's report when that count is positive).
     """
@@ -187,6 +205,8 @@ def weekly_label_clicks(mart: Mart, p: ReportParams, labels: dict[str, str]) ->
     tr = flt.from_date(tr, "date", p.start_date)
     tr = flt.url_contains(tr, "landingpage", p.section)
     tr = tr.select(iso_week("date").alias("isoweek"), "landingpage", "session_id", "user_id").distinct()
+    # the distinct rows only matter as a multiplicity per (week, session)
+    tr = session_multiplicity(tr, "isoweek")
     ev = mart.table("raw_events", ["dateHourMinute", "dimension4", "eventlabel", "users"])
     ev = flt.from_ts(ev, "dateHourMinute", p.deal_from_ts)
     ev = ev.where(_any_match("eventlabel", labels.values()))
@@ -197,9 +217,10 @@ def weekly_label_clicks(mart: Mart, p: ReportParams, labels: dict[str, str]) ->
                       F.count(F.when(hit, F.lit(1))).alias(f"_n_{alias}")]
     ev = ev.groupBy("dimension4", _event_week().alias("isoweek")).agg(*per_label)
     joined = join_events(tr, ev, how="left", require="dimension4", on_week="isoweek")
+    n = F.col("n")
     return joined.groupBy("isoweek").agg(*[
         c for alias in labels
-        for c in (sum_as_bigint(alias).alias(alias), F.sum(f"_n_{alias}").alias(f"_n_{alias}"))])
+        for c in (sum_as_bigint(n * F.col(alias)).alias(alias), F.sum(n * F.col(f"_n_{alias}")).alias(f"_n_{alias}"))])
 
 
 def label_frame(weekly: DataFrame, alias: str) -> DataFrame:
@@ -248,7 +269,16 @@ def weekly_page_users(mart: Mart, p: ReportParams, pages: dict[str, str]) -> Dat
     users = users.select("date", F.col("dimension1").alias("user_id")).distinct()
 
     flags = list(pages)
-    viewers = (views.join(sess, (views["dimension4"] == sess["session_id"]) & (views["date"] == sess["date"]))
+    # The ISO week rides along as a third join key. It is a function of the
+    # date, so the rows matched are the same, but the views aggregate (already
+    # hashed on (date, session)) no longer satisfies the join's distribution:
+    # both inputs become plain shuffle stages, which lets AQE split a session
+    # id holding a large share of the session rows across tasks.
+    views = views.withColumn("_wk", iso_week("date"))
+    sess = sess.withColumn("_wk", iso_week("date"))
+    cond = ((views["dimension4"] == sess["session_id"]) & (views["date"] == sess["date"])
+            & (views["_wk"] == sess["_wk"]))
+    viewers = (views.join(sess, cond)
                     .groupBy(sess["date"], sess["user_id"]).agg(*[F.max(a).alias(a) for a in flags]))
     authorised = viewers.join(users, ["date", "user_id"], "left_semi")
     per_user_week = authorised.groupBy(iso_week("date").alias("isoweek"), "user_id").agg(
