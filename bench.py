@@ -2,7 +2,7 @@
 
 Runs each headline query on ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1)
 with ``local[$BENCH_CPUS]``: one warm-up, then the median of ``$BENCH_RUNS``
-(default 3) executions into the ``noop`` sink (the whole result is computed,
+(default 5) executions into the ``noop`` sink (the whole result is computed,
 nothing is collected). Prints one JSON line.
 """
 
@@ -47,7 +47,7 @@ def run_once(spark, key: str, sf_dir: str) -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "5"))
     spark = build_session(f"local[{cpus}]", app_name="trafficlens-bench", shuffle_partitions=int(cpus),
                           extra_conf={"spark.driver.memory": "8g"})
     spark.sparkContext.setLogLevel("ERROR")

@@ -98,7 +98,7 @@ def test_hot_session_results_match_brute_force(spark, skewed, skew_conf, name):
     assert digest(df.columns, got) == digest(want_cols, want)
 
 
-@pytest.mark.parametrize("name", ["report_phone_clicks", "report_deal_users"])
+@pytest.mark.parametrize("name", ["report_phone_clicks", "report_mortgage", "report_deal_users"])
 def test_hot_session_join_is_split_by_aqe(spark, skewed, skew_conf, name):
     """Joins that must keep many distinct users per session reach the join as
     two plain shuffle stages, and AQE splits the hot partition."""
