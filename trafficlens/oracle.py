@@ -1,10 +1,11 @@
 """DuckDB oracle: for each catalog key, independent SQL over the same tables.
 
 Every text starts with the fixture CTEs (the same SQL the Spark side runs to
-derive the mart tables) and then states the key's semantics directly in SQL,
-following the warehouse queries' own shape (outer joins + NULL tests, the
-self-join for retention, the 53 conditional sums, the left-join chain with
-HAVING), so it checks the Spark rewrites rather than repeating them.
+derive the mart tables) and then states the key's semantics as one plain
+query -- row-level joins, no pre-aggregation, the retention self-join, one
+filtered count per cohort age -- so it checks the Spark plans' rewrites
+(multiplicities, semi-joins, single-pass cohorts, stacked frames) rather than
+repeating them.
 """
 
 from __future__ import annotations
@@ -74,7 +75,7 @@ def ts(value: str) -> str:
     return f"TIMESTAMP '{value}'"
 
 
-def s(value: str) -> str:
+def s_(value: str) -> str:
     return "'" + value.replace("'", "''") + "'"
 
 
@@ -88,127 +89,106 @@ def with_fixtures(body: str) -> str:
 
 
 # ------------------------------------------------------------------ reports
+# Each report is stated as one plain query: inner joins with every condition in
+# WHERE. (A LEFT join followed by a NOT NULL test on the optional side, or by
+# HAVING count > 0, keeps exactly the inner-join rows.)
+
 def r1() -> str:
     return f"""
-WITH tr AS (
-  SELECT session_id, user_id FROM sessions
-  WHERE date >= {d(P.start_date)} AND landingpage LIKE '%{P.section}%' AND utm_source <> '(direct)'
-  GROUP BY 1, 2),
-ev AS (
-  SELECT {wk('CAST(dateHourMinute AS DATE)')} AS isoweek, totalEvents, dimension4, eventlabel, users
-  FROM raw_events
-  WHERE regexp_matches(eventlabel, {s(P.phone_click_labels)})
-    AND CAST(dateHourMinute AS DATE) >= {d(P.start_date)}
-    AND eventlabel NOT LIKE '%{P.phone_click_excluded}%')
-SELECT ev.isoweek AS week, CAST(SUM(totalEvents) AS BIGINT) AS totalEvents,
-       COUNT(DISTINCT user_id) AS dimension1
-FROM tr RIGHT JOIN ev ON tr.session_id = ev.dimension4
-WHERE user_id IS NOT NULL GROUP BY 1 ORDER BY 1"""
+SELECT {wk('CAST(e.dateHourMinute AS DATE)')} AS week,
+       CAST(SUM(e.totalEvents) AS BIGINT) AS totalEvents,
+       COUNT(DISTINCT s.user_id) AS dimension1
+FROM raw_events e
+JOIN (SELECT DISTINCT session_id, user_id FROM sessions
+      WHERE date >= {d(P.start_date)} AND landingpage LIKE '%{P.section}%' AND utm_source <> '(direct)') s
+  ON s.session_id = e.dimension4
+WHERE s.user_id IS NOT NULL
+  AND regexp_matches(e.eventlabel, {s_(P.phone_click_labels)})
+  AND e.dateHourMinute >= {ts(P.start_date[:10] + ' 00:00:00')}
+  AND e.eventlabel NOT LIKE '%{P.phone_click_excluded}%'
+GROUP BY 1"""
 
 
 def r2() -> str:
     return f"""
-WITH tr AS (SELECT date, utm_campaign, session_id FROM sessions WHERE date >= {d(P.start_date)}),
-ev AS (
-  SELECT pagepath, eventlabel, uniqueEvents, totalEvents, dimension4 FROM raw_events
-  WHERE CAST(dateHourMinute AS DATE) >= {d(P.start_date)} AND regexp_matches(eventlabel, {s(P.call_labels)})),
-day AS (
-  SELECT date, {city('pagepath', '0')} AS city, pagepath, eventlabel, utm_campaign,
-         SUM(uniqueEvents) AS uniqueEvents, SUM(totalEvents) AS totalEvents
-  FROM tr LEFT JOIN ev ON tr.session_id = ev.dimension4 WHERE eventlabel IS NOT NULL
-  GROUP BY 1, 2, 3, 4, 5),
-tagged AS (
-  SELECT {wk('date')} AS week, city, eventlabel, {campaign('utm_campaign')} AS cpc_type,
-         totalEvents, uniqueEvents FROM day)
-SELECT week, city, eventlabel, cpc_type, CAST(SUM(totalEvents) AS BIGINT) AS tot_event,
-       CAST(SUM(uniqueEvents) AS BIGINT) AS u_event
-FROM tagged
-WHERE week IS NOT NULL AND city IS NOT NULL AND eventlabel IS NOT NULL AND cpc_type IS NOT NULL
-GROUP BY 1, 2, 3, 4 ORDER BY 1, 2, 3, 4"""
+SELECT {wk('s.date')} AS week, {city('e.pagepath', '0')} AS city, e.eventlabel AS eventlabel,
+       {campaign('s.utm_campaign')} AS cpc_type,
+       CAST(SUM(e.totalEvents) AS BIGINT) AS tot_event, CAST(SUM(e.uniqueEvents) AS BIGINT) AS u_event
+FROM sessions s JOIN raw_events e ON e.dimension4 = s.session_id
+WHERE s.date >= {d(P.start_date)}
+  AND e.dateHourMinute >= {ts(P.start_date[:10] + ' 00:00:00')}
+  AND regexp_matches(e.eventlabel, {s_(P.call_labels)})
+  AND {campaign('s.utm_campaign')} IS NOT NULL
+GROUP BY 1, 2, 3, 4"""
 
 
 def r3() -> str:
-    labels = " OR ".join(f"eventlabel = {s(x)}" for x in P.vas_labels)
+    labels = ", ".join(s_(x) for x in P.vas_labels)
     return f"""
 SELECT {wk('dateHourMinute')} AS isoweek, {prefix('eventaction')} AS eventaction,
        CAST(SUM(totalEvents) AS BIGINT) AS rashlop
 FROM raw_events
-WHERE ({labels}) AND dateHourMinute >= {ts(P.vas_from_ts)} AND length({prefix('eventaction')}) > 0
-GROUP BY 1, 2 ORDER BY 1, 2"""
+WHERE eventlabel IN ({labels}) AND dateHourMinute >= {ts(P.vas_from_ts)}
+  AND length({prefix('eventaction')}) > 0
+GROUP BY 1, 2"""
 
 
 def r4() -> str:
     return f"""
-WITH tr AS (
-  SELECT date, landingpage, session_id, user_id FROM sessions
-  WHERE date >= {d(P.start_date)} AND landingpage LIKE '%{P.section}%' AND landingpage NOT LIKE '%{P.test_host}%'),
-ev AS (
-  SELECT totalEvents, dimension4, eventlabel, pagepath FROM raw_events
-  WHERE dateHourMinute >= {ts(P.lead_from_ts)} AND regexp_matches(eventlabel, {s(P.mortgage_labels)}))
-SELECT {wk('date')} AS isoweek, {city('pagepath', 'REG')} AS city,
-       CAST(SUM(totalEvents) AS BIGINT) AS totalEvents, COUNT(DISTINCT user_id) AS dimension1
-FROM tr LEFT JOIN ev ON session_id = dimension4 WHERE eventlabel IS NOT NULL
-GROUP BY 1, 2 ORDER BY 1, 2"""
+SELECT {wk('s.date')} AS isoweek, {city('e.pagepath', 'REG')} AS city,
+       CAST(SUM(e.totalEvents) AS BIGINT) AS totalEvents, COUNT(DISTINCT s.user_id) AS dimension1
+FROM sessions s JOIN raw_events e ON e.dimension4 = s.session_id
+WHERE s.date >= {d(P.start_date)} AND s.landingpage LIKE '%{P.section}%'
+  AND s.landingpage NOT LIKE '%{P.test_host}%'
+  AND e.dateHourMinute >= {ts(P.lead_from_ts)} AND regexp_matches(e.eventlabel, {s_(P.mortgage_labels)})
+GROUP BY 1, 2"""
 
 
 def r5() -> str:
     return f"""
-WITH tr AS (
-  SELECT date, landingpage, session_id FROM sessions
-  WHERE date >= {d(P.start_date)} AND landingpage LIKE '%{P.section}%'),
-ev AS (
-  SELECT eventlabel, totalEvents, dimension4, pagepath FROM raw_events
-  WHERE dateHourMinute >= {ts(P.lead_from_ts)} AND regexp_matches(eventlabel, {s(P.claim_labels)}))
-SELECT {wk('date')} AS isoweek, {city('landingpage', 'REG')} AS city, CAST(SUM(totalEvents) AS BIGINT) AS totalEvents
-FROM tr LEFT JOIN ev ON session_id = dimension4 WHERE eventlabel IS NOT NULL
-GROUP BY 1, 2 ORDER BY 1, 2"""
+SELECT {wk('s.date')} AS isoweek, {city('s.landingpage', 'REG')} AS city,
+       CAST(SUM(e.totalEvents) AS BIGINT) AS totalEvents
+FROM sessions s JOIN raw_events e ON e.dimension4 = s.session_id
+WHERE s.date >= {d(P.start_date)} AND s.landingpage LIKE '%{P.section}%'
+  AND e.dateHourMinute >= {ts(P.lead_from_ts)} AND regexp_matches(e.eventlabel, {s_(P.claim_labels)})
+GROUP BY 1, 2"""
 
 
 def r6(section: bool) -> str:
-    extra = f" AND landingpage LIKE '%{P.section}%'" if section else ""
+    extra = f"\n  AND s.landingpage LIKE '%{P.section}%'" if section else ""
     return f"""
-WITH tr AS (
-  SELECT date, landingpage, session_id FROM sessions
-  WHERE date >= {d(P.start_date)} AND landingpage NOT LIKE '%{P.test_host}%'{extra}),
-ev AS (
-  SELECT eventlabel, totalEvents, dimension4 FROM raw_events
-  WHERE dateHourMinute >= {ts(P.registration_from_ts)}
-    AND regexp_matches(eventlabel, {s(P.registration_labels)})
-    AND regexp_matches(eventcategory, {s(P.registration_categories)})
-    AND pagepath NOT LIKE '%{P.registration_page_excluded}%')
-SELECT {wk('date')} AS isoweek, CAST(SUM(totalEvents) AS BIGINT) AS totalEvents
-FROM tr LEFT JOIN ev ON session_id = dimension4 WHERE eventlabel IS NOT NULL
-GROUP BY 1 ORDER BY 1"""
+SELECT {wk('s.date')} AS isoweek, CAST(SUM(e.totalEvents) AS BIGINT) AS totalEvents
+FROM sessions s JOIN raw_events e ON e.dimension4 = s.session_id
+WHERE s.date >= {d(P.start_date)} AND s.landingpage NOT LIKE '%{P.test_host}%'{extra}
+  AND e.dateHourMinute >= {ts(P.registration_from_ts)}
+  AND regexp_matches(e.eventlabel, {s_(P.registration_labels)})
+  AND regexp_matches(e.eventcategory, {s_(P.registration_categories)})
+  AND e.pagepath NOT LIKE '%{P.registration_page_excluded}%'
+GROUP BY 1"""
 
 
 def r8(label: str, alias: str) -> str:
+    """Sessions count once per distinct (week, landing page, session, user)."""
     return f"""
-WITH tr AS (
-  SELECT {wk('date')} AS isoweek, landingpage, session_id, user_id FROM sessions
-  WHERE date >= {d(P.start_date)} AND landingpage LIKE '%{P.section}%' GROUP BY 1, 2, 3, 4),
-ev AS (
-  SELECT {wk('CAST(dateHourMinute AS DATE)')} AS isoweek, totalEvents, dimension4, eventlabel, users
-  FROM raw_events WHERE dateHourMinute >= {ts(P.deal_from_ts)} AND regexp_matches(eventlabel, {s(label)}))
-SELECT ev.isoweek AS isoweek, CAST(SUM(users) AS BIGINT) AS {alias}
-FROM tr LEFT JOIN ev ON session_id = dimension4 AND tr.isoweek = ev.isoweek
-WHERE eventlabel IS NOT NULL GROUP BY 1 ORDER BY 1"""
+SELECT {wk('CAST(e.dateHourMinute AS DATE)')} AS isoweek, CAST(SUM(e.users) AS BIGINT) AS {alias}
+FROM raw_events e
+JOIN (SELECT DISTINCT {wk('date')} AS wk, landingpage, session_id, user_id FROM sessions
+      WHERE date >= {d(P.start_date)} AND landingpage LIKE '%{P.section}%') s
+  ON s.session_id = e.dimension4 AND s.wk = {wk('CAST(e.dateHourMinute AS DATE)')}
+WHERE e.dateHourMinute >= {ts(P.deal_from_ts)} AND regexp_matches(e.eventlabel, {s_(label)})
+GROUP BY 1"""
 
 
 def r9(page: str, alias: str) -> str:
     return f"""
-WITH a AS (
-  SELECT CAST(dateHourMinute AS DATE) AS date, {wk('dateHourMinute')} AS isoweek, dimension4 FROM page_views
-  WHERE regexp_matches(pagepath, {s(page)}) AND dateHourMinute >= {ts(P.deal_from_ts)} GROUP BY 1, 2, 3),
-b AS (
-  SELECT date, {wk('date')} AS isoweek, session_id, user_id FROM sessions
-  WHERE landingpage LIKE '%{P.section}%' AND date >= {d(P.start_date)} GROUP BY 1, 2, 3, 4),
-c AS (
-  SELECT date, {wk('date')} AS isoweek, dimension2, dimension1 FROM users_dim
-  WHERE dimension2 <> 'not_authorized' AND date >= {d(P.start_date)} GROUP BY 1, 2, 3, 4)
-SELECT c.isoweek AS isoweek, COUNT(DISTINCT c.dimension1) AS {alias}
-FROM a LEFT JOIN b ON a.dimension4 = b.session_id AND a.date = b.date
-       LEFT JOIN c ON b.user_id = c.dimension1 AND b.date = c.date
-GROUP BY 1 HAVING COUNT(DISTINCT c.dimension1) > 0 ORDER BY 1"""
+SELECT {wk('u.date')} AS isoweek, COUNT(DISTINCT u.dimension1) AS {alias}
+FROM page_views v
+JOIN sessions s ON s.session_id = v.dimension4 AND s.date = CAST(v.dateHourMinute AS DATE)
+JOIN users_dim u ON u.dimension1 = s.user_id AND u.date = s.date
+WHERE regexp_matches(v.pagepath, {s_(page)}) AND v.dateHourMinute >= {ts(P.deal_from_ts)}
+  AND s.landingpage LIKE '%{P.section}%' AND s.date >= {d(P.start_date)}
+  AND u.dimension2 <> 'not_authorized' AND u.date >= {d(P.start_date)}
+GROUP BY 1"""
 
 
 def _af2_parts() -> list[tuple[str, str]]:
@@ -244,40 +224,41 @@ def r10_key() -> str:
 
 def r11() -> str:
     return f"""
-SELECT CAST(EXTRACT(month FROM date) AS BIGINT) AS month, COUNT(DISTINCT user_id) AS uniqs
+SELECT CAST(month(date) AS BIGINT) AS month, COUNT(DISTINCT user_id) AS uniqs
 FROM sessions
-WHERE landingpage LIKE '%{P.section}%' AND utm_medium <> '(none)' AND EXTRACT(year FROM date) = {P.uniques_year}
-GROUP BY 1 ORDER BY 1"""
+WHERE landingpage LIKE '%{P.section}%' AND utm_medium <> '(none)' AND year(date) = {P.uniques_year}
+GROUP BY 1"""
 
 
 def r12() -> str:
     return f"""
-WITH c AS (
-  SELECT {wk('date')} AS isoweek, CITY, CAST(ROUND(SUM(CAST(COSTS AS DECIMAL(18, 2))), 2) AS DOUBLE) AS COST
-  FROM costs WHERE COSTS > 0 AND date >= {d(P.cost_from)} GROUP BY 1, 2)
-SELECT isoweek, CAST({monday(str(P.cost_week_year), 'isoweek')} AS VARCHAR) AS start_week, CITY, COST
-FROM c ORDER BY 1, 3"""
+SELECT weekly.isoweek AS isoweek, CAST({monday(str(P.cost_week_year), 'weekly.isoweek')} AS VARCHAR) AS start_week,
+       weekly.CITY AS CITY, weekly.COST AS COST
+FROM (SELECT {wk('date')} AS isoweek, CITY,
+             CAST(ROUND(SUM(CAST(COSTS AS DECIMAL(18, 2))), 2) AS DOUBLE) AS COST
+      FROM costs WHERE COSTS > 0 AND date >= {d(P.cost_from)} GROUP BY 1, 2) AS weekly"""
 
 
 def retention_sql(where: str, week52_year: int, max_age: int = 52) -> str:
-    cols = ",\n  ".join(
-        f"CAST(SUM(CASE WHEN senior = {a} THEN 1 ELSE 0 END) AS BIGINT) AS {'New_per_week' if a == 0 else f'week_{a}'}"
+    """Cohort = a user's first active date; age = active ISO week minus the
+    first one, wrapping at 52; one column per age counts (user, week) pairs."""
+    counts = ",\n  ".join(
+        f"COUNT(*) FILTER (WHERE age = {a}) AS {'New_per_week' if a == 0 else f'week_{a}'}"
         for a in range(max_age + 1))
     return f"""
-WITH a AS (SELECT {wk('date')} AS iso_week, dimension1 FROM traffic {where} GROUP BY 1, 2),
-b AS (
-  SELECT {wk('MIN(date)')} AS first_dt,
-         CASE WHEN {wk('MIN(date)')} = 52 THEN {week52_year} ELSE EXTRACT(year FROM MIN(date)) END AS year,
-         dimension1
-  FROM traffic {where} GROUP BY 3),
-w AS (
-  SELECT a.dimension1, year, a.iso_week, b.first_dt AS first_dt,
-         CASE WHEN a.iso_week < b.first_dt THEN ((52 - b.first_dt) + a.iso_week)
-              ELSE a.iso_week - b.first_dt END AS senior
-  FROM a, b WHERE a.dimension1 = b.dimension1)
-SELECT first_dt, CAST(year AS BIGINT) AS year,
-  {cols}
-FROM w GROUP BY first_dt, year ORDER BY year, first_dt"""
+WITH firsts AS (
+  SELECT dimension1, MIN(date) AS first_date FROM traffic {where} GROUP BY dimension1),
+active AS (
+  SELECT DISTINCT dimension1, {wk('date')} AS wk FROM traffic {where}),
+aged AS (
+  SELECT {wk('f.first_date')} AS first_dt,
+         CAST(CASE WHEN {wk('f.first_date')} = 52 THEN {week52_year} ELSE year(f.first_date) END AS BIGINT) AS year,
+         CASE WHEN a.wk < {wk('f.first_date')} THEN 52 - {wk('f.first_date')} + a.wk
+              ELSE a.wk - {wk('f.first_date')} END AS age
+  FROM active a JOIN firsts f ON f.dimension1 = a.dimension1)
+SELECT first_dt, year,
+  {counts}
+FROM aged GROUP BY first_dt, year"""
 
 
 def r13() -> str:
@@ -287,18 +268,16 @@ def r13() -> str:
 
 def r14() -> str:
     return f"""
-WITH t AS (
-  SELECT isoweek, eventlabel, CAST(totalevents AS BIGINT) AS totalevents, CAST(users AS BIGINT) AS users,
+WITH tagged AS (
+  SELECT isoweek, CAST(totalevents AS BIGINT) AS totalevents, users,
          {product('eventlabel')} AS product, {location('eventlabel')} AS card_serp,
          {action('eventlabel')} AS action_type
-  FROM banners WHERE date >= {s(P.banners_from)}),
-g AS (
-  SELECT isoweek, product, action_type, card_serp, CAST(SUM(totalevents) AS BIGINT) AS bnrs,
-         CAST(SUM(users) AS BIGINT) AS un_users
-  FROM t WHERE product IS NOT NULL GROUP BY 1, 2, 3, 4)
-SELECT isoweek, COALESCE(product, '0') AS product, COALESCE(action_type, '0') AS action_type,
-       COALESCE(card_serp, '0') AS card_serp, COALESCE(bnrs, 0) AS bnrs, COALESCE(un_users, 0) AS un_users
-FROM g WHERE isoweek IS NOT NULL ORDER BY 1"""
+  FROM banners WHERE date >= {s_(P.banners_from)})
+SELECT isoweek, product, COALESCE(action_type, '0') AS action_type, COALESCE(card_serp, '0') AS card_serp,
+       COALESCE(CAST(SUM(totalevents) AS BIGINT), 0) AS bnrs, COALESCE(CAST(SUM(users) AS BIGINT), 0) AS un_users
+FROM tagged
+WHERE product IS NOT NULL AND isoweek IS NOT NULL
+GROUP BY isoweek, product, action_type, card_serp"""
 
 
 def r15() -> str:
@@ -306,8 +285,8 @@ def r15() -> str:
 SELECT {wk('CAST(dateHourMinute AS DATE)')} AS isoweek, {city('pagepath', 'REG')} AS city,
        CAST(SUM(totalEvents) AS BIGINT) AS tot, CAST(SUM(uniqueEvents) AS BIGINT) AS un
 FROM raw_events
-WHERE CAST(dateHourMinute AS DATE) >= {d(P.vas_city_from)} AND regexp_matches(eventlabel, {s(P.vas_city_labels)})
-GROUP BY 1, 2 ORDER BY 1, 2"""
+WHERE dateHourMinute >= {ts(P.vas_city_from[:10] + ' 00:00:00')} AND regexp_matches(eventlabel, {s_(P.vas_city_labels)})
+GROUP BY 1, 2"""
 
 
 # ------------------------------------------------------------------ report-API rows
@@ -341,16 +320,15 @@ FROM i ORDER BY 1"""
 def _bodies() -> dict[str, str]:
     tag_cols = {"tag_location": (location, "card_serp"), "tag_product": (product, "product"),
                 "tag_action": (action, "action_type")}
-    phone = s(P.phone_click_labels)
+    phone = s_(P.phone_click_labels)
     day_grain = f"""
-SELECT date, {city('pagepath', '0')} AS city, pagepath, eventlabel, utm_campaign,
-       CAST(SUM(uniqueEvents) AS BIGINT) AS uniqueEvents, CAST(SUM(totalEvents) AS BIGINT) AS totalEvents
-FROM (SELECT date, utm_campaign, session_id FROM sessions WHERE date >= {d(P.start_date)}) tr
-LEFT JOIN (SELECT pagepath, eventlabel, uniqueEvents, totalEvents, dimension4 FROM raw_events
-           WHERE CAST(dateHourMinute AS DATE) >= {d(P.start_date)}
-             AND regexp_matches(eventlabel, {s(P.call_labels)})) ev
-  ON tr.session_id = ev.dimension4
-WHERE eventlabel IS NOT NULL GROUP BY 1, 2, 3, 4, 5"""
+SELECT s.date AS date, {city('e.pagepath', '0')} AS city, e.pagepath AS pagepath, e.eventlabel AS eventlabel,
+       s.utm_campaign AS utm_campaign,
+       CAST(SUM(e.uniqueEvents) AS BIGINT) AS uniqueEvents, CAST(SUM(e.totalEvents) AS BIGINT) AS totalEvents
+FROM sessions s JOIN raw_events e ON e.dimension4 = s.session_id
+WHERE s.date >= {d(P.start_date)} AND e.dateHourMinute >= {ts(P.start_date[:10] + ' 00:00:00')}
+  AND regexp_matches(e.eventlabel, {s_(P.call_labels)})
+GROUP BY 1, 2, 3, 4, 5"""
     traffic_section = f"WHERE landingpagepath LIKE '%{P.section}%'"
     first_week = f"""
 SELECT {wk('MIN(date)')} AS first_dt,
@@ -385,7 +363,7 @@ FROM traffic {{where}} GROUP BY dimension1"""
         "scan_users": "SELECT * FROM users_dim",
         "scan_traffic": "SELECT * FROM traffic",
         "scan_costs": "SELECT * FROM costs",
-        "scan_banners": f"SELECT * FROM banners WHERE date >= {s(P.banners_from)}",
+        "scan_banners": f"SELECT * FROM banners WHERE date >= {s_(P.banners_from)}",
         "flatten_report": FLAT_SQL,
         "flatten_report_empty": FLAT_SQL,
         "report_union_windows": FLAT_SQL,
@@ -440,9 +418,9 @@ FROM traffic {{where}} GROUP BY dimension1"""
         "filter_not_like": f"SELECT * FROM sessions WHERE landingpage NOT LIKE '%{P.test_host}%'",
         "filter_not_equal": "SELECT * FROM users_dim WHERE dimension2 <> 'not_authorized'",
         "filter_regex_any": f"SELECT * FROM raw_events WHERE regexp_matches(eventlabel, {phone})",
-        "filter_regex_anchored": f"SELECT * FROM raw_events WHERE regexp_matches(eventlabel, {s(P.mortgage_labels)})",
+        "filter_regex_anchored": f"SELECT * FROM raw_events WHERE regexp_matches(eventlabel, {s_(P.mortgage_labels)})",
         "filter_equal_or": "SELECT * FROM raw_events WHERE "
-                           + " OR ".join(f"eventlabel = {s(x)}" for x in P.vas_labels),
+                           + " OR ".join(f"eventlabel = {s_(x)}" for x in P.vas_labels),
         "filter_post_join_not_null": "SELECT session_id, user_id, eventlabel, totalEvents FROM sessions "
                                      "LEFT JOIN raw_events ON session_id = dimension4 WHERE eventlabel IS NOT NULL",
         "filter_positive": "SELECT * FROM costs WHERE COSTS > 0",
@@ -454,17 +432,17 @@ FROM traffic {{where}} GROUP BY dimension1"""
         "filter_null_week": "SELECT * FROM sessions WHERE user_id IS NOT NULL",
         # joins
         "join_right_sessions_events": "SELECT session_id, user_id, eventlabel, totalEvents "
-                                      "FROM (SELECT session_id, user_id FROM sessions GROUP BY 1, 2) tr "
-                                      "RIGHT JOIN raw_events ev ON tr.session_id = ev.dimension4 "
+                                      "FROM (SELECT DISTINCT session_id, user_id FROM sessions) s "
+                                      "RIGHT JOIN raw_events e ON s.session_id = e.dimension4 "
                                       "WHERE user_id IS NOT NULL",
         "join_left_sessions_events": "SELECT date, session_id, utm_campaign, eventlabel, totalEvents FROM sessions "
                                      "LEFT JOIN raw_events ON session_id = dimension4 WHERE eventlabel IS NOT NULL",
         "join_session_week": f"""
-SELECT ev.isoweek AS isoweek, session_id, user_id, eventlabel, users
-FROM (SELECT {wk('date')} AS isoweek, session_id, user_id FROM sessions GROUP BY 1, 2, 3) tr
+SELECT e.isoweek AS isoweek, session_id, user_id, eventlabel, users
+FROM (SELECT DISTINCT {wk('date')} AS isoweek, session_id, user_id FROM sessions) s
 LEFT JOIN (SELECT {wk('CAST(dateHourMinute AS DATE)')} AS isoweek, dimension4, eventlabel, users
-           FROM raw_events) ev
-  ON tr.session_id = ev.dimension4 AND tr.isoweek = ev.isoweek
+           FROM raw_events) e
+  ON s.session_id = e.dimension4 AND s.isoweek = e.isoweek
 WHERE eventlabel IS NOT NULL""",
         "join_three_way_left": """
 SELECT v.date AS date, v.dimension4 AS dimension4, s.user_id AS user_id, u.dimension2 AS dimension2
