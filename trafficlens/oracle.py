@@ -305,15 +305,61 @@ FLAT_SQL = api_rows("strftime(CAST(date AS DATE), '%Y%m%d')", "CAST(SUM(users) A
 TARGET_SQL = api_rows("date", "CAST(SUM(users) AS BIGINT)")
 
 
-def windows_sql(step: int) -> str:
+def windows_sql(step: int, extra_days: int = 0) -> str:
     return f"""
-WITH bnd AS (SELECT MIN(CAST(date AS DATE)) AS s, MAX(CAST(date AS DATE)) AS e FROM banners),
+WITH bnd AS (SELECT MIN(CAST(date AS DATE)) AS s, MAX(CAST(date AS DATE)) + {extra_days} AS e FROM banners),
 k AS (SELECT s, e, CASE WHEN e - s < 0 THEN 0 WHEN e - s = 0 THEN 1
                         ELSE CAST(ceil((e - s) / {step}.0) AS BIGINT) END AS k FROM bnd),
 i AS (SELECT s, e, k, unnest(range(k)) AS i FROM k)
 SELECT CASE WHEN i = k - 1 THEN s ELSE e - CAST(i * {step} + {step - 1} AS INTEGER) END AS window_start,
        e - CAST(i * {step} AS INTEGER) AS window_end
-FROM i ORDER BY 1"""
+FROM i"""
+
+
+def pages_sql(extra_days: int, page_size: int = P.page_size) -> str:
+    """One row per landed page: the banner API rows (unique per dimension
+    tuple and window) split into ceil(rows / (page_size / 2)) pages by the MD5
+    prefix of the dimension tuple; a window without rows has one empty page."""
+    per_page = max(1, page_size // 2)
+    dims = "d0, d1, d2, d3, d4"
+    return f"""
+WITH win AS ({windows_sql(P.window_step_days, extra_days)}),
+api AS (
+  SELECT w.window_start, w.window_end, b.isoweek AS d0, strftime(CAST(b.date AS DATE), '%Y%m%d') AS d1,
+         b.eventlabel AS d2, b.eventcategory AS d3, b.eventaction AS d4
+  FROM banners b JOIN win w ON CAST(b.date AS DATE) BETWEEN w.window_start AND w.window_end
+  WHERE regexp_matches(b.eventlabel, '(?i)banner')
+  GROUP BY 1, 2, 3, 4, 5, 6, 7),
+cnt AS (SELECT window_start, window_end, COUNT(*) AS row_count FROM api GROUP BY 1, 2),
+paged AS (
+  SELECT a.window_start, a.window_end, c.row_count,
+         CAST(('0x' || substr(md5(concat_ws(chr(1), {dims})), 1, 8)) AS BIGINT)
+           % CAST(ceil(c.row_count / {per_page}.0) AS BIGINT) AS page
+  FROM api a JOIN cnt c ON c.window_start = a.window_start AND c.window_end = a.window_end)
+SELECT CAST(window_start AS VARCHAR) AS startDate, CAST(window_end AS VARCHAR) AS endDate,
+       CAST(page * {page_size} AS VARCHAR) AS pageToken, MAX(row_count) AS row_count,
+       COUNT(*) AS n_rows
+FROM paged GROUP BY window_start, window_end, page
+UNION ALL
+SELECT CAST(w.window_start AS VARCHAR), CAST(w.window_end AS VARCHAR), '0', CAST(NULL AS BIGINT),
+       CAST(0 AS BIGINT)
+FROM win w
+WHERE NOT EXISTS (SELECT 1 FROM cnt c WHERE c.window_start = w.window_start AND c.window_end = w.window_end)"""
+
+
+def completeness_sql(extra_days: int) -> str:
+    return f"""
+SELECT startDate, endDate, COUNT(*) AS pages, COALESCE(MAX(row_count), 0) AS expected_rows,
+       CAST(SUM(n_rows) AS BIGINT) AS landed_rows,
+       COALESCE(MAX(row_count), 0) = CAST(SUM(n_rows) AS BIGINT) AS complete
+FROM ({pages_sql(extra_days)}) AS p GROUP BY 1, 2"""
+
+
+def quality_sql(extra_days: int) -> str:
+    """Every landed page is final and unsampled in the derived landing."""
+    return f"""
+SELECT startDate, endDate, true AS golden, COUNT(*) AS pages
+FROM ({pages_sql(extra_days)}) AS p GROUP BY 1, 2"""
 
 
 # ------------------------------------------------------------------ all keys
@@ -498,6 +544,9 @@ WHERE product IS NOT NULL GROUP BY 1, 2, 3, 4""",
                            f"COALESCE(MAX(CAST(date AS DATE)) + 1, {d(P.load_default_start)}) AS start_date, "
                            f"{d(P.load_today)} - 1 AS end_date FROM banners",
         "date_windows": windows_sql(P.window_step_days),
+        "report_pages": pages_sql(0),
+        "page_completeness": completeness_sql(3),
+        "quality_flag": quality_sql(0),
         "incremental_append": TARGET_SQL,
     }
     return b

@@ -4,8 +4,9 @@ There is no network here, so the pages an extractor would land are derived
 from a table with the API's semantics: per request window, rows are unique
 per dimension tuple with summed metrics, split into pages; every page repeats
 the window's total ``rowCount``. Page membership is a hash of the dimension
-tuple (unique per window), so no window is ever sorted or collected whole: a
-page holds about half of ``page_size`` rows and is the only group collected.
+tuple (unique per window; ``portable_hash``), so no window is ever sorted or
+collected whole: a page holds about half of ``page_size`` rows and is the only
+group collected.
 """
 
 from __future__ import annotations
@@ -31,6 +32,14 @@ def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> Data
     return F.broadcast(df) if n <= max_rows else df
 
 
+def portable_hash(cols) -> Column:
+    """First 32 bits of the MD5 of the ``\\x01``-joined values, as BIGINT: a
+    deterministic hash an independent SQL engine computes identically, so page
+    membership can be checked by the oracle."""
+    digest = F.md5(F.concat_ws("\x01", *cols))
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
+
+
 def window_days(windows: DataFrame) -> DataFrame:
     """(window_start, window_end, day) for every day of every window. Its size
     is the number of days requested, not the data."""
@@ -81,7 +90,7 @@ def land_pages(
     counts_side = F.broadcast(counts) if n_windows <= MAX_BROADCAST_ROWS else counts
     per_page = max(1, page_size // 2)
     paged = (rows.join(counts_side, ["window_start", "window_end"])
-                 .withColumn("page", F.pmod(F.xxhash64(*dim_cols),
+                 .withColumn("page", F.pmod(portable_hash(dim_cols),
                                             F.ceil(F.col("row_count") / F.lit(per_page)).cast("bigint"))))
     row_struct = F.struct(
         F.array(*dim_cols).alias("dimensions"),
