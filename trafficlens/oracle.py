@@ -552,8 +552,20 @@ WHERE product IS NOT NULL GROUP BY 1, 2, 3, 4""",
     return b
 
 
+def publish_sql(bodies: dict[str, str]) -> str:
+    """Every destination with the row count of the report published there."""
+    from trafficlens.plans.registry import DESTINATIONS
+
+    return "\nUNION ALL\n".join(
+        f"SELECT {s_(name)} AS report_name, {s_(book)} AS workbook, {s_(sheet)} AS sheet, "
+        f"{s_(anchor)} AS anchor, COUNT(*) AS rows FROM ({bodies[name]}) AS r"
+        for name, (book, sheet, anchor) in DESTINATIONS.items())
+
+
 def oracle_sql() -> dict[str, str]:
-    return {key: with_fixtures(body) for key, body in _bodies().items()}
+    bodies = _bodies()
+    bodies["publish_registry"] = publish_sql(bodies)
+    return {key: with_fixtures(body) for key, body in bodies.items()}
 
 
 __all__ = ["oracle_sql", "TESTDATA_LOADED_UNTIL"]
