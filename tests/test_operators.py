@@ -21,7 +21,7 @@ def test_date_bound_on_timestamp_is_pushed(spark):
     ev = mart(spark, "/root/testdata/sf0.001").table("raw_events")
     df = flt.from_date(ev, "dateHourMinute", "2024-01-03")
     text = plan_text(df)
-    assert "GreaterThanOrEqual(ts,2024-01-03T00:00)" in text
+    assert "GreaterThanOrEqual(dateHourMinute,2024-01-03T00:00)" in text
 
 
 def test_like_is_pushed_as_string_contains(spark, tmp_path):

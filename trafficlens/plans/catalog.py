@@ -26,7 +26,7 @@ from trafficlens.plans import reports as rp
 from trafficlens.plans.registry import publish_all
 from trafficlens.session import ensure_required_conf, scratch_path
 from trafficlens.sinks import writers
-from trafficlens.sources import landing
+from trafficlens.sources import fixtures, landing
 from trafficlens.sources.mart import Mart
 from trafficlens.sources.report_api import (flatten_report, page_completeness, quality_flag,
                                             read_report_pages)
@@ -50,10 +50,14 @@ _MARTS: dict[tuple[int, str, str], Mart] = {}
 
 
 def mart(spark: SparkSession, sf_dir: str) -> Mart:
+    """The mart over ``sf_dir``: derived from the test tables once per Spark
+    application and written to the shared checkpoint folder in the production
+    layout, so every query scans stored, date-partitioned tables."""
     ensure_required_conf(spark)
     cache_key = (id(spark), spark.sparkContext.applicationId, sf_dir)
     if cache_key not in _MARTS:
-        _MARTS[cache_key] = Mart.from_testdata(spark, sf_dir)
+        derived = fixtures.derive_tables(spark, sf_dir)
+        _MARTS[cache_key] = Mart.written(spark, derived, scratch_path(spark, "mart"))
     return _MARTS[cache_key]
 
 

@@ -15,6 +15,11 @@ from pyspark.sql import DataFrame, SparkSession
 from trafficlens.sources import fixtures
 from trafficlens.sources.schemas import TABLES, check_schema
 
+# Storage layout of the mart: tables with a calendar date are partitioned by it.
+PARTITION_COLUMNS: dict[str, str] = {
+    "sessions": "date", "users_dim": "date", "traffic": "date", "costs": "date", "banners": "date",
+}
+
 
 class Mart:
     def __init__(self, frames: Mapping[str, DataFrame]):
@@ -28,8 +33,23 @@ class Mart:
 
     @classmethod
     def from_testdata(cls, spark: SparkSession, sf_dir: str, names: Iterable[str] = fixtures.LOGICAL) -> "Mart":
+        """The mart derived lazily from the test tables (recomputed by every query)."""
         return cls(fixtures.derive_tables(spark, sf_dir, tuple(names)))
 
+    @classmethod
+    def written(cls, spark: SparkSession, frames: Mapping[str, DataFrame], root: str) -> "Mart":
+        """Write ``frames`` as the production layout under ``root`` (one parquet
+        directory per table, ``date``-partitioned where the table has one) and
+        read them back: later queries scan stored tables, with partition
+        pruning and no lineage back to the derivation."""
+        root = root.rstrip("/")
+        for name, df in frames.items():
+            df = check_schema(df, name)
+            part = PARTITION_COLUMNS.get(name)
+            writer = (df.hint("rebalance", part) if part else df).write.mode("overwrite")
+            (writer.partitionBy(part) if part else writer).parquet(f"{root}/{name}")
+        return cls.from_parquet(spark, root, list(frames))
+
     def table(self, name: str, columns: Iterable[str] | None = None) -> DataFrame:
         """Scan a table projecting only ``columns`` (pruned at the scan)."""
         df = self._frames[name]
