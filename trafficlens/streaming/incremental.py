@@ -110,6 +110,9 @@ def incremental_append(
     # The mark is one value; materialise it so the append does not re-read
     # the table it is writing.
     mark = bounds.select("start_date", "end_date").first()
+    if mark["start_date"] > mark["end_date"]:
+        # Up to date: nothing to request, nothing to write.
+        return typed_report_rows(spark.createDataFrame([], REPORT_PAGE), dimensions, metrics)
     windows = date_windows(spark, mark["start_date"], mark["end_date"], step)
     loaded = typed_report_rows(fetch_pages(windows), dimensions, metrics)
     append(loaded, target, partition_by=("date",))
