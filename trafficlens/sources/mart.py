@@ -9,6 +9,7 @@ generated parquet files.
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,11 +44,16 @@ class Mart:
         read them back: later queries scan stored tables, with partition
         pruning and no lineage back to the derivation."""
         root = root.rstrip("/")
-        for name, df in frames.items():
-            df = check_schema(df, name)
+
+        def write(name: str) -> None:
+            df = check_schema(frames[name], name)
             part = PARTITION_COLUMNS.get(name)
             writer = (df.hint("rebalance", part) if part else df).write.mode("overwrite")
             (writer.partitionBy(part) if part else writer).parquet(f"{root}/{name}")
+
+        # The tables are independent: submit their writes as concurrent jobs.
+        with ThreadPoolExecutor(max_workers=len(frames) or 1) as pool:
+            list(pool.map(write, list(frames)))
         return cls.from_parquet(spark, root, list(frames))
 
     def table(self, name: str, columns: Iterable[str] | None = None) -> DataFrame:
