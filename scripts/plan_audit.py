@@ -1,7 +1,7 @@
 """Audit the physical plans of the reports as they run on a real mart.
 
 Writes the derived test tables once as date-partitioned parquet (a mart like
-production's) under a fresh scratch folder, then for every report prints the
+production's, ``Mart.written``) under a fresh scratch folder, then for every report prints the
 executed adaptive plan's shape: shuffles, joins, pushed filters, read schema,
 Python evaluation. ``--no-broadcast`` plans as if no side fitted the broadcast
 threshold (the 100 TB case).
@@ -23,17 +23,9 @@ from trafficlens.session import build_session, scratch_path  # noqa: E402
 from trafficlens.sources import fixtures  # noqa: E402
 from trafficlens.sources.mart import Mart  # noqa: E402
 
-PARTITIONED = {"sessions": "date", "users_dim": "date", "traffic": "date", "costs": "date", "banners": "date"}
-
-
-def materialize(spark, sf_dir: str) -> str:
-    root = scratch_path(spark, "mart")
-    for name, df in fixtures.derive_tables(spark, sf_dir).items():
-        writer = df.write.mode("overwrite")
-        if name in PARTITIONED:
-            writer = writer.partitionBy(PARTITIONED[name])
-        writer.parquet(f"{root}/{name}")
-    return root
+def materialize(spark, sf_dir: str) -> Mart:
+    """The derived test tables written once in the production layout."""
+    return Mart.written(spark, fixtures.derive_tables(spark, sf_dir), scratch_path(spark, "mart"))
 
 
 def final_plan(plan: str) -> str:
@@ -65,7 +57,7 @@ def main():
     extra = {"spark.sql.autoBroadcastJoinThreshold": "-1"} if "--no-broadcast" in sys.argv else {}
     spark = build_session("local[8]", shuffle_partitions=8, extra_conf=extra)
     spark.sparkContext.setLogLevel("ERROR")
-    mart = Mart.from_parquet(spark, materialize(spark, sf_dir))
+    mart = materialize(spark, sf_dir)
     params = ReportParams.for_testdata()
     out = []
     for key, fn in REPORTS.items():
