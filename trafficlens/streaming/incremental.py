@@ -75,7 +75,7 @@ def date_windows(spark: SparkSession, start, end, step: int = 1) -> DataFrame:
 
 def typed_report_rows(pages: DataFrame, dimensions: Sequence[str], metrics: Sequence[str],
                       integer_metrics: Sequence[str] = INTEGER_METRICS) -> DataFrame:
-    """Connector typing (G:70-86): flatten, strip the ``ga:`` prefix, cast the
+    """Connector typing: flatten, strip the ``ga:`` prefix, cast the
     integer metrics listed by exact name, parse ``yyyymmdd`` dates; the date
     is stored as ISO text, the target table's type."""
     flat = normalize_columns(flatten_report(pages, dimensions, metrics), prefix="ga:")
