@@ -37,3 +37,20 @@ def test_publish_command_writes_every_destination(spark, scratch, capsys):
     assert {r["report_name"] for r in summary} == set(DESTINATIONS)
     for name in DESTINATIONS:
         assert len(glob.glob(local_path(out) + f"/{name}/part-*.csv")) == 1
+
+
+def test_loaded_table_serves_the_banner_report_from_a_mart_root(spark, scratch):
+    """``load`` into ROOT/banners, then the mart reads it with the mart schema
+    (names resolved case-insensitively) and R14 equals R14 over the source."""
+    from trafficlens.plans.reports import report_banners
+    from trafficlens.sources.mart import Mart
+
+    p = ReportParams.for_testdata().with_(load_default_start="2024-01-01", load_today="2024-01-31")
+    m = mart(spark, SF)
+    landing, root = scratch("landing"), scratch("mart-root")
+    write_pages(banner_pages(m, date_windows(spark, "2024-01-01", "2024-01-30", 1), p), landing)
+    run_load(spark, landing, f"{root}/banners", p)
+    loaded = Mart.from_parquet(spark, root, ["banners"])
+    got = sorted(tuple(r) for r in report_banners(loaded, p).collect())
+    want = sorted(tuple(r) for r in report_banners(m, p).collect())
+    assert got == want and len(got) > 0
