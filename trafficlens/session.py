@@ -74,9 +74,9 @@ def ensure_required_conf(spark: SparkSession) -> None:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (tests, a laptop) a private
-    folder is created and registered, so lineage can still be cut with
-    ``checkpoint()`` or a written table.
+    Read from the session; only when it is unset on a local master (tests, a
+    laptop) a private folder is created and registered. On a cluster an unset
+    setting is an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
@@ -85,6 +85,10 @@ def checkpoint_root(spark: SparkSession) -> str:
         current = spark.sparkContext.getCheckpointDir()
         if current:
             return current
+        if not spark.sparkContext.master.startswith("local"):
+            # A machine-local folder is not shared by the executors of a cluster.
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster "
+                               "(e.g. on HDFS or an object store)")
         configured = tempfile.mkdtemp(prefix="trafficlens-ckpt-")
         spark.sparkContext.setCheckpointDir(configured)
         return configured
