@@ -54,3 +54,20 @@ def test_loaded_table_serves_the_banner_report_from_a_mart_root(spark, scratch):
     got = sorted(tuple(r) for r in report_banners(loaded, p).collect())
     want = sorted(tuple(r) for r in report_banners(m, p).collect())
     assert got == want and len(got) > 0
+
+
+def test_fetch_reads_only_the_requested_window_directories(spark, scratch):
+    from trafficlens.__main__ import landed_pages_for
+
+    p = ReportParams.for_testdata()
+    m = mart(spark, SF)
+    landing = scratch("landing")
+    write_pages(banner_pages(m, date_windows(spark, "2024-01-01", "2024-01-30", 1), p), landing)
+    wanted = date_windows(spark, "2024-01-28", "2024-01-30", 1)  # [28, 29], [30, 30]
+    pages = landed_pages_for(spark, landing)(wanted)
+    plan = pages._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    filters = [ln for ln in plan.split("\n") if ln.startswith("PartitionFilters")]
+    assert filters and "IN (2024-01-28,2024-01-30)" in filters[0]
+    # the landing holds one-day windows, so only [30, 30] matches both bounds
+    assert {r.startDate for r in pages.select("startDate").distinct().collect()} == {"2024-01-30"}

@@ -28,12 +28,16 @@ from trafficlens.streaming.incremental import incremental_append
 
 
 def landed_pages_for(spark: SparkSession, landing_dir: str):
-    """``fetch_pages`` over a landing folder: the pages whose request window
-    is one of the windows asked for (a semi-join on the window bounds)."""
+    """``fetch_pages`` over a landing folder laid out by window start: only the
+    requested windows' directories are read (partition pruning on the
+    window starts, a list bounded by the days requested), then the pages are
+    matched to the exact windows (a semi-join on both bounds)."""
     def fetch(windows: DataFrame) -> DataFrame:
         wanted = windows.select(F.col("window_start").cast("string").alias("startDate"),
                                 F.col("window_end").cast("string").alias("endDate"))
-        return read_report_pages(spark, landing_dir).join(wanted, ["startDate", "endDate"], "left_semi")
+        starts = sorted({r.startDate for r in wanted.collect()})
+        pages = read_report_pages(spark, landing_dir).where(F.col("startDate").isin(starts))
+        return pages.join(wanted, ["startDate", "endDate"], "left_semi")
     return fetch
 
 

@@ -173,8 +173,7 @@ def _report_union_windows(spark, sf_dir):
     unions them all."""
     m = mart(spark, sf_dir)
     root = scratch_path(spark, "windows")
-    pages = banner_pages(m, banner_windows(m))
-    pages.write.partitionBy("startDate").mode("overwrite").json(root)
+    landing.write_pages(banner_pages(m, banner_windows(m)), root)
     flat = flatten_report(read_report_pages(spark, root), P.banner_dimensions, P.banner_metrics)
     return cols.normalize_columns(flat, prefix="ga:")
 

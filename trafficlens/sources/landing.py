@@ -126,5 +126,6 @@ def land_pages(
 
 
 def write_pages(pages: DataFrame, path: str) -> None:
-    """Land pages as JSON lines (one page per line)."""
-    pages.write.mode("overwrite").json(path)
+    """Land pages as JSON lines (one page per line), one directory per request
+    window start (``startDate=YYYY-MM-DD/``), the layout the page reader prunes."""
+    pages.write.mode("overwrite").partitionBy("startDate").json(path)

@@ -1,9 +1,10 @@
 """Report-API pages.
 
 The extractor lands each API response page as one JSON record (request
-window, page token, response body). Reading is a plain schema'd JSON scan,
-so pages are input splits and all windows are read as one union; nothing is
-requested serially from the driver. Column names come from the requested
+window, page token, response body), one directory per request window start.
+Reading is a plain schema'd JSON scan, so pages are input splits and all
+windows are read as one union; a filter on the window start prunes
+directories; nothing is requested serially from the driver. Column names come from the requested
 dimensions and metrics (known when the request is built), never from data.
 """
 
@@ -17,16 +18,24 @@ from pyspark.sql import functions as F
 from trafficlens.sources.schemas import REPORT_PAGE
 
 
-def read_report_pages(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """Every landed page under ``path`` (recursively), one row per page.
+def read_report_pages(spark: SparkSession, path: str, multi_line: bool = False,
+                      layout: str = "windows") -> DataFrame:
+    """Every landed page under ``path``, one row per page.
 
-    ``multi_line``: each file is one pretty-printed response instead of JSON
-    lines.
+    ``layout="windows"`` (default): pages land in one directory per request
+    window start (``startDate=YYYY-MM-DD/``, or flat); ``startDate`` is a
+    partition column, so a filter on it reads only those windows' files.
+    ``layout="any"``: arbitrary nesting, every file found recursively.
+    ``multi_line``: each file is one pretty-printed response instead of JSON lines.
     """
-    return (spark.read.schema(REPORT_PAGE)
-            .option("recursiveFileLookup", "true")
-            .option("multiLine", multi_line)
-            .json(path))
+    reader = spark.read.schema(REPORT_PAGE).option("multiLine", multi_line)
+    if layout == "windows":
+        reader = reader.option("basePath", path)
+    elif layout == "any":
+        reader = reader.option("recursiveFileLookup", "true")
+    else:
+        raise ValueError(f"unknown layout {layout!r}")
+    return reader.json(path)
 
 
 def flatten_report(pages: DataFrame, dimensions: Sequence[str], metrics: Sequence[str]) -> DataFrame:
