@@ -38,3 +38,15 @@ def test_publish_all_covers_every_destination(spark, scratch):
     got = {r.report_name: r.rows for r in summary.collect()}
     assert set(got) == set(DESTINATIONS)
     assert all(v >= 0 for v in got.values())
+
+
+def test_reports_over_the_shared_event_table_equal_the_full_table(spark):
+    from trafficlens.plans.registry import shared_event_table
+
+    m = mart(spark, SF)
+    shared = shared_event_table(m, P)
+    assert shared.table("raw_events").count() < m.table("raw_events").count()
+    for name, fn in rp.REPORTS.items():
+        got = sorted(map(tuple, fn(shared, P).collect()), key=repr)
+        want = sorted(map(tuple, fn(m, P).collect()), key=repr)
+        assert got == want, name

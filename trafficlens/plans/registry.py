@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from trafficlens.params import ReportParams
 from trafficlens.plans import reports as rp
+from trafficlens.session import scratch_path
 from trafficlens.sinks.writers import read_matrix, write_matrix
 from trafficlens.sources.mart import Mart
 
@@ -50,10 +51,25 @@ def publish(report_name: str, df: DataFrame, root: str) -> str:
     return path
 
 
-def publish_all(mart: Mart, params: ReportParams, root: str) -> DataFrame:
+def shared_event_table(mart: Mart, params: ReportParams) -> Mart:
+    """The mart with ``raw_events`` replaced by the rows any report reads
+    (``report_events``), written once as a table in the shared checkpoint
+    folder: the reports scan that instead of the whole event table, and the
+    written table cuts the lineage (a lost executor re-reads, not re-scans)."""
+    subset = rp.report_events(mart, params)
+    spark = subset.sparkSession
+    path = scratch_path(spark, "report-events")
+    subset.write.mode("overwrite").parquet(path)
+    return mart.with_table("raw_events", spark.read.schema(subset.schema).parquet(path))
+
+
+def publish_all(mart: Mart, params: ReportParams, root: str, share_events: bool = True) -> DataFrame:
     """Compute and publish every report with a destination; returns
     ``(report_name, workbook, sheet, anchor, rows)`` read back from the
-    published files."""
+    published files. ``share_events``: scan the event table once for all
+    reports (``shared_event_table``)."""
+    if share_events:
+        mart = shared_event_table(mart, params)
     spark = None
     summaries = []
     for name, (book, sheet, anchor) in DESTINATIONS.items():

@@ -381,6 +381,21 @@ def report_vas_by_city(mart: Mart, p: ReportParams) -> DataFrame:
         sum_as_bigint("totalEvents").alias("tot"), sum_as_bigint("uniqueEvents").alias("un"))
 
 
+def report_events(mart: Mart, p: ReportParams) -> DataFrame:
+    """The events any report reads: a label any report asks for, from the
+    earliest bound any report uses. Every report's own event filter selects a
+    subset of these rows, so the reports give the same results over this
+    table as over the whole ``raw_events`` -- the publish run scans the event
+    table once instead of once per report."""
+    ts_bounds = [p.vas_from_ts, p.lead_from_ts, p.registration_from_ts, p.deal_from_ts]
+    date_bounds = [p.start_date, p.vas_city_from]
+    earliest = min([b.replace("T", " ") for b in ts_bounds] + [d[:10] + " 00:00:00" for d in date_bounds])
+    patterns = [p.phone_click_labels, p.call_labels, p.mortgage_labels, p.claim_labels, p.registration_labels,
+                p.deal_click_label, p.guarantee_click_label, p.vas_city_labels]
+    ev = flt.from_ts(mart.table("raw_events"), "dateHourMinute", earliest)
+    return ev.where(_any_match("eventlabel", patterns) | F.col("eventlabel").isin(list(p.vas_labels)))
+
+
 # The reference's row order per report (ORDER BY / pandas group order).
 # report_deal_combined is ordered by position inside the plan itself.
 REPORT_ORDER: dict[str, tuple[str, ...]] = {
