@@ -12,5 +12,9 @@ Layout:
 
 from trafficlens.params import ReportParams
 from trafficlens.session import build_session, checkpoint_root
+from trafficlens.sources.mart import Mart
+from trafficlens.plans.reports import REPORTS, REPORT_ORDER, ordered
+from trafficlens.plans.registry import DESTINATIONS, publish, publish_all
 
-__all__ = ["ReportParams", "build_session", "checkpoint_root"]
+__all__ = ["ReportParams", "build_session", "checkpoint_root", "Mart", "REPORTS", "REPORT_ORDER", "ordered",
+           "DESTINATIONS", "publish", "publish_all"]
