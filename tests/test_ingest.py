@@ -116,7 +116,8 @@ def test_append_is_idempotent_per_date(spark, scratch):
 
 
 def test_incremental_append_moves_the_mark(spark, scratch):
-    from trafficlens.plans.catalog import _target_schema, banner_pages, mart
+    from trafficlens.plans.catalog import banner_pages, mart
+    from trafficlens.sources.schemas import LOADED_BANNERS
 
     m = mart(spark, "/root/testdata/sf0.001")
     target = scratch("inc")
@@ -126,14 +127,14 @@ def test_incremental_append_moves_the_mark(spark, scratch):
         calls.append([(w.window_start, w.window_end) for w in windows.collect()])
         return banner_pages(m, windows)
 
-    kw = dict(dimensions=DIMS, metrics=METS, default_start="2024-01-01", step=1, target_schema=_target_schema())
+    kw = dict(dimensions=DIMS, metrics=METS, default_start="2024-01-01", step=1, target_schema=LOADED_BANNERS)
     inc.incremental_append(spark, target, fetch, today="2024-01-10", **kw)
-    n1 = spark.read.schema(_target_schema()).parquet(target).count()
+    n1 = spark.read.schema(LOADED_BANNERS).parquet(target).count()
     inc.incremental_append(spark, target, fetch, today="2024-01-10", **kw)  # mark moved: nothing to load
-    assert spark.read.schema(_target_schema()).parquet(target).count() == n1
+    assert spark.read.schema(LOADED_BANNERS).parquet(target).count() == n1
     assert len(calls) == 1  # up to date: no request at all
     assert calls[0][0] == (dt.date(2024, 1, 1), dt.date(2024, 1, 2))
-    dates = {r.date for r in spark.read.schema(_target_schema()).parquet(target).select("date").collect()}
+    dates = {r.date for r in spark.read.schema(LOADED_BANNERS).parquet(target).select("date").collect()}
     assert max(dates) <= "2024-01-09"
 
 
@@ -158,7 +159,8 @@ def test_banner_report_over_loaded_table_equals_source(spark, scratch):
     """R14 over the incrementally loaded API rows equals R14 over the source
     table: the API sums per dimension tuple and the report's sums compose."""
     from trafficlens.params import ReportParams
-    from trafficlens.plans.catalog import _target_schema, banner_pages, mart
+    from trafficlens.plans.catalog import banner_pages, mart
+    from trafficlens.sources.schemas import LOADED_BANNERS
     from trafficlens.plans.reports import report_banners
 
     m = mart(spark, "/root/testdata/sf0.001")
@@ -166,8 +168,8 @@ def test_banner_report_over_loaded_table_equals_source(spark, scratch):
     target = scratch("loaded-banners")
     inc.incremental_append(spark, target, lambda w: banner_pages(m, w), DIMS, METS,
                            default_start=p.load_default_start, today=p.load_today, step=1,
-                           target_schema=_target_schema())
-    loaded = m.with_table("banners", spark.read.schema(_target_schema()).parquet(target))
+                           target_schema=LOADED_BANNERS)
+    loaded = m.with_table("banners", spark.read.schema(LOADED_BANNERS).parquet(target))
     got = sorted(tuple(r) for r in report_banners(loaded, p).collect())
     want = sorted(tuple(r) for r in report_banners(m, p).collect())
     assert got == want and len(got) > 0

@@ -198,11 +198,7 @@ def _append_banners(spark, sf_dir):
     rows = inc.typed_report_rows(banner_pages(m, banner_windows(m)), P.banner_dimensions, P.banner_metrics)
     writers.append(rows, target)
     writers.append(rows, target)
-    return spark.read.schema(_target_schema()).parquet(target)
-
-
-def _target_schema():
-    return LOADED_BANNERS
+    return spark.read.schema(LOADED_BANNERS).parquet(target)
 
 
 @query("replace_temp_view")
@@ -645,12 +641,12 @@ def _incremental_append(spark, sf_dir):
         return banner_pages(m, windows)
 
     common = dict(dimensions=P.banner_dimensions, metrics=P.banner_metrics, step=P.window_step_days,
-                  target_schema=_target_schema())
+                  target_schema=LOADED_BANNERS)
     inc.incremental_append(spark, target, fetch, default_start=P.load_default_start,
                            today=TESTDATA_LOADED_UNTIL, **common)
     inc.incremental_append(spark, target, fetch, default_start=P.load_default_start,
                            today=P.load_today, **common)
-    return spark.read.schema(_target_schema()).parquet(target)
+    return spark.read.schema(LOADED_BANNERS).parquet(target)
 
 
 def queries() -> dict[str, Query]:
