@@ -25,9 +25,11 @@ def test_load_reads_only_the_windows_after_the_mark(spark, scratch):
     pages = banner_pages(m, windows, p)
     write_pages(pages, landing)
     expected = typed_report_rows(pages, p.banner_dimensions, p.banner_metrics).count()
-    assert run_load(spark, landing, target, p) == expected
+    first = run_load(spark, landing, target, p)
+    assert first["loaded_rows"] == expected
+    assert first["windows"] == 29 and first["not_golden"] == [] and first["incomplete"] == []
     assert spark.read.schema(LOADED_BANNERS).parquet(target).count() == expected
-    assert run_load(spark, landing, target, p) == 0  # the mark moved past every landed window
+    assert run_load(spark, landing, target, p)["loaded_rows"] == 0  # the mark moved past every window
 
 
 def test_publish_command_writes_every_destination(spark, scratch, capsys):
@@ -71,3 +73,23 @@ def test_fetch_reads_only_the_requested_window_directories(spark, scratch):
     assert filters and "IN (2024-01-28,2024-01-30)" in filters[0]
     # the landing holds one-day windows, so only [30, 30] matches both bounds
     assert {r.startDate for r in pages.select("startDate").distinct().collect()} == {"2024-01-30"}
+
+
+def test_incomplete_window_stops_a_strict_load(spark, scratch):
+    """A window whose landed rows fall short of its rowCount (one page lost)
+    is reported, and a strict load stops before writing anything."""
+    import pytest
+
+    from trafficlens.__main__ import IncompleteLoad
+
+    p = ReportParams.for_testdata().with_(load_default_start="2024-01-01", load_today="2024-01-31",
+                                         page_size=20)  # several pages per window
+    m = mart(spark, SF)
+    landing, target = scratch("landing"), scratch("target")
+    pages = banner_pages(m, date_windows(spark, "2024-01-01", "2024-01-30", 1), p)
+    write_pages(pages.where("NOT (startDate = '2024-01-05' AND pageToken = '20')"), landing)
+    report = run_load(spark, landing, scratch("lenient"), p)
+    assert any(w.startswith("2024-01-05..2024-01-05") for w in report["incomplete"])
+    with pytest.raises(IncompleteLoad):
+        run_load(spark, landing, target, p, require_complete=True)
+    assert not glob.glob(local_path(target) + "/date=*")

@@ -22,7 +22,7 @@ from trafficlens.params import ReportParams
 from trafficlens.plans.registry import publish_all
 from trafficlens.session import build_session
 from trafficlens.sources.mart import Mart
-from trafficlens.sources.report_api import read_report_pages
+from trafficlens.sources.report_api import page_completeness, quality_flag, read_report_pages
 from trafficlens.sources.schemas import LOADED_BANNERS
 from trafficlens.streaming.incremental import incremental_append
 
@@ -41,12 +41,40 @@ def landed_pages_for(spark: SparkSession, landing_dir: str):
     return fetch
 
 
-def run_load(spark: SparkSession, landing: str, target: str, params: ReportParams) -> int:
+class IncompleteLoad(RuntimeError):
+    pass
+
+
+def window_checks(pages: DataFrame) -> dict:
+    """Per-window quality (S11) and completeness (S10) of the fetched pages,
+    summarised on the driver (one row per window)."""
+    golden = {(r.startDate, r.endDate): r.golden for r in quality_flag(pages).collect()}
+    complete = page_completeness(pages).collect()
+    return {
+        "windows": len(complete),
+        "not_golden": sorted(f"{a}..{b}" for (a, b), g in golden.items() if not g),
+        "incomplete": sorted(f"{r.startDate}..{r.endDate} ({r.landed_rows}/{r.expected_rows})"
+                             for r in complete if not r.complete),
+    }
+
+
+def run_load(spark: SparkSession, landing: str, target: str, params: ReportParams,
+             require_complete: bool = False) -> dict:
+    """Load the windows after the mark; report the windows' quality and
+    completeness (the reference's "golden data" / "warning" check). With
+    ``require_complete`` an incomplete window stops the load before any write."""
+    checks: dict = {"windows": 0, "not_golden": [], "incomplete": []}
+
+    def inspect(pages: DataFrame) -> None:
+        checks.update(window_checks(pages))
+        if require_complete and checks["incomplete"]:
+            raise IncompleteLoad(f"incomplete windows: {checks['incomplete']}")
+
     loaded = incremental_append(spark, target, landed_pages_for(spark, landing), params.banner_dimensions,
                                 params.banner_metrics, default_start=params.load_default_start,
                                 today=params.load_today, step=params.window_step_days,
-                                target_schema=LOADED_BANNERS)
-    return loaded.count()
+                                target_schema=LOADED_BANNERS, inspect=inspect)
+    return {"loaded_rows": loaded.count(), **checks}
 
 
 def run_publish(spark: SparkSession, mart: Mart, out: str, params: ReportParams) -> list[dict]:
@@ -62,6 +90,8 @@ def main(argv: list[str] | None = None) -> None:
     load.add_argument("--today", default=dt.date.today().isoformat())
     load.add_argument("--default-start", default=None)
     load.add_argument("--step", type=int, default=1)
+    load.add_argument("--require-complete", action="store_true",
+                      help="stop before writing if a window has fewer landed rows than announced")
     pub = sub.add_parser("publish", help="compute and publish every report")
     pub.add_argument("--mart", help="root with one parquet directory per table")
     pub.add_argument("--testdata", help="derive the mart from a test-data directory instead")
@@ -77,7 +107,7 @@ def main(argv: list[str] | None = None) -> None:
         params = ReportParams(load_today=args.today, window_step_days=args.step)
         if args.default_start:
             params = params.with_(load_default_start=args.default_start)
-        print(json.dumps({"loaded_rows": run_load(spark, args.landing, args.target, params)}))
+        print(json.dumps(run_load(spark, args.landing, args.target, params, args.require_complete)))
     else:
         params = ReportParams.for_testdata() if args.calendar == "testdata" else ReportParams()
         if bool(args.mart) == bool(args.testdata):

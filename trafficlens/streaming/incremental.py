@@ -95,13 +95,16 @@ def incremental_append(
     today,
     step: int = 1,
     target_schema=None,
+    inspect: Callable[[DataFrame], None] | None = None,
 ) -> DataFrame:
     """Load every window after the target's high-water mark and append it.
 
     ``fetch_pages(windows)`` returns the landed pages of those windows (a
-    schema'd JSON scan of the landing area in production). The append rewrites
-    only the loaded dates' partitions, so re-running a load is a no-op and a
-    failed run can simply be retried. Returns the loaded rows.
+    schema'd JSON scan of the landing area in production). ``inspect(pages)``,
+    if given, sees the pages before anything is written (quality and
+    completeness checks; raising stops the load). The append rewrites only the
+    loaded dates' partitions, so re-running a load is a no-op and a failed run
+    can simply be retried. Returns the loaded rows.
     """
     current = _read_target(spark, target, target_schema)
     bounds = high_water_mark(current, default_start, today) if current is not None else \
@@ -114,7 +117,10 @@ def incremental_append(
         # Up to date: nothing to request, nothing to write.
         return typed_report_rows(spark.createDataFrame([], REPORT_PAGE), dimensions, metrics)
     windows = date_windows(spark, mark["start_date"], mark["end_date"], step)
-    loaded = typed_report_rows(fetch_pages(windows), dimensions, metrics)
+    pages = fetch_pages(windows)
+    if inspect is not None:
+        inspect(pages)
+    loaded = typed_report_rows(pages, dimensions, metrics)
     append(loaded, target, partition_by=("date",))
     return loaded
 
