@@ -199,3 +199,20 @@ def test_multi_page_windows_match_the_oracle(spark, scratch):
     want = cur.fetchall()
     assert len(got) == len(want)
     assert digest(pages.columns, got) == digest([c[0] for c in cur.description], want)
+
+
+def test_landing_without_broadcast_gives_the_same_pages(spark, monkeypatch):
+    """Above the size limit the day / window-count sides are joined without a
+    broadcast hint; the pages are the same."""
+    from trafficlens.params import ReportParams
+    from trafficlens.plans.catalog import _page_summary, banner_pages, banner_windows, mart
+    from trafficlens.sources import landing
+
+    p = ReportParams.for_testdata().with_(page_size=20)
+    m = mart(spark, "/root/testdata/sf0.001")
+    hinted = sorted(map(tuple, _page_summary(banner_pages(m, banner_windows(m, p=p), p)).collect()))
+    monkeypatch.setattr(landing, "MAX_BROADCAST_ROWS", 1)
+    plain_pages = banner_pages(m, banner_windows(m, p=p), p)
+    assert "broadcast" not in plain_pages._jdf.queryExecution().logical().toString().lower()
+    plain = sorted(map(tuple, _page_summary(plain_pages).collect()))
+    assert plain == hinted and len(plain) > 0

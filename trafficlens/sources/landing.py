@@ -25,9 +25,11 @@ from trafficlens.sources.schemas import REPORT_PAGE, REPORT_ROWS
 MAX_BROADCAST_ROWS = 200_000
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` when ``df`` has at most ``max_rows`` rows (counted
-    with a bounded ``limit``), else ``df`` unchanged."""
+def bounded_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
+    """``broadcast(df)`` when ``df`` has at most ``max_rows`` rows (default
+    ``MAX_BROADCAST_ROWS``; counted with a bounded ``limit``), else ``df``
+    unchanged."""
+    max_rows = MAX_BROADCAST_ROWS if max_rows is None else max_rows
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
 
