@@ -132,3 +132,20 @@ def test_pivot_row_sum_counts_member_weeks(spark):
     total = pivot.select(sum(F.col(c) for c in age_cols).alias("n")).agg(F.sum("n")).first()[0]
     pairs = ret.cohort_members(t, week52_year=1995).count()
     assert total == pairs
+
+
+def test_bounds_on_timestamp_with_time_zone_columns(spark):
+    """On a TIMESTAMP (with time zone) column the bound is read as UTC, like
+    the warehouse literals ('... UTC'), whatever the session zone."""
+    df = spark.sql("SELECT * FROM VALUES (TIMESTAMP '2024-01-03 16:25:59 UTC'), (TIMESTAMP '2024-01-03 16:26:00 UTC'),"
+                   " (TIMESTAMP '2024-01-04 00:00:00 UTC') AS t(ts)")
+    assert dict(df.dtypes)["ts"] == "timestamp"
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("UTC", "Asia/Tokyo"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            assert flt.from_ts(df, "ts", "2024-01-03 16:26:00").count() == 2
+            assert flt.from_ts(df, "ts", "2024-01-03 16:26:00 UTC").count() == 2
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert flt.from_date(df, "ts", "2024-01-04").count() == 1

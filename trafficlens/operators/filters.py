@@ -25,8 +25,16 @@ def _type_of(df: DataFrame, name: str) -> T.DataType:
     raise KeyError(name)
 
 
+def normalize_ts(value: str) -> str:
+    """``'yyyy-mm-dd[Thh:mm:ss][ UTC]'`` -> ``'yyyy-mm-dd hh:mm:ss'`` (UTC wall clock)."""
+    text = value.strip().removesuffix(" UTC").removesuffix("Z")
+    if len(text) > 10 and text[10] == "T":
+        text = text[:10] + " " + text[11:]
+    return text if len(text) > 10 else text + " 00:00:00"
+
+
 def _ts_literal(value: str, dtype: T.DataType) -> Column:
-    text = value.replace("T", " ").removesuffix(" UTC")
+    text = normalize_ts(value)
     if isinstance(dtype, T.TimestampType):
         return F.lit(text + " UTC").cast("timestamp")
     return F.lit(text).cast("timestamp_ntz")

@@ -389,7 +389,7 @@ def report_events(mart: Mart, p: ReportParams) -> DataFrame:
     table once instead of once per report."""
     ts_bounds = [p.vas_from_ts, p.lead_from_ts, p.registration_from_ts, p.deal_from_ts]
     date_bounds = [p.start_date, p.vas_city_from]
-    earliest = min([b.replace("T", " ") for b in ts_bounds] + [d[:10] + " 00:00:00" for d in date_bounds])
+    earliest = min([flt.normalize_ts(b) for b in ts_bounds] + [flt.normalize_ts(d[:10]) for d in date_bounds])
     patterns = [p.phone_click_labels, p.call_labels, p.mortgage_labels, p.claim_labels, p.registration_labels,
                 p.deal_click_label, p.guarantee_click_label, p.vas_city_labels]
     ev = flt.from_ts(mart.table("raw_events"), "dateHourMinute", earliest)
