@@ -54,3 +54,36 @@ def test_filter_expression_rejects_or_clauses():
     assert parse_filter_expression("ga:pagepath=~/x") == [("pagepath", "/x")]
     with pytest.raises(ValueError):
         parse_filter_expression("ga:pagepath=~/x,ga:eventLabel=~y")
+
+
+def test_purify_calls_parses_text_dates(spark):
+    from trafficlens.operators.cleanup import purify_calls
+
+    df = spark.createDataFrame([("2022-01-01", "second_x", "3", "1")],
+                               "date string, utm_campaign string, totalEvents string, uniqueEvents string")
+    row = purify_calls(df).first()
+    assert (row.date, row.week, row.totalEvents, row.uniqueEvents) == (dt.date(2022, 1, 1), 52, 3, 1)
+
+
+def test_sampled_landing_is_flagged(spark):
+    from trafficlens.params import ReportParams
+    from trafficlens.plans.catalog import banner_pages, banner_windows, mart
+    from trafficlens.sources.report_api import quality_flag
+
+    p = ReportParams.for_testdata()
+    m = mart(spark, "/root/testdata/sf0.001")
+    pages = banner_pages(m, banner_windows(m), p, sampled=True)
+    assert {r.golden for r in quality_flag(pages).collect()} == {False}
+
+
+def test_approximate_distinct_is_opt_in(spark):
+    from trafficlens.params import ReportParams
+    from trafficlens.plans.catalog import mart
+    from trafficlens.plans.reports import report_monthly_users
+
+    m = mart(spark, "/root/testdata/sf0.01")
+    p = ReportParams.for_testdata()
+    exact = {r.month: r.uniqs for r in report_monthly_users(m, p).collect()}
+    approx = {r.month: r.uniqs for r in report_monthly_users(m, p.with_(approx_distinct=True)).collect()}
+    assert exact.keys() == approx.keys()
+    assert all(abs(approx[k] - exact[k]) <= 0.1 * exact[k] for k in exact)
