@@ -87,3 +87,19 @@ def test_approximate_distinct_is_opt_in(spark):
     approx = {r.month: r.uniqs for r in report_monthly_users(m, p.with_(approx_distinct=True)).collect()}
     assert exact.keys() == approx.keys()
     assert all(abs(approx[k] - exact[k]) <= 0.1 * exact[k] for k in exact)
+
+
+def test_empty_banner_table_gives_no_windows_pages_or_rows(spark, scratch):
+    from trafficlens.params import ReportParams
+    from trafficlens.plans.catalog import banner_pages, banner_windows
+    from trafficlens.plans.reports import report_banners
+    from trafficlens.sources.schemas import BANNERS
+
+    empty = Mart.written(spark, {"banners": spark.createDataFrame([], BANNERS)}, scratch("empty-mart"))
+    p = ReportParams.for_testdata()
+    windows = banner_windows(empty, p=p)
+    assert windows.count() == 0
+    assert banner_pages(empty, windows, p).count() == 0
+    assert report_banners(empty, p).count() == 0
+    mark = inc.high_water_mark(empty.table("banners"), "2024-01-01", "2024-01-31").first()
+    assert mark.start_date == dt.date(2024, 1, 1)
