@@ -103,3 +103,16 @@ def test_empty_banner_table_gives_no_windows_pages_or_rows(spark, scratch):
     assert report_banners(empty, p).count() == 0
     mark = inc.high_water_mark(empty.table("banners"), "2024-01-01", "2024-01-31").first()
     assert mark.start_date == dt.date(2024, 1, 1)
+
+
+def test_reports_run_with_the_reference_calendar(spark):
+    """The production defaults (2022 bounds) also plan and run over the test
+    mart; reports whose bounds miss its calendar are simply empty."""
+    from trafficlens.params import ReportParams
+    from trafficlens.plans.catalog import mart
+    from trafficlens.plans.reports import REPORTS
+
+    m = mart(spark, "/root/testdata/sf0.001")
+    counts = {name: fn(m, ReportParams()).count() for name, fn in REPORTS.items()}
+    assert counts["report_phone_clicks"] > 0 and counts["report_banners"] > 0
+    assert counts["report_weekly_cost"] == 0  # costs are 1996
