@@ -93,3 +93,18 @@ def test_incomplete_window_stops_a_strict_load(spark, scratch):
     with pytest.raises(IncompleteLoad):
         run_load(spark, landing, target, p, require_complete=True)
     assert not glob.glob(local_path(target) + "/date=*")
+
+
+def test_stream_load_command_writes_each_landed_page_once(spark, scratch, capsys):
+    p = ReportParams.for_testdata()
+    m = mart(spark, SF)
+    landing, target, ckpt = scratch("landing"), scratch("stream-target"), scratch("stream-ckpt")
+    pages = banner_pages(m, date_windows(spark, "2024-01-01", "2024-01-30", 1), p)
+    write_pages(pages, landing)
+    expected = typed_report_rows(pages, p.banner_dimensions, p.banner_metrics).count()
+    args = ["load", "--stream", "--landing", landing, "--target", target, "--checkpoint-location", ckpt]
+    main(args)
+    main(args)  # nothing new landed: no second copy
+    out = [json.loads(x) for x in capsys.readouterr().out.strip().splitlines()[-2:]]
+    assert out[1]["loaded_rows"] == 0
+    assert spark.read.parquet(target).count() == expected

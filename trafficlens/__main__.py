@@ -24,7 +24,7 @@ from trafficlens.session import build_session
 from trafficlens.sources.mart import Mart
 from trafficlens.sources.report_api import page_completeness, quality_flag, read_report_pages
 from trafficlens.sources.schemas import LOADED_BANNERS
-from trafficlens.streaming.incremental import incremental_append
+from trafficlens.streaming.incremental import incremental_append, stream_landed_pages
 
 
 def landed_pages_for(spark: SparkSession, landing_dir: str):
@@ -77,6 +77,18 @@ def run_load(spark: SparkSession, landing: str, target: str, params: ReportParam
     return {"loaded_rows": loaded.count(), **checks}
 
 
+def run_stream_load(spark: SparkSession, landing: str, target: str, checkpoint: str,
+                    params: ReportParams) -> dict:
+    """Streaming form of the load: every landed page file not yet processed is
+    flattened and written once (the file sink's commit log); stops when the
+    backlog is done."""
+    query = stream_landed_pages(spark, landing, target, checkpoint, params.banner_dimensions,
+                                params.banner_metrics)
+    query.awaitTermination()
+    progress = query.recentProgress
+    return {"batches": len(progress), "loaded_rows": sum(int(p["numInputRows"]) for p in progress)}
+
+
 def run_publish(spark: SparkSession, mart: Mart, out: str, params: ReportParams) -> list[dict]:
     return [r.asDict() for r in publish_all(mart, params, out).collect()]
 
@@ -92,6 +104,10 @@ def main(argv: list[str] | None = None) -> None:
     load.add_argument("--step", type=int, default=1)
     load.add_argument("--require-complete", action="store_true",
                       help="stop before writing if a window has fewer landed rows than announced")
+    load.add_argument("--stream", action="store_true",
+                      help="streaming form: every new landed file once (file-stream source, availableNow)")
+    load.add_argument("--checkpoint-location", default=None,
+                      help="stream progress folder (shared storage); required with --stream")
     pub = sub.add_parser("publish", help="compute and publish every report")
     pub.add_argument("--mart", help="root with one parquet directory per table")
     pub.add_argument("--testdata", help="derive the mart from a test-data directory instead")
@@ -107,7 +123,12 @@ def main(argv: list[str] | None = None) -> None:
         params = ReportParams(load_today=args.today, window_step_days=args.step)
         if args.default_start:
             params = params.with_(load_default_start=args.default_start)
-        print(json.dumps(run_load(spark, args.landing, args.target, params, args.require_complete)))
+        if args.stream:
+            if not args.checkpoint_location:
+                ap.error("--stream needs --checkpoint-location")
+            print(json.dumps(run_stream_load(spark, args.landing, args.target, args.checkpoint_location, params)))
+        else:
+            print(json.dumps(run_load(spark, args.landing, args.target, params, args.require_complete)))
     else:
         params = ReportParams.for_testdata() if args.calendar == "testdata" else ReportParams()
         if bool(args.mart) == bool(args.testdata):
