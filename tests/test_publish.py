@@ -50,3 +50,13 @@ def test_reports_over_the_shared_event_table_equal_the_full_table(spark):
         got = sorted(map(tuple, fn(shared, P).collect()), key=repr)
         want = sorted(map(tuple, fn(m, P).collect()), key=repr)
         assert got == want, name
+
+
+def test_banner_reports_of_two_marts_built_concurrently(spark):
+    from concurrent.futures import ThreadPoolExecutor
+
+    small, big = mart(spark, "/root/testdata/sf0.001"), mart(spark, SF)
+    want = [sorted(map(tuple, rp.report_banners(m, P).collect())) for m in (small, big)]
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        got = list(pool.map(lambda m: sorted(map(tuple, rp.report_banners(m, P).collect())), [small, big] * 2))
+    assert got == want * 2

@@ -18,6 +18,7 @@ doubles its event sums in R2 and R4-R7.
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -349,23 +350,29 @@ def report_retention(mart: Mart, p: ReportParams) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- R14
-def report_banners(mart: Mart, p: ReportParams, view_name: str = "trafficlens_banners") -> DataFrame:
+def report_banners(mart: Mart, p: ReportParams, view_name: str | None = None) -> DataFrame:
     """Banner events by week, product, action and location.
 
     Tagging as U7, then the reference's second-stage SQL over a replaced temp
-    view (K2), nulls filled with 0 / '0', rows without a week skipped.
+    view (K2), nulls filled with 0 / '0', rows without a week skipped. The view
+    name is unique per call (two marts in one session never share it) and the
+    view is dropped once the query is analysed.
     Columns: isoweek, product, action_type, card_serp, bnrs, un_users.
     """
     b = mart.table("banners")
     b = flt.from_date(b, "date", p.banners_from)
     spark = b.sparkSession
+    view_name = view_name or f"trafficlens_banners_{uuid.uuid4().hex}"
     as_view(purify_banners(b), view_name)
-    grouped = spark.sql(f"""
-        SELECT isoweek, product, action_type, card_serp,
-               CAST(SUM(totalevents) AS BIGINT) AS bnrs, CAST(SUM(users) AS BIGINT) AS un_users
-        FROM {view_name}
-        GROUP BY 1, 2, 3, 4
-    """)
+    try:
+        grouped = spark.sql(f"""
+            SELECT isoweek, product, action_type, card_serp,
+                   CAST(SUM(totalevents) AS BIGINT) AS bnrs, CAST(SUM(users) AS BIGINT) AS un_users
+            FROM {view_name}
+            GROUP BY 1, 2, 3, 4
+        """)
+    finally:
+        spark.catalog.dropTempView(view_name)
     kept = flt.not_null(grouped, "isoweek")
     return fill_null_zero(kept)
 
