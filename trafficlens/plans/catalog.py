@@ -7,6 +7,7 @@ matching DuckDB SQL lives in ``trafficlens.oracle`` under the same key.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 from decimal import Decimal
 
@@ -47,6 +48,7 @@ def query(key: str):
 
 
 _MARTS: dict[tuple[int, str, str], Mart] = {}
+_MARTS_LOCK = threading.Lock()
 
 
 def mart(spark: SparkSession, sf_dir: str) -> Mart:
@@ -55,10 +57,11 @@ def mart(spark: SparkSession, sf_dir: str) -> Mart:
     layout, so every query scans stored, date-partitioned tables."""
     ensure_required_conf(spark)
     cache_key = (id(spark), spark.sparkContext.applicationId, sf_dir)
-    if cache_key not in _MARTS:
-        derived = fixtures.derive_tables(spark, sf_dir)
-        _MARTS[cache_key] = Mart.written(spark, derived, scratch_path(spark, "mart"))
-    return _MARTS[cache_key]
+    with _MARTS_LOCK:  # one write per mart, also when queries run from several threads
+        if cache_key not in _MARTS:
+            derived = fixtures.derive_tables(spark, sf_dir)
+            _MARTS[cache_key] = Mart.written(spark, derived, scratch_path(spark, "mart"))
+        return _MARTS[cache_key]
 
 
 def _report(fn) -> Query:
