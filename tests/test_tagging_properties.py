@@ -1,0 +1,51 @@
+"""Tagging columns against the rules as SURVEY §2.9 states them (first match
+wins), on random strings built from the rules' fragments."""
+
+from __future__ import annotations
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from trafficlens.functions import tagging as tag
+
+FRAGMENTS = ["second", "new-building", "(not set)", "serp", "SERP", "card", "Card", "protection",
+             "guarantee", "onlinebuy", "click", "View", "moskva", "sankt-peterburg", "mosk", "lening",
+             "sankt-", "_", "x", ""]
+texts = st.lists(st.sampled_from(FRAGMENTS), min_size=0, max_size=4).map("".join)
+
+
+def first_match(rules, default=None):
+    def apply(s):
+        for test, label in rules:
+            if test(s):
+                return label
+        return default
+    return apply
+
+
+RULES = {
+    "campaign": first_match([(lambda s: "second" in s, tag.CAMPAIGN_SECONDARY),
+                             (lambda s: "new-building" in s, tag.CAMPAIGN_NEW_BUILD),
+                             (lambda s: s == "(not set)", tag.CAMPAIGN_NON_AD)], tag.CAMPAIGN_OTHER),
+    "location": first_match([(lambda s: "serp" in s.lower(), "SERP"), (lambda s: "card" in s.lower(), "CARD")]),
+    "product": first_match([(lambda s: "protection" in s.lower() or "guarantee" in s.lower(), "protection"),
+                            (lambda s: "onlinebuy" in s.lower(), "onlinebuy")]),
+    "action": first_match([(lambda s: "click" in s.lower(), "click"), (lambda s: "view" in s.lower(), "view")]),
+    "geo": first_match([(lambda s: any(g in s for g in tag.GEO_MSK), "MSK"),
+                        (lambda s: any(g in s for g in tag.GEO_SPB), "SPB")]),
+    "city": first_match([(lambda s: "mosk" in s, "MSK"), (lambda s: "sankt-" in s or "lening" in s, "SPB")], "REG"),
+}
+COLUMNS = {
+    "campaign": tag.campaign_type, "location": tag.tag_location, "product": tag.tag_product,
+    "action": tag.tag_action, "geo": tag.tag_geo, "city": lambda c: tag.city_bucket(c, "REG"),
+}
+
+
+@settings(max_examples=15, deadline=None)
+@given(values=st.lists(texts, min_size=1, max_size=40))
+def test_tag_columns_follow_the_stated_rules(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "s string")
+    got = df.select("s", *[fn("s").alias(name) for name, fn in COLUMNS.items()]).collect()
+    for row in got:
+        for name, rule in RULES.items():
+            assert row[name] == rule(row.s), (name, row.s)
