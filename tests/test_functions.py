@@ -98,3 +98,17 @@ def test_column_utilities(spark):
     assert cols.drop_columns(norm, ["c", "d"]).columns == ["a", "b"]
     cast = cols.cast_columns(df.select("d"), {"D": "string"})
     assert dict(cast.dtypes) == {"d": "string"}
+
+
+def test_iso_calendar_matches_the_standard_library(spark):
+    """ISO week / year and the Monday of (week, ISO year) for every day of
+    1994-2030 equal Python's ``isocalendar`` / ``fromisocalendar``."""
+    start = dt.date(1994, 1, 1)
+    n = (dt.date(2030, 12, 31) - start).days + 1
+    days = spark.range(n).select(F.date_add(F.lit(start), F.col("id").cast("int")).alias("d"))
+    got = days.select("d", cal.iso_week("d").alias("w"), cal.iso_year("d").alias("y"),
+                      cal.iso_week_monday(cal.iso_week("d"), cal.iso_year("d")).alias("m")).collect()
+    assert len(got) == n
+    for r in got:
+        y, w, _ = r.d.isocalendar()
+        assert (r.y, r.w, r.m) == (y, w, dt.date.fromisocalendar(y, w, 1))
