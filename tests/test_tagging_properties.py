@@ -49,3 +49,14 @@ def test_tag_columns_follow_the_stated_rules(spark, values):
     for row in got:
         for name, rule in RULES.items():
             assert row[name] == rule(row.s), (name, row.s)
+
+
+@settings(max_examples=15, deadline=None)
+@given(values=st.lists(st.text(alphabet="ab_", max_size=6), min_size=1, max_size=40))
+def test_regex_prefix_is_the_text_before_the_first_separator(spark, values):
+    import re
+
+    df = spark.createDataFrame([(v,) for v in values], "s string")
+    for row in df.select("s", tag.regex_prefix("s").alias("p")).collect():
+        m = re.search(r"(.*?)_.*?", row.s)
+        assert row.p == (m.group(1) if m else None), row.s
