@@ -60,3 +60,24 @@ def test_regex_prefix_is_the_text_before_the_first_separator(spark, values):
     for row in df.select("s", tag.regex_prefix("s").alias("p")).collect():
         m = re.search(r"(.*?)_.*?", row.s)
         assert row.p == (m.group(1) if m else None), row.s
+
+
+@settings(max_examples=10, deadline=None)
+@given(weeks=st.lists(st.sets(st.integers(min_value=1, max_value=12), max_size=8), min_size=2, max_size=4))
+def test_positional_combine_equals_pandas_concat(spark, weeks):
+    """Position mode lines frames up like pandas' ``concat(axis=1)`` of frames
+    sorted by week (the first frame's week kept), including missing weeks."""
+    import pandas as pd
+
+    from trafficlens.operators.joins import combine
+
+    frames, pdfs = [], []
+    for i, ws in enumerate(weeks):
+        rows = [(w, w * 10 + i) for w in sorted(ws)]
+        frames.append(spark.createDataFrame(rows, f"isoweek bigint, v{i} bigint"))
+        pdf = pd.DataFrame(rows, columns=["isoweek", f"v{i}"])
+        pdfs.append(pdf if i == 0 else pdf.drop(columns=["isoweek"]))
+    want = pd.concat(pdfs, axis=1)
+    got = [tuple(r) for r in combine(frames, how="position").collect()]
+    expected = [tuple(None if pd.isna(x) else int(x) for x in row) for row in want.itertuples(index=False)]
+    assert got == expected
