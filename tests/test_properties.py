@@ -1,5 +1,6 @@
-"""Tagging columns against the rules as SURVEY §2.9 states them (first match
-wins), on random strings built from the rules' fragments."""
+"""Property tests: tagging columns against the rules as SURVEY §2.9 states
+them (first match wins), the regex prefix against Python's ``re``, and the
+positional combine against pandas' ``concat``, on random inputs."""
 
 from __future__ import annotations
 
