@@ -1,6 +1,7 @@
 """Property tests: tagging columns against the rules as SURVEY §2.9 states
-them (first match wins), the regex prefix against Python's ``re``, and the
-positional combine against pandas' ``concat``, on random inputs."""
+them (first match wins), the regex prefix against Python's ``re``, the
+positional combine against pandas' ``concat`` and the second-level grouping
+against pandas' ``groupby``, on random inputs."""
 
 from __future__ import annotations
 
@@ -82,3 +83,20 @@ def test_positional_combine_equals_pandas_concat(spark, weeks):
     got = [tuple(r) for r in combine(frames, how="position").collect()]
     expected = [tuple(None if pd.isna(x) else int(x) for x in row) for row in want.itertuples(index=False)]
     assert got == expected
+
+
+@settings(max_examples=10, deadline=None)
+@given(rows=st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.sampled_from([1, 2, None]),
+                               st.integers(min_value=0, max_value=9)), min_size=1, max_size=30))
+def test_second_level_equals_pandas_groupby(spark, rows):
+    """Pandas ``groupby(keys).agg(out=(col, 'sum'))`` drops NULL keys and
+    sorts by the keys."""
+    import pandas as pd
+
+    from trafficlens.operators.aggregates import second_level
+
+    df = spark.createDataFrame(rows, "k1 string, k2 bigint, v bigint")
+    got = [tuple(r) for r in second_level(df, ["k1", "k2"], {"s": "v"}).collect()]
+    pdf = pd.DataFrame(rows, columns=["k1", "k2", "v"]).astype({"k2": "Int64"})
+    want = pdf.groupby(["k1", "k2"]).agg(s=("v", "sum")).reset_index()
+    assert got == [(r.k1, int(r.k2), int(r.s)) for r in want.itertuples(index=False)]
