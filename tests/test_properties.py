@@ -100,3 +100,23 @@ def test_second_level_equals_pandas_groupby(spark, rows):
     pdf = pd.DataFrame(rows, columns=["k1", "k2", "v"]).astype({"k2": "Int64"})
     want = pdf.groupby(["k1", "k2"]).agg(s=("v", "sum")).reset_index()
     assert got == [(r.k1, int(r.k2), int(r.s)) for r in want.itertuples(index=False)]
+
+
+@settings(max_examples=10, deadline=None)
+@given(weeks=st.lists(st.sets(st.integers(min_value=1, max_value=12), max_size=8), min_size=2, max_size=4))
+def test_keyed_combine_equals_an_outer_merge_on_the_week(spark, weeks):
+    from functools import reduce
+
+    import pandas as pd
+
+    from trafficlens.operators.joins import combine
+
+    frames, pdfs = [], []
+    for i, ws in enumerate(weeks):
+        rows = [(w, w * 10 + i) for w in sorted(ws)]
+        frames.append(spark.createDataFrame(rows, f"isoweek bigint, v{i} bigint"))
+        pdfs.append(pd.DataFrame(rows, columns=["isoweek", f"v{i}"]))
+    want = reduce(lambda a, b: a.merge(b, on="isoweek", how="outer"), pdfs)
+    expected = sorted(tuple(None if pd.isna(x) else int(x) for x in row) for row in want.itertuples(index=False))
+    got = sorted(tuple(r) for r in combine(frames, how="key").collect())
+    assert got == expected
