@@ -6,6 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from trafficlens.llm.bpe import round_trip
+from trafficlens.llm.language_id import language_id
+from trafficlens.llm.quality_classifier import quality_scores
 from trafficlens.llm.quality_rules import quality_rules, quality_rules_sql
 from trafficlens.llm.tables import read_table
 
@@ -16,9 +19,31 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(read_table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(read_table(spark, sf_dir, "documents", "doc_id", "text"), tokenizer_path())
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id(read_table(spark, sf_dir, "documents", "doc_id", "text", "lang"))
+
+
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(read_table(spark, sf_dir, "documents", "doc_id", "text"),
+                          read_table(spark, sf_dir, "labels", "doc_id", "quality"))
+
+
+def tokenizer_path() -> str:
+    """The tokenizer file the queries use (read on the driver only)."""
+    import public_tokenizers
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def queries() -> dict[str, Query]:
     return {
         "op2_quality_rules": op2_quality_rules,
+        "op4_bpe": op4_bpe,
+        "op6_language_id": op6_language_id,
+        "op9_quality_classifier": op9_quality_classifier,
     }
 
 
