@@ -29,7 +29,7 @@ BUCKET_BITS = 18
 BUCKETS = 1 << BUCKET_BITS
 FEATURES = 3 * BUCKETS
 _SHIFT = np.uint64(64 - BUCKET_BITS)
-_SAME_WORD = np.uint64(0x5AFE5AFE5AFE5AFE)
+RUNS = (2, 3, 4, 6, 8)  # n-grams of one word repeated: a feature for each n, whatever the word is
 
 
 class Model(NamedTuple):
@@ -42,15 +42,22 @@ class Model(NamedTuple):
 def indicators(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct features of each document: ``(document, feature)`` pairs, sorted.
 
-    A pair of equal neighbouring words is one feature whatever the word is."""
+    One word repeated n times is a feature of its own for each n of ``RUNS``."""
     starts, ends, word_offsets = tx.word_spans(data, offsets)
     words = tx.span_hashes(data, starts, ends)
     doc_of_word = np.repeat(np.arange(len(offsets) - 1), np.diff(word_offsets))
     keys = [(doc_of_word * FEATURES).astype(np.uint64) + (words >> _SHIFT)]
     inner = doc_of_word[1:] == doc_of_word[:-1]
     left, right = words[:-1][inner], words[1:][inner]
-    pairs = np.where(left == right, _SAME_WORD, tx.mix64(left * np.uint64(3) + right))
-    keys.append((doc_of_word[1:][inner] * FEATURES + BUCKETS).astype(np.uint64) + (pairs >> _SHIFT))
+    keys.append((doc_of_word[1:][inner] * FEATURES + BUCKETS).astype(np.uint64)
+                + (tx.mix64(left * np.uint64(3) + right) >> _SHIFT))
+    same = inner & (words[1:] == words[:-1])
+    for k, n in enumerate(RUNS):
+        run = same.copy()
+        for shift in range(1, n - 1):
+            run[:len(run) - shift] &= same[shift:]
+            run[max(len(run) - shift, 0):] = False
+        keys.append((doc_of_word[1:][run] * FEATURES + BUCKETS).astype(np.uint64) + np.uint64(k))
     if len(data) >= 3:
         run = data[:-2].astype(np.uint64) << np.uint64(16) | data[1:-1].astype(np.uint64) << np.uint64(8) | data[2:]
         doc = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
