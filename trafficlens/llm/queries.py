@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from trafficlens.llm.bpe import round_trip
 from trafficlens.llm.language_id import language_id
+from trafficlens.llm.ngram_join import ngram_join
 from trafficlens.llm.quality_classifier import quality_scores
 from trafficlens.llm.quality_rules import quality_rules, quality_rules_sql
 from trafficlens.llm.tables import read_table
@@ -19,6 +20,10 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(read_table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join(read_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(read_table(spark, sf_dir, "documents", "doc_id", "text"), tokenizer_path())
 
@@ -41,6 +46,7 @@ def tokenizer_path() -> str:
 def queries() -> dict[str, Query]:
     return {
         "op2_quality_rules": op2_quality_rules,
+        "op3_ngram_join": op3_ngram_join,
         "op4_bpe": op4_bpe,
         "op6_language_id": op6_language_id,
         "op9_quality_classifier": op9_quality_classifier,
