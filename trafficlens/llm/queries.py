@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from trafficlens.llm.bpe import round_trip
+from trafficlens.llm.embedding_join import embedding_join
 from trafficlens.llm.language_id import language_id
 from trafficlens.llm.ngram_join import ngram_join
 from trafficlens.llm.quality_classifier import quality_scores
@@ -16,6 +17,10 @@ from trafficlens.llm.tables import read_table
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_embedding_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_join(read_table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(read_table(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -45,6 +50,7 @@ def tokenizer_path() -> str:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_embedding_join": op1_embedding_join,
         "op2_quality_rules": op2_quality_rules,
         "op3_ngram_join": op3_ngram_join,
         "op4_bpe": op4_bpe,
