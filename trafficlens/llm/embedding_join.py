@@ -196,6 +196,7 @@ class _Block:
             hit = self.links(self.raw[a:a + 2048], self.unit[a:a + 2048], self.dims[a:a + 2048])
             hit[np.arange(hit.shape[0]), a + np.arange(hit.shape[0])] = False
             self.counts[a:a + 2048] += hit @ self.weights
+            hit[np.arange(hit.shape[0]), a + np.arange(hit.shape[0])] = hit.any(axis=1)
             self.join(hit)
 
     def links(self, raw: np.ndarray, unit: np.ndarray, dims: np.ndarray) -> np.ndarray:
