@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from trafficlens.llm.bpe import round_trip
 from trafficlens.llm.embedding_join import embedding_join
+from trafficlens.llm.html_extract import html_extract
 from trafficlens.llm.language_id import language_id
 from trafficlens.llm.ngram_join import ngram_join
 from trafficlens.llm.quality_classifier import quality_scores
@@ -37,6 +38,10 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id(read_table(spark, sf_dir, "documents", "doc_id", "text", "lang"))
 
 
+def op8_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract(read_table(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(read_table(spark, sf_dir, "documents", "doc_id", "text"),
                           read_table(spark, sf_dir, "labels", "doc_id", "quality"))
@@ -55,6 +60,7 @@ def queries() -> dict[str, Query]:
         "op3_ngram_join": op3_ngram_join,
         "op4_bpe": op4_bpe,
         "op6_language_id": op6_language_id,
+        "op8_html_extract": op8_html_extract,
         "op9_quality_classifier": op9_quality_classifier,
     }
 
