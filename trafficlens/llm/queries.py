@@ -11,6 +11,7 @@ from trafficlens.llm.embedding_join import embedding_join
 from trafficlens.llm.html_extract import html_extract
 from trafficlens.llm.language_id import language_id
 from trafficlens.llm.ngram_join import ngram_join
+from trafficlens.llm.packing import best_fit_packing
 from trafficlens.llm.quality_classifier import quality_scores
 from trafficlens.llm.quality_rules import quality_rules, quality_rules_sql
 from trafficlens.llm.tables import read_table
@@ -38,6 +39,10 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id(read_table(spark, sf_dir, "documents", "doc_id", "text", "lang"))
 
 
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_fit_packing(read_table(spark, sf_dir, "documents", "doc_id", "text", "source"))
+
+
 def op8_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract(read_table(spark, sf_dir, "pages", "page_id", "url", "html"))
 
@@ -60,6 +65,7 @@ def queries() -> dict[str, Query]:
         "op3_ngram_join": op3_ngram_join,
         "op4_bpe": op4_bpe,
         "op6_language_id": op6_language_id,
+        "op7_best_fit_packing": op7_best_fit_packing,
         "op8_html_extract": op8_html_extract,
         "op9_quality_classifier": op9_quality_classifier,
     }
