@@ -15,6 +15,7 @@ from trafficlens.llm.packing import best_fit_packing
 from trafficlens.llm.quality_classifier import quality_scores
 from trafficlens.llm.quality_rules import quality_rules, quality_rules_sql
 from trafficlens.llm.tables import read_table
+from trafficlens.llm.warc import warc_round_trip, warc_sql
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,6 +36,10 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(read_table(spark, sf_dir, "documents", "doc_id", "text"), tokenizer_path())
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_round_trip(read_table(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id(read_table(spark, sf_dir, "documents", "doc_id", "text", "lang"))
 
@@ -64,6 +69,7 @@ def queries() -> dict[str, Query]:
         "op2_quality_rules": op2_quality_rules,
         "op3_ngram_join": op3_ngram_join,
         "op4_bpe": op4_bpe,
+        "op5_warc": op5_warc,
         "op6_language_id": op6_language_id,
         "op7_best_fit_packing": op7_best_fit_packing,
         "op8_html_extract": op8_html_extract,
@@ -74,4 +80,5 @@ def queries() -> dict[str, Query]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_quality_rules": quality_rules_sql(),
+        "op5_warc": warc_sql(),
     }
