@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from trafficlens.llm.bpe import round_trip
+from trafficlens.llm.chat_format import preference_format, preference_sql
 from trafficlens.llm.embedding_join import embedding_join
 from trafficlens.llm.html_extract import html_extract
 from trafficlens.llm.language_id import language_id
@@ -57,6 +58,10 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
                           read_table(spark, sf_dir, "labels", "doc_id", "quality"))
 
 
+def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return preference_format(read_table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
+
+
 def tokenizer_path() -> str:
     """The tokenizer file the queries use (read on the driver only)."""
     import public_tokenizers
@@ -74,6 +79,7 @@ def queries() -> dict[str, Query]:
         "op7_best_fit_packing": op7_best_fit_packing,
         "op8_html_extract": op8_html_extract,
         "op9_quality_classifier": op9_quality_classifier,
+        "op10_chat_format": op10_chat_format,
     }
 
 
@@ -81,4 +87,5 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op2_quality_rules": quality_rules_sql(),
         "op5_warc": warc_sql(),
+        "op10_chat_format": preference_sql(),
     }
