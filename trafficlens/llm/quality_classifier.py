@@ -55,8 +55,9 @@ def indicators(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     for k, n in enumerate(RUNS):
         run = same.copy()
         for shift in range(1, n - 1):
-            run[:len(run) - shift] &= same[shift:]
-            run[max(len(run) - shift, 0):] = False
+            left = max(len(run) - shift, 0)
+            run[:left] &= same[shift:shift + left]
+            run[left:] = False
         keys.append((doc_of_word[1:][run] * FEATURES + BUCKETS).astype(np.uint64) + np.uint64(k))
     if len(data) >= 3:
         run = data[:-2].astype(np.uint64) << np.uint64(16) | data[1:-1].astype(np.uint64) << np.uint64(8) | data[2:]
