@@ -65,17 +65,6 @@ def test_purify_calls_parses_text_dates(spark):
     assert (row.date, row.week, row.totalEvents, row.uniqueEvents) == (dt.date(2022, 1, 1), 52, 3, 1)
 
 
-def test_sampled_landing_is_flagged(spark):
-    from trafficlens.params import ReportParams
-    from trafficlens.plans.catalog import banner_pages, banner_windows, mart
-    from trafficlens.sources.report_api import quality_flag
-
-    p = ReportParams.for_testdata()
-    m = mart(spark, "/root/testdata/sf0.001")
-    pages = banner_pages(m, banner_windows(m), p, sampled=True)
-    assert {r.golden for r in quality_flag(pages).collect()} == {False}
-
-
 def test_approximate_distinct_is_opt_in(spark):
     from trafficlens.params import ReportParams
     from trafficlens.plans.catalog import mart
@@ -91,15 +80,15 @@ def test_approximate_distinct_is_opt_in(spark):
 
 def test_empty_banner_table_gives_no_windows_pages_or_rows(spark, scratch):
     from trafficlens.params import ReportParams
-    from trafficlens.plans.catalog import banner_pages, banner_windows
+    from trafficlens.plans.catalog import banner_windows, nested_banner_rows
     from trafficlens.plans.reports import report_banners
-    from trafficlens.sources.schemas import BANNERS
+    from trafficlens.sources.schemas import BANNER_HITS, BANNERS
 
-    empty = Mart.written(spark, {"banners": spark.createDataFrame([], BANNERS)}, scratch("empty-mart"))
+    empty = Mart.written(spark, {"banners": spark.createDataFrame([], BANNERS),
+                                 "banner_hits": spark.createDataFrame([], BANNER_HITS)}, scratch("empty-mart"))
     p = ReportParams.for_testdata()
-    windows = banner_windows(empty, p=p)
-    assert windows.count() == 0
-    assert banner_pages(empty, windows, p).count() == 0
+    assert banner_windows(empty, p=p).count() == 0
+    assert nested_banner_rows(empty).count() == 0
     assert report_banners(empty, p).count() == 0
     mark = inc.high_water_mark(empty.table("banners"), "2024-01-01", "2024-01-31").first()
     assert mark.start_date == dt.date(2024, 1, 1)
@@ -113,6 +102,11 @@ def test_reports_run_with_the_reference_calendar(spark):
     from trafficlens.plans.reports import REPORTS
 
     m = mart(spark, "/root/testdata/sf0.001")
-    counts = {name: fn(m, ReportParams()).count() for name, fn in REPORTS.items()}
+    with pytest.raises(ValueError, match="cost_week_year"):
+        REPORTS["report_weekly_cost"](m, ReportParams())
+    with pytest.raises(ValueError, match="retention_max_age"):
+        REPORTS["report_retention"](m, ReportParams(retention_max_age=10))
+    p = ReportParams(cost_week_year=2022)
+    counts = {name: fn(m, p).count() for name, fn in REPORTS.items()}
     assert counts["report_phone_clicks"] > 0 and counts["report_banners"] > 0
-    assert counts["report_weekly_cost"] == 0  # costs are 1996
+    assert counts["report_weekly_cost"] == 0  # the costs end in 2001

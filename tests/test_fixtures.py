@@ -8,7 +8,7 @@ from trafficlens.sources.fixtures import FIXTURE_SQL, derive_tables
 # Row counts at sf0.01 as listed in FIXTURES.md section 3.
 EXPECTED_SF001 = {
     "ev0": 10000, "raw_events": 10000, "s0": 4006, "sessions": 4322, "page_views": 1982,
-    "users_dim": 4006, "traffic": 2022, "costs": 2235, "banners": 10000,
+    "users_dim": 4006, "traffic": 15000, "costs": 15000, "banners": 10000, "banner_hits": 10000,
 }
 
 

@@ -8,17 +8,14 @@ import os
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
+from pages import DIMS, METS, daily_pages, page, write_landing
 
 from trafficlens.session import local_path
-from trafficlens.sinks.writers import append
-from trafficlens.sources.report_api import flatten_report, page_completeness, quality_flag, read_report_pages
+from trafficlens.sinks.writers import append, replace_dates
+from trafficlens.sources.report_api import (flatten_report, page_completeness, quality_flag,
+                                            read_report_pages, window_status)
 from trafficlens.streaming import incremental as inc
 
-DIMS = ("ga:isoweek", "ga:date", "ga:eventLabel", "ga:eventCategory", "ga:eventAction")
-METS = ("ga:totalevents", "ga:users")
-
-
 def collect_windows(spark, start: dt.date, end: dt.date, step: int):
     return [(r.window_start, r.window_end) for r in inc.date_windows(spark, start, end, step).collect()]
 
@@ -57,20 +54,6 @@ def test_high_water_mark_empty_and_filled(spark):
     assert row.start_date == dt.date(2024, 1, 10)
 
 
-def page(start, end, token, rows, row_count, golden=True, sampled=False):
-    data = {"rowCount": row_count}
-    if rows is not None:
-        data["rows"] = [{"dimensions": list(r[:5]), "metrics": [{"values": list(r[5:])}]} for r in rows]
-    if golden:
-        data["isDataGolden"] = True
-    if sampled:
-        data["samplesReadCounts"] = ["5"]
-    header = {"dimensions": list(DIMS),
-              "metricHeader": {"metricHeaderEntries": [{"name": m, "type": "INTEGER"} for m in METS]}}
-    return {"startDate": start, "endDate": end, "pageToken": token,
-            "reports": [{"columnHeader": header, "data": data}]}
-
-
 def write_json_pages(path, pages):
     os.makedirs(path, exist_ok=True)
     for i, p in enumerate(pages):
@@ -97,6 +80,9 @@ def test_report_pages_flatten_quality_and_completeness(spark, scratch):
     c = {row.startDate: (row.expected_rows, row.landed_rows, row.complete)
          for row in page_completeness(landed).collect()}
     assert c == {"2024-01-01": (10003, 3, False), "2024-01-02": (0, 0, True), "2024-01-03": (1, 1, True)}
+    both = {row.startDate: (row.expected_rows, row.landed_rows, row.complete, row.golden)
+            for row in window_status(landed).collect()}
+    assert both == {d: (*c[d], q[d]) for d in c}
     typed = inc.typed_report_rows(landed, DIMS, METS)
     assert dict(typed.dtypes) == {"isoweek": "string", "date": "string", "eventLabel": "string",
                                   "eventCategory": "string", "eventAction": "string",
@@ -104,115 +90,90 @@ def test_report_pages_flatten_quality_and_completeness(spark, scratch):
     assert {x.date for x in typed.collect()} == {"2024-01-01", "2024-01-03"}
 
 
-def test_append_is_idempotent_per_date(spark, scratch):
+def test_append_keeps_all_rows_and_replace_dates_replaces(spark, scratch):
     target = scratch("append")
-    first = spark.createDataFrame([("2024-01-01", 1), ("2024-01-02", 2)], "date string, v bigint")
-    append(first, target)
-    append(first, target)
-    assert spark.read.parquet(target).count() == 2
-    later = spark.createDataFrame([("2024-01-03", 3)], "date string, v bigint")
-    append(later, target)
-    assert spark.read.parquet(target).count() == 3
-
-
-def test_incremental_append_moves_the_mark(spark, scratch):
-    from trafficlens.plans.catalog import banner_pages, mart
+    frame = lambda *rows: spark.createDataFrame(list(rows), "date string, v bigint")
+    values = lambda: sorted(r.v for r in spark.read.parquet(target).collect())
+    append(frame(("2024-01-01", 1), (None, 9)), target)
+    append(frame(("2024-01-01", 2), (None, 8)), target)
+    assert values() == [1, 2, 8, 9]
+    replace_dates(frame(("2024-01-01", 5), ("2024-01-02", 6)), target)
+    replace_dates(frame(("2024-01-01", 5), ("2024-01-02", 6)), target)
+    assert values() == [5, 6, 8, 9]
+
+
+def test_newest_partition_reads_the_listing_only(spark, scratch):
+    target = scratch("marks")
+    assert inc.newest_partition(spark, target) is None
+    append(spark.createDataFrame([("2024-01-09", 1), ("2024-01-05", 2), (None, 3)], "date string, v bigint"), target)
+    assert inc.newest_partition(spark, target) == "2024-01-09"
+    assert inc.load_bounds(spark, target, "2024-01-01", "2024-02-01") == (dt.date(2024, 1, 10), dt.date(2024, 1, 31))
+
+
+def test_incremental_append_moves_the_mark_in_few_jobs(spark, scratch):
+    from trafficlens.plans.catalog import mart, nested_banner_rows
     from trafficlens.sources.schemas import LOADED_BANNERS
 
     m = mart(spark, "/root/testdata/sf0.001")
     target = scratch("inc")
     calls = []
 
-    def fetch(windows):
-        calls.append([(w.window_start, w.window_end) for w in windows.collect()])
-        return banner_pages(m, windows)
-
-    kw = dict(dimensions=DIMS, metrics=METS, default_start="2024-01-01", step=1, target_schema=LOADED_BANNERS)
-    inc.incremental_append(spark, target, fetch, today="2024-01-10", **kw)
+    def fetch(windows, first, last):
+        calls.append((first, last))
+        return nested_banner_rows(m, first.isoformat(), last.isoformat())
+
+    load = lambda today: inc.incremental_append(
+        spark, target, fetch, DIMS, METS, default_start="2024-01-01", today=today)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("one-load", "one load")
+    assert load("2024-01-10") == (dt.date(2024, 1, 1), dt.date(2024, 1, 9))
+    jobs = len(tracker.getJobIdsForGroup("one-load"))
+    spark.sparkContext.setJobGroup("other", "other")
+    assert 1 <= jobs <= 4
     n1 = spark.read.schema(LOADED_BANNERS).parquet(target).count()
-    inc.incremental_append(spark, target, fetch, today="2024-01-10", **kw)  # mark moved: nothing to load
-    assert spark.read.schema(LOADED_BANNERS).parquet(target).count() == n1
-    assert len(calls) == 1  # up to date: no request at all
-    assert calls[0][0] == (dt.date(2024, 1, 1), dt.date(2024, 1, 2))
-    dates = {r.date for r in spark.read.schema(LOADED_BANNERS).parquet(target).select("date").collect()}
-    assert max(dates) <= "2024-01-09"
+    load("2024-01-10")  # up to date: no request at all
+    assert len(calls) == 1 and spark.read.schema(LOADED_BANNERS).parquet(target).count() == n1
+    load("2024-01-31")
+    assert calls[1] == (dt.date(2024, 1, 10), dt.date(2024, 1, 30))
+    got = spark.read.schema(LOADED_BANNERS).parquet(target).count()
+    assert got == inc.typed_report_rows(nested_banner_rows(m), DIMS, METS).where("date <= '2024-01-30'").count()
 
 
-def test_streaming_load_is_exactly_once(spark, scratch):
-    from trafficlens.plans.catalog import banner_pages, banner_windows, mart
+def test_load_scans_the_source_once_and_prunes_it(spark):
+    from trafficlens.plans.catalog import mart, nested_banner_rows
 
-    m = mart(spark, "/root/testdata/sf0.001")
+    rows = inc.typed_report_rows(nested_banner_rows(mart(spark, "/root/testdata/sf0.001"), "2024-01-05", "2024-01-09"),
+                                 DIMS, METS)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "PartitionFilters: [isnotnull(date" in plan and "Exchange" not in plan
+
+
+def test_streaming_load_is_exactly_once(spark, scratch):
     landing_dir, target, ckpt = scratch("landing"), scratch("stream-target"), scratch("stream-ckpt")
-    pages = banner_pages(m, banner_windows(m))
-    pages.write.json(landing_dir + "/batch=1")
-    q = inc.stream_landed_pages(spark, landing_dir, target, ckpt, DIMS, METS)
-    q.awaitTermination(120)
-    expected = inc.typed_report_rows(pages, DIMS, METS).count()
-    assert spark.read.parquet(target).count() == expected
-    # restart with nothing new: the commit log prevents a second copy
-    q = inc.stream_landed_pages(spark, landing_dir, target, ckpt, DIMS, METS)
-    q.awaitTermination(120)
-    assert spark.read.parquet(target).count() == expected
+    write_landing(local_path(landing_dir), daily_pages(range(1, 8)))
+    for _ in range(2):  # a restart with nothing new: the commit log prevents a second copy
+        inc.stream_landed_pages(spark, landing_dir, target, ckpt, DIMS, METS).awaitTermination(120)
+        assert spark.read.parquet(target).count() == 21
+    write_landing(local_path(landing_dir), daily_pages([9]))
+    inc.stream_landed_pages(spark, landing_dir, target, ckpt, DIMS, METS).awaitTermination(120)
+    assert spark.read.parquet(target).count() == 24
 
 
 def test_banner_report_over_loaded_table_equals_source(spark, scratch):
-    """R14 over the incrementally loaded API rows equals R14 over the source
-    table: the API sums per dimension tuple and the report's sums compose."""
+    """R14 over the incrementally loaded rows equals R14 over the requested hits."""
+    from trafficlens.operators import filters as flt
     from trafficlens.params import ReportParams
-    from trafficlens.plans.catalog import banner_pages, mart
-    from trafficlens.sources.schemas import LOADED_BANNERS
+    from trafficlens.plans.catalog import mart, nested_banner_rows
     from trafficlens.plans.reports import report_banners
+    from trafficlens.sources.schemas import LOADED_BANNERS
 
     m = mart(spark, "/root/testdata/sf0.001")
     p = ReportParams.for_testdata()
     target = scratch("loaded-banners")
-    inc.incremental_append(spark, target, lambda w: banner_pages(m, w), DIMS, METS,
-                           default_start=p.load_default_start, today=p.load_today, step=1,
-                           target_schema=LOADED_BANNERS)
+    inc.incremental_append(spark, target, lambda w, first, last: nested_banner_rows(m, str(first), str(last)), DIMS,
+                           METS, default_start=p.load_default_start, today=p.load_today)
     loaded = m.with_table("banners", spark.read.schema(LOADED_BANNERS).parquet(target))
+    hits = flt.filter_expr(m.table("banner_hits"), flt.parse_filter_expression(p.banner_filter)).drop("pagepath")
     got = sorted(tuple(r) for r in report_banners(loaded, p).collect())
-    want = sorted(tuple(r) for r in report_banners(m, p).collect())
+    want = sorted(tuple(r) for r in report_banners(m.with_table("banners", hits), p).collect())
     assert got == want and len(got) > 0
-
-
-def test_multi_page_windows_match_the_oracle(spark, scratch):
-    """With a small page size every window spans several pages; page
-    membership (portable hash) and counts equal the SQL statement of it."""
-    import duckdb
-
-    from scripts.check_oracle import TABLES, digest
-    from trafficlens import oracle
-    from trafficlens.params import ReportParams
-    from trafficlens.plans.catalog import _page_summary, banner_pages, banner_windows, mart
-    from trafficlens.sources.fixtures import duckdb_ctes
-
-    sf = "/root/testdata/sf0.01"
-    p = ReportParams.for_testdata().with_(page_size=20)
-    m = mart(spark, sf)
-    pages = _page_summary(banner_pages(m, banner_windows(m, p=p), p))
-    got = [tuple(r) for r in pages.collect()]
-    assert max(int(r[2]) for r in got) >= 40  # several pages in a window
-    con = duckdb.connect()
-    for t in TABLES:
-        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
-    cur = con.execute(f"{duckdb_ctes(['banners'])}\nSELECT * FROM ({oracle.pages_sql(0, page_size=20)}) q")
-    want = cur.fetchall()
-    assert len(got) == len(want)
-    assert digest(pages.columns, got) == digest([c[0] for c in cur.description], want)
-
-
-def test_landing_without_broadcast_gives_the_same_pages(spark, monkeypatch):
-    """Above the size limit the day / window-count sides are joined without a
-    broadcast hint; the pages are the same."""
-    from trafficlens.params import ReportParams
-    from trafficlens.plans.catalog import _page_summary, banner_pages, banner_windows, mart
-    from trafficlens.sources import landing
-
-    p = ReportParams.for_testdata().with_(page_size=20)
-    m = mart(spark, "/root/testdata/sf0.001")
-    hinted = sorted(map(tuple, _page_summary(banner_pages(m, banner_windows(m, p=p), p)).collect()))
-    monkeypatch.setattr(landing, "MAX_BROADCAST_ROWS", 1)
-    plain_pages = banner_pages(m, banner_windows(m, p=p), p)
-    assert "broadcast" not in plain_pages._jdf.queryExecution().logical().toString().lower()
-    plain = sorted(map(tuple, _page_summary(plain_pages).collect()))
-    assert plain == hinted and len(plain) > 0

@@ -107,6 +107,8 @@ def test_second_level_drops_null_keys_and_sorts(spark):
 def test_rounded_sum_is_decimal_exact(spark):
     df = spark.createDataFrame([(0.1,), (0.2,), (0.005,)], "c double")
     assert df.agg(agg.rounded_sum("c").alias("s")).first().s == 0.31
+    small = spark.range(1000).selectExpr("CAST(0.004 AS DOUBLE) AS c")
+    assert small.agg(agg.rounded_sum("c").alias("s")).first().s == 4.0  # the sum is rounded, not the values
 
 
 def test_cohort_age_wrap_and_year(spark):

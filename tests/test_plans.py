@@ -57,6 +57,20 @@ def test_year_filter_is_a_pushed_range(spark):
     assert "year(" not in text
 
 
+@pytest.mark.parametrize("name", [n for n in sorted(REPORTS) if n not in (
+    "report_monthly_users", "report_weekly_cost", "report_retention", "report_banners")])
+def test_every_scan_of_a_session_or_event_report_prunes_partitions(spark, no_broadcast, name):
+    scans = re.findall(r"FileScan .*", physical(REPORTS[name](mart(spark, SF), P)))
+    assert scans
+    for scan in scans:
+        assert re.search(r"PartitionFilters: \[isnotnull\(date", scan), scan
+
+
+def test_traffic_and_cost_bounds_are_pushed(spark):
+    for name in ("report_retention", "report_weekly_cost"):
+        assert re.search(r"PushedFilters: \[.*IsNotNull\(date\)", physical(REPORTS[name](mart(spark, SF), P)))
+
+
 def test_no_static_broadcast_hints_in_reports(spark):
     for name, fn in REPORTS.items():
         text = fn(mart(spark, SF), P)._jdf.queryExecution().logical().toString()

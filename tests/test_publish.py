@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import glob
 
+import pytest
+
 from trafficlens.params import ReportParams
 from trafficlens.plans import reports as rp
 from trafficlens.plans.catalog import mart
@@ -30,14 +32,36 @@ def test_published_matrix_has_header_and_reference_order(spark, scratch):
         assert lines[0].split(",") == df.columns
         expected = [tuple(r) for r in rp.ordered(name, df).collect()]
         got = [tuple(x.split(",")) for x in lines[1:]]
-        assert got == [tuple("" if v is None else str(v) for v in row) for row in expected]
+        text = lambda v: (
+            "" if v is None else f"{v:.2f}".rstrip("0").rstrip(".") if isinstance(v, float) else str(v))
+        assert got == [tuple(map(text, row)) for row in expected]
 
 
 def test_publish_all_covers_every_destination(spark, scratch):
     summary = publish_all(mart(spark, "/root/testdata/sf0.001"), P, scratch("all"))
-    got = {r.report_name: r.rows for r in summary.collect()}
-    assert set(got) == set(DESTINATIONS)
-    assert all(v >= 0 for v in got.values())
+    assert {r.report_name for r in summary.collect()} == set(DESTINATIONS)
+
+
+def test_a_failing_report_leaves_every_old_output(spark, scratch, monkeypatch):
+    m, root = mart(spark, "/root/testdata/sf0.001"), scratch("kept")
+    publish_all(m, P, root)
+    files = lambda: sorted(glob.glob(local_path(root) + "/*/part-*.csv"))
+    before = {f: open(f, encoding="utf-8").read() for f in files()}
+    broken = dict(rp.REPORTS)
+    broken["report_banners"] = lambda mart, p: mart.table("banners").selectExpr("raise_error('no report') AS isoweek")
+    monkeypatch.setattr(rp, "REPORTS", broken)
+    with pytest.raises(Exception, match="no report"):
+        publish_all(m, P.with_(start_date="2024-01-20"), root)
+    assert {f: open(f, encoding="utf-8").read() for f in files()} == before and len(before) >= len(DESTINATIONS)
+
+
+def test_sessions_without_a_campaign_keep_their_calls(spark):
+    from pyspark.sql import functions as F
+    m = mart(spark, SF)
+    total = lambda x: sum(r.tot_event for r in rp.report_calls_by_campaign(x, P).collect())
+    nulls = m.table("sessions").withColumn("utm_campaign", F.when(F.col("utm_campaign") != "brand", F.col("utm_campaign")))
+    assert total(m.with_table("sessions", nulls)) == total(m) > 0
+    assert "(no campaign)" in {r.cpc_type for r in rp.report_calls_by_campaign(m, P).collect()}
 
 
 def test_reports_over_the_shared_event_table_equal_the_full_table(spark):

@@ -49,11 +49,11 @@ def skewed(spark):
     label = F.when(k == 0, "ClCardSellPhoneClickTop").when(k == 1, "claim_completed") \
              .when(k == 2, "ClCardSellMortgageClick").when(k == 3, "NewRegSuccess") \
              .otherwise("lk_onlinebuy_lp_header_buy_click")
-    events = ids.select(ts.alias("dateHourMinute"), sid.alias("dimension4"), label.alias("eventlabel"),
+    events = ids.select(day.alias("date"), ts.alias("dateHourMinute"), sid.alias("dimension4"), label.alias("eventlabel"),
                         F.lit("FL").alias("eventcategory"), F.lit("act1_x").alias("eventaction"),
                         F.lit("/moskva/nedvizhimost").alias("pagepath"), F.lit(1).cast("bigint").alias("totalEvents"),
                         F.lit(1).cast("bigint").alias("uniqueEvents"), F.lit(1).cast("bigint").alias("users"))
-    views = ids.select(ts.alias("dateHourMinute"), sid.alias("dimension4"),
+    views = ids.select(day.alias("date"), ts.alias("dateHourMinute"), sid.alias("dimension4"),
                        F.when(F.col("id") % 2 == 0, "/services/deal/x").otherwise("/guaranteed-deal").alias("pagepath"))
     users = ids.select(day.alias("date"), F.col("id").cast("string").alias("dimension1"),
                        F.lit("authorized").alias("dimension2"))

@@ -3,8 +3,8 @@
   python -m trafficlens load    --landing DIR --target PATH [--today D] [--default-start D] [--step N]
   python -m trafficlens publish --mart ROOT --out DIR [--testdata SF_DIR] [--calendar reference|testdata]
 
-``load`` appends the landed report-API pages of every window after the
-target's high-water mark (idempotent per date). ``publish`` computes every
+``load`` adds the landed report-API pages of every window after the target's
+newest date (a repeated load replaces its dates). ``publish`` computes every
 report over the mart (one parquet directory per table under ROOT, or the
 tables derived from a test-data directory) and writes one CSV per destination.
 """
@@ -22,21 +22,20 @@ from trafficlens.params import ReportParams
 from trafficlens.plans.registry import publish_all
 from trafficlens.session import build_session
 from trafficlens.sources.mart import Mart
-from trafficlens.sources.report_api import page_completeness, quality_flag, read_report_pages
+from trafficlens.sources.report_api import read_report_pages, window_status
 from trafficlens.sources.schemas import LOADED_BANNERS
-from trafficlens.streaming.incremental import incremental_append, stream_landed_pages
+from trafficlens.streaming.incremental import incremental_append, newest_partition, stream_landed_pages
 
 
 def landed_pages_for(spark: SparkSession, landing_dir: str):
-    """``fetch_pages`` over a landing folder laid out by window start: only the
-    requested windows' directories are read (partition pruning on the
-    window starts, a list bounded by the days requested), then the pages are
-    matched to the exact windows (a semi-join on both bounds)."""
-    def fetch(windows: DataFrame) -> DataFrame:
+    """``fetch_pages`` over a landing folder laid out by window start: the range
+    of days prunes the folders, then the pages are matched to the exact windows
+    (a semi-join on both bounds)."""
+    def fetch(windows: DataFrame, first: dt.date, last: dt.date) -> DataFrame:
         wanted = windows.select(F.col("window_start").cast("string").alias("startDate"),
                                 F.col("window_end").cast("string").alias("endDate"))
-        starts = sorted({r.startDate for r in wanted.collect()})
-        pages = read_report_pages(spark, landing_dir).where(F.col("startDate").isin(starts))
+        pages = read_report_pages(spark, landing_dir).where(
+            F.col("startDate").between(first.isoformat(), last.isoformat()))
         return pages.join(wanted, ["startDate", "endDate"], "left_semi")
     return fetch
 
@@ -45,48 +44,63 @@ class IncompleteLoad(RuntimeError):
     pass
 
 
+# Failing windows named in a load's report (all are counted).
+NAMED_WINDOWS = 50
+
+
 def window_checks(pages: DataFrame) -> dict:
-    """Per-window quality (S11) and completeness (S10) of the fetched pages,
-    summarised on the driver (one row per window)."""
-    golden = {(r.startDate, r.endDate): r.golden for r in quality_flag(pages).collect()}
-    complete = page_completeness(pages).collect()
-    return {
-        "windows": len(complete),
-        "not_golden": sorted(f"{a}..{b}" for (a, b), g in golden.items() if not g),
-        "incomplete": sorted(f"{r.startDate}..{r.endDate} ({r.landed_rows}/{r.expected_rows})"
-                             for r in complete if not r.complete),
-    }
+    """Quality (S11) and completeness (S10) of the fetched pages, in one job: the
+    counts of all windows and the names of the first failing ones."""
+    name = F.concat_ws("..", "startDate", "endDate")
+    rows = F.concat(name, F.lit(" ("), F.col("landed_rows"), F.lit("/"), F.col("expected_rows"), F.lit(")"))
+    status = window_status(pages)
+    failing = lambda cond, label: F.slice(
+        F.sort_array(F.collect_list(F.when(cond, label))), 1, NAMED_WINDOWS)
+    r = status.agg(F.count(F.lit(1)).alias("windows"), F.count_if(~F.col("golden")).alias("n_not_golden"),
+                   F.count_if(~F.col("complete")).alias("n_incomplete"),
+                   failing(~F.col("golden"), name).alias("not_golden"),
+                   failing(~F.col("complete"), rows).alias("incomplete")).first()
+    return r.asDict()
+
+
+def target_rows(spark: SparkSession, target: str, first: dt.date | None = None) -> int:
+    """Rows of the target, or those from day ``first`` on (its partitions only)."""
+    if newest_partition(spark, target) is None:
+        return 0
+    table = spark.read.schema(LOADED_BANNERS).parquet(target)
+    return (table if first is None else table.where(F.col("date") >= first.isoformat())).count()
 
 
 def run_load(spark: SparkSession, landing: str, target: str, params: ReportParams,
-             require_complete: bool = False) -> dict:
+             require_complete: bool = True, rejects: str | None = None) -> dict:
     """Load the windows after the mark; report the windows' quality and
-    completeness (the reference's "golden data" / "warning" check). With
-    ``require_complete`` an incomplete window stops the load before any write."""
-    checks: dict = {"windows": 0, "not_golden": [], "incomplete": []}
+    completeness (the reference's "golden data" / "warning" check). An incomplete
+    window stops the load before any write, as the mark would move past it;
+    ``require_complete=False`` loads it all the same."""
+    checks: dict = {"windows": 0, "n_not_golden": 0, "n_incomplete": 0, "not_golden": [], "incomplete": []}
 
     def inspect(pages: DataFrame) -> None:
         checks.update(window_checks(pages))
-        if require_complete and checks["incomplete"]:
-            raise IncompleteLoad(f"incomplete windows: {checks['incomplete']}")
+        if require_complete and checks["n_incomplete"]:
+            raise IncompleteLoad(f"{checks['n_incomplete']} incomplete windows: {checks['incomplete']}")
 
-    loaded = incremental_append(spark, target, landed_pages_for(spark, landing), params.banner_dimensions,
-                                params.banner_metrics, default_start=params.load_default_start,
-                                today=params.load_today, step=params.window_step_days,
-                                target_schema=LOADED_BANNERS, inspect=inspect)
-    return {"loaded_rows": loaded.count(), **checks}
+    first, last = incremental_append(
+        spark, target, landed_pages_for(spark, landing), params.banner_dimensions, params.banner_metrics,
+        default_start=params.load_default_start, today=params.load_today, step=params.window_step_days,
+        inspect=inspect, rejects=rejects)
+    return {"loaded_rows": target_rows(spark, target, first) if first <= last else 0, **checks}
 
 
 def run_stream_load(spark: SparkSession, landing: str, target: str, checkpoint: str,
                     params: ReportParams) -> dict:
     """Streaming form of the load: every landed page file not yet processed is
     flattened and written once (the file sink's commit log); stops when the
-    backlog is done."""
+    backlog is done. ``loaded_rows`` are the rows the target gained."""
+    before = target_rows(spark, target)
     query = stream_landed_pages(spark, landing, target, checkpoint, params.banner_dimensions,
                                 params.banner_metrics)
     query.awaitTermination()
-    progress = query.recentProgress
-    return {"batches": len(progress), "loaded_rows": sum(int(p["numInputRows"]) for p in progress)}
+    return {"loaded_rows": target_rows(spark, target) - before}
 
 
 def run_publish(spark: SparkSession, mart: Mart, out: str, params: ReportParams) -> list[dict]:
@@ -102,8 +116,10 @@ def main(argv: list[str] | None = None) -> None:
     load.add_argument("--today", default=dt.date.today().isoformat())
     load.add_argument("--default-start", default=None)
     load.add_argument("--step", type=int, default=1)
-    load.add_argument("--require-complete", action="store_true",
-                      help="stop before writing if a window has fewer landed rows than announced")
+    load.add_argument("--allow-incomplete", action="store_true",
+                      help="load windows with fewer landed rows than announced (default: stop before writing)")
+    load.add_argument("--rejects", default=None,
+                      help="table for rows whose date or numbers do not parse (default: stop)")
     load.add_argument("--stream", action="store_true",
                       help="streaming form: every new landed file once (file-stream source, availableNow)")
     load.add_argument("--checkpoint-location", default=None,
@@ -112,6 +128,7 @@ def main(argv: list[str] | None = None) -> None:
     pub.add_argument("--mart", help="root with one parquet directory per table")
     pub.add_argument("--testdata", help="derive the mart from a test-data directory instead")
     pub.add_argument("--out", required=True)
+    pub.add_argument("--cost-week-year", type=int, default=None, help="year that dates the cost weeks (default: this year)")
     pub.add_argument("--calendar", choices=("reference", "testdata"), default="reference")
     for p in (load, pub):
         p.add_argument("--master", default=None)
@@ -128,9 +145,12 @@ def main(argv: list[str] | None = None) -> None:
                 ap.error("--stream needs --checkpoint-location")
             print(json.dumps(run_stream_load(spark, args.landing, args.target, args.checkpoint_location, params)))
         else:
-            print(json.dumps(run_load(spark, args.landing, args.target, params, args.require_complete)))
+            print(json.dumps(run_load(spark, args.landing, args.target, params, not args.allow_incomplete,
+                                      args.rejects)))
     else:
         params = ReportParams.for_testdata() if args.calendar == "testdata" else ReportParams()
+        if args.cost_week_year or params.cost_week_year is None:
+            params = params.with_(cost_week_year=args.cost_week_year or dt.date.today().year)
         if bool(args.mart) == bool(args.testdata):
             ap.error("give exactly one of --mart / --testdata")
         mart = Mart.from_parquet(spark, args.mart) if args.mart else Mart.from_testdata(spark, args.testdata)

@@ -41,7 +41,7 @@ def agg_distinct(df: DataFrame, keys, col: str, alias: str, approx: bool = False
 def agg_sum_distinct(df: DataFrame, keys, sum_col: str, sum_alias: str, distinct_col: str,
                      distinct_alias: str, approx: bool = False) -> DataFrame:
     """A3: SUM and COUNT(DISTINCT) in one aggregate (Spark plans the distinct
-    part as an expand + two-level aggregate)."""
+    part as a two-level aggregate)."""
     return df.groupBy(*_keys(keys)).agg(
         sum_as_bigint(sum_col).alias(sum_alias),
         distinct_count(distinct_col, approx).alias(distinct_alias),
@@ -72,10 +72,11 @@ def second_level(df: DataFrame, keys: Sequence[str], sums: Mapping[str, str], or
     return out.orderBy(*keys) if ordered else out
 
 
-def rounded_sum(c, digits: int = 2, precision: int = 18) -> Column:
-    """``ROUND(SUM(c), digits)``, summed as DECIMAL so the result does not
-    depend on the order the partial sums arrive in; returned as DOUBLE."""
-    return F.round(F.sum(as_col(c).cast(f"decimal({precision},{digits})")), digits).cast("double")
+def rounded_sum(c, digits: int = 2) -> Column:
+    """``ROUND(SUM(c), digits)``. The values are summed with ten decimals,
+    as DECIMAL so the result does not depend on the order the partial sums
+    arrive in, and only the sum is rounded; returned as DOUBLE."""
+    return F.round(F.sum(as_col(c).cast("decimal(28,10)")), digits).cast("double")
 
 
 def sort_by(df: DataFrame, *keys) -> DataFrame:

@@ -17,6 +17,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+# Event tables hold the day of this column as ``date``.
+EVENT_TIME = "dateHourMinute"
+
+
 def _type_of(df: DataFrame, name: str) -> T.DataType:
     lowered = name.lower()
     for f in df.schema.fields:
@@ -54,12 +58,20 @@ def bound_literal(df: DataFrame, name: str, value: str) -> Column:
 def from_date(df: DataFrame, c: str, d: str) -> DataFrame:
     """``CAST(c AS DATE) >= d``. On a timestamp column this is
     ``c >= d 00:00:00`` (same rows, pushable)."""
-    return df.where(F.col(c) >= bound_literal(df, c, d[:10]))
+    return _from_day(df, c, d).where(F.col(c) >= bound_literal(df, c, d[:10]))
+
+
+def _from_day(df: DataFrame, c: str, bound: str) -> DataFrame:
+    """With a lower bound on the event time, the same bound on ``date``, the day
+    of that time, so that the scan prunes its partitions."""
+    if c != EVENT_TIME or "date" not in df.columns:
+        return df
+    return df.where(F.col("date") >= F.lit(bound[:10]).cast("date"))
 
 
 def from_ts(df: DataFrame, c: str, ts: str) -> DataFrame:
     """``c >= 'yyyy-mm-dd hh:mm:ss UTC'``."""
-    return df.where(F.col(c) >= bound_literal(df, c, ts))
+    return _from_day(df, c, ts).where(F.col(c) >= bound_literal(df, c, ts))
 
 
 def after_date(df: DataFrame, c: str, d: str) -> DataFrame:

@@ -85,7 +85,7 @@ def cohort_pivot(df: DataFrame, max_age: int = 52) -> DataFrame:
 
 def retention_matrix(traffic: DataFrame, week52_year: int, max_age: int = 52,
                      user: str = "dimension1", date: str = "date") -> DataFrame:
-    """R13 core: cohort members -> age -> 53-column pivot, sorted by year, week."""
+    """R13 core: cohort members -> age -> 53-column pivot (unordered)."""
     members = cohort_members(traffic, user, date, week52_year)
     aged = members.select("first_dt", "year", cohort_age("iso_week", "first_dt").alias("senior"))
-    return cohort_pivot(aged, max_age).orderBy("year", "first_dt")
+    return cohort_pivot(aged, max_age)

@@ -112,13 +112,12 @@ GROUP BY 1"""
 def r2() -> str:
     return f"""
 SELECT {wk('s.date')} AS week, {city('e.pagepath', '0')} AS city, e.eventlabel AS eventlabel,
-       {campaign('s.utm_campaign')} AS cpc_type,
+       coalesce({campaign('s.utm_campaign')}, '(no campaign)') AS cpc_type,
        CAST(SUM(e.totalEvents) AS BIGINT) AS tot_event, CAST(SUM(e.uniqueEvents) AS BIGINT) AS u_event
 FROM sessions s JOIN raw_events e ON e.dimension4 = s.session_id
 WHERE s.date >= {d(P.start_date)}
   AND e.dateHourMinute >= {ts(P.start_date[:10] + ' 00:00:00')}
   AND regexp_matches(e.eventlabel, {s_(P.call_labels)})
-  AND {campaign('s.utm_campaign')} IS NOT NULL
 GROUP BY 1, 2, 3, 4"""
 
 
@@ -235,7 +234,7 @@ def r12() -> str:
 SELECT weekly.isoweek AS isoweek, CAST({monday(str(P.cost_week_year), 'weekly.isoweek')} AS VARCHAR) AS start_week,
        weekly.CITY AS CITY, weekly.COST AS COST
 FROM (SELECT {wk('date')} AS isoweek, CITY,
-             CAST(ROUND(SUM(CAST(COSTS AS DECIMAL(18, 2))), 2) AS DOUBLE) AS COST
+             CAST(ROUND(SUM(CAST(COSTS AS DECIMAL(28, 10))), 2) AS DOUBLE) AS COST
       FROM costs WHERE COSTS > 0 AND date >= {d(P.cost_from)} GROUP BY 1, 2) AS weekly"""
 
 
@@ -291,23 +290,21 @@ GROUP BY 1, 2"""
 
 # ------------------------------------------------------------------ report-API rows
 def api_rows(date_expr: str, users_expr: str) -> str:
-    """The banner request's rows: unique per dimension tuple, metrics summed
-    (one-day windows, or the two-day oldest window: the date is a dimension)."""
+    """The banner request's rows: the hits that pass its filter."""
     return f"""
 SELECT isoweek, {date_expr} AS date, eventlabel AS "eventLabel", eventcategory AS "eventCategory",
-       eventaction AS "eventAction", CAST(SUM(CAST(totalevents AS BIGINT)) AS VARCHAR) AS totalevents,
-       {users_expr} AS users
-FROM banners WHERE regexp_matches(eventlabel, '(?i)banner')
-GROUP BY isoweek, date, eventlabel, eventcategory, eventaction"""
+       eventaction AS "eventAction", totalevents, {users_expr} AS users
+FROM banner_hits
+WHERE regexp_matches(pagepath, '(?i)/nedvizhimost') AND regexp_matches(eventlabel, '(?i)banner')"""
 
 
-FLAT_SQL = api_rows("strftime(CAST(date AS DATE), '%Y%m%d')", "CAST(SUM(users) AS VARCHAR)")
-TARGET_SQL = api_rows("date", "CAST(SUM(users) AS BIGINT)")
+FLAT_SQL = api_rows("strftime(CAST(date AS DATE), '%Y%m%d')", "CAST(users AS VARCHAR)")
+TARGET_SQL = api_rows("date", "CAST(users AS BIGINT)")
 
 
-def windows_sql(step: int, extra_days: int = 0) -> str:
+def windows_sql(step: int) -> str:
     return f"""
-WITH bnd AS (SELECT MIN(CAST(date AS DATE)) AS s, MAX(CAST(date AS DATE)) + {extra_days} AS e FROM banners),
+WITH bnd AS (SELECT MIN(CAST(date AS DATE)) AS s, MAX(CAST(date AS DATE)) AS e FROM banners),
 k AS (SELECT s, e, CASE WHEN e - s < 0 THEN 0 WHEN e - s = 0 THEN 1
                         ELSE CAST(ceil((e - s) / {step}.0) AS BIGINT) END AS k FROM bnd),
 i AS (SELECT s, e, k, unnest(range(k)) AS i FROM k)
@@ -316,52 +313,6 @@ SELECT CASE WHEN i = k - 1 THEN s ELSE e - CAST(i * {step} + {step - 1} AS INTEG
 FROM i"""
 
 
-def pages_sql(extra_days: int, page_size: int = P.page_size) -> str:
-    """One row per landed page: the banner API rows (unique per dimension
-    tuple and window) split into ceil(rows / (page_size / 2)) pages by the MD5
-    prefix of the dimension tuple; a window without rows has one empty page."""
-    per_page = max(1, page_size // 2)
-    dims = "d0, d1, d2, d3, d4"
-    return f"""
-WITH win AS ({windows_sql(P.window_step_days, extra_days)}),
-api AS (
-  SELECT w.window_start, w.window_end, b.isoweek AS d0, strftime(CAST(b.date AS DATE), '%Y%m%d') AS d1,
-         b.eventlabel AS d2, b.eventcategory AS d3, b.eventaction AS d4
-  FROM banners b JOIN win w ON CAST(b.date AS DATE) BETWEEN w.window_start AND w.window_end
-  WHERE regexp_matches(b.eventlabel, '(?i)banner')
-  GROUP BY 1, 2, 3, 4, 5, 6, 7),
-cnt AS (SELECT window_start, window_end, COUNT(*) AS row_count FROM api GROUP BY 1, 2),
-paged AS (
-  SELECT a.window_start, a.window_end, c.row_count,
-         CAST(('0x' || substr(md5(concat_ws(chr(1), {dims})), 1, 8)) AS BIGINT)
-           % CAST(ceil(c.row_count / {per_page}.0) AS BIGINT) AS page
-  FROM api a JOIN cnt c ON c.window_start = a.window_start AND c.window_end = a.window_end)
-SELECT CAST(window_start AS VARCHAR) AS startDate, CAST(window_end AS VARCHAR) AS endDate,
-       CAST(page * {page_size} AS VARCHAR) AS pageToken, MAX(row_count) AS row_count,
-       COUNT(*) AS n_rows
-FROM paged GROUP BY window_start, window_end, page
-UNION ALL
-SELECT CAST(w.window_start AS VARCHAR), CAST(w.window_end AS VARCHAR), '0', CAST(NULL AS BIGINT),
-       CAST(0 AS BIGINT)
-FROM win w
-WHERE NOT EXISTS (SELECT 1 FROM cnt c WHERE c.window_start = w.window_start AND c.window_end = w.window_end)"""
-
-
-def completeness_sql(extra_days: int) -> str:
-    return f"""
-SELECT startDate, endDate, COUNT(*) AS pages, COALESCE(MAX(row_count), 0) AS expected_rows,
-       CAST(SUM(n_rows) AS BIGINT) AS landed_rows,
-       COALESCE(MAX(row_count), 0) = CAST(SUM(n_rows) AS BIGINT) AS complete
-FROM ({pages_sql(extra_days)}) AS p GROUP BY 1, 2"""
-
-
-def quality_sql(extra_days: int) -> str:
-    """Every landed page is final and unsampled in the derived landing."""
-    return f"""
-SELECT startDate, endDate, true AS golden, COUNT(*) AS pages
-FROM ({pages_sql(extra_days)}) AS p GROUP BY 1, 2"""
-
-
 # ------------------------------------------------------------------ all keys
 def _bodies() -> dict[str, str]:
     tag_cols = {"tag_location": (location, "card_serp"), "tag_product": (product, "product"),
@@ -411,7 +362,7 @@ FROM traffic {{where}} GROUP BY dimension1"""
         "scan_costs": "SELECT * FROM costs",
         "scan_banners": f"SELECT * FROM banners WHERE date >= {s_(P.banners_from)}",
         "flatten_report": FLAT_SQL,
-        "flatten_report_empty": FLAT_SQL,
+        "flatten_report_empty": FLAT_SQL + " AND day(CAST(date AS DATE)) % 2 = 0",
         "report_union_windows": FLAT_SQL,
         "source_filter": "SELECT * FROM raw_events WHERE regexp_matches(pagepath, '(?i)/nedvizhimost') "
                          "AND regexp_matches(eventlabel, '(?i)click')",
@@ -422,8 +373,8 @@ FROM traffic {{where}} GROUP BY dimension1"""
         # projections
         "cast_date": "SELECT dimension4, dateHourMinute, CAST(dateHourMinute AS DATE) AS event_date FROM raw_events",
         "cast_datetime": "SELECT session_id, date, CAST(date AS TIMESTAMP) AS session_dt FROM sessions",
-        "iso_week": f"SELECT dimension4, dateHourMinute, {wk('dateHourMinute')} AS isoweek FROM raw_events",
-        "iso_week_pd": f"SELECT date, eventlabel, {wk('CAST(date AS DATE)')} AS week FROM banners",
+        "iso_week": f"SELECT date, dimension1, {wk('date')} AS isoweek FROM traffic",
+        "iso_week_pd": f"SELECT CAST(date AS VARCHAR) AS date, CITY, {wk('date')} AS week FROM costs",
         "month_of": "SELECT session_id, date, CAST(EXTRACT(month FROM date) AS BIGINT) AS month FROM sessions",
         "year_of": "SELECT date, dimension1, CAST(EXTRACT(year FROM date) AS BIGINT) AS year FROM traffic",
         "iso_week_monday": f"SELECT date, CITY, {wk('date')} AS isoweek, "
@@ -439,10 +390,10 @@ FROM traffic {{where}} GROUP BY dimension1"""
         "regex_prefix": f"SELECT dimension4, eventaction, {prefix('eventaction')} AS prefix FROM raw_events",
         "length_positive": f"SELECT dimension4, eventaction, {prefix('eventaction')} AS prefix FROM raw_events "
                            f"WHERE length({prefix('eventaction')}) > 0",
-        "round2": "SELECT date, CITY, CAST(ROUND(CAST(COSTS AS DECIMAL(18, 2)) * 0.5, 2) AS DOUBLE) AS half_cost "
+        "round2": "SELECT date, CITY, CAST(ROUND(CAST(COSTS AS DECIMAL(18, 4)) * 0.5, 2) AS DOUBLE) AS half_cost "
                   "FROM costs",
         "lower_contains": "SELECT date, eventlabel, contains(lower(eventlabel), 'serp') AS has_serp FROM banners",
-        "normalize_columns": "SELECT dateHourMinute AS datehourminute, dimension4, eventlabel, eventcategory, "
+        "normalize_columns": "SELECT date, dateHourMinute AS datehourminute, dimension4, eventlabel, eventcategory, "
                              "eventaction, pagepath, totalEvents AS totalevents, uniqueEvents AS uniqueevents, "
                              "users FROM raw_events",
         "parse_compact_date": "SELECT replace(date, '-', '') AS compact, eventlabel, "
@@ -470,18 +421,18 @@ FROM traffic {{where}} GROUP BY dimension1"""
         "filter_post_join_not_null": "SELECT session_id, user_id, eventlabel, totalEvents FROM sessions "
                                      "LEFT JOIN raw_events ON session_id = dimension4 WHERE eventlabel IS NOT NULL",
         "filter_positive": "SELECT * FROM costs WHERE COSTS > 0",
-        "filter_year": f"SELECT * FROM sessions WHERE EXTRACT(year FROM date) = {P.uniques_year}",
+        "filter_year": f"SELECT * FROM traffic WHERE EXTRACT(year FROM date) = {P.cost_week_year}",
         "having_positive": "SELECT dimension4, COUNT(DISTINCT eventlabel) AS labels FROM raw_events "
                            "GROUP BY dimension4 HAVING COUNT(DISTINCT eventlabel) > 0",
         "filter_tagged": f"SELECT *, {product('eventlabel')} AS product FROM banners "
                          f"WHERE {product('eventlabel')} IS NOT NULL",
-        "filter_null_week": "SELECT * FROM sessions WHERE user_id IS NOT NULL",
+        "filter_null_week": "SELECT * FROM banners WHERE isoweek IS NOT NULL",
         # joins
         "join_right_sessions_events": "SELECT session_id, user_id, eventlabel, totalEvents "
                                       "FROM (SELECT DISTINCT session_id, user_id FROM sessions) s "
                                       "RIGHT JOIN raw_events e ON s.session_id = e.dimension4 "
                                       "WHERE user_id IS NOT NULL",
-        "join_left_sessions_events": "SELECT date, session_id, utm_campaign, eventlabel, totalEvents FROM sessions "
+        "join_left_sessions_events": "SELECT sessions.date AS date, session_id, utm_campaign, eventlabel, totalEvents FROM sessions "
                                      "LEFT JOIN raw_events ON session_id = dimension4 WHERE eventlabel IS NOT NULL",
         "join_session_week": f"""
 SELECT e.isoweek AS isoweek, session_id, user_id, eventlabel, users
@@ -523,7 +474,7 @@ SELECT isoweek, product, action_type, card_serp, CAST(SUM(totalevents) AS BIGINT
 FROM (SELECT isoweek, CAST(totalevents AS BIGINT) AS totalevents, users, {product('eventlabel')} AS product,
              {action('eventlabel')} AS action_type, {location('eventlabel')} AS card_serp FROM banners) t
 WHERE product IS NOT NULL GROUP BY 1, 2, 3, 4""",
-        "agg_rounded_sum": "SELECT CITY, CAST(ROUND(SUM(CAST(COSTS AS DECIMAL(18, 2))), 2) AS DOUBLE) AS COST "
+        "agg_rounded_sum": "SELECT CITY, CAST(ROUND(SUM(CAST(COSTS AS DECIMAL(28, 10))), 2) AS DOUBLE) AS COST "
                            "FROM costs GROUP BY CITY",
         # sorts
         "sort_one_key": "SELECT * FROM costs ORDER BY date NULLS FIRST",
@@ -544,27 +495,52 @@ WHERE product IS NOT NULL GROUP BY 1, 2, 3, 4""",
                            f"COALESCE(MAX(CAST(date AS DATE)) + 1, {d(P.load_default_start)}) AS start_date, "
                            f"{d(P.load_today)} - 1 AS end_date FROM banners",
         "date_windows": windows_sql(P.window_step_days),
-        "report_pages": pages_sql(0),
-        "page_completeness": completeness_sql(3),
-        "quality_flag": quality_sql(0),
         "incremental_append": TARGET_SQL,
     }
     return b
 
 
-def publish_sql(bodies: dict[str, str]) -> str:
-    """Every destination with the row count of the report published there."""
+def publish_sql(bodies: dict[str, str], columns: dict[str, tuple[str, ...]]) -> str:
+    """Per published column the number of values, the total of the numbers
+    and the characters of the other values, as text."""
     from trafficlens.plans.registry import DESTINATIONS
 
-    return "\nUNION ALL\n".join(
-        f"SELECT {s_(name)} AS report_name, {s_(book)} AS workbook, {s_(sheet)} AS sheet, "
-        f"{s_(anchor)} AS anchor, COUNT(*) AS rows FROM ({bodies[name]}) AS r"
-        for name, (book, sheet, anchor) in DESTINATIONS.items())
+    ctes, parts = [], []
+    for name, (book, sheet, anchor) in DESTINATIONS.items():
+        ctes.append(f"p_{name} AS ({bodies[name]})")
+        for c in columns[name]:
+            text = f"CAST({c} AS VARCHAR)"
+            number = f"TRY_CAST({text} AS DOUBLE)"
+            parts.append(
+                f"SELECT {s_(name)} AS report_name, {s_(book)} AS workbook, {s_(sheet)} AS sheet, {s_(anchor)} AS anchor, "
+                f"{s_(c)} AS column_name, COUNT({c}) AS n_values, "
+                f"CAST(SUM(CAST({number} AS DECIMAL(28, 4))) AS DOUBLE) AS number_total, "
+                f"CAST(COALESCE(SUM(CASE WHEN {number} IS NULL THEN length({text}) END), 0) AS BIGINT) AS text_chars "
+                f"FROM p_{name}")
+    return "WITH " + ",\n".join(ctes) + "\n" + "\nUNION ALL\n".join(parts)
+
+
+# Columns of every published report, in order.
+PUBLISHED_COLUMNS: dict[str, tuple[str, ...]] = {
+    "report_phone_clicks": ("week", "totalEvents", "dimension1"),
+    "report_calls_by_campaign": ("week", "city", "eventlabel", "cpc_type", "tot_event", "u_event"),
+    "report_mortgage": ("isoweek", "city", "totalEvents", "dimension1"),
+    "report_claims": ("isoweek", "city", "totalEvents"),
+    "report_registrations": ("isoweek", "totalEvents"),
+    "report_registrations_section": ("isoweek", "totalEvents"),
+    "report_monthly_users": ("month", "uniqs"),
+    "report_deal_combined": ("isoweek", "od_us", "gd_us", "od_clicks", "gd_clicks"),
+    "report_weekly_cost": ("isoweek", "start_week", "CITY", "COST"),
+    "report_banners": ("isoweek", "product", "action_type", "card_serp", "bnrs", "un_users"),
+    "report_vas_by_action": ("isoweek", "eventaction", "rashlop"),
+    "report_retention": ("first_dt", "year", "New_per_week", *(f"week_{a}" for a in range(1, 53))),
+    "report_vas_by_city": ("isoweek", "city", "tot", "un"),
+}
 
 
 def oracle_sql() -> dict[str, str]:
     bodies = _bodies()
-    bodies["publish_registry"] = publish_sql(bodies)
+    bodies["publish_registry"] = publish_sql(bodies, PUBLISHED_COLUMNS)
     return {key: with_fixtures(body) for key, body in bodies.items()}
 
 

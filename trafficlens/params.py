@@ -16,9 +16,10 @@ from dataclasses import dataclass, field, replace
 # These strings must equal the reference's for equal results.
 # ---------------------------------------------------------------------------
 SECTION = "nedvizhimost"                     # landing-page section fragment
-TEST_HOST = "ohio8.vchecks.me"               # test traffic excluded by host
+TEST_HOST = "test.example"                   # test traffic excluded by host: set your own
 DIRECT_SOURCE = "(direct)"
 NO_MEDIUM = "(none)"
+NO_CAMPAIGN = "(no campaign)"                # type of sessions without a campaign
 NOT_AUTHORIZED = "not_authorized"
 PHONE_CLICK_LABELS = (
     "(ClCardSellPhoneClickTop|ClSerpSellSecondVasPhoneClick|ClCardSellPhoneClickBottom"
@@ -84,9 +85,9 @@ class ReportParams:
     # R11
     uniques_year: int = 2022
     # The reference dates each week in the current calendar year; here
-    # the year is explicit.
+    # the year must be given.
     cost_from: str = "2022-01-03"
-    cost_week_year: int = dt.date.today().year
+    cost_week_year: int | None = None
     # R13
     retention_after: str = "2021-08-09"
     retention_week52_year: int = 2021

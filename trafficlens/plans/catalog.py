@@ -7,6 +7,7 @@ matching DuckDB SQL lives in ``trafficlens.oracle`` under the same key.
 
 from __future__ import annotations
 
+import datetime as dt
 import threading
 from collections.abc import Callable
 from decimal import Decimal
@@ -27,11 +28,10 @@ from trafficlens.plans import reports as rp
 from trafficlens.plans.registry import publish_all
 from trafficlens.session import ensure_required_conf, scratch_path
 from trafficlens.sinks import writers
-from trafficlens.sources import fixtures, landing
+from trafficlens.sources import fixtures
 from trafficlens.sources.mart import Mart
-from trafficlens.sources.report_api import (flatten_report, page_completeness, quality_flag,
-                                            read_report_pages)
-from trafficlens.sources.schemas import LOADED_BANNERS
+from trafficlens.sources.report_api import flatten_report, read_report_pages
+from trafficlens.sources.schemas import LOADED_BANNERS, REPORT_PAGE
 from trafficlens.streaming import incremental as inc
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -95,88 +95,59 @@ def _scan_banners(spark, sf_dir):
     return flt.from_date(mart(spark, sf_dir).table("banners"), "date", P.banners_from)
 
 
-# ------------------------------------------------------------------ report API S8-S14
-def banner_api_rows(m: Mart, windows: DataFrame, p: ReportParams = P) -> DataFrame:
-    """The report API's answer for the banner request, derived from the
-    banner table: the label part of the request filter is applied (the test
-    table has no page path), dimensions as text, metrics summed per window."""
-    src = flt.filter_expr(m.table("banners"), [("eventlabel", "banner")])
-    dims = list(zip(p.banner_dimensions, [
-        F.col("isoweek"), F.date_format(cal.parse_iso_date("date"), "yyyyMMdd"),
-        F.col("eventlabel"), F.col("eventcategory"), F.col("eventaction"),
-    ]))
-    mets = list(zip(p.banner_metrics, [F.col("totalevents").cast("bigint"), F.col("users")]))
-    return landing.api_report_rows(src, windows, dims, mets, cal.parse_iso_date("date"))
-
-
-def banner_windows(m: Mart, extra_days: int = 0, p: ReportParams = P) -> DataFrame:
-    """Request windows over the banner table's date span (plus ``extra_days``
-    after its last date, which have no data)."""
+# ------------------------------------------------------------------ report API S9-S14
+def nested_banner_rows(m: Mart, first: str | None = None, last: str | None = None, p: ReportParams = P) -> DataFrame:
+    """Banner hits that pass the report request's filter, as response records:
+    one nested record per row, filed under its day. ``first`` / ``last`` bound the
+    days and prune the table's partitions."""
+    hits = m.table("banner_hits")
+    if first is not None:
+        hits = hits.where(F.col("date").between(first, last))
+    hits = flt.filter_expr(hits, flt.parse_filter_expression(p.banner_filter))
+    dims = [F.col("isoweek"), F.date_format(cal.parse_iso_date("date"), "yyyyMMdd"),
+            F.col("eventlabel"), F.col("eventcategory"), F.col("eventaction")]
+    mets = [F.col("totalevents"), F.col("users").cast("string")]
+    header = F.struct(
+        F.array(*map(F.lit, p.banner_dimensions)).alias("dimensions"),
+        F.struct(F.array(*[F.struct(F.lit(n).alias("name"), F.lit("INTEGER").alias("type")) for n in p.banner_metrics])
+                 .alias("metricHeaderEntries")).alias("metricHeader"))
+    row = F.struct(F.array(*dims).alias("dimensions"), F.array(F.struct(F.array(*mets).alias("values"))).alias("metrics"))
+    body = F.array(F.struct(header.alias("columnHeader"), F.struct(F.array(row).alias("rows")).alias("data")))
+    record = {"startDate": F.col("date"), "endDate": F.col("date"), "reports": body}
+    return hits.select(*[record[f.name].alias(f.name) for f in REPORT_PAGE.fields if f.name in record])
+
+
+def banner_windows(m: Mart, p: ReportParams = P) -> DataFrame:
+    """Request windows over the banner table's date span."""
     d = cal.parse_iso_date("date")
-    bounds = m.table("banners", ["date"]).agg(
-        F.min(d).alias("start_date"), F.date_add(F.max(d), extra_days).alias("end_date"))
+    bounds = m.table("banners", ["date"]).agg(F.min(d).alias("start_date"), F.max(d).alias("end_date"))
     return inc.windows_between(bounds, p.window_step_days)
 
 
-def banner_pages(m: Mart, windows: DataFrame, p: ReportParams = P, sampled: bool = False) -> DataFrame:
-    return landing.land_pages(banner_api_rows(m, windows, p), windows, p.banner_dimensions,
-                              p.banner_metrics, p.page_size, sampled=sampled)
-
-
-def landed_banner_pages(spark: SparkSession, sf_dir: str, extra_days: int = 0) -> DataFrame:
-    """Land the pages as JSON under the shared checkpoint folder and read them
-    back with the page reader (S8)."""
-    m = mart(spark, sf_dir)
-    path = scratch_path(spark, "landed-pages")
-    landing.write_pages(banner_pages(m, banner_windows(m, extra_days)), path)
-    return read_report_pages(spark, path)
-
-
-def _page_summary(pages: DataFrame) -> DataFrame:
-    body = F.col("reports")[0]["data"]
-    return pages.select("startDate", "endDate", "pageToken",
-                        body["rowCount"].alias("row_count"),
-                        F.greatest(F.coalesce(F.size(body["rows"]), F.lit(0)), F.lit(0)).cast("bigint")
-                        .alias("n_rows"))
-
-
-@query("report_pages")
-def _report_pages(spark, sf_dir):
-    return _page_summary(landed_banner_pages(spark, sf_dir))
-
-
 @query("flatten_report")
 def _flatten_report(spark, sf_dir):
-    flat = flatten_report(landed_banner_pages(spark, sf_dir), P.banner_dimensions, P.banner_metrics)
+    flat = flatten_report(nested_banner_rows(mart(spark, sf_dir)), P.banner_dimensions, P.banner_metrics)
     return cols.normalize_columns(flat, prefix="ga:")
 
 
 @query("flatten_report_empty")
 def _flatten_report_empty(spark, sf_dir):
-    """Windows run three days past the data: their pages carry no rows and
-    add nothing; the columns stay."""
-    flat = flatten_report(landed_banner_pages(spark, sf_dir, extra_days=3), P.banner_dimensions,
-                          P.banner_metrics)
+    """Records of days without rows carry no row list and add nothing; the
+    columns stay. Here every second day's rows are taken out."""
+    pages = nested_banner_rows(mart(spark, sf_dir))
+    body = F.col("reports")[0]
+    odd = F.day(cal.parse_iso_date("startDate")) % 2 == 1
+    emptied = F.array(F.struct(body["columnHeader"].alias("columnHeader"), F.struct(
+        F.when(~odd, body["data"]["rows"]).alias("rows")).alias("data")))
+    flat = flatten_report(pages.withColumn("reports", emptied), P.banner_dimensions, P.banner_metrics)
     return cols.normalize_columns(flat, prefix="ga:")
 
 
-@query("page_completeness")
-def _page_completeness(spark, sf_dir):
-    return page_completeness(landed_banner_pages(spark, sf_dir, extra_days=3))
-
-
-@query("quality_flag")
-def _quality_flag(spark, sf_dir):
-    return quality_flag(landed_banner_pages(spark, sf_dir))
-
-
 @query("report_union_windows")
 def _report_union_windows(spark, sf_dir):
-    """Each window's pages land in their own directory; one recursive read
-    unions them all."""
-    m = mart(spark, sf_dir)
+    """Each day's records land in their own folder; one read unions them all."""
     root = scratch_path(spark, "windows")
-    landing.write_pages(banner_pages(m, banner_windows(m)), root)
+    nested_banner_rows(mart(spark, sf_dir)).write.partitionBy("startDate").json(root)
     flat = flatten_report(read_report_pages(spark, root), P.banner_dimensions, P.banner_metrics)
     return cols.normalize_columns(flat, prefix="ga:")
 
@@ -194,19 +165,19 @@ def _banner_target(spark: SparkSession) -> str:
 
 @query("append_banners")
 def _append_banners(spark, sf_dir):
-    """The same load appended twice: the second write replaces the same date
-    partitions, so the table holds each row once."""
-    m = mart(spark, sf_dir)
+    """Two appends with different rows of the same dates: both stay."""
     target = _banner_target(spark)
-    rows = inc.typed_report_rows(banner_pages(m, banner_windows(m)), P.banner_dimensions, P.banner_metrics)
-    writers.append(rows, target)
-    writers.append(rows, target)
+    rows = inc.typed_report_rows(nested_banner_rows(mart(spark, sf_dir)), P.banner_dimensions, P.banner_metrics)
+    serp = F.lower("eventLabel").contains("serp")
+    writers.append(rows.where(serp), target)
+    writers.append(rows.where(~serp), target)
     return spark.read.schema(LOADED_BANNERS).parquet(target)
 
 
 @query("replace_temp_view")
 def _replace_temp_view(spark, sf_dir):
-    writers.as_view(mart(spark, sf_dir).table("banners"), "trafficlens_banner_view")
+    writers.as_view(mart(spark, sf_dir).table("sessions"), "trafficlens_banner_view")
+    writers.as_view(mart(spark, sf_dir).table("banners"), "trafficlens_banner_view")  # replaces the first
     return spark.sql("SELECT isoweek, eventlabel, users FROM trafficlens_banner_view WHERE users > 1")
 
 
@@ -236,14 +207,15 @@ def _cast_datetime(spark, sf_dir):
 
 @query("iso_week")
 def _iso_week(spark, sf_dir):
-    ev = mart(spark, sf_dir).table("raw_events", ["dimension4", "dateHourMinute"])
-    return ev.select("dimension4", "dateHourMinute", cal.iso_week("dateHourMinute").alias("isoweek"))
+    t = mart(spark, sf_dir).table("traffic", ["date", "dimension1"])  # several years
+    return t.select("date", "dimension1", cal.iso_week("date").alias("isoweek"))
 
 
 @query("iso_week_pd")
 def _iso_week_pd(spark, sf_dir):
-    b = mart(spark, sf_dir).table("banners", ["date", "eventlabel"])
-    return b.select("date", "eventlabel", cal.iso_week(cal.parse_iso_date("date")).alias("week"))
+    c = mart(spark, sf_dir).table("costs", ["date", "CITY"])
+    text = F.col("date").cast("string")
+    return c.select(text.alias("date"), "CITY", cal.iso_week(cal.parse_iso_date(text)).alias("week"))
 
 
 @query("month_of")
@@ -304,7 +276,7 @@ def _length_positive(spark, sf_dir):
 @query("round2")
 def _round2(spark, sf_dir):
     c = mart(spark, sf_dir).table("costs", ["date", "CITY", "COSTS"])
-    half = c["COSTS"].cast("decimal(18,2)") * F.lit(Decimal("0.5"))
+    half = c["COSTS"].cast("decimal(18,4)") * F.lit(Decimal("0.5"))
     return c.select("date", "CITY", cols.round2(half).cast("double").alias("half_cost"))
 
 
@@ -424,7 +396,7 @@ def _filter_positive(spark, sf_dir):
 
 @query("filter_year")
 def _filter_year(spark, sf_dir):
-    return flt.in_year(mart(spark, sf_dir).table("sessions"), "date", P.uniques_year)
+    return flt.in_year(mart(spark, sf_dir).table("traffic"), "date", P.cost_week_year)
 
 
 @query("having_positive")
@@ -442,7 +414,7 @@ def _filter_tagged(spark, sf_dir):
 
 @query("filter_null_week")
 def _filter_null_week(spark, sf_dir):
-    return flt.not_null(mart(spark, sf_dir).table("sessions"), "user_id")
+    return flt.not_null(mart(spark, sf_dir).table("banners"), "isoweek")
 
 
 # ------------------------------------------------------------------ joins J1-J5
@@ -599,16 +571,22 @@ def _tag_geo(spark, sf_dir):
 
 
 def calls_day_grain(m: Mart, p: ReportParams = P) -> DataFrame:
-    """R2's first stage: the warehouse query at day grain."""
+    """R2's first stage: the warehouse query at day grain. Both sides are cut to
+    the grain of the result before they meet: sessions to their row count ``n``
+    per (session, date, campaign), events to sums per (session, city, page, label)."""
     tr = flt.from_date(m.table("sessions", ["date", "utm_campaign", "session_id"]), "date", p.start_date)
-    ev = m.table("raw_events", ["dateHourMinute", "pagepath", "eventlabel", "uniqueEvents", "totalEvents",
+    tr = rp.session_multiplicity(tr, "date", "utm_campaign")
+    ev = m.table("raw_events", ["date", "dateHourMinute", "pagepath", "eventlabel", "uniqueEvents", "totalEvents",
                                 "dimension4"])
     ev = flt.regex_any(flt.from_date(ev, "dateHourMinute", p.start_date), "eventlabel", p.call_labels)
+    ev = ev.groupBy("dimension4", "pagepath", "eventlabel").agg(
+        F.sum("uniqueEvents").alias("uniqueEvents"), F.sum("totalEvents").alias("totalEvents"))
     joined = jn.join_events(tr, ev, how="left", require="eventlabel")
+    n = F.col("n")
     return joined.groupBy("date", tag.city_bucket("pagepath", "0").alias("city"), "pagepath", "eventlabel",
                           "utm_campaign").agg(
-        agg.sum_as_bigint("uniqueEvents").alias("uniqueEvents"),
-        agg.sum_as_bigint("totalEvents").alias("totalEvents"))
+        agg.sum_as_bigint(n * F.col("uniqueEvents")).alias("uniqueEvents"),
+        agg.sum_as_bigint(n * F.col("totalEvents")).alias("totalEvents"))
 
 
 @query("purify_calls")
@@ -640,15 +618,12 @@ def _incremental_append(spark, sf_dir):
     m = mart(spark, sf_dir)
     target = _banner_target(spark)
 
-    def fetch(windows: DataFrame) -> DataFrame:
-        return banner_pages(m, windows)
+    def fetch(windows: DataFrame, first: dt.date, last: dt.date) -> DataFrame:
+        return nested_banner_rows(m, first.isoformat(), last.isoformat())
 
-    common = dict(dimensions=P.banner_dimensions, metrics=P.banner_metrics, step=P.window_step_days,
-                  target_schema=LOADED_BANNERS)
-    inc.incremental_append(spark, target, fetch, default_start=P.load_default_start,
-                           today=TESTDATA_LOADED_UNTIL, **common)
-    inc.incremental_append(spark, target, fetch, default_start=P.load_default_start,
-                           today=P.load_today, **common)
+    for today in (TESTDATA_LOADED_UNTIL, P.load_today):
+        inc.incremental_append(spark, target, fetch, P.banner_dimensions, P.banner_metrics,
+                               default_start=P.load_default_start, today=today, step=P.window_step_days)
     return spark.read.schema(LOADED_BANNERS).parquet(target)
 
 

@@ -1,17 +1,18 @@
 """Run-and-publish registry.
 
-Every published report has a destination: (workbook, sheet, anchor cell) in
-the reference's spreadsheets. Here each destination is one output directory
-holding the report as a CSV with a header row, overwritten on every run (a
-cell-range update would leave stale trailing rows behind; an overwrite does
-not).
+Every published report has a destination: (workbook, sheet, anchor cell). Here
+each destination is one output directory holding the report as CSV with a
+header row. A run computes all reports into a staging folder first and then
+switches every destination, so a report that fails leaves all old ones in place.
 """
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trafficlens.params import ReportParams
@@ -20,37 +21,45 @@ from trafficlens.session import scratch_path
 from trafficlens.sinks.writers import read_matrix, write_matrix
 from trafficlens.sources.mart import Mart
 
-# ---------------------------------------------------------------------------
-# The reference's publish destinations (workbook, sheet, anchor).
-# ---------------------------------------------------------------------------
-TRAFFIC_BOOK = ("1. РК Траффик 2022 Total", "source_all")
+# Neutral default destinations (workbook, sheet, anchor); pass your own mapping.
 DESTINATIONS: dict[str, tuple[str, str, str]] = {
-    "report_phone_clicks": (*TRAFFIC_BOOK, "U2"),
-    "report_calls_by_campaign": (*TRAFFIC_BOOK, "BB2"),
-    "report_mortgage": (*TRAFFIC_BOOK, "CA2"),
-    "report_claims": (*TRAFFIC_BOOK, "CE2"),
-    "report_registrations": (*TRAFFIC_BOOK, "CH2"),
-    "report_registrations_section": (*TRAFFIC_BOOK, "CJ2"),
-    "report_monthly_users": (*TRAFFIC_BOOK, "AV2"),
-    "report_deal_combined": (*TRAFFIC_BOOK, "AF2"),
-    "report_weekly_cost": (*TRAFFIC_BOOK, "BO2"),
-    "report_banners": (*TRAFFIC_BOOK, "Y2"),
-    "report_vas_by_action": ("VAS. Расчет по звонкам", "Расхлопы", "A1"),
-    "report_retention": ("Retention УП 2022", "main", "A1"),
-    "report_vas_by_city": (*TRAFFIC_BOOK, "BT2"),
+    "report_phone_clicks": ("traffic", "source", "U2"),
+    "report_calls_by_campaign": ("traffic", "source", "BB2"),
+    "report_mortgage": ("traffic", "source", "CA2"),
+    "report_claims": ("traffic", "source", "CE2"),
+    "report_registrations": ("traffic", "source", "CH2"),
+    "report_registrations_section": ("traffic", "source", "CJ2"),
+    "report_monthly_users": ("traffic", "source", "AV2"),
+    "report_deal_combined": ("traffic", "source", "AF2"),
+    "report_weekly_cost": ("traffic", "source", "BO2"),
+    "report_banners": ("traffic", "source", "Y2"),
+    "report_vas_by_action": ("calls", "source", "A1"),
+    "report_retention": ("retention", "main", "A1"),
+    "report_vas_by_city": ("traffic", "source", "BT2"),
 }
-# ---------------------------------------------------------------------------
+Destinations = Mapping[str, tuple[str, str, str]]
 
 
 def publish(report_name: str, df: DataFrame, root: str) -> str:
-    """K4: write one report to its destination directory; returns the path."""
-    if report_name not in DESTINATIONS:
-        raise KeyError(f"no destination for {report_name}")
+    """K4: write one report under ``root``; returns the path."""
     path = f"{root.rstrip('/')}/{report_name}"
     write_matrix(df, path, rp.REPORT_ORDER.get(report_name, ()))
     return path
 
 
+def switch(spark: SparkSession, staged: str, root: str, names: list[str]) -> None:
+    """Move every staged report to its destination, in place of the old one."""
+    jvm = spark.sparkContext._jvm
+    to_path = jvm.org.apache.hadoop.fs.Path
+    fs = to_path(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(to_path(root))
+    for name in names:
+        fs.delete(to_path(f"{root}/{name}"), True)
+        if not fs.rename(to_path(f"{staged}/{name}"), to_path(f"{root}/{name}")):
+            raise OSError(f"could not publish {name}; its staged output is in {staged}")
+    fs.delete(to_path(staged), True)
+
+
 def shared_event_table(mart: Mart, params: ReportParams) -> Mart:
     """The mart with ``raw_events`` replaced by the rows any report reads
     (``report_events``), written once as a table in the shared checkpoint
@@ -59,24 +68,41 @@ def shared_event_table(mart: Mart, params: ReportParams) -> Mart:
     subset = rp.report_events(mart, params)
     spark = subset.sparkSession
     path = scratch_path(spark, "report-events")
-    subset.write.mode("overwrite").parquet(path)
+    subset.hint("rebalance", "date").write.partitionBy("date").parquet(path)
     return mart.with_table("raw_events", spark.read.schema(subset.schema).parquet(path))
 
 
-def publish_all(mart: Mart, params: ReportParams, root: str, share_events: bool = True) -> DataFrame:
-    """Compute and publish every report with a destination; returns
-    ``(report_name, workbook, sheet, anchor, rows)`` read back from the
-    published files. ``share_events``: scan the event table once for all
-    reports (``shared_event_table``)."""
+def publish_all(mart: Mart, params: ReportParams, root: str, share_events: bool = True,
+                destinations: Destinations = DESTINATIONS) -> DataFrame:
+    """Compute every report with a destination into a staging folder beside
+    the destinations, then publish them all. Returns what was published, read
+    back: ``report_name, workbook, sheet, anchor, column_name, n_values,
+    number_total, text_chars`` (``published_values``). ``share_events``: scan the
+    event table once for all reports (``shared_event_table``)."""
+    root = root.rstrip("/")
     if share_events:
         mart = shared_event_table(mart, params)
-    spark = None
-    summaries = []
-    for name, (book, sheet, anchor) in DESTINATIONS.items():
-        df = rp.REPORTS[name](mart, params)
-        spark = df.sparkSession
-        path = publish(name, df, root)
-        summaries.append(read_matrix(spark, path).agg(F.count(F.lit(1)).cast("bigint").alias("rows"))
-                         .select(F.lit(name).alias("report_name"), F.lit(book).alias("workbook"),
-                                 F.lit(sheet).alias("sheet"), F.lit(anchor).alias("anchor"), "rows"))
-    return reduce(DataFrame.unionByName, summaries)
+    staged = f"{root}/.staging-{uuid.uuid4().hex}"
+    frames = {name: rp.REPORTS[name](mart, params) for name in destinations}
+    for name, df in frames.items():
+        publish(name, df, staged)
+    spark = next(iter(frames.values())).sparkSession
+    switch(spark, staged, root, list(frames))
+    return reduce(DataFrame.unionByName, [
+        published_values(read_matrix(spark, f"{root}/{name}"), name, destinations[name]) for name in frames])
+
+
+def published_values(report: DataFrame, name: str, destination: tuple[str, str, str]) -> DataFrame:
+    """One row a column of a published report: how many values it has, the total
+    of those that are numbers and the characters of those that are not."""
+    cells = report.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in report.columns]))
+        .alias("c")).select("c.column_name", "c.value")
+    number = F.col("value").try_cast("double")
+    book, sheet, anchor = destination
+    return cells.groupBy("column_name").agg(
+        F.count("value").cast("bigint").alias("n_values"),
+        F.sum(number.cast("decimal(28,4)")).cast("double").alias("number_total"),
+        F.coalesce(F.sum(F.when(number.isNull(), F.length("value"))), F.lit(0)).cast("bigint").alias("text_chars"),
+    ).select(F.lit(name).alias("report_name"), F.lit(book).alias("workbook"), F.lit(sheet).alias("sheet"),
+             F.lit(anchor).alias("anchor"), "column_name", "n_values", "number_total", "text_chars")

@@ -33,7 +33,7 @@ from trafficlens.operators.aggregates import (distinct_count, rounded_sum, secon
 from trafficlens.operators.cleanup import purify_banners
 from trafficlens.operators.joins import combine_stacked, join_events, stack_columns
 from trafficlens.operators.retention import retention_matrix
-from trafficlens.params import DIRECT_SOURCE, NO_MEDIUM, NOT_AUTHORIZED, ReportParams
+from trafficlens.params import DIRECT_SOURCE, NO_CAMPAIGN, NO_MEDIUM, NOT_AUTHORIZED, ReportParams
 from trafficlens.sinks.writers import as_view
 from trafficlens.sources.mart import Mart
 
@@ -60,7 +60,7 @@ def report_phone_clicks(mart: Mart, p: ReportParams) -> DataFrame:
     tr = flt.not_equal(tr, "utm_source", DIRECT_SOURCE)
     tr = tr.select("session_id", "user_id").distinct()
 
-    ev = mart.table("raw_events", ["dateHourMinute", "dimension4", "eventlabel", "totalEvents"])
+    ev = mart.table("raw_events", ["date", "dateHourMinute", "dimension4", "eventlabel", "totalEvents"])
     ev = flt.regex_any(ev, "eventlabel", p.phone_click_labels)
     ev = flt.from_date(ev, "dateHourMinute", p.start_date)
     ev = flt.url_excludes(ev, "eventlabel", p.phone_click_excluded)
@@ -84,13 +84,13 @@ def report_calls_by_campaign(mart: Mart, p: ReportParams) -> DataFrame:
     de-duplicated by the reference, so each session row multiplies the event
     sums; both sides are pre-aggregated to the report grain first (sessions to
     (session, week, campaign type) with their row count ``n``), and the sums
-    are taken of ``n * value``. pandas drops NULL group keys (a NULL campaign
-    gives a NULL type), so does this.
+    are taken of ``n * value``. The reference stops at a NULL campaign; here
+    such sessions have the type ``NO_CAMPAIGN``, so none of their calls is lost.
     Columns: week, city, eventlabel, cpc_type, tot_event, u_event.
     """
     tr = flt.from_date(mart.table("sessions", ["date", "utm_campaign", "session_id"]), "date", p.start_date)
-    tr = session_multiplicity(tr, iso_week("date").alias("week"), campaign_type("utm_campaign").alias("cpc_type"))
-    ev = mart.table("raw_events", ["dateHourMinute", "pagepath", "eventlabel", "uniqueEvents",
+    tr = session_multiplicity(tr, iso_week("date").alias("week"), F.coalesce(campaign_type("utm_campaign"), F.lit(NO_CAMPAIGN)).alias("cpc_type"))
+    ev = mart.table("raw_events", ["date", "dateHourMinute", "pagepath", "eventlabel", "uniqueEvents",
                                    "totalEvents", "dimension4"])
     ev = flt.from_date(ev, "dateHourMinute", p.start_date)
     ev = flt.regex_any(ev, "eventlabel", p.call_labels)
@@ -109,7 +109,7 @@ def report_calls_by_campaign(mart: Mart, p: ReportParams) -> DataFrame:
 def report_vas_by_action(mart: Mart, p: ReportParams) -> DataFrame:
     """Weekly expanded-phone events by action prefix (text before ``_``).
     Columns: isoweek, eventaction, rashlop."""
-    ev = mart.table("raw_events", ["dateHourMinute", "eventlabel", "eventaction", "totalEvents"])
+    ev = mart.table("raw_events", ["date", "dateHourMinute", "eventlabel", "eventaction", "totalEvents"])
     ev = flt.equals_any(ev, "eventlabel", p.vas_labels)
     ev = flt.from_ts(ev, "dateHourMinute", p.vas_from_ts)
     prefix = regex_prefix("eventaction")
@@ -134,7 +134,7 @@ def report_mortgage(mart: Mart, p: ReportParams) -> DataFrame:
     (session, week, user). Columns: isoweek, city, totalEvents, dimension1."""
     tr = _section_sessions(mart, p, ["date", "landingpage", "session_id", "user_id"], True, True)
     tr = session_multiplicity(tr, iso_week("date").alias("isoweek"), "user_id")
-    ev = mart.table("raw_events", ["dateHourMinute", "dimension4", "eventlabel", "pagepath", "totalEvents"])
+    ev = mart.table("raw_events", ["date", "dateHourMinute", "dimension4", "eventlabel", "pagepath", "totalEvents"])
     ev = flt.from_ts(ev, "dateHourMinute", p.lead_from_ts)
     ev = flt.regex_any(ev, "eventlabel", p.mortgage_labels)
     ev = (ev.groupBy("dimension4", city_bucket("pagepath", "REG").alias("city"))
@@ -153,7 +153,7 @@ def report_claims(mart: Mart, p: ReportParams) -> DataFrame:
     tr = _section_sessions(mart, p, ["date", "landingpage", "session_id"], True, False)
     tr = session_multiplicity(tr, iso_week("date").alias("isoweek"),
                               city_bucket("landingpage", "REG").alias("city"))
-    ev = mart.table("raw_events", ["dateHourMinute", "dimension4", "eventlabel", "totalEvents"])
+    ev = mart.table("raw_events", ["date", "dateHourMinute", "dimension4", "eventlabel", "totalEvents"])
     ev = flt.from_ts(ev, "dateHourMinute", p.lead_from_ts)
     ev = flt.regex_any(ev, "eventlabel", p.claim_labels)
     ev = ev.groupBy("dimension4").agg(F.sum("totalEvents").alias("totalEvents"))
@@ -166,7 +166,7 @@ def _registrations(mart: Mart, p: ReportParams, section: bool) -> DataFrame:
     cols = ["date", "landingpage", "session_id"]
     tr = _section_sessions(mart, p, cols, section, True)
     tr = session_multiplicity(tr, iso_week("date").alias("isoweek"))
-    ev = mart.table("raw_events", ["dateHourMinute", "dimension4", "eventlabel", "eventcategory",
+    ev = mart.table("raw_events", ["date", "dateHourMinute", "dimension4", "eventlabel", "eventcategory",
                                    "pagepath", "totalEvents"])
     ev = flt.from_ts(ev, "dateHourMinute", p.registration_from_ts)
     ev = flt.regex_any(ev, "eventlabel", p.registration_labels)
@@ -208,7 +208,7 @@ def weekly_label_clicks(mart: Mart, p: ReportParams, labels: dict[str, str]) ->
     tr = tr.select(iso_week("date").alias("isoweek"), "landingpage", "session_id", "user_id").distinct()
     # the distinct rows only matter as a multiplicity per (week, session)
     tr = session_multiplicity(tr, "isoweek")
-    ev = mart.table("raw_events", ["dateHourMinute", "dimension4", "eventlabel", "users"])
+    ev = mart.table("raw_events", ["date", "dateHourMinute", "dimension4", "eventlabel", "users"])
     ev = flt.from_ts(ev, "dateHourMinute", p.deal_from_ts)
     ev = ev.where(_any_match("eventlabel", labels.values()))
     per_label = []
@@ -251,7 +251,7 @@ def weekly_page_users(mart: Mart, p: ReportParams, pages: dict[str, str]) -> Dat
     also serves the semi-join. Distinct users per week are then a
     (week, user) aggregate and a sum of flags.
     """
-    views = mart.table("page_views", ["dateHourMinute", "dimension4", "pagepath"])
+    views = mart.table("page_views", ["date", "dateHourMinute", "dimension4", "pagepath"])
     views = flt.from_ts(views, "dateHourMinute", p.deal_from_ts)
     views = views.where(_any_match("pagepath", pages.values()))
     views = views.groupBy(F.col("dateHourMinute").cast("date").alias("date"), "dimension4").agg(
@@ -330,6 +330,8 @@ def report_monthly_users(mart: Mart, p: ReportParams) -> DataFrame:
 def report_weekly_cost(mart: Mart, p: ReportParams) -> DataFrame:
     """Weekly positive cost per city with the Monday of the week (in
     ``cost_week_year``). Columns: isoweek, start_week, CITY, COST."""
+    if p.cost_week_year is None:
+        raise ValueError("cost_week_year: the year that dates the weeks must be given")
     c = mart.table("costs", ["date", "CITY", "COSTS"])
     c = flt.positive(c, "COSTS")
     c = flt.from_date(c, "date", p.cost_from)
@@ -346,6 +348,8 @@ def report_retention(mart: Mart, p: ReportParams) -> DataFrame:
     t = mart.table("traffic", ["date", "dimension1", "landingpagepath"])
     t = flt.url_contains(t, "landingpagepath", p.section)
     t = flt.after_date(t, "date", p.retention_after)
+    if p.retention_max_age < 52:
+        raise ValueError("retention_max_age below 52 would drop cohort ages")
     return retention_matrix(t, p.retention_week52_year, p.retention_max_age)
 
 
@@ -381,7 +385,7 @@ def report_banners(mart: Mart, p: ReportParams, view_name: str | None = None) ->
 def report_vas_by_city(mart: Mart, p: ReportParams) -> DataFrame:
     """Weekly expanded-phone events by city, total and unique.
     Columns: isoweek, city, tot, un."""
-    ev = mart.table("raw_events", ["dateHourMinute", "eventlabel", "pagepath", "totalEvents", "uniqueEvents"])
+    ev = mart.table("raw_events", ["date", "dateHourMinute", "eventlabel", "pagepath", "totalEvents", "uniqueEvents"])
     ev = flt.from_date(ev, "dateHourMinute", p.vas_city_from)
     ev = flt.regex_any(ev, "eventlabel", p.vas_city_labels)
     return ev.groupBy(_event_week().alias("isoweek"), city_bucket("pagepath", "REG").alias("city")).agg(

@@ -1,29 +1,35 @@
 """Sinks (K1-K4).
 
-Writes are idempotent so a retried job (lost executor, re-run) leaves the same
-table: appends use dynamic partition overwrite on ``date``, so re-loading a
-window replaces that window's partitions instead of duplicating them, and
-published reports overwrite their directory.
+``append`` adds rows, as the reference's table write does. ``replace_dates`` is
+the form for loads that may be repeated: re-loading a window replaces that
+window's dates instead of duplicating them.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
 def append(df: DataFrame, path: str, partition_by: Sequence[str] = ("date",)) -> None:
-    """K1: add new rows to a persisted table, partitioned by ``partition_by``.
+    """K1: add rows to a persisted table, partitioned by ``partition_by``; all
+    rows that are there stay.
 
-    Only the partitions present in ``df`` are (re)written; all others are kept
-    (``partitionOverwriteMode=dynamic``). Rows are clustered by the partition
-    columns with a ``REBALANCE`` hint, so each task writes few files while AQE
-    splits a hot date (one date holding a large share of the rows) over
-    several tasks instead of one.
+    Rows are clustered by the partition columns with a ``REBALANCE`` hint, so
+    each task writes few files while AQE splits a hot date (one date holding a
+    large share of the rows) over several tasks instead of one.
     """
     cols = list(partition_by)
+    df.hint("rebalance", *cols).write.mode("append").partitionBy(*cols).parquet(path)
+
+
+def replace_dates(df: DataFrame, path: str, partition_by: Sequence[str] = ("date",)) -> None:
+    """Write ``df`` in place of the partitions it has rows for; all others are
+    kept (dynamic partition overwrite). A repeated load leaves the same table.
+    Rows without a partition value are refused by the load before they get here."""
+    cols = list(partition_by)
     (df.hint("rebalance", *cols).write
        .option("partitionOverwriteMode", "dynamic")
        .mode("overwrite")
@@ -43,21 +49,24 @@ def report_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFr
 
 
 def write_matrix(df: DataFrame, path: str, order: Sequence[str] = ()) -> None:
-    """Write a report as one CSV with a header row, rows in ``order``.
+    """Write a report as CSV with a header row, rows in ``order``.
 
-    Reports are weekly/monthly aggregates (tens to thousands of rows); the
-    aggregate itself runs distributed, then its few rows move to one task
-    (one small exchange) and are sorted there -- the published matrix is a
-    single file. Without ``order`` the frame must already be sorted, and its
-    partitions are concatenated in order.
+    The rows are range-partitioned by ``order``, so a long report is sorted by
+    several tasks and its part files follow one another; a short one (the usual
+    case) ends up as one file. Without ``order`` the frame must already be sorted.
     """
     out = report_matrix(df)
+    out = out.withColumns({name: plain_number(F.col(name)) for name, kind in out.dtypes if kind == "double"})
     if order:
-        out = out.repartition(1).sortWithinPartitions(*[F.col(c).asc_nulls_first() for c in order])
-    else:
-        out = out.coalesce(1)
+        out = out.orderBy(*[F.col(c).asc_nulls_first() for c in order])
     out.write.mode("overwrite").option("header", True).option("nullValue", "").csv(path)
 
 
+def plain_number(c: Column) -> Column:
+    """A double as plain decimal text (no exponent), up to ten decimals."""
+    text = c.cast("decimal(38,10)").cast("string")
+    return F.regexp_replace(text, r"\.?0+$", "")
+
+
 def read_matrix(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("header", True).csv(path)

@@ -19,7 +19,7 @@ FIXTURE_SQL: dict[str, str] = {
 SELECT ts, user_id, event_type, CAST(regexp_extract(props, '([0-9]+)', 1) AS BIGINT) AS k FROM {events}
 """,
     "raw_events": """
-SELECT ts AS dateHourMinute,
+SELECT CAST(ts AS DATE) AS date, ts AS dateHourMinute,
   CASE WHEN k=99 THEN NULL ELSE CAST(user_id*100 + EXTRACT(day FROM ts) AS STRING) END AS dimension4,
   CASE WHEN event_type='click' AND k%5=0 THEN 'ClCardSellPhoneClickTop'
        WHEN event_type='click' AND k%5=1 THEN 'ClSerpSellSecondVasPhoneClick'
@@ -45,10 +45,10 @@ SELECT date, CAST(user_id*100 + EXTRACT(day FROM date) AS STRING) AS session_id,
   CASE WHEN user_id%11=0 THEN NULL ELSE CAST(user_id AS STRING) END AS user_id,
   CASE WHEN user_id%4=0 THEN 'https://h.example/about' WHEN user_id%4=1 THEN 'https://h.example/moskva/nedvizhimost'
        WHEN user_id%4=2 THEN 'https://h.example/leningradskaya-oblast/nedvizhimost'
-       ELSE 'https://ohio8.vchecks.me/nedvizhimost' END AS landingpage,
+       ELSE 'https://test.example/nedvizhimost' END AS landingpage,
   CASE WHEN user_id%5=0 THEN '(direct)' ELSE 'google' END AS utm_source,
   CASE WHEN user_id%6=0 THEN '(none)' ELSE 'cpc' END AS utm_medium,
-  CASE WHEN user_id%7=0 THEN '(not set)' WHEN user_id%7=1 THEN 'second_msk' WHEN user_id%7=2 THEN 'new-building_spb'
+  CASE WHEN user_id%19=0 THEN NULL WHEN user_id%7=0 THEN '(not set)' WHEN user_id%7=1 THEN 'second_msk' WHEN user_id%7=2 THEN 'new-building_spb'
        WHEN user_id%7=3 THEN 'second_new-building' ELSE 'brand' END AS utm_campaign
 FROM {s0}
 UNION ALL
@@ -57,7 +57,7 @@ SELECT date, CAST(user_id*100 + EXTRACT(day FROM date) AS STRING), CAST(user_id+
 FROM {s0} WHERE user_id%13=0
 """,
     "page_views": """
-SELECT ts AS dateHourMinute, CAST(user_id*100 + EXTRACT(day FROM ts) AS STRING) AS dimension4,
+SELECT CAST(ts AS DATE) AS date, ts AS dateHourMinute, CAST(user_id*100 + EXTRACT(day FROM ts) AS STRING) AS dimension4,
   CASE WHEN k%3=0 THEN '/services/deal/x' WHEN k%3=1 THEN '/guaranteed-deal' ELSE '/other' END AS pagepath
 FROM {ev0} WHERE event_type='view'
 """,
@@ -71,20 +71,26 @@ SELECT CAST(o_orderdate AS DATE) AS date,
   CASE WHEN o_custkey%10=0 THEN NULL ELSE CAST(o_custkey AS STRING) END AS dimension1,
   CASE WHEN o_orderkey%7=0 THEN '/x' ELSE '/nedvizhimost' END AS landingpagepath
 FROM {orders}
-WHERE o_orderdate >= TIMESTAMP '1995-08-09 00:00:00' AND o_orderdate < TIMESTAMP '1996-07-01 00:00:00'
 """,
     "costs": """
 SELECT CAST(o_orderdate AS DATE) AS date, c_mktsegment AS CITY,
-  CASE WHEN o_orderkey%9=0 THEN 0.0 ELSE o_totalprice END AS COSTS
-FROM {orders} JOIN {customer} ON o_custkey=c_custkey WHERE EXTRACT(year FROM o_orderdate)=1996
+  CASE WHEN o_orderkey%9=0 THEN CAST(0 AS DOUBLE)
+       ELSE CAST(CAST(o_totalprice AS DECIMAL(18,2)) + CAST(o_orderkey%97 AS DECIMAL(18,0)) * 0.0001 AS DOUBLE) END AS COSTS
+FROM {orders} JOIN {customer} ON o_custkey=c_custkey
 """,
-    "banners": """
-SELECT lpad(CAST(EXTRACT(week FROM ts) AS STRING),2,'0') AS isoweek, CAST(CAST(ts AS DATE) AS STRING) AS date,
+    "banner_hits": """
+SELECT CASE WHEN k%23=0 THEN NULL ELSE lpad(CAST(EXTRACT(week FROM ts) AS STRING),2,'0') END AS isoweek,
+  CAST(CAST(ts AS DATE) AS STRING) AS date,
   CASE WHEN k%6=0 THEN 'Banner_SERP_protection_click' WHEN k%6=1 THEN 'banner_card_onlinebuy_view'
        WHEN k%6=2 THEN 'banner_guarantee_lk' WHEN k%6=3 THEN 'banner_onlinebuy_serp_view_click'
        WHEN k%6=4 THEN 'banner_card_other_click' ELSE 'banner_onlinebuy_guarantee_card_view' END AS eventlabel,
-  'c' AS eventcategory, event_type AS eventaction, CAST(1+k%3 AS STRING) AS totalevents, 1+k%2 AS users
+  'c' AS eventcategory, event_type AS eventaction, CAST(1+k%3 AS STRING) AS totalevents, 1+k%2 AS users,
+  CASE WHEN user_id%3=0 THEN '/moskva/nedvizhimost' WHEN user_id%3=1 THEN '/blog/x' ELSE '/nedvizhimost/list' END
+    AS pagepath
 FROM {ev0}
+""",
+    "banners": """
+SELECT isoweek, date, eventlabel, eventcategory, eventaction, totalevents, users FROM {banner_hits}
 """,
 }
 
@@ -98,10 +104,11 @@ FIXTURE_DEPS: dict[str, tuple[str, ...]] = {
     "users_dim": ("s0",),
     "traffic": ("orders",),
     "costs": ("orders", "customer"),
-    "banners": ("ev0",),
+    "banner_hits": ("ev0",),
+    "banners": ("banner_hits",),
 }
 
-LOGICAL = ("sessions", "raw_events", "page_views", "users_dim", "traffic", "costs", "banners")
+LOGICAL = ("sessions", "raw_events", "page_views", "users_dim", "traffic", "costs", "banners", "banner_hits")
 
 
 def read_base(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -1,7 +1,7 @@
 """The mart: logical table name -> DataFrame, with schemas checked at read.
 
-Production layout: one parquet directory per table under a root (``date``
-partitioned where the table has one, so date bounds prune files). Tests and
+Production layout: one parquet directory per table under a root, partitioned or
+sorted by ``date``, so date bounds prune files. Tests and
 the driver use ``Mart.from_testdata``, which derives the same tables from the
 generated parquet files.
 """
@@ -16,10 +16,12 @@ from pyspark.sql import DataFrame, SparkSession
 from trafficlens.sources import fixtures
 from trafficlens.sources.schemas import TABLES, check_schema
 
-# Storage layout of the mart: tables with a calendar date are partitioned by it.
-PARTITION_COLUMNS: dict[str, str] = {
-    "sessions": "date", "users_dim": "date", "traffic": "date", "costs": "date", "banners": "date",
-}
+# Storage layout of the mart: tables with many rows a day are partitioned by the
+# calendar date. The two tables with few rows a day are range-partitioned and
+# sorted by date instead, so that a date bound skips files and row groups by
+# their statistics without a folder for each day.
+SORTED_COLUMNS: dict[str, str] = {"traffic": "date", "costs": "date"}
+PARTITION_COLUMNS: dict[str, str] = {name: "date" for name in TABLES if name not in SORTED_COLUMNS}
 
 
 class Mart:
@@ -40,16 +42,19 @@ class Mart:
     @classmethod
     def written(cls, spark: SparkSession, frames: Mapping[str, DataFrame], root: str) -> "Mart":
         """Write ``frames`` as the production layout under ``root`` (one parquet
-        directory per table, ``date``-partitioned where the table has one) and
-        read them back: later queries scan stored tables, with partition
-        pruning and no lineage back to the derivation."""
+        directory per table, partitioned or sorted by ``date``) and read them
+        back: later queries scan stored tables, with pruning and no lineage
+        back to the derivation."""
         root = root.rstrip("/")
 
         def write(name: str) -> None:
             df = check_schema(frames[name], name)
-            part = PARTITION_COLUMNS.get(name)
-            writer = (df.hint("rebalance", part) if part else df).write.mode("overwrite")
-            (writer.partitionBy(part) if part else writer).parquet(f"{root}/{name}")
+            part, order = PARTITION_COLUMNS.get(name), SORTED_COLUMNS.get(name)
+            if part:
+                df.hint("rebalance", part).write.mode("overwrite").partitionBy(part).parquet(f"{root}/{name}")
+            else:
+                df.repartitionByRange(order).sortWithinPartitions(order).write.mode("overwrite") \
+                    .parquet(f"{root}/{name}")
 
         # The tables are independent: submit their writes as concurrent jobs.
         with ThreadPoolExecutor(max_workers=len(frames) or 1) as pool:

@@ -4,15 +4,15 @@ The extractor lands each API response page as one JSON record (request
 window, page token, response body), one directory per request window start.
 Reading is a plain schema'd JSON scan, so pages are input splits and all
 windows are read as one union; a filter on the window start prunes
-directories; nothing is requested serially from the driver. Column names come from the requested
-dimensions and metrics (known when the request is built), never from data.
+directories; nothing is requested serially from the driver. The requested dimensions
+and metrics give the columns; each page's response header says where they are.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trafficlens.sources.schemas import REPORT_PAGE
@@ -38,13 +38,28 @@ def read_report_pages(spark: SparkSession, path: str, multi_line: bool = False,
     return reader.json(path)
 
 
+def _named(names: Column, values: Column, name: str, kind: str) -> Column:
+    """The value under ``name`` in the response header; fails on a page whose
+    header has no such name (a page without rows is not looked at)."""
+    at = F.array_position(names, name)
+    missing = F.raise_error(F.concat(F.lit(f"report page without {kind} {name}: header has "),
+                                     F.coalesce(F.array_join(names, ", "), F.lit("no names"))))
+    return F.when(F.coalesce(at, F.lit(0)) == 0, missing.cast("string")) \
+        .otherwise(F.get(values, (at - 1).cast("int")))
+
+
 def flatten_report(pages: DataFrame, dimensions: Sequence[str], metrics: Sequence[str]) -> DataFrame:
-    """One flat row per report row: ``dimensions[i]`` then
-    ``metrics[0].values[j]``, named by the requested names. A page without
-    rows yields no rows; the columns are still there."""
-    rows = pages.select(F.explode(F.col("reports")[0]["data"]["rows"]).alias("r"))
-    dims = [F.col("r.dimensions")[i].alias(n) for i, n in enumerate(dimensions)]
-    mets = [F.col("r.metrics")[0]["values"][j].alias(n) for j, n in enumerate(metrics)]
+    """One flat row per report row, columns named as requested. Every
+    value is taken by the names in its page's response header, so a response with
+    its columns in another order is read right and one without a requested column
+    fails. A page without rows yields no rows; the columns are still there."""
+    body = F.col("reports")[0]
+    header = body["columnHeader"]
+    rows = pages.select(header["dimensions"].alias("d"),
+                        F.transform(header["metricHeader"]["metricHeaderEntries"], lambda e: e["name"]).alias("m"),
+                        F.explode(body["data"]["rows"]).alias("r"))
+    dims = [_named(F.col("d"), F.col("r.dimensions"), n, "dimension").alias(n) for n in dimensions]
+    mets = [_named(F.col("m"), F.col("r.metrics")[0]["values"], n, "metric").alias(n) for n in metrics]
     return rows.select(*dims, *mets)
 
 
@@ -80,3 +95,15 @@ def quality_flag(pages: DataFrame) -> DataFrame:
         F.bool_and("golden").alias("golden"),
         F.count(F.lit(1)).cast("bigint").alias("pages"),
     )
+
+
+def window_status(pages: DataFrame) -> DataFrame:
+    """S10 and S11 of every request window in one aggregate: ``pages``,
+    ``expected_rows``, ``landed_rows``, ``complete``, ``golden``."""
+    body = F.col("reports")[0]["data"]
+    return pages.groupBy("startDate", "endDate").agg(
+        F.count(F.lit(1)).cast("bigint").alias("pages"),
+        F.coalesce(F.max(body["rowCount"]), F.lit(0)).cast("bigint").alias("expected_rows"),
+        F.sum(F.when(body["rows"].isNull(), 0).otherwise(F.size(body["rows"]))).cast("bigint").alias("landed_rows"),
+        F.bool_and(body["isDataGolden"].isNotNull() & body["samplesReadCounts"].isNull()).alias("golden"),
+    ).withColumn("complete", F.col("expected_rows") == F.col("landed_rows"))

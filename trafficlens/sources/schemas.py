@@ -3,6 +3,8 @@
 Types follow the casts and comparisons the reports apply. Event timestamps are
 ``TIMESTAMP_NTZ`` holding UTC wall-clock time (the warehouse literals end in
 ``UTC``); a ``TIMESTAMP`` column also works when the session time zone is UTC.
+The two event tables carry ``date``, the day of ``dateHourMinute``, which they
+are partitioned by.
 """
 
 from __future__ import annotations
@@ -22,10 +24,10 @@ SESSIONS = _struct(
     ("utm_source", S), ("utm_medium", S), ("utm_campaign", S),
 )
 RAW_EVENTS = _struct(
-    ("dateHourMinute", NTZ), ("dimension4", S), ("eventlabel", S), ("eventcategory", S),
+    ("date", D), ("dateHourMinute", NTZ), ("dimension4", S), ("eventlabel", S), ("eventcategory", S),
     ("eventaction", S), ("pagepath", S), ("totalEvents", L), ("uniqueEvents", L), ("users", L),
 )
-PAGE_VIEWS = _struct(("dateHourMinute", NTZ), ("dimension4", S), ("pagepath", S))
+PAGE_VIEWS = _struct(("date", D), ("dateHourMinute", NTZ), ("dimension4", S), ("pagepath", S))
 USERS_DIM = _struct(("date", D), ("dimension1", S), ("dimension2", S))
 TRAFFIC = _struct(("date", D), ("dimension1", S), ("landingpagepath", S))
 COSTS = _struct(("date", D), ("CITY", S), ("COSTS", DT))
@@ -43,6 +45,9 @@ LOADED_BANNERS = _struct(
     ("totalevents", S), ("users", L), ("date", S),
 )
 
+# Banner events before the report request: with the page path its filter reads.
+BANNER_HITS = _struct(*[(f.name, f.dataType) for f in BANNERS.fields], ("pagepath", S))
+
 TABLES: dict[str, T.StructType] = {
     "sessions": SESSIONS,
     "raw_events": RAW_EVENTS,
@@ -51,6 +56,7 @@ TABLES: dict[str, T.StructType] = {
     "traffic": TRAFFIC,
     "costs": COSTS,
     "banners": BANNERS,
+    "banner_hits": BANNER_HITS,
 }
 
 # One landed report-API page: the request window and page token the extractor

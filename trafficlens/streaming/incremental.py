@@ -1,7 +1,7 @@
 """Incremental load of report-API pages into a date-partitioned table.
 
 Batch form: high-water mark of the target -> request windows -> pages ->
-flatten -> typed rows -> idempotent append. Streaming form: the landed page
+flatten -> typed rows -> dates replaced. Streaming form: the landed page
 directory as a file stream, ``availableNow`` trigger, exactly-once file sink.
 """
 
@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from trafficlens.functions.calendar import parse_compact_date, parse_iso_date
 from trafficlens.functions.columns import cast_metrics, normalize_columns
 from trafficlens.params import INTEGER_METRICS
-from trafficlens.sinks.writers import append
+from trafficlens.sinks.writers import replace_dates
 from trafficlens.sources.report_api import flatten_report
 from trafficlens.sources.schemas import REPORT_PAGE
 
@@ -74,65 +74,91 @@ def date_windows(spark: SparkSession, start, end, step: int = 1) -> DataFrame:
 
 
 def typed_report_rows(pages: DataFrame, dimensions: Sequence[str], metrics: Sequence[str],
-                      integer_metrics: Sequence[str] = INTEGER_METRICS) -> DataFrame:
+                      integer_metrics: Sequence[str] = INTEGER_METRICS, malformed: str = "fail") -> DataFrame:
     """Connector typing: flatten, strip the ``ga:`` prefix, cast the
     integer metrics listed by exact name, parse ``yyyymmdd`` dates; the date
-    is stored as ISO text, the target table's type."""
+    is stored as ISO text, the target table's type.
+
+    A date or integer metric that does not parse stops the job with its text
+    (``malformed="fail"``, as the reference does). ``"keep"`` leaves those rows
+    out of the result and ``"reject"`` returns only them, as text.
+    """
     flat = normalize_columns(flatten_report(pages, dimensions, metrics), prefix="ga:")
-    typed = cast_metrics(flat, integer_metrics)
-    if "date" in typed.columns:
-        typed = typed.withColumn("date", F.date_format(parse_compact_date("date"), "yyyy-MM-dd"))
-    return typed
+    numbers = [c for c in flat.columns if c in integer_metrics]
+    bad = F.lit(False)
+    if "date" in flat.columns:
+        bad = bad | parse_compact_date("date").isNull()
+    for c in numbers:
+        bad = bad | (F.col(c).isNotNull() & F.col(c).try_cast("bigint").isNull())
+    if malformed == "reject":
+        return flat.where(bad)
+    if malformed == "keep":
+        flat = flat.where(~bad)
+    elif malformed != "fail":
+        raise ValueError(f"malformed: {malformed!r}")
+    if "date" in flat.columns:
+        text = F.coalesce(F.col("date"), F.lit("no date"))
+        flat = flat.withColumn("date", F.coalesce(
+            F.date_format(parse_compact_date("date"), "yyyy-MM-dd"),
+            F.raise_error(F.concat(F.lit("malformed date: "), text)).cast("string")))
+    return cast_metrics(flat, numbers)
+
+
+def newest_partition(spark: SparkSession, path: str, column: str = "date") -> str | None:
+    """I1 of a stored table: its newest partition value, from the folder listing
+    alone (no file is opened). None for a table without partitions or files."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        return None
+    names = [s.getPath().getName() for s in fs.listStatus(folder) if s.isDirectory()]
+    values = [n.split("=", 1)[1] for n in names if n.startswith(f"{column}=")]
+    return max((v for v in values if not v.startswith("__HIVE")), default=None)
+
+
+def load_bounds(spark: SparkSession, target: str, default_start, today) -> tuple[dt.date, dt.date]:
+    """First and last day to request: the day after the target's newest date (or
+    ``default_start``) and yesterday."""
+    newest = newest_partition(spark, target)
+    as_date = lambda v: v if isinstance(v, dt.date) else dt.date.fromisoformat(str(v)[:10])
+    start = as_date(newest) + dt.timedelta(days=1) if newest else as_date(default_start)
+    return start, as_date(today) - dt.timedelta(days=1)
 
 
 def incremental_append(
     spark: SparkSession,
     target: str,
-    fetch_pages: Callable[[DataFrame], DataFrame],
+    fetch_pages: Callable[[DataFrame, dt.date, dt.date], DataFrame],
     dimensions: Sequence[str],
     metrics: Sequence[str],
     default_start,
     today,
     step: int = 1,
-    target_schema=None,
     inspect: Callable[[DataFrame], None] | None = None,
-) -> DataFrame:
-    """Load every window after the target's high-water mark and append it.
-
-    ``fetch_pages(windows)`` returns the landed pages of those windows (a
-    schema'd JSON scan of the landing area in production). ``inspect(pages)``,
-    if given, sees the pages before anything is written (quality and
-    completeness checks; raising stops the load). The append rewrites only the
-    loaded dates' partitions, so re-running a load is a no-op and a failed run
-    can simply be retried. Returns the loaded rows.
+    rejects: str | None = None,
+) -> tuple[dt.date, dt.date]:
+    """Load every window after the target's newest date.
+
+    ``fetch_pages(windows, first, last)`` returns the pages of those request
+    windows (a schema'd JSON scan of the landing area in production).
+    ``inspect(pages)``, if given, sees the pages before anything is written
+    (quality and completeness checks; raising stops the load). Rows that do not
+    parse stop the load, or go to the table ``rejects`` if one is named. The
+    windows lie after the newest date, so nothing that is there is touched; a
+    repeated load of the same days replaces them. Returns the days asked for.
     """
-    current = _read_target(spark, target, target_schema)
-    bounds = high_water_mark(current, default_start, today) if current is not None else \
-        spark.range(1).select(_date_lit(default_start).alias("start_date"),
-                              F.date_sub(_date_lit(today), 1).alias("end_date"))
-    # The mark is one value; materialise it so the append does not re-read
-    # the table it is writing.
-    mark = bounds.select("start_date", "end_date").first()
-    if mark["start_date"] > mark["end_date"]:
-        # Up to date: nothing to request, nothing to write.
-        return typed_report_rows(spark.createDataFrame([], REPORT_PAGE), dimensions, metrics)
-    windows = date_windows(spark, mark["start_date"], mark["end_date"], step)
-    pages = fetch_pages(windows)
+    first, last = load_bounds(spark, target, default_start, today)
+    if first > last:  # up to date: nothing to request, nothing to write
+        return first, last
+    pages = fetch_pages(date_windows(spark, first, last, step), first, last)
     if inspect is not None:
         inspect(pages)
-    loaded = typed_report_rows(pages, dimensions, metrics)
-    append(loaded, target, partition_by=("date",))
-    return loaded
-
-
-def _read_target(spark: SparkSession, target: str, schema) -> DataFrame | None:
-    try:
-        reader = spark.read.schema(schema) if schema is not None else spark.read
-        return reader.parquet(target)
-    except Exception as exc:  # a target that does not exist yet
-        if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc) or "UNABLE_TO_INFER_SCHEMA" in str(exc):
-            return None
-        raise
+    if rejects is not None:
+        typed_report_rows(pages, dimensions, metrics, malformed="reject").write.mode("append").parquet(rejects)
+    rows = typed_report_rows(pages, dimensions, metrics, malformed="fail" if rejects is None else "keep")
+    replace_dates(rows, target)
+    return first, last
 
 
 def stream_landed_pages(
@@ -150,7 +176,7 @@ def stream_landed_pages(
     pages = (spark.readStream.schema(REPORT_PAGE)
              .option("recursiveFileLookup", "true")
              .json(landing_dir))
-    rows = typed_report_rows(pages, dimensions, metrics)
+    rows = typed_report_rows(pages, dimensions, metrics)  # a row that does not parse stops the stream
     return (rows.writeStream.format("parquet")
             .option("path", target)
             .option("checkpointLocation", checkpoint_location)
