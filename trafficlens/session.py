@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -90,6 +92,7 @@ def checkpoint_root(spark: SparkSession) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster "
                                "(e.g. on HDFS or an object store)")
         configured = tempfile.mkdtemp(prefix="trafficlens-ckpt-")
+        atexit.register(shutil.rmtree, configured, ignore_errors=True)
         spark.sparkContext.setCheckpointDir(configured)
         return configured
     if spark.sparkContext.getCheckpointDir() is None:
