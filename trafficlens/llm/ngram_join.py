@@ -15,12 +15,17 @@ discard pairs before their full overlap is counted:
    of the column only, keeping for each document the leader with the most shared
    entries. Verified pairs give components, so a group of thousands of near
    copies costs one pair a document.
-4. What is left is exact: in every column that still holds several components,
-   the members of all but the largest component meet the others. Overlap counts
-   are summed over the columns, and pairs whose sizes, counts and last prefix
-   entries bound the overlap below the threshold are dropped.
-5. Surviving pairs are verified on whole sets, in blocks of one row document
-   with up to ``BLOCK`` others.
+4. What is left is exact: columns that still hold several components. In columns
+   of up to ``SMALL_COLUMN`` entries the documents outside the largest component
+   meet the others, overlap counts are summed over the columns, and pairs whose
+   sizes and count bound the overlap below the threshold are dropped. Larger
+   columns are multiplied in blocks of ``COLUMN_BLOCK`` entries: bitmaps of the
+   whole sets (about four bits a shingle) bound each overlap from above, and a
+   pair is taken up only in the first large column that both have. There every
+   document is first verified against its best bounded partner, which merges most
+   components, then against all that the bounds still admit.
+5. Pairs are verified on whole sets, in blocks of one row document with up to
+   ``BLOCK`` others.
 
 No link between different texts is lost. Shingles are 64-bit hashes; sets are
 compared as 128-bit sums for equality. Broadcast data has a fixed size (sketch
@@ -47,10 +52,14 @@ from trafficlens.llm.tables import Scratch
 
 PERCENT = 80
 SIZE = 5
-SKETCH_BITS = 18
-SKETCH_PARTS = 16
+SKETCH_BITS = 22
+SKETCH_PARTS = 32
+SKETCH_FAN_IN = 64
 MAP_BITS = 23
 BLOCK = 256
+SMALL_COLUMN = 128
+COLUMN_BLOCK = 4096
+MIN_SIGNATURE, MAX_SIGNATURE = 256, 8192  # bits
 
 _SKETCH_SHIFT = np.uint64(64 - SKETCH_BITS)
 _OTHER = np.uint64(0xA5A5A5A55A5A5A5A)
@@ -68,68 +77,85 @@ def document_sets(column: pa.Array) -> Iterator[np.ndarray]:
 def rarity_classes(docs: DataFrame) -> np.ndarray:
     """For every sketch slot the bit length of its shingle count, over all texts.
 
-    Tasks count their own texts; sums run in two levels, so no task meets more
-    than a fixed number of sketches per salt."""
+    Tasks count their own texts, a slot at most 255 times; sums run in levels of
+    ``SKETCH_FAN_IN`` sketches, so their number never meets in one task."""
     schema = "part int, salt int, counts binary"
     width = (1 << SKETCH_BITS) // SKETCH_PARTS
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << SKETCH_BITS, np.int64)
+        total = np.zeros(1 << SKETCH_BITS, np.uint8)
         for batch in batches:
             for _, _, data, offsets in tx.text_chunks(batch.column("text")):
                 flat, _ = tx.document_shingles(data, offsets, SIZE)
-                total += np.bincount((flat >> _SKETCH_SHIFT).astype(np.int64), minlength=1 << SKETCH_BITS)
+                slot, n = np.unique((flat >> _SKETCH_SHIFT).astype(np.int32), return_counts=True)
+                total[slot] = np.minimum(total[slot].astype(np.int64) + n, 255)
+        salt = TaskContext.get().partitionId()
         if total.any():
-            salt = TaskContext.get().partitionId() % 64
+            yield from sketch_rows({k: total[k * width:(k + 1) * width] for k in range(SKETCH_PARTS)}, salt)
+
+    def sketch_rows(parts: dict[int, np.ndarray], salt: int) -> Iterator[pa.RecordBatch]:
+        for part, counts in parts.items():
             yield pa.RecordBatch.from_pydict({
-                "part": pa.array(range(SKETCH_PARTS), pa.int32()), "salt": pa.array([salt] * SKETCH_PARTS, pa.int32()),
-                "counts": pa.array([total[k * width:(k + 1) * width].tobytes() for k in range(SKETCH_PARTS)],
-                                   pa.binary())})
+                "part": pa.array([part], pa.int32()), "salt": pa.array([salt // SKETCH_FAN_IN], pa.int32()),
+                "counts": pa.array([counts.tobytes()], pa.binary())})
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        totals: dict[int, np.ndarray] = {}
+        totals: dict[tuple[int, int], np.ndarray] = {}
         for batch in batches:
-            for part, counts in zip(batch.column("part").to_pylist(), batch.column("counts"), strict=True):
-                totals[part] = totals.get(part, 0) + np.frombuffer(counts.as_py(), np.int64)
-        if totals:
-            yield pa.RecordBatch.from_pydict({
-                "part": pa.array(list(totals), pa.int32()), "salt": pa.array([0] * len(totals), pa.int32()),
-                "counts": pa.array([t.tobytes() for t in totals.values()], pa.binary())})
-
-    parts = (docs.select("text").mapInArrow(count, schema).repartition("part", "salt").mapInArrow(add, schema)
-             .repartition("part").mapInArrow(add, schema).collect())  # one sketch in all
-    total = np.zeros(1 << SKETCH_BITS, np.int64)
-    for r in parts:
-        total[r["part"] * width:(r["part"] + 1) * width] += np.frombuffer(bytes(r["counts"]), np.int64)
-    return np.frexp(total.astype(np.float64))[1].astype(np.uint8)
+            for part, salt, counts in zip(*(batch.column(c) for c in ("part", "salt", "counts")), strict=True):
+                raw = counts.as_py()
+                one = np.frombuffer(raw, np.uint8 if len(raw) == width else np.uint32)
+                key = (part.as_py(), salt.as_py())
+                totals[key] = totals[key] + one if key in totals else one.astype(np.uint32)
+        for (part, salt), total in totals.items():
+            yield from sketch_rows({part: total}, salt)
+
+    sums = docs.select("text").mapInArrow(count, schema)
+    for _ in range(2):
+        sums = sums.repartition("part", "salt").mapInArrow(add, schema)
+    out = np.zeros(1 << SKETCH_BITS, np.uint8)
+    for r in sums.repartition("part").mapInArrow(add, schema).groupBy("part").agg(
+            F.collect_list("counts").alias("counts")).toLocalIterator():  # one sketch in all
+        total = sum(np.frombuffer(bytes(c), np.uint32).astype(np.float64) for c in r["counts"])
+        out[r["part"] * width:(r["part"] + 1) * width] = np.frexp(total)[1]
+    return out
+
+
+def signature(h: np.ndarray) -> bytes:
+    """Bitmap of a set, by low hash bits: a power of two of about four bits a
+    shingle. Halves laid over each other give the next smaller bitmap."""
+    bits = min(MAX_SIGNATURE, max(MIN_SIGNATURE, 1 << int(4 * max(len(h), 1) - 1).bit_length()))
+    out = np.zeros(bits, np.uint8)
+    out[(tx.mix64(h) & np.uint64(bits - 1)).astype(np.int64)] = 1
+    return np.packbits(out, bitorder="little").tobytes()
 
 
 def prefix_table(docs: DataFrame, classes: np.ndarray) -> DataFrame:
-    """``doc_id, n, fp1, fp2, edge, prefix`` of every row: set size, set
-    fingerprint, place of the last prefix shingle in the global order, prefix."""
+    """``doc_id, n, fp1, fp2, signature, prefix`` of every row: set size, set
+    fingerprint, bitmap, prefix."""
     shared = docs.sparkSession.sparkContext.broadcast(classes)
     ids = dict(docs.dtypes)["doc_id"]
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rank = shared.value
         for batch in batches:
-            n, fp, edge, prefix = [], [], [], []
+            n, fp, marks, prefix = [], [], [], []
             for h in document_sets(batch.column("text")):
                 n.append(len(h))
                 fp.append((tx.mix64(h).sum(), tx.mix64(h ^ _OTHER).sum()) if len(h) else (0, 0))
                 of = rank[h >> _SKETCH_SHIFT]
                 first = np.argsort(of, kind="stable")[:len(h) // 5 + 1]
                 prefix.append(h[first].view(np.int64))
-                edge.append((int(of[first[-1]]) << 56 | int(h[first[-1]]) >> 8) if len(h) else 0)
+                marks.append(signature(h) if len(h) else b"")
             prints = np.array(fp, np.uint64).reshape(-1, 2).view(np.int64)
             cuts = np.concatenate(([0], np.cumsum([len(p) for p in prefix]))).astype(np.int32)
             yield pa.RecordBatch.from_pydict({
                 "doc_id": batch.column("doc_id"), "n": pa.array(n, pa.int64()), "fp1": pa.array(prints[:, 0]),
-                "fp2": pa.array(prints[:, 1]), "edge": pa.array(edge, pa.int64()),
+                "fp2": pa.array(prints[:, 1]), "signature": pa.array(marks, pa.binary()),
                 "prefix": pa.ListArray.from_arrays(pa.array(cuts), pa.array(np.concatenate([np.zeros(0, np.int64),
                                                                                             *prefix])))})
 
-    return docs.mapInArrow(build, f"doc_id {ids}, n long, fp1 long, fp2 long, edge long, prefix array<long>")
+    return docs.mapInArrow(build, f"doc_id {ids}, n long, fp1 long, fp2 long, signature binary, prefix array<long>")
 
 
 def shared_columns(reps: DataFrame) -> DataFrame:
@@ -241,33 +267,171 @@ def verify(docs: DataFrame, pairs: DataFrame, scratch: Scratch) -> DataFrame:
     return links
 
 
-def remaining_pairs(entries: DataFrame, heads: DataFrame, labels: DataFrame, scratch: Scratch) -> DataFrame:
-    """Pairs (x, y) of different components that share a prefix shingle and that
-    the size and overlap bounds admit."""
+def needed_prefix_overlap(n: str, m: str):
+    """Prefix entries that sets of sizes ``n`` and ``m`` share at least when they
+    link: the whole overlap less what lies behind the longer remainder."""
+    whole = F.ceil((F.col(n) + F.col(m)) * PERCENT / F.lit(100.0 + PERCENT))
+    behind = lambda c: F.col(c) - F.floor(F.col(c) / 5) - 1
+    return F.greatest(whole - F.greatest(behind(n), behind(m)), F.lit(1))
+
+
+def leading_pairs(entries: DataFrame) -> DataFrame:
+    """Every document with the column leader it shares most entries with (x, y).
+    Leaders that share under a quarter of what a link needs are passed over: what
+    they would link is found by the exact steps."""
+    return (entries.where((F.col("doc_id") != F.col("leader")) & (F.col("leader_n") * 100 >= F.col("n") * PERCENT))
+            .groupBy("doc_id", "leader", "n", "leader_n").agg(F.count(F.lit(1)).alias("shared"))
+            .where(F.col("shared") * 4 >= needed_prefix_overlap("n", "leader_n"))
+            .groupBy("doc_id").agg(F.max_by("leader", F.struct("shared", -F.col("leader"))).alias("x"))
+            .select("x", F.col("doc_id").alias("y")))
+
+
+def mixed_entries(entries: DataFrame, labels: DataFrame) -> DataFrame:
+    """The entries of columns that hold several components: ``gram, doc_id, n,
+    component, main, size`` (``main``: the column's largest component)."""
     own = (entries.join(labels.withColumnRenamed("id", "doc_id"), "doc_id", "left")
            .select("gram", "doc_id", "n", F.coalesce("component", "doc_id").alias("component")))
-    mixed = (own.groupBy("gram", "component").agg(F.count(F.lit(1)).alias("size"))
-             .groupBy("gram").agg(F.count(F.lit(1)).alias("k"),
-                                  F.max_by("component", F.struct("size", "component")).alias("main"))
-             .where(F.col("k") > 1).select("gram", "main"))
-    own = scratch.keep(own.join(mixed, "gram"), "mixed")
-    a = own.where(F.col("component") != F.col("main")).select(
+    columns = (own.groupBy("gram", "component").agg(F.count(F.lit(1)).alias("size"))
+               .groupBy("gram").agg(F.count(F.lit(1)).alias("k"), F.sum("size").alias("size"),
+                                    F.max_by("component", F.struct("size", "component")).alias("main"))
+               .where(F.col("k") > 1).select("gram", "main", "size"))
+    return own.join(columns, "gram")
+
+
+def counted_pairs(mixed: DataFrame) -> DataFrame:
+    """Pairs (x, y) of different components in small columns whose sizes and shared
+    entries admit the threshold."""
+    small = mixed.where(F.col("size") <= SMALL_COLUMN)
+    a = small.where(F.col("component") != F.col("main")).select(
         "gram", F.col("doc_id").alias("p"), F.col("n").alias("pn"), F.col("component").alias("pc"))
-    b = own.select("gram", "main", F.col("doc_id").alias("q"), F.col("n").alias("qn"),
-                   F.col("component").alias("qc"))
+    b = small.select("gram", "main", F.col("doc_id").alias("q"), F.col("n").alias("qn"), F.col("component").alias("qc"))
     met = a.join(b, "gram").where(
         (F.col("pc") != F.col("qc")) & ((F.col("qc") == F.col("main")) | (F.col("p") < F.col("q")))
         & (F.least("pn", "qn") * 100 >= F.greatest("pn", "qn") * PERCENT))
-    counted = (met.groupBy(F.least("p", "q").alias("x"), F.greatest("p", "q").alias("y"))
-               .agg(F.count(F.lit(1)).alias("shared")))
-    edge = lambda c: heads.select(F.col("doc_id").cast("long").alias(c), F.col("n").alias(f"{c}n"),
-                                  F.col("edge").alias(f"{c}e"))
-    rest_x, rest_y = (F.col(f"{c}n") - (F.floor(F.col(f"{c}n") / 5) + 1) for c in "xy")
-    rest = (F.when(F.col("xe") < F.col("ye"), rest_x).when(F.col("xe") > F.col("ye"), rest_y)
-            .otherwise(F.greatest(rest_x, rest_y)))
-    return (counted.join(edge("x"), "x").join(edge("y"), "y")
-            .where((F.col("shared") + rest) * (100 + PERCENT) >= (F.col("xn") + F.col("yn")) * PERCENT)
-            .select("x", "y"))
+    return (met.groupBy(F.least("p", "q").alias("x"), F.greatest("p", "q").alias("y"),
+                        F.least("pn", "qn").alias("n"), F.greatest("pn", "qn").alias("m"))
+            .agg(F.count(F.lit(1)).alias("shared"))
+            .where(F.col("shared") >= needed_prefix_overlap("n", "m")).select("x", "y"))
+
+
+def large_columns(mixed: DataFrame, signatures: DataFrame) -> DataFrame:
+    """The entries of large mixed columns, dealt to blocks, with the document's
+    bitmap and all its large columns. Members of the column's largest component
+    sit in one block; the others visit every block."""
+    large = mixed.where(F.col("size") > SMALL_COLUMN)
+    each = large.groupBy("doc_id").agg(F.collect_list("gram").alias("columns")).join(signatures, "doc_id")
+    blocks = F.ceil(F.col("size") / COLUMN_BLOCK)
+    home = F.pmod(F.xxhash64("doc_id"), blocks)
+    visits = F.when((F.col("component") == F.col("main")) | (blocks == 1), F.array(home)) \
+        .otherwise(F.sequence(F.lit(0).cast("long"), blocks - 1))
+    return (large.withColumn("home", home).withColumn("block", F.explode(visits)).join(each, "doc_id")
+            .select("gram", "block", (F.col("home") == F.col("block")).alias("own"), "doc_id", "n", "component",
+                    "main", "signature", "columns"))
+
+
+def _earlier(columns: pa.Array, gram: int) -> np.ndarray:
+    """Documents by large columns that come before ``gram`` (0 or 1)."""
+    offsets = columns.offsets.to_numpy()
+    flat = columns.values.to_numpy()[offsets[0]:offsets[-1]]
+    row = np.repeat(np.arange(len(columns)), np.diff(offsets))
+    before = flat < gram
+    kinds, place = np.unique(flat[before], return_inverse=True)
+    out = np.zeros((len(columns), len(kinds)), np.float32)
+    out[row[before], place] = 1.0
+    return out
+
+
+def _folded(rows: pa.Array, bits: int) -> np.ndarray:
+    """Bitmaps of one width as words, folded to ``bits``."""
+    words = np.frombuffer(b"".join(rows.to_pylist()), np.uint64).reshape(len(rows), -1)
+    while words.shape[1] * 64 > bits:
+        half = words.shape[1] // 2
+        words = words[:, :half] | words[:, half:]
+    return words
+
+
+def bounded_pairs(large: DataFrame, best_only: bool) -> DataFrame:
+    """Pairs (x, y) of different components in a block whose sizes and bitmaps
+    admit the threshold: all, each in the first column that both have, or for
+    each x outside the main component the one with the highest bound."""
+
+    def meet(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        doc, n, part = (rows.column(c).to_numpy() for c in ("doc_id", "n", "component"))
+        own = rows.column("own").to_numpy()
+        outside = part != rows.column("main").to_numpy()
+        marks = rows.column("signature").combine_chunks()
+        before = None if best_only else _earlier(rows.column("columns").combine_chunks(), rows.column("gram")[0].as_py())
+        bits = np.array([len(x) * 8 for x in marks.to_pylist()])
+        found = []
+        for wide in np.unique(bits):
+            for other in (wide // 2, wide, wide * 2):
+                left, right = np.flatnonzero(outside & (bits == wide)), np.flatnonzero(own & (bits == other))
+                if not len(left) or not len(right):
+                    continue
+                least = int(min(wide, other))
+                a_all, b = _folded(marks.take(pa.array(left)), least), _folded(marks.take(pa.array(right)), least)
+                step = max(1, (4 << 20) // max(1, b.size))
+                for at in range(0, len(left), step):
+                    i = left[at:at + step]
+                    a = a_all[at:at + step]
+                    sizes = n[i][:, None] + n[right][None, :]
+                    only_a = np.bitwise_count(a[:, None, :] & ~b[None, :, :]).sum(axis=2, dtype=np.int64)
+                    only_b = np.bitwise_count(b[None, :, :] & ~a[:, None, :]).sum(axis=2, dtype=np.int64)
+                    most = np.minimum(n[i][:, None] - only_a, n[right][None, :] - only_b)
+                    fits = ((most * (100 + PERCENT) >= sizes * PERCENT) & (part[i][:, None] != part[right][None, :]))
+                    if not best_only:  # two outsiders meet once
+                        fits &= ~outside[right][None, :] | (doc[i][:, None] < doc[right][None, :])
+                        if fits.any():
+                            fits &= (before[i] @ before[right].T) == 0
+                    p, q = np.nonzero(fits)
+                    bound = most[p, q] * 1_000_000 // np.maximum(sizes[p, q] - most[p, q], 1)
+                    if best_only and len(p):
+                        order = np.lexsort((doc[right[q]], -bound, p))
+                        order = order[np.concatenate(([True], p[order][1:] != p[order][:-1]))]
+                        p, q, bound = p[order], q[order], bound[order]
+                    found.append((doc[i[p]], doc[right[q]], bound))
+        if not found:
+            return tuple(np.zeros((3, 0), np.int64))
+        return tuple(np.concatenate(c) for c in zip(*found, strict=True))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        key = None
+        out: list[tuple] = []
+
+        def close() -> None:
+            rows = pa.Table.from_batches(held)
+            if rows.num_rows > 1:
+                out.append(meet(rows))
+
+        def written() -> pa.RecordBatch:
+            cols = [np.concatenate(c) for c in zip(*out, strict=True)] if out else np.zeros((3, 0), np.int64)
+            out.clear()
+            return pa.RecordBatch.from_pydict({k: pa.array(c.astype(np.int64))
+                                               for k, c in zip(("x", "y", "bound"), cols, strict=True)})
+
+        for batch in batches:
+            gram, block = batch.column("gram").to_numpy(), batch.column("block").to_numpy()
+            cuts = np.flatnonzero((gram[1:] != gram[:-1]) | (block[1:] != block[:-1])) + 1
+            for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(gram)], strict=True):
+                if a == b:
+                    continue
+                if held and key != (gram[a], block[a]):
+                    close()
+                    held = []
+                key = (gram[a], block[a])
+                held.append(batch.slice(a, b - a))
+            yield written()
+        if held:
+            close()
+            yield written()
+
+    met = (large.repartition("gram", "block").sortWithinPartitions("gram", "block")
+           .mapInArrow(run, "x long, y long, bound long"))
+    if best_only:
+        return (met.groupBy("x").agg(F.max_by("y", F.struct("bound", -F.col("y"))).alias("y"))
+                .select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct())
+    return met.select("x", "y").distinct()
 
 
 def ngram_join(docs: DataFrame) -> DataFrame:
@@ -275,20 +439,22 @@ def ngram_join(docs: DataFrame) -> DataFrame:
     docs = docs.select("doc_id", "text")
     scratch = Scratch(docs.sparkSession, "ngram-join")
     table = scratch.keep(prefix_table(docs, rarity_classes(docs)), "prefixes")
-    heads = table.drop("prefix").where(F.col("doc_id").isNotNull())
-    classes = scratch.keep(heads.where(F.col("n") > 0).groupBy("n", "fp1", "fp2")
-                           .agg(F.min(F.col("doc_id").cast("long")).alias("rep")), "classes")
-    reps = table.where(F.col("n") > 0).join(classes.select(F.col("rep").alias("doc_id")).distinct(), "doc_id")
+    heads = table.where(F.col("doc_id").isNotNull() & (F.col("n") > 0)) \
+        .withColumn("doc_id", F.col("doc_id").cast("long"))
+    classes = scratch.keep(heads.groupBy("n", "fp1", "fp2").agg(F.min("doc_id").alias("rep")), "classes")
+    reps = heads.join(classes.select(F.col("rep").alias("doc_id")).distinct(), "doc_id")
     entries = scratch.keep(shared_columns(reps), "entries")
-    led = (entries.where((F.col("doc_id") != F.col("leader")) & (F.col("leader_n") * 100 >= F.col("n") * PERCENT))
-           .groupBy("doc_id", "leader").agg(F.count(F.lit(1)).alias("shared"))
-           .groupBy("doc_id").agg(F.max_by("leader", F.struct("shared", -F.col("leader"))).alias("x"))
-           .select("x", F.col("doc_id").alias("y")))
-    links = verify(docs, led, scratch)
-    labels = components(links, scratch)
-    rest = scratch.keep(remaining_pairs(entries, heads, labels, scratch), "rest")
-    more = verify(docs, rest, scratch)
-    labels = components(labels.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(more), scratch)
+    labels = components(verify(docs, leading_pairs(entries), scratch), scratch)
+    signatures = heads.select("doc_id", "signature")
+    for best_only in (True, False):
+        mixed = scratch.keep(mixed_entries(entries, labels), "mixed")
+        pairs = bounded_pairs(large_columns(mixed, signatures), best_only)
+        if best_only:  # small columns are settled in the first of the two rounds
+            pairs = pairs.unionByName(counted_pairs(mixed)).distinct()
+        links = verify(docs, scratch.keep(pairs, "pairs"), scratch)
+        scratch.drop(mixed)
+        known = labels.select(F.col("id").alias("a"), F.col("component").alias("b"))
+        labels = components(known.unionByName(links), scratch)
     members = table.select("doc_id", "n", "fp1", "fp2").join(classes, ["n", "fp1", "fp2"], "left")
     out = (members.join(labels.withColumnRenamed("id", "rep"), "rep", "left")
            .select("doc_id", F.col("n").alias("n_shingles"),
