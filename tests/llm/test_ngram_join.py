@@ -37,7 +37,9 @@ def test_components_equal_brute_force(make_docs, seed):
     assert found(nj.ngram_join(make_docs(rows))) == jaccard_components(rows)
 
 
-def test_columns_of_many_blocks_equal_brute_force(make_docs, monkeypatch):
+@pytest.mark.parametrize("small", [2, 6])
+def test_columns_of_many_blocks_equal_brute_force(make_docs, monkeypatch, small):
+    monkeypatch.setattr(nj, "SMALL_COLUMN", small)
     monkeypatch.setattr(nj, "COLUMN_BLOCK", 4)
     monkeypatch.setattr(nj, "BLOCK", 3)
     rows = copies(3, 120, edits=9)

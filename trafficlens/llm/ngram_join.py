@@ -19,7 +19,7 @@ discard pairs before their full overlap is counted:
    of up to ``SMALL_COLUMN`` entries the documents outside the largest component
    meet the others, overlap counts are summed over the columns, and pairs whose
    sizes and count bound the overlap below the threshold are dropped. Larger
-   columns are multiplied in blocks of ``COLUMN_BLOCK`` entries: bitmaps of the
+   columns are multiplied in blocks of ``COLUMN_BLOCK`` by ``COLUMN_BLOCK`` entries: bitmaps of the
    whole sets (about four bits a shingle) bound each overlap from above, and a
    pair is taken up only in the first large column that both have. There every
    document is first verified against its best bounded partner, which merges most
@@ -288,13 +288,14 @@ def leading_pairs(entries: DataFrame) -> DataFrame:
 
 def mixed_entries(entries: DataFrame, labels: DataFrame) -> DataFrame:
     """The entries of columns that hold several components: ``gram, doc_id, n,
-    component, main, size`` (``main``: the column's largest component)."""
+    component, main, main_size, size`` (``main``: the column's largest component)."""
     own = (entries.join(labels.withColumnRenamed("id", "doc_id"), "doc_id", "left")
            .select("gram", "doc_id", "n", F.coalesce("component", "doc_id").alias("component")))
-    columns = (own.groupBy("gram", "component").agg(F.count(F.lit(1)).alias("size"))
-               .groupBy("gram").agg(F.count(F.lit(1)).alias("k"), F.sum("size").alias("size"),
-                                    F.max_by("component", F.struct("size", "component")).alias("main"))
-               .where(F.col("k") > 1).select("gram", "main", "size"))
+    columns = (own.groupBy("gram", "component").agg(F.count(F.lit(1)).alias("members"))
+               .groupBy("gram").agg(F.count(F.lit(1)).alias("k"), F.sum("members").alias("size"),
+                                    F.max("members").alias("main_size"),
+                                    F.max_by("component", F.struct("members", "component")).alias("main"))
+               .where(F.col("k") > 1).select("gram", "main", "main_size", "size"))
     return own.join(columns, "gram")
 
 
@@ -315,18 +316,22 @@ def counted_pairs(mixed: DataFrame) -> DataFrame:
 
 
 def large_columns(mixed: DataFrame, signatures: DataFrame) -> DataFrame:
-    """The entries of large mixed columns, dealt to blocks, with the document's
-    bitmap and all its large columns. Members of the column's largest component
-    sit in one block; the others visit every block."""
+    """The entries of large mixed columns with the document's bitmap and all its
+    large columns, dealt to blocks (gram, row, col) of at most about twice
+    ``COLUMN_BLOCK`` entries: on the right every entry, on the left those outside
+    the column's largest component, each side against all parts of the other."""
     large = mixed.where(F.col("size") > SMALL_COLUMN)
     each = large.groupBy("doc_id").agg(F.collect_list("gram").alias("columns")).join(signatures, "doc_id")
-    blocks = F.ceil(F.col("size") / COLUMN_BLOCK)
-    home = F.pmod(F.xxhash64("doc_id"), blocks)
-    visits = F.when((F.col("component") == F.col("main")) | (blocks == 1), F.array(home)) \
-        .otherwise(F.sequence(F.lit(0).cast("long"), blocks - 1))
-    return (large.withColumn("home", home).withColumn("block", F.explode(visits)).join(each, "doc_id")
-            .select("gram", "block", (F.col("home") == F.col("block")).alias("own"), "doc_id", "n", "component",
-                    "main", "signature", "columns"))
+    cols, rows = (F.ceil(c / COLUMN_BLOCK) for c in (F.col("size"), F.col("size") - F.col("main_size")))
+    parts = lambda n: F.sequence(F.lit(0).cast("long"), n - 1)
+    place = F.xxhash64("doc_id")
+    right = F.transform(parts(rows), lambda r: F.struct(r.alias("row"), F.pmod(place, cols).alias("col"),
+                                                        F.lit(False).alias("left")))
+    left = F.transform(parts(cols), lambda c: F.struct(F.pmod(place, rows).alias("row"), c.alias("col"),
+                                                       F.lit(True).alias("left")))
+    dealt = F.when(F.col("component") == F.col("main"), right).otherwise(F.concat(right, left))
+    return (large.withColumn("to", F.explode(dealt)).join(each, "doc_id")
+            .select("gram", "to.row", "to.col", "to.left", "doc_id", "n", "component", "main", "signature", "columns"))
 
 
 def _earlier(columns: pa.Array, gram: int) -> np.ndarray:
@@ -357,7 +362,7 @@ def bounded_pairs(large: DataFrame, best_only: bool) -> DataFrame:
 
     def meet(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         doc, n, part = (rows.column(c).to_numpy() for c in ("doc_id", "n", "component"))
-        own = rows.column("own").to_numpy()
+        is_left = rows.column("left").to_numpy()
         outside = part != rows.column("main").to_numpy()
         marks = rows.column("signature").combine_chunks()
         before = None if best_only else _earlier(rows.column("columns").combine_chunks(), rows.column("gram")[0].as_py())
@@ -365,7 +370,7 @@ def bounded_pairs(large: DataFrame, best_only: bool) -> DataFrame:
         found = []
         for wide in np.unique(bits):
             for other in (wide // 2, wide, wide * 2):
-                left, right = np.flatnonzero(outside & (bits == wide)), np.flatnonzero(own & (bits == other))
+                left, right = np.flatnonzero(is_left & (bits == wide)), np.flatnonzero(~is_left & (bits == other))
                 if not len(left) or not len(right):
                     continue
                 least = int(min(wide, other))
@@ -411,22 +416,22 @@ def bounded_pairs(large: DataFrame, best_only: bool) -> DataFrame:
                                                for k, c in zip(("x", "y", "bound"), cols, strict=True)})
 
         for batch in batches:
-            gram, block = batch.column("gram").to_numpy(), batch.column("block").to_numpy()
-            cuts = np.flatnonzero((gram[1:] != gram[:-1]) | (block[1:] != block[:-1])) + 1
-            for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(gram)], strict=True):
+            ids = np.stack([batch.column(c).to_numpy() for c in ("gram", "row", "col")], axis=1)
+            cuts = np.flatnonzero((ids[1:] != ids[:-1]).any(axis=1)) + 1
+            for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(ids)], strict=True):
                 if a == b:
                     continue
-                if held and key != (gram[a], block[a]):
+                if held and key != tuple(ids[a]):
                     close()
                     held = []
-                key = (gram[a], block[a])
+                key = tuple(ids[a])
                 held.append(batch.slice(a, b - a))
             yield written()
         if held:
             close()
             yield written()
 
-    met = (large.repartition("gram", "block").sortWithinPartitions("gram", "block")
+    met = (large.repartition("gram", "row", "col").sortWithinPartitions("gram", "row", "col")
            .mapInArrow(run, "x long, y long, bound long"))
     if best_only:
         return (met.groupBy("x").agg(F.max_by("y", F.struct("bound", -F.col("y"))).alias("y"))

@@ -9,6 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 from trafficlens.session import checkpoint_root
 
 
+_RESULTS: list[str] = []
+
+
+def remove_results(spark: SparkSession) -> None:
+    """Delete the result tables of this process; call it when they have been read."""
+    while _RESULTS:
+        remove(spark, _RESULTS.pop())
+
+
 class Scratch:
     """Tables of one operator run under ``spark.checkpoint.dir``.
 
@@ -40,6 +49,7 @@ class Scratch:
         """Write the result beside the scratch tables, remove those, return it."""
         path = f"{self.root}-result"
         df.write.parquet(path)
+        _RESULTS.append(path)
         self.close()
         return self.spark.read.schema(df.schema).parquet(path)
 
