@@ -30,6 +30,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from trafficlens.llm.tables import ship_package
 from trafficlens.llm.textops import text_chunks
 
 # Words as the byte-level pre-tokenizer cuts them (fixed value).
@@ -244,6 +245,12 @@ def _encoder(shared) -> Encoder:
 _LAST: tuple[Vocabulary, Encoder] | None = None
 
 
+def _shared(df: DataFrame, path: str):
+    """The vocabulary as a broadcast (its size is that of the tokenizer file)."""
+    ship_package(df.sparkSession)
+    return df.sparkSession.sparkContext.broadcast(load_vocabulary(path))
+
+
 def _texts(column: pa.Array) -> Iterator[list[str]]:
     """A column as lists of whole texts, about ``BATCH_BYTES`` at a time."""
     for first, last, _, _ in text_chunks(column, BATCH_BYTES):
@@ -252,7 +259,7 @@ def _texts(column: pa.Array) -> Iterator[list[str]]:
 
 def encode(docs: DataFrame, path: str, text: str = "text", out: str = "ids") -> DataFrame:
     """Add the token ids of ``text`` as ``array<int>``."""
-    shared = docs.sparkSession.sparkContext.broadcast(load_vocabulary(path))
+    shared = _shared(docs, path)
 
     @F.arrow_udf("array<int>")
     def apply(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -265,7 +272,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", out: str = "ids") ->
 
 def decode(rows: DataFrame, path: str, ids: str = "ids", out: str = "text") -> DataFrame:
     """Add the text of an ``array<int>`` of token ids (null: empty)."""
-    shared = rows.sparkSession.sparkContext.broadcast(load_vocabulary(path))
+    shared = _shared(rows, path)
 
     @F.arrow_udf("string")
     def apply(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -279,7 +286,7 @@ def decode(rows: DataFrame, path: str, ids: str = "ids", out: str = "text") -> D
 def round_trip(docs: DataFrame, path: str) -> DataFrame:
     """``doc_id``, ``n_tokens``, ``ids_sha256``, ``decoded_sha256`` of every whole text:
     encoded, then decoded from the ids."""
-    shared = docs.sparkSession.sparkContext.broadcast(load_vocabulary(path))
+    shared = _shared(docs, path)
 
     @F.arrow_udf("n_tokens bigint, ids_sha256 string, decoded_sha256 string")
     def apply(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:

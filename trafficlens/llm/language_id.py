@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from trafficlens.llm import textops as tx
+from trafficlens.llm.tables import ship_package
 
 UNDETERMINED = "und"
 ORDERS = (2, 3, 4)
@@ -128,9 +129,19 @@ def predict(model: Model, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def training_sample(docs: DataFrame, rows_per_lang: int) -> list[tuple[str, str, int]]:
     """At most ``rows_per_lang`` rows of each language: the ids with the smallest
-    hashes, ranked before any text moves."""
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = (docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "lang").distinct()
+    hashes, ranked before any text moves. The languages' counts (one row each)
+    first cut the ids to about four times what is kept, so that ranking a common
+    language never meets all its rows in one task."""
+    known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
+    counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if not counts:
+        return []
+    scale = 1 << 30
+    share = F.create_map(*[F.lit(x) for lang, n in sorted(counts.items())
+                           for x in (lang, min(scale, 4 * rows_per_lang * scale // n + 1))])
+    order = Window.partitionBy("lang").orderBy(F.shiftrightunsigned(F.xxhash64("doc_id"), 34), "doc_id")
+    ids = (known.where(F.shiftrightunsigned(F.xxhash64("doc_id"), 34) < share[F.col("lang")])
+           .select("doc_id", "lang").distinct()
            .withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= rows_per_lang))
     rows = docs.join(F.broadcast(ids), ["doc_id", "lang"]).select("lang", "text", "rank").collect()
     return sorted((r["lang"], r["text"], r["rank"]) for r in rows if r["text"] is not None)
@@ -148,6 +159,7 @@ def held_out():
 
 def predictor(spark, model: Model):
     """Column function text -> struct(lang_pred, score)."""
+    ship_package(spark)
     shared = spark.sparkContext.broadcast(model)
 
     @F.arrow_udf("lang_pred string, score double")

@@ -32,6 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trafficlens.llm.quality_rules import SPACE_CLASS, SPACES
+from trafficlens.llm.tables import ship_package
 
 CAPACITY = 2048
 SHARD_ITEMS = 8192
@@ -115,6 +116,7 @@ def items(docs: DataFrame, capacity: int, cluster: str | None = None) -> DataFra
 def best_fit_packing(docs: DataFrame, capacity: int = CAPACITY, cluster: str | None = None,
                      shard_items: int = SHARD_ITEMS) -> DataFrame:
     """``doc_id, piece, n_words, bin_id, bin_start`` for every piece of every row."""
+    ship_package(docs.sparkSession)
     docs = docs.select("doc_id", "text", "source", *([cluster] if cluster else []))
     rows = items(docs, capacity, cluster)
     shards = max(1, -(-docs.count() // shard_items))

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trafficlens.llm import textops as tx
+from trafficlens.llm.tables import ship_package
 
 BUCKET_BITS = 18
 BUCKETS = 1 << BUCKET_BITS
@@ -156,6 +157,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, sample_per_class: int = 3
     """``doc_id``, ``held_out``, ``score``, ``predicted`` for every document.
 
     Rows whose ``crc32(doc_id as text) mod 3`` is 1 are held out of the fit."""
+    ship_package(docs.sparkSession)
     docs = docs.select("doc_id", "text")
     held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
     model = fit(training_sample(docs, labels.where(~held_out), sample_per_class))

@@ -1,13 +1,46 @@
-"""Written tables in the shared checkpoint folder, and their removal."""
+"""Written tables in the shared checkpoint folder, and their removal; the
+package itself for the executors' Python workers."""
 
 from __future__ import annotations
 
+import atexit
+import io
+import os
+import shutil
+import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
+import trafficlens
 from trafficlens.session import checkpoint_root
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers, once an application:
+    its modules go to the executors as a zip file (``addPyFile``). Where the
+    package was itself started from a zip file they already have it."""
+    context = spark.sparkContext
+    folder = os.path.dirname(trafficlens.__file__)
+    if context.applicationId in _SHIPPED or not os.path.isdir(folder):
+        return
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as z:
+        for at, _, names in sorted(os.walk(folder)):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                path = os.path.join(at, name)
+                z.write(path, os.path.join("trafficlens", os.path.relpath(path, folder)))
+    local = tempfile.mkdtemp(prefix="trafficlens-package-")  # the driver's file server reads it from here
+    atexit.register(shutil.rmtree, local, ignore_errors=True)
+    path = os.path.join(local, f"trafficlens-{uuid.uuid4().hex}.zip")
+    with open(path, "wb") as out:
+        out.write(packed.getvalue())
+    context.addPyFile(path)
+    _SHIPPED.add(context.applicationId)
+
 
 _RESULTS: list[str] = []
 
@@ -27,6 +60,7 @@ class Scratch:
     """
 
     def __init__(self, spark: SparkSession, name: str):
+        ship_package(spark)
         self.spark = spark
         self.name = name
         self.root = f"{checkpoint_root(spark).rstrip('/')}/trafficlens-llm/{name}-{uuid.uuid4().hex}"
@@ -66,4 +100,5 @@ def remove(spark: SparkSession, path: str) -> None:
 
 def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     """The named columns of a table; other columns are never read."""
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
