@@ -110,3 +110,32 @@ def test_reports_run_with_the_reference_calendar(spark):
     counts = {name: fn(m, p).count() for name, fn in REPORTS.items()}
     assert counts["report_phone_clicks"] > 0 and counts["report_banners"] > 0
     assert counts["report_weekly_cost"] == 0  # the costs end in 2001
+
+
+def test_weeks_with_their_year_stay_apart(spark):
+    """``with_iso_year``: costs of several years by (ISO year, week, city), dated by
+    the week's own year; the sums over the years are the default report's."""
+    import duckdb
+
+    from trafficlens.params import ReportParams
+    from trafficlens.plans.catalog import mart
+    from trafficlens.plans.reports import REPORTS
+    from trafficlens.sources.fixtures import duckdb_ctes
+
+    sf = "/root/testdata/sf0.001"
+    m, p = mart(spark, sf), ReportParams.for_testdata()
+    got = sorted((r.isoyear, r.isoweek, r.CITY, r.start_week, round(r.COST, 2))
+                 for r in REPORTS["report_weekly_cost"](m, p.with_(with_iso_year=True)).collect())
+    con = duckdb.connect()
+    for t in ("orders", "customer"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf}/{t}.parquet'")
+    want = con.execute(f"""{duckdb_ctes(['costs'])}
+        SELECT isoyear(date), week(date), CITY, CAST(MIN(date_trunc('week', date)::DATE) AS VARCHAR),
+               CAST(ROUND(SUM(CAST(COSTS AS DECIMAL(28, 10))), 2) AS DOUBLE)
+        FROM costs WHERE COSTS > 0 AND date >= DATE '1996-01-01' GROUP BY 1, 2, 3""").fetchall()
+    assert got == sorted((a, b, c, d, round(e, 2)) for a, b, c, d, e in want) and len({g[0] for g in got}) > 3
+    for name in ("report_vas_by_action", "report_mortgage", "report_claims", "report_registrations",
+                 "report_vas_by_city"):
+        rows = REPORTS[name](m, p.with_(with_iso_year=True)).collect()
+        plain = REPORTS[name](m, p).collect()
+        assert {r.isoyear for r in rows} <= {2023, 2024} and len(rows) == len(plain)

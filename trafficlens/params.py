@@ -54,6 +54,8 @@ class ReportParams:
 
     # common session-side bounds
     start_date: str = "2022-01-03"
+    # weeks without a year, as the reference; True adds ``isoyear`` to R3-R7, R12 and R15
+    with_iso_year: bool = False
     # exact COUNT(DISTINCT) by default; True switches to HyperLogLog++ (opt-in)
     approx_distinct: bool = False
     section: str = SECTION

@@ -24,7 +24,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trafficlens.functions.calendar import iso_week, iso_week_monday, month_of
+from trafficlens.functions.calendar import iso_week, iso_week_monday, iso_year, month_of
 from trafficlens.functions.columns import cast_columns, fill_null_zero, move_column
 from trafficlens.functions.tagging import campaign_type, city_bucket, length_positive, regex_prefix
 from trafficlens.operators import filters as flt
@@ -42,6 +42,17 @@ def _event_week(ts_col: str = "dateHourMinute"):
     return iso_week(F.col(ts_col).cast("date"))
 
 
+def _weeks(p: ReportParams, c, week: str = "isoweek") -> list:
+    """The week column of a report, and with ``with_iso_year`` the year it belongs
+    to (``isoyear``), so that the same week of two years stays apart."""
+    c = F.col(c) if isinstance(c, str) else c
+    return [iso_week(c).alias(week), *([iso_year(c).alias("isoyear")] if p.with_iso_year else [])]
+
+
+def _week_names(p: ReportParams, week: str = "isoweek") -> list[str]:
+    return [week, *(["isoyear"] if p.with_iso_year else [])]
+
+
 def session_multiplicity(sessions: DataFrame, *keys) -> DataFrame:
     """Sessions cut to (session_id, keys...) with ``n``, the number of session
     rows behind each: the join then multiplies event sums by ``n`` instead of
@@ -114,7 +125,7 @@ def report_vas_by_action(mart: Mart, p: ReportParams) -> DataFrame:
     ev = flt.from_ts(ev, "dateHourMinute", p.vas_from_ts)
     prefix = regex_prefix("eventaction")
     ev = ev.where(length_positive(prefix))
-    return ev.groupBy(iso_week("dateHourMinute").alias("isoweek"), prefix.alias("eventaction")).agg(
+    return ev.groupBy(*_weeks(p, "dateHourMinute"), prefix.alias("eventaction")).agg(
         sum_as_bigint("totalEvents").alias("rashlop"))
 
 
@@ -133,14 +144,14 @@ def report_mortgage(mart: Mart, p: ReportParams) -> DataFrame:
     distinct users. Sessions keep their fan-out as a row count ``n`` per
     (session, week, user). Columns: isoweek, city, totalEvents, dimension1."""
     tr = _section_sessions(mart, p, ["date", "landingpage", "session_id", "user_id"], True, True)
-    tr = session_multiplicity(tr, iso_week("date").alias("isoweek"), "user_id")
+    tr = session_multiplicity(tr, *_weeks(p, "date"), "user_id")
     ev = mart.table("raw_events", ["date", "dateHourMinute", "dimension4", "eventlabel", "pagepath", "totalEvents"])
     ev = flt.from_ts(ev, "dateHourMinute", p.lead_from_ts)
     ev = flt.regex_any(ev, "eventlabel", p.mortgage_labels)
     ev = (ev.groupBy("dimension4", city_bucket("pagepath", "REG").alias("city"))
             .agg(F.sum("totalEvents").alias("totalEvents")))
     joined = join_events(tr, ev, how="left", require="dimension4")
-    return joined.groupBy("isoweek", "city").agg(
+    return joined.groupBy(*_week_names(p), "city").agg(
         sum_as_bigint(F.col("n") * F.col("totalEvents")).alias("totalEvents"),
         distinct_count("user_id", p.approx_distinct).alias("dimension1"),
     )
@@ -151,21 +162,20 @@ def report_claims(mart: Mart, p: ReportParams) -> DataFrame:
     Both sides are pre-aggregated to the report grain (sessions with their row
     count ``n``). Columns: isoweek, city, totalEvents."""
     tr = _section_sessions(mart, p, ["date", "landingpage", "session_id"], True, False)
-    tr = session_multiplicity(tr, iso_week("date").alias("isoweek"),
-                              city_bucket("landingpage", "REG").alias("city"))
+    tr = session_multiplicity(tr, *_weeks(p, "date"), city_bucket("landingpage", "REG").alias("city"))
     ev = mart.table("raw_events", ["date", "dateHourMinute", "dimension4", "eventlabel", "totalEvents"])
     ev = flt.from_ts(ev, "dateHourMinute", p.lead_from_ts)
     ev = flt.regex_any(ev, "eventlabel", p.claim_labels)
     ev = ev.groupBy("dimension4").agg(F.sum("totalEvents").alias("totalEvents"))
     joined = join_events(tr, ev, how="left", require="dimension4")
-    return joined.groupBy("isoweek", "city").agg(
+    return joined.groupBy(*_week_names(p), "city").agg(
         sum_as_bigint(F.col("n") * F.col("totalEvents")).alias("totalEvents"))
 
 
 def _registrations(mart: Mart, p: ReportParams, section: bool) -> DataFrame:
     cols = ["date", "landingpage", "session_id"]
     tr = _section_sessions(mart, p, cols, section, True)
-    tr = session_multiplicity(tr, iso_week("date").alias("isoweek"))
+    tr = session_multiplicity(tr, *_weeks(p, "date"))
     ev = mart.table("raw_events", ["date", "dateHourMinute", "dimension4", "eventlabel", "eventcategory",
                                    "pagepath", "totalEvents"])
     ev = flt.from_ts(ev, "dateHourMinute", p.registration_from_ts)
@@ -174,7 +184,7 @@ def _registrations(mart: Mart, p: ReportParams, section: bool) -> DataFrame:
     ev = flt.url_excludes(ev, "pagepath", p.registration_page_excluded)
     ev = ev.groupBy("dimension4").agg(F.sum("totalEvents").alias("totalEvents"))
     joined = join_events(tr, ev, how="left", require="dimension4")
-    return joined.groupBy("isoweek").agg(sum_as_bigint(F.col("n") * F.col("totalEvents")).alias("totalEvents"))
+    return joined.groupBy(*_week_names(p)).agg(sum_as_bigint(F.col("n") * F.col("totalEvents")).alias("totalEvents"))
 
 
 def report_registrations(mart: Mart, p: ReportParams) -> DataFrame:
@@ -330,13 +340,14 @@ def report_monthly_users(mart: Mart, p: ReportParams) -> DataFrame:
 def report_weekly_cost(mart: Mart, p: ReportParams) -> DataFrame:
     """Weekly positive cost per city with the Monday of the week (in
     ``cost_week_year``). Columns: isoweek, start_week, CITY, COST."""
-    if p.cost_week_year is None:
+    if p.cost_week_year is None and not p.with_iso_year:
         raise ValueError("cost_week_year: the year that dates the weeks must be given")
     c = mart.table("costs", ["date", "CITY", "COSTS"])
     c = flt.positive(c, "COSTS")
     c = flt.from_date(c, "date", p.cost_from)
-    out = c.groupBy(iso_week("date").alias("isoweek"), "CITY").agg(rounded_sum("COSTS").alias("COST"))
-    out = out.withColumn("start_week", iso_week_monday(F.col("isoweek"), p.cost_week_year))
+    out = c.groupBy(*_weeks(p, "date"), "CITY").agg(rounded_sum("COSTS").alias("COST"))
+    out = out.withColumn("start_week", iso_week_monday(F.col("isoweek"),
+                                                       F.col("isoyear") if p.with_iso_year else p.cost_week_year))
     out = move_column(out, "start_week", 1)
     return cast_columns(out, {"isoweek": "bigint", "COST": "double", "CITY": "string", "start_week": "string"})
 
@@ -388,7 +399,8 @@ def report_vas_by_city(mart: Mart, p: ReportParams) -> DataFrame:
     ev = mart.table("raw_events", ["date", "dateHourMinute", "eventlabel", "pagepath", "totalEvents", "uniqueEvents"])
     ev = flt.from_date(ev, "dateHourMinute", p.vas_city_from)
     ev = flt.regex_any(ev, "eventlabel", p.vas_city_labels)
-    return ev.groupBy(_event_week().alias("isoweek"), city_bucket("pagepath", "REG").alias("city")).agg(
+    return ev.groupBy(*_weeks(p, F.col("dateHourMinute").cast("date")),
+                      city_bucket("pagepath", "REG").alias("city")).agg(
         sum_as_bigint("totalEvents").alias("tot"), sum_as_bigint("uniqueEvents").alias("un"))
 
 
