@@ -271,10 +271,11 @@ def host_column(url: str = "url"):
     return F.lower(F.regexp_extract(F.col(url), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1))
 
 
-def site_templates(pages: DataFrame) -> DataFrame:
+def site_templates(pages: DataFrame, scratch: Scratch) -> DataFrame:
     """``host, templates``: hashes of the subtrees that recur on many different
     pages of the host. Distinct (host, hash, page) rows are made map-side first,
-    so a hot host's template is spread over all tasks."""
+    so a hot host's template is spread over all tasks. The counts are written, so
+    every page is hashed once."""
 
     def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -293,7 +294,7 @@ def site_templates(pages: DataFrame) -> DataFrame:
     rows = seen.select("host", "page", F.explode(F.concat(F.array(F.lit(None).cast("long")), "found")).alias("hash"))
     counts = rows.distinct().groupBy("host", "hash").agg(F.count(F.lit(1)).alias("pages"))
     most = F.max(F.when(F.col("hash").isNull(), F.col("pages")))
-    hosts = counts.where(F.col("pages") >= MIN_PAGES)
+    hosts = scratch.keep(counts.where(F.col("pages") >= MIN_PAGES), "counts")
     total = hosts.groupBy("host").agg(most.alias("total"))
     return (hosts.where(F.col("hash").isNotNull()).join(total, "host")
             .where(F.col("pages") * 100 >= F.col("total") * MIN_PERCENT)
@@ -304,7 +305,7 @@ def html_extract(pages: DataFrame) -> DataFrame:
     """``page_id``, ``url``, ``text``, ``n_chars`` for every page."""
     pages = pages.select("page_id", "url", "html")
     scratch = Scratch(pages.sparkSession, "html-extract")
-    templates = scratch.keep(site_templates(pages), "templates")
+    templates = scratch.keep(site_templates(pages, scratch), "templates")
 
     @F.arrow_udf("string")
     def extract(htmls: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
@@ -312,7 +313,7 @@ def html_extract(pages: DataFrame) -> DataFrame:
             yield pa.array([page_text(h or "", set(t or ())) for h, t in
                             zip(html.to_pylist(), found.to_pylist(), strict=True)], pa.string())
 
-    out = (pages.withColumn("host", host_column()).join(templates, "host", "left")
-           .select("page_id", "url", extract("html", "templates").alias("text"))
-           .select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars")))
-    return scratch.result(out)
+    scratch.outlive()
+    return (pages.withColumn("host", host_column()).join(templates, "host", "left")
+            .select("page_id", "url", extract("html", "templates").alias("text"))
+            .select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars")))

@@ -87,6 +87,10 @@ class Scratch:
         self.close()
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def outlive(self) -> None:
+        """A lazy result still reads the kept tables: leave them to ``remove_results``."""
+        _RESULTS.append(self.root)
+
     def close(self) -> None:
         remove(self.spark, self.root)
 
