@@ -14,11 +14,13 @@ that repeat a ``doc_id`` and its text count as one document from stage 3 on.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trafficlens.llm.language_id import UNDETERMINED, learn, predictor
-from trafficlens.llm.ngram_join import ngram_join
+from trafficlens.llm.ngram_join import ngram_join, possibly_among
 from trafficlens.llm.packing import best_fit_packing
 from trafficlens.llm.quality_rules import kept_rows
 from trafficlens.llm.tables import Scratch
@@ -40,12 +42,16 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Only rows that may be listed (as a copy that goes, or as a repeated id) are
+    joined with the lists; all others pass without a shuffle of their text."""
     groups = ngram_join(docs).where(F.col("doc_id").isNotNull())
     repeated = groups.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).select("doc_id")
     gone = groups.where(F.col("doc_id") != F.col("component_id")).select("doc_id")
-    kept = docs.join(gone, "doc_id", "left_anti")
+    listed = possibly_among(gone.unionByName(repeated), "doc_id")
+    kept = docs.where(listed).join(gone, "doc_id", "left_anti")
     once = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    return (kept.join(repeated, "doc_id", "left_anti").unionByName(once)).select(*docs.columns)
+    return reduce(DataFrame.unionByName, [
+        part.select(*docs.columns) for part in (docs.where(~listed), kept.join(repeated, "doc_id", "left_anti"), once)])
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

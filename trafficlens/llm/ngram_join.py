@@ -205,6 +205,19 @@ def id_bitmap(ids: DataFrame, column: str) -> np.ndarray:
     return np.unpackbits(bitmap.view(np.uint8), bitorder="little")
 
 
+def possibly_among(ids: DataFrame, column: str):
+    """Condition on ``column`` that holds for every id of ``ids`` and, by hash
+    collisions in the bitmap, for few others; null ids are not among any."""
+    shared = ids.sparkSession.sparkContext.broadcast(id_bitmap(ids, column))
+
+    @F.arrow_udf("boolean")
+    def marked(slots: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for slot in slots:
+            yield pa.array(shared.value[slot.to_numpy(zero_copy_only=False)] == 1)
+
+    return F.col(column).isNotNull() & marked(_slot(column))
+
+
 def verify(docs: DataFrame, pairs: DataFrame, scratch: Scratch) -> DataFrame:
     """The pairs (x, y) whose whole sets meet the threshold, as links (a, b)."""
     per_x = pairs.groupBy("x").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
