@@ -14,7 +14,7 @@ import pyarrow as pa
 
 # Bytes of text handled in one go: bounds the working arrays (about 40 bytes per
 # text byte) without cutting any document.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 9, 10, 11, 12, 13]] = True
