@@ -36,6 +36,20 @@ def test_page_text(page, text):
     assert he.page_text(page, set()) == text
 
 
+@pytest.mark.parametrize("odd", ["<![foo bar]>", "<![ x ]>", "<![%x[ y ]]>", "<![>", "<![endif]-->", "<![if x>",
+                                 "<![CDATA[>", "&#" + "9" * 5000 + ";"])
+def test_text_after_odd_markup_is_kept(odd):
+    got = he.page_text(f"<article><p>a</p>{odd}<p>rest</p><p>end ]></p></article>", set())
+    blocks = got.split("\n\n")
+    assert blocks[0] == "a" and blocks[-2:] == ["rest", "end ]>"]
+    assert he.page_hashes(f"<p>a</p>{odd}<div>rest</div>") != he.page_hashes(f"<p>a</p>{odd}")
+
+
+def test_odd_markup_at_the_end_and_long_references():
+    assert he.page_text("<p>a</p><![ x", set()).startswith("a")
+    assert he.page_text("<p>a &#" + "0" * 5000 + "65; b</p>", set()) == "a A b"
+
+
 def test_site_templates_go_and_shared_passages_stay(spark):
     shared = "<p>" + "passage " * 60 + "</p>"
     rows = [(i, f"http://site.example/{i}", f"<body><div><p>Top of the site</p></div><p>story {i}</p>{shared}"

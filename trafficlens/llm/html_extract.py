@@ -18,7 +18,8 @@ The template table (a few hashes a host) is written and joined on the host;
 Spark broadcasts it only under its size threshold and otherwise splits the hot
 hosts of the join. Defined cases: a null html is an empty page (empty text); a
 null url has no host and keeps all but the deleted elements; broken markup is
-closed at the end of the page; repeated rows give equal rows. Only ``page_id``,
+closed at the end of the page; an unknown ``<![...>`` is a comment up to the next
+``>``; repeated rows give equal rows. Only ``page_id``,
 ``url`` and ``html`` are read.
 """
 
@@ -59,6 +60,8 @@ DROPPED_NAMES = frozenset("ad ads adv advert adverts advertisement advertising a
                           "subscribe login signup search pagination pager widget".split())
 DROPPED_OUTSIDE = frozenset("header footer banner masthead topbar toolbar copyright".split())
 _NAMES = re.compile(r"[a-z]+|[A-Z][a-z]*|[A-Z]+")
+# Python refuses to read integers of thousands of digits; 1114112 is the first number that is no character.
+_LONG_REFERENCE = re.compile(r"&#0*([0-9]{9,})")
 
 
 class Node:
@@ -119,14 +122,18 @@ class TreeBuilder(HTMLParser):
     def handle_data(self, data: str) -> None:
         self.open[-1].children.append(data)
 
+    def parse_html_declaration(self, i: int) -> int:
+        """``<![...>`` of any kind is a comment up to the next ``>``, as in browsers;
+        the parser raises on sections it does not know."""
+        if self.rawdata.startswith("<![", i):
+            return self.parse_bogus_comment(i)
+        return super().parse_html_declaration(i)
+
 
 def parse(html: str) -> Node:
     builder = TreeBuilder()
-    try:
-        builder.feed(html)
-        builder.close()
-    except (AssertionError, ValueError):  # markup declarations the parser gives up on: what it has read stands
-        pass
+    builder.feed(_LONG_REFERENCE.sub(lambda m: "&#" + (m[1] if len(m[1]) < 20 else "1114112"), html))
+    builder.close()
     return builder.root
 
 
