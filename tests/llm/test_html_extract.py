@@ -36,6 +36,33 @@ def test_page_text(page, text):
     assert he.page_text(page, set()) == text
 
 
+NAMED = [
+    ("<article><div class='elementor-widget elementor-widget-text-editor'><p>t</p></div></article>", "t"),
+    ("<article><h2 id='related-work'>Related work</h2><p id='search'>s</p></article>", "Related work\n\ns"),
+    ("<article><section id='notice-of-appeal'>n</section><section id=search>s</section></article>", "n\n\ns"),
+    ("<article><section id=comments><p>c</p></section><p>t</p></article>", "t"),
+    ("<div class='layout has-sidebar'><article><p>t</p></article><div class=sidebar>s</div></div>", "t"),
+    ("<form action=/><input><div><article><p>t</p></article></div><div>o</div></form>", "t"),
+    ("<form><main><p>t</p></main></form><p>o</p>", "t"),
+    ("<main><form><article>long text</article></form></main>", "long text"),
+    ("<article class='post comments-open'><p>t</p><ol class='comment-list'><li>c</ol></article>", "t"),
+    ("<article class='comment-body'>c</article><article>t</article>", "t"),
+    ("<div class='sidebar'><main><p>t</p></main></div>", "t"),
+    ("<div hidden><article>in a wrapper</article></div><div>o</div>", "in a wrapper"),
+    ("<p>the body text of a page</p><div class=related><article>teaser</article></div>", "the body text of a page"),
+    ("<p>t</p><aside><article>teaser and more</article></aside>", "t"),
+    ("<aside><article>t</article></aside>", "t"),
+    ("<article>t</article><div class=related-posts><article>teaser and more</article></div>", "t"),
+    ("<article>t<div class=related><article>teaser</article></div></article>", "t"),
+    ("<p>t</p><div class='newsletter-signup'>n</div><div id=cookie_banner>c</div><ul class=shareButtons><li>s</ul>", "t"),
+]
+
+
+@pytest.mark.parametrize("page,text", NAMED)
+def test_names_delete_whole_tokens_only(page, text):
+    assert he.page_text(page, set()) == text
+
+
 @pytest.mark.parametrize("odd", ["<![foo bar]>", "<![ x ]>", "<![%x[ y ]]>", "<![>", "<![endif]-->", "<![if x>",
                                  "<![CDATA[>", "&#" + "9" * 5000 + ";"])
 def test_text_after_odd_markup_is_kept(odd):

@@ -8,7 +8,8 @@ equal text count as one, so copies of a page never turn its text into template,
 and inside an ``article`` or ``main`` element only link lists can be template:
 a passage that many articles share is text. Menus, headers, footers, sidebars,
 notices, adverts, forms, scripts, styles and reader comments are deleted by
-element, role and class name as well.
+element, role and whole class token or id as well; a form around an article is
+none of them.
 
 The text is that of the page's articles, else of its ``main``, else of its body:
 character references decoded, white space inside a block made one space, blocks
@@ -53,35 +54,61 @@ DROPPED = frozenset("script style noscript template head title nav footer aside
                     "iframe svg canvas object embed dialog menu audio video map".split())
 DROPPED_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu "
                           "menubar".split())
-# Name parts (class and id) of elements that are no article text; those of the second list only outside of it.
-DROPPED_NAMES = frozenset("ad ads adv advert adverts advertisement advertising adsense sponsor sponsored promo cookie "
-                          "cookies consent gdpr notice notices popup modal overlay sidebar menu nav navbar navigation "
-                          "breadcrumb breadcrumbs comment comments disqus share sharing social related newsletter "
-                          "subscribe login signup search pagination pager widget".split())
+# Elements that are no article text, by class token or id: a token counts if each of its parts is one of these words
+# or of ``NAME_PARTS`` ("cookie-notice", "share-buttons", but not "text-widget-body" or "has-sidebar"); those of the
+# second list count only outside of an article.
+DROPPED_NAMES = frozenset("ad ads adv advert adverts advertisement advertising adsense adsbygoogle sponsor sponsored "
+                          "promo cookie cookies consent gdpr notice notices popup modal overlay sidebar menu nav navbar "
+                          "navigation breadcrumb breadcrumbs comment comments disqus share sharing social related "
+                          "newsletter subscribe login signup search pagination pager widget".split())
 DROPPED_OUTSIDE = frozenset("header footer banner masthead topbar toolbar copyright".split())
+NAME_PARTS = frozenset("site page main primary secondary top bottom left right side bar box banner block area list item "
+                       "items link links button buttons icons container wrapper wrap slot unit form section reply "
+                       "respond thread posts post articles stories footer header toggle wp mega mobile desktop global user reader "
+                       "google follow sticky floating dropdown onetrust sdk".split())
+COMMENT_CLASSES = frozenset("comment comments comment-body user-comment reader-comment".split())
+# Their ids are anchors of the text.
+ANCHORED = frozenset("h1 h2 h3 h4 h5 h6 p li dt dd td th tr caption figure figcaption blockquote pre section span a b i em "
+                     "strong code sup sub mark small label cite q time img".split())
+SECTION_IDS = frozenset("comment comments disqus sidebar cookie cookies consent gdpr".split())
 _NAMES = re.compile(r"[a-z]+|[A-Z][a-z]*|[A-Z]+")
 # Python refuses to read integers of thousands of digits; 1114112 is the first number that is no character.
 _LONG_REFERENCE = re.compile(r"&#0*([0-9]{9,})")
 
 
 class Node:
-    __slots__ = ("tag", "names", "role", "hidden", "children")
+    __slots__ = ("tag", "names", "classes", "marks", "outside_marks", "role", "hidden", "children")
 
     def __init__(self, tag: str, attrs: list[tuple[str, str | None]]):
         self.tag = tag
         self.children: list = []
-        self.names: frozenset = frozenset()
+        self.names: frozenset = frozenset()  # word parts of class and id
+        self.classes: frozenset = frozenset()
+        self.marks = self.outside_marks = False  # named as no article text, as none outside of an article
         self.role = ""
         self.hidden = False
         for key, value in attrs:
             if key in ("class", "id") and value:
                 self.names |= {part.lower() for part in _NAMES.findall(value)}
+                if key == "class":
+                    self.classes |= frozenset(value.lower().split())
+                for token in value.split():
+                    self.mark([part.lower() for part in _NAMES.findall(token)], key == "id")
             elif key == "role" and value:
                 self.role = value.strip().lower()
             elif key == "hidden" or key == "aria-hidden" and value == "true":
                 self.hidden = True
 
 
+    def mark(self, parts: list[str], is_id: bool) -> None:
+        if is_id and self.tag in ANCHORED and (self.tag != "section" or SECTION_IDS.isdisjoint(parts)):
+            return
+        if not all(p in DROPPED_NAMES or p in DROPPED_OUTSIDE or p in NAME_PARTS for p in parts):
+            return
+        self.marks |= any(p in DROPPED_NAMES for p in parts)
+        self.outside_marks |= any(p in DROPPED_OUTSIDE for p in parts)
+
+
 class TreeBuilder(HTMLParser):
     """Element tree of a page; tolerant of missing end tags."""
 
@@ -139,26 +166,74 @@ def parse(html: str) -> Node:
 
 def is_dropped(node: Node, inside: bool) -> bool:
     """Element that never holds article text; ``inside``: within an article."""
-    if node.tag in DROPPED or node.role in DROPPED_ROLES or node.hidden or node.names & DROPPED_NAMES:
-        return node.tag not in ("html", "body", "article", "main") or bool(node.names & {"comment", "comments"})
-    return not inside and (node.tag == "header" or bool(node.names & DROPPED_OUTSIDE)) and node.tag not in (
-        "html", "body", "article", "main")
+    if node.tag in ("article", "main"):
+        return not node.classes.isdisjoint(COMMENT_CLASSES)
+    if node.tag in ("html", "body") or node.role == "main":
+        return False
+    if node.tag in DROPPED or node.role in DROPPED_ROLES or node.hidden or node.marks:
+        return inside or node.tag != "form" or not holds_article(node)
+    return not inside and (node.tag == "header" or node.outside_marks)
+
+
+def is_article(node: Node, wanted: str) -> bool:
+    return (node.tag == wanted or wanted == "main" and node.role == "main") and not is_dropped(node, True)
+
+
+def holds_article(node: Node) -> bool:
+    """An article or main element in a form: the form wraps the page."""
+    stack = [node]
+    while stack:
+        for child in stack.pop().children:
+            if isinstance(child, Node):
+                if is_article(child, "article") or is_article(child, "main"):
+                    return True
+                stack.append(child)
+    return False
 
 
 def article_roots(root: Node) -> list[Node]:
-    """The articles of a page, else its main element, else its body."""
-    for wanted in ("article", "main"):
-        found, stack = [], [root]
+    """The articles of a page, else its main element, else its body. Where no
+    article stands outside the deleted elements, those in a deleted wrapper are
+    taken if they hold more text than the rest."""
+    roots = outermost(root, "article", False)
+    if roots:
+        return roots
+    roots = outermost(root, "main", False) or [root]
+    size = text_size(roots, roots == [root])
+    skipped = frozenset() if size == 0 else DROPPED - {"form"}  # an aside's article is a teaser beside any text
+    wrapped = outermost(root, "article", True, skipped) or outermost(root, "main", True, skipped)
+    wrapped = [w for w in wrapped if w not in roots]
+    return wrapped if wrapped and text_size(wrapped, False) > size else roots
+
+
+def outermost(root: Node, wanted: str, wrapped: bool, skipped: frozenset = frozenset()) -> list[Node]:
+    """The outermost ``wanted`` elements in page order; ``wrapped``: those in the
+    fewest deleted elements (but ``skipped`` tags), else those in none."""
+    level = [root]
+    while level:
+        found, below, stack = [], [], level[::-1]
         while stack:
             node = stack.pop()
-            if node.tag == wanted or wanted == "main" and node.role == "main":
-                if not is_dropped(node, True):
-                    found.append(node)
+            if is_article(node, wanted):
+                found.append(node)
                 continue
-            stack += [c for c in reversed(node.children) if isinstance(c, Node) and not is_dropped(c, False)]
-        if found:
+            if node is not root and node.tag in ("article", "main") and is_dropped(node, True):
+                continue
+            inner = []
+            for child in node.children:
+                if isinstance(child, Node) and not is_dropped(child, False):
+                    inner.append(child)
+                elif isinstance(child, Node) and child.tag not in skipped:
+                    below.append(child)
+            stack += inner[::-1]
+        if found or not wrapped:
             return found
-    return [root]
+        level = below
+    return []
+
+
+def text_size(roots: list[Node], whole_page: bool) -> int:
+    return sum(map(len, blocks_of(roots, set(), whole_page)))
 
 
 def hash_subtrees(node: Node, out: dict[int, int]) -> tuple[bytes, int, int]:
