@@ -95,6 +95,19 @@ def test_site_templates_go_and_shared_passages_stay(spark):
     assert all(r["n_chars"] == len(r["text"]) for r in got.values())
 
 
+def test_shared_cells_items_and_headings_are_text(spark):
+    rows = []
+    for i in range(40):
+        links = "".join(f"<li><a>m{k}</a></li>" for k in range(3)) if i % 5 == 0 else f"<li><a>own {i}</a></li>"
+        aside = "<div><p>Shared by a fifth</p></div>" if i % 5 == 0 else ""
+        rows.append((i, f"http://cook.example/{i}", f"<body><div><p>Top</p><p>of the site</p></div><ul>{links}</ul>"
+                     f"<div><h2>Ingredients</h2></div>{aside}<p>dish {i}</p><ul><li>Salt</li><li>s{i}</li></ul>"
+                     f"<table><tr><th>Vegan</th></tr><tr><td>Yes</td><td>v{i}</td></tr></table>"))
+    got = run(spark, rows)
+    assert got[1]["text"] == "own 1\n\nIngredients\n\ndish 1\n\nSalt\n\ns1\n\nVegan\n\nYes v1"
+    assert got[5]["text"] == ("Ingredients\n\nShared by a fifth\n\ndish 5\n\nSalt\n\ns5\n\nVegan\n\nYes v5")
+
+
 def test_empty_table(spark):
     assert he.html_extract(spark.createDataFrame([], SCHEMA)).collect() == []
 

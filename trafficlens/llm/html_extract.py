@@ -2,11 +2,12 @@
 
 Pages are parsed into element trees. Subtrees outside the article are hashed
 (tag, class, text and children); Spark counts per host on how many different
-pages each occurs, and a subtree found on many pages of its host
-(``MIN_PAGES`` and ``MIN_PERCENT`` of them) is template and deleted. Pages of
-equal text count as one, so copies of a page never turn its text into template,
-and inside an ``article`` or ``main`` element only link lists can be template:
-a passage that many articles share is text. Menus, headers, footers, sidebars,
+pages each occurs. A link list found on many pages of its host (``MIN_PAGES`` and
+``MIN_PERCENT`` of them) is template and deleted; any other subtree must be a
+whole block container outside the ``article`` or ``main`` element and recur on
+``MIN_BLOCK_PERCENT`` of the pages: cells, list items and headings alone are text,
+and so is a passage that many articles share. Pages of equal text count as one,
+so copies of a page never turn its text into template. Menus, headers, footers, sidebars,
 notices, adverts, forms, scripts, styles and reader comments are deleted by
 element, role and whole class token or id as well; a form around an article is
 none of them.
@@ -38,7 +39,8 @@ from pyspark.sql import functions as F
 from trafficlens.llm.tables import Scratch
 
 MIN_PAGES = 5
-MIN_PERCENT = 10
+MIN_PERCENT = 10        # link lists
+MIN_BLOCK_PERCENT = 50  # other blocks outside of an article
 
 MAX_DEPTH = 256  # elements nested deeper become siblings; their text stays in place
 
@@ -71,6 +73,10 @@ COMMENT_CLASSES = frozenset("comment comments comment-body user-comment reader-c
 ANCHORED = frozenset("h1 h2 h3 h4 h5 h6 p li dt dd td th tr caption figure figcaption blockquote pre section span a b i em "
                      "strong code sup sub mark small label cite q time img".split())
 SECTION_IDS = frozenset("comment comments disqus sidebar cookie cookies consent gdpr".split())
+LINK_LISTS = frozenset("ul ol div section table".split())
+CONTAINERS = frozenset("address aside blockquote center details dialog dir div dl fieldset figure footer form header "
+                       "hgroup menu nav ol p pre section table ul".split())
+LONE = frozenset("li dt dd td th caption figcaption summary h1 h2 h3 h4 h5 h6".split())
 _NAMES = re.compile(r"[a-z]+|[A-Z][a-z]*|[A-Z]+")
 # Python refuses to read integers of thousands of digits; 1114112 is the first number that is no character.
 _LONG_REFERENCE = re.compile(r"&#0*([0-9]{9,})")
@@ -260,8 +266,8 @@ def hash_subtrees(node: Node, out: dict[int, int]) -> tuple[bytes, int, int]:
 
 
 def template_candidates(root: Node) -> dict[int, int]:
-    """Nodes that may be template (id -> hash): elements outside the article, and
-    link lists inside it."""
+    """Nodes that may be template (id -> hash): link lists (even hashes) and,
+    outside the article, block containers (odd hashes)."""
     hashes: dict[int, int] = {}
     hash_subtrees(root, hashes)
     roots = article_roots(root)
@@ -274,19 +280,29 @@ def template_candidates(root: Node) -> dict[int, int]:
                 continue
             if id(child) in marked:
                 walk(child, True)
-            elif not inside:
-                if child.tag not in ("body", "a", "b", "i", "em", "strong", "span"):
-                    out[id(child)] = hashes[id(child)]
-                walk(child, False)
-            else:
-                if child.tag in ("ul", "ol", "div", "section", "table") and mostly_links(child):
-                    out[id(child)] = hashes[id(child)]
-                walk(child, True)
+                continue
+            if child.tag in LINK_LISTS and mostly_links(child):
+                out[id(child)] = hashes[id(child)] & ~1
+            elif not inside and child.tag in CONTAINERS and not is_lone(child, hashes):
+                out[id(child)] = hashes[id(child)] | 1
+            walk(child, inside)
 
     walk(root, False)
     return out
 
 
+def is_lone(node: Node, hashes: dict[int, int]) -> bool:
+    """All text of the node is in one cell, list item or heading."""
+    while node.tag not in LONE:
+        if any(isinstance(child, str) and child.strip() for child in node.children):
+            return False
+        held = [child for child in node.children if isinstance(child, Node) and id(child) in hashes]
+        if len(held) != 1:
+            return False
+        node = held[0]
+    return True
+
+
 def mostly_links(node: Node) -> bool:
     size, linked, stack = 0, 0, [(node, False)]
     while stack:
@@ -378,8 +394,9 @@ def site_templates(pages: DataFrame, scratch: Scratch) -> DataFrame:
     most = F.max(F.when(F.col("hash").isNull(), F.col("pages")))
     hosts = scratch.keep(counts.where(F.col("pages") >= MIN_PAGES), "counts")
     total = hosts.groupBy("host").agg(most.alias("total"))
+    percent = F.when(F.col("hash").bitwiseAND(F.lit(1)) == 0, MIN_PERCENT).otherwise(MIN_BLOCK_PERCENT)
     return (hosts.where(F.col("hash").isNotNull()).join(total, "host")
-            .where(F.col("pages") * 100 >= F.col("total") * MIN_PERCENT)
+            .where(F.col("pages") * 100 >= F.col("total") * percent)
             .groupBy("host").agg(F.collect_list("hash").alias("templates")))
 
 
