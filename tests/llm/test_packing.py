@@ -69,3 +69,42 @@ def test_named_cluster_column(make_docs):
     docs = make_docs([(i, f"w{i}") for i in range(6)]).withColumn("group", F.lit("one"))
     assert len({r["bin_id"] for r in pk.best_fit_packing(docs, cluster="group").collect()}) == 6
     assert len({r["bin_id"] for r in pk.best_fit_packing(docs).collect()}) == 1
+
+
+def near_rows():
+    """Groups of near copies of different sources, some without id, some equal but for the case of a letter."""
+    rng = random.Random(5)
+    rows = []
+    for i in range(60):
+        base = [f"b{i}x{rng.randrange(1000)}" for _ in range(30)]
+        rows += [(3 * i, " ".join(base), None, f"s{i}"), (3 * i + 1, " ".join(base) + " end", None, f"t{i}"),
+                 (None if i % 2 else 3 * i + 2, " ".join(["start", *base]), None, None)]
+    return rows + [(900, "\u00c9t\u00e9", None, "a"), (901, "\u00e9t\u00e9", None, "b")]
+
+
+def test_near_copies_of_different_sources_share_no_bin(make_docs):
+    rows = near_rows()
+    docs = make_docs(rows)
+    got = pk.near_copy_packing(docs, capacity=4096).collect()
+    assert len(got) == len(rows)
+    assert sum(r["n_words"] for r in got) == sum(len(WORD.findall(t)) for _, t, *_ in rows)
+    bins = {r["doc_id"]: r["bin_id"] for r in got if r["doc_id"] is not None}
+    for i in range(60):
+        ids = [k for k in (3 * i, 3 * i + 1, 3 * i + 2) if k in bins]
+        assert len({bins[k] for k in ids}) == len(ids)
+    assert bins[900] != bins[901]
+    assert len({r["bin_id"] for r in got}) == 3
+    assert len({r["bin_id"] for r in pk.best_fit_packing(docs, capacity=8192).collect()}) < 3
+    assert pk.near_copy_packing(docs.limit(0)).collect() == []
+
+
+def test_op7_takes_near_copies_as_clusters(spark):
+    from brute import jaccard_components
+
+    from trafficlens.llm import queries
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()
+    near = {i: c for i, (_, c) in jaccard_components([tuple(r) for r in docs]).items()}
+    placed = [(r["bin_id"], near[r["doc_id"]], r["doc_id"]) for r in queries.op7_best_fit_packing(spark, sf).collect()
+              if r["bin_id"] is not None]
+    assert len({(b, c) for b, c, _ in placed}) == len({(b, i) for b, _, i in placed}) == len(placed)

@@ -13,6 +13,9 @@ row, so a hot source or cluster is spread evenly and every shard is one bounded
 task; the shard count follows the input. Only ids, lengths and hashed keys are
 shuffled, never text.
 
+The clusters are those of equal texts (``best_fit_packing``), of a named column,
+or of near copies too (``near_copy_packing``: components of the n-gram join).
+
 Defined cases: a document without words (or null text) takes no room and goes
 to no bin (``bin_id`` null, one row); a null source or cluster conflicts with
 nothing; equal lengths go in the order of ``doc_id``, then of the row's digest;
@@ -31,8 +34,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from trafficlens.llm.components import components
+from trafficlens.llm.ngram_join import ngram_join
 from trafficlens.llm.quality_rules import SPACE_CLASS, SPACES
-from trafficlens.llm.tables import ship_package
+from trafficlens.llm.tables import Scratch, ship_package
 
 CAPACITY = 2048
 SHARD_ITEMS = 8192
@@ -94,17 +99,51 @@ def pack_shard(rows: pa.Table, capacity: int) -> np.ndarray:
     return where
 
 
-def items(docs: DataFrame, capacity: int, cluster: str | None = None) -> DataFrame:
+def _body() -> Column:
+    return F.btrim(F.coalesce(F.col("text"), F.lit("")), F.lit(SPACES))
+
+
+def equal_texts() -> Column:
+    """The same for texts that are equal in their lower-cased words."""
+    return F.xxhash64(F.lower(F.regexp_replace(_body(), SPACE_CLASS + "+", " ")))
+
+
+def _node() -> Column:
+    """The id of a document in the n-gram join; one without ``doc_id`` goes by its text."""
+    return F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text"))
+
+
+def near_copies(docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """``node, near``: the cluster of every document. Components of the n-gram
+    join, joined where their texts are equal in lower-cased words (the n-gram join
+    folds A-Z only)."""
+    nodes = docs.select(_node().alias("doc_id"), "text")
+    groups = (ngram_join(nodes).groupBy(F.col("doc_id").alias("node"))
+              .agg(F.min("component_id").alias("near")))
+    same = (nodes.where(_body() != "").select(F.col("doc_id").alias("node"), equal_texts().alias("same"))
+            .join(groups, "node").select("same", "near").distinct())
+    links = (same.join(same.groupBy("same").agg(F.min("near").alias("b")), "same")
+             .select(F.col("near").alias("a"), "b"))
+    joined = components(links, scratch).withColumnRenamed("id", "near")
+    return scratch.keep(groups.join(joined, "near", "left")
+                        .select("node", F.coalesce("component", "near").alias("near")), "clusters")
+
+
+def items(docs: DataFrame, capacity: int, cluster: str | None = None, clusters: DataFrame | None = None) -> DataFrame:
     """``doc_id, digest, piece, n, source, cluster``: one row a piece (piece 0 is
     the rest; full pieces follow). Source and cluster are 64-bit hashes; without
-    a cluster column, texts that are equal in their lower-cased words form one."""
-    body = F.btrim(F.coalesce(F.col("text"), F.lit("")), F.lit(SPACES))
+    a cluster column or table (``near_copies``), equal texts form one."""
+    body = _body()
     words = F.when(body == "", F.lit(0)).otherwise(F.size(F.split(body, SPACE_CLASS + "+")))
-    own: Column = (F.xxhash64(F.lower(F.regexp_replace(body, SPACE_CLASS + "+", " "))) if cluster is None
+    own: Column = (equal_texts() if cluster is None
                    else F.when(F.col(cluster).isNotNull(), F.xxhash64(cluster)))
     rows = docs.select(
         "doc_id", F.xxhash64("text").alias("digest"), words.cast("long").alias("words"),
-        F.when(F.col("source").isNotNull(), F.xxhash64("source")).alias("source"), own.alias("cluster"))
+        F.when(F.col("source").isNotNull(), F.xxhash64("source")).alias("source"),
+        (own if clusters is None else _node()).alias("cluster"))
+    if clusters is not None:
+        rows = (rows.withColumnRenamed("cluster", "node").join(clusters, "node", "left")
+                .withColumn("cluster", F.xxhash64(F.coalesce("near", "node"))))
     full = F.floor(F.col("words") / capacity)
     pieces = F.when(F.col("words") == 0, F.array(F.lit(0).cast("long"))).otherwise(
         F.filter(F.sequence(F.lit(0).cast("long"), full), lambda k: (k > 0) | (F.col("words") % capacity > 0)))
@@ -114,11 +153,11 @@ def items(docs: DataFrame, capacity: int, cluster: str | None = None) -> DataFra
 
 
 def best_fit_packing(docs: DataFrame, capacity: int = CAPACITY, cluster: str | None = None,
-                     shard_items: int = SHARD_ITEMS) -> DataFrame:
+                     shard_items: int = SHARD_ITEMS, clusters: DataFrame | None = None) -> DataFrame:
     """``doc_id, piece, n_words, bin_id, bin_start`` for every piece of every row."""
     ship_package(docs.sparkSession)
     docs = docs.select("doc_id", "text", "source", *([cluster] if cluster else []))
-    rows = items(docs, capacity, cluster)
+    rows = items(docs, capacity, cluster, clusters)
     shards = max(1, -(-docs.count() // shard_items))
     keyed = rows.withColumn("shard", F.pmod(F.xxhash64("doc_id", "digest", "piece"), F.lit(shards)))
     schema = "doc_id long, piece long, n_words long, bin_id long, bin_start long"
@@ -154,3 +193,11 @@ def best_fit_packing(docs: DataFrame, capacity: int = CAPACITY, cluster: str | N
     return filled.unionByName(rows.where(F.col("n") == 0).select(
         F.col("doc_id").cast("long").alias("doc_id"), "piece", F.col("n").alias("n_words"),
         nothing.alias("bin_id"), nothing.alias("bin_start")))
+
+
+def near_copy_packing(docs: DataFrame, capacity: int = CAPACITY, shard_items: int = SHARD_ITEMS) -> DataFrame:
+    """``best_fit_packing`` with near copies as clusters: no bin holds two of them."""
+    scratch = Scratch(docs.sparkSession, "packing")
+    docs = docs.select("doc_id", "text", "source")
+    clusters = near_copies(docs, scratch)
+    return scratch.result(best_fit_packing(docs, capacity, None, shard_items, clusters))

@@ -12,7 +12,7 @@ from trafficlens.llm.embedding_join import embedding_join
 from trafficlens.llm.html_extract import html_extract
 from trafficlens.llm.language_id import language_id
 from trafficlens.llm.ngram_join import ngram_join
-from trafficlens.llm.packing import best_fit_packing
+from trafficlens.llm.packing import near_copy_packing
 from trafficlens.llm.quality_classifier import quality_scores
 from trafficlens.llm.quality_rules import quality_rules, quality_rules_sql
 from trafficlens.llm.tables import read_table
@@ -46,7 +46,7 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return best_fit_packing(read_table(spark, sf_dir, "documents", "doc_id", "text", "source"))
+    return near_copy_packing(read_table(spark, sf_dir, "documents", "doc_id", "text", "source"))
 
 
 def op8_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
