@@ -11,6 +11,9 @@ conversation (``conv_id`` with the lowest bit flipped), or removed where the
 neighbour has none. One row per conversation is built and joined on unique ids,
 so copies of a conversation or a common first turn are no hot keys.
 
+Bound: a conversation is one row, its turns are collected in one task and its
+rendering is one value. One past 2 GB fails the job; nothing is cut off.
+
 Defined cases: turns go by ``turn``, ties by role and text; a null role is
 ``user``, a null text empty; rows without ``conv_id`` belong to no conversation
 and are left out; a conversation without an assistant turn has no rejected form
