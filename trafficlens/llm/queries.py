@@ -9,12 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 from trafficlens.llm.bpe import round_trip
 from trafficlens.llm.chat_format import preference_format, preference_sql
 from trafficlens.llm.embedding_join import embedding_join
+from trafficlens.llm.hard_negatives import hard_negatives, hard_negatives_sql
 from trafficlens.llm.html_extract import html_extract
 from trafficlens.llm.language_id import language_id
 from trafficlens.llm.ngram_join import ngram_join
 from trafficlens.llm.packing import near_copy_packing
 from trafficlens.llm.quality_classifier import quality_scores
 from trafficlens.llm.quality_rules import quality_rules, quality_rules_sql
+from trafficlens.llm.source_divergence import source_divergence, source_divergence_sql
+from trafficlens.llm.substring_dedup import substring_dedup, substring_dedup_sql
 from trafficlens.llm.tables import read_table
 from trafficlens.llm.warc import warc_round_trip, warc_sql
 
@@ -62,6 +65,18 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return preference_format(read_table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence(read_table(spark, sf_dir, "documents", "lang", "source", "text"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives(read_table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
+
+
+def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup(read_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def tokenizer_path() -> str:
     """The tokenizer file the queries use (read on the driver only)."""
     import public_tokenizers
@@ -80,6 +95,9 @@ def queries() -> dict[str, Query]:
         "op8_html_extract": op8_html_extract,
         "op9_quality_classifier": op9_quality_classifier,
         "op10_chat_format": op10_chat_format,
+        "op11_source_divergence": op11_source_divergence,
+        "op12_hard_negatives": op12_hard_negatives,
+        "op13_substring_dedup": op13_substring_dedup,
     }
 
 
@@ -88,4 +106,7 @@ def oracle_sql() -> dict[str, str]:
         "op2_quality_rules": quality_rules_sql(),
         "op5_warc": warc_sql(),
         "op10_chat_format": preference_sql(),
+        "op11_source_divergence": source_divergence_sql(),
+        "op12_hard_negatives": hard_negatives_sql(),
+        "op13_substring_dedup": substring_dedup_sql(),
     }
