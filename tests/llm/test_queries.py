@@ -13,7 +13,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_registered():
     names = [n for n in entry.queries() if n.startswith("op") or n == "pipeline"]
-    assert {n.split("_")[0] for n in names} == {f"op{i}" for i in range(1, 11)} | {"pipeline"}
+    assert {n.split("_")[0] for n in names} == {f"op{i}" for i in range(1, 14)} | {"pipeline"}
 
 
 @pytest.mark.parametrize("name", sorted(q.oracle_sql()))

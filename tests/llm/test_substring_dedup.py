@@ -1,0 +1,101 @@
+from __future__ import annotations
+
+import collections
+import hashlib
+
+import numpy as np
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from tests.llm.brute import WORD
+from trafficlens.llm import substring_dedup as sub
+
+
+def brute(rows, window=sub.WINDOW):
+    texts = [WORD.findall(t or "") for _, t in rows]
+    at = collections.defaultdict(list)
+    for d, w in enumerate(texts):
+        for i in range(len(w) - window + 1):
+            at[tuple(w[i:i + window])].append((d, i))
+    gone = {(d, j) for places in at.values() if len(places) > 1 for d, i in places for j in range(i, i + window)}
+    out = []
+    for d, w in enumerate(texts):
+        kept = " ".join(x for j, x in enumerate(w) if (d, j) not in gone)
+        out.append((rows[d][0], len(w), sum((d, j) in gone for j in range(len(w))), hashlib.sha256(kept.encode()).hexdigest()))
+    return sorted(out, key=str)
+
+
+def run(spark, rows, parts=3, **kw):
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+    df = df.withColumn("k1", F.lit("x")).withColumn("start", F.lit(1)).withColumn("spans", F.lit(2)).withColumn("n", F.lit(3))
+    return sorted((tuple(r) for r in sub.substring_dedup(df, **kw).collect()), key=str)
+
+
+def words(rng, n, many=500):
+    return [f"w{x}" for x in rng.integers(0, many, n)]
+
+
+def test_passages(spark):
+    rng = np.random.default_rng(5)
+    passage, short, exact = words(rng, 60), words(rng, 34), words(rng, 35)
+    text = lambda *parts: " ".join(w for p in parts for w in p)
+    fresh = lambda n: words(rng, n, 10 ** 6)
+    rows = [(1, text(fresh(40), passage, fresh(40))), (2, text(fresh(3), passage)), (3, text(passage[:50], fresh(50))),
+            (4, text(fresh(20), short, fresh(20))), (5, text(short, fresh(9))),  # 34 words stay
+            (6, text(exact, fresh(5))), (7, text(fresh(50), exact)),  # 35 words go
+            (8, text(exact, fresh(1), exact)), (9, "  \n".join(["\t"] + passage) + " \r"),  # any white space
+            (10, None), (11, ""), (12, " \n"), (13, text(["a"] * 34)), (14, text(["a"] * 36)), (15, text(["b"] * 35)),
+            (16, text(["x", "y"] * 40)), (17, text(fresh(3000))), (17, text(fresh(40))), (None, text(passage))]
+    got = run(spark, rows)
+    assert got == brute(rows)
+    removed = {r[0]: r[2] for r in got}
+    assert (removed[4], removed[5], removed[7], removed[13], removed[14], removed[15]) == (0, 0, 35, 0, 36, 0)
+
+
+def test_copies_go_everywhere(spark):
+    rng = np.random.default_rng(6)
+    same, near = " ".join(words(rng, 120)), words(rng, 300)
+    rows = [(i, same) for i in range(200)] + [(1000 + i, " ".join([*near[:150], f"only{i}", *near[150:]])) for i in range(150)]
+    rows += [(5000, "short text here"), (5001, "short text here")]
+    got = run(spark, rows, 7)
+    assert got == brute(rows)
+    assert all(r[2] == 120 for r in got if r[0] < 200)
+
+
+def test_small_windows_and_empty_tables(spark):
+    rows = [(1, "a b c d e"), (2, "b c d"), (3, "x b c"), (4, "d e"), (5, None)]
+    assert run(spark, rows, window=2) == brute(rows, 2)
+    assert run(spark, rows, window=1) == brute(rows, 1)
+    assert run(spark, []) == []
+
+
+def test_whole_table(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    assert run(spark, rows, 5) == brute(rows)
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.text("ab \n", max_size=40), max_size=8))
+def test_few_words_repeat_in_all_ways(spark, texts):
+    rows = list(enumerate(texts))
+    assert run(spark, rows, 2, window=9) == brute(rows, 9)
+
+
+@pytest.mark.parametrize("window", [1, 5, 8, 9, 35])
+def test_seeds_are_the_first_least(window):
+    rng = np.random.default_rng(7)
+    w = rng.integers(0, 3, 200).astype(np.uint64)
+    at = sub.seeds(w, window)
+    size = min(sub.SEED, window)
+    grams = [tuple(w[i:i + size]) for i in range(len(w) - size + 1)]
+    h = w[:len(w) - size + 1].copy()
+    for k in range(1, size):
+        h = sub.tx.mix64(h * sub._STEP + w[k:len(w) - size + 1 + k])
+    assert len(at) == len(w) - window + 1
+    for i, a in enumerate(at.tolist()):
+        span = h[i:i + window - size + 1]
+        assert a == i + int(np.argmin(span))
+    assert len({h[grams.index(g)] for g in grams}) == len(set(grams))

@@ -25,8 +25,8 @@ that is not finite, take no part. Rows equal in id, label and quantised vector a
 one row; rows that share an id but differ are separate rows. Rows of different
 dimension never meet; vectors without components score 0. A positive score of 0
 admits scores of 0 only, a negative one admits nothing. Components beyond the
-range of a long saturate; products too large for exact floats are taken in whole
-numbers, and scores beyond a long are returned as the nearest long. Empty tables
+range of a long saturate, and so do scores; products too large for exact floats
+are taken in whole numbers. Empty tables
 and tables without anchors give no rows. Only ``vec_id``, ``embedding`` and
 ``label`` are read.
 """
@@ -94,8 +94,9 @@ class Index:
         norms = self.suffix_norms(x)
         if float(norms[:, 0].max()) * self.longest >= _EXACT:
             for a, vector in enumerate(anchors):
-                scores = self.whole.astype(object) @ vector.astype(object)
-                near = np.flatnonzero(scores >= least[a]) if np.isfinite(least[a]) else np.arange(len(scores))
+                scores = np.array([max(-_LONG - 1, min(_LONG, s)) for s in self.whole.astype(object) @ vector.astype(object)],
+                                  np.int64)
+                near = np.flatnonzero(scores >= least[a])
                 yield a, near, scores[near]
             return
         groups = len(self.cuts) - 1
@@ -154,7 +155,7 @@ class Wanted:
         self.size, self.low, self.high, self.admits = size, low, high, admits
         self.full = False
         self.rows = np.zeros(0, np.int64)
-        self.scores: np.ndarray = np.zeros(0, np.int64)
+        self.scores = np.zeros(0, np.int64)
 
     def start(self, top: float, step: int) -> float:
         """The threshold of a step: shares of the largest score that can be in the window."""
@@ -223,10 +224,6 @@ def _search_chunks(dealt: DataFrame, schema: str,
     return dealt.mapInArrow(run, schema)
 
 
-def _long(scores) -> list[int]:
-    return [max(-_LONG - 1, min(_LONG, int(s))) for s in scores]
-
-
 def deal(rows: DataFrame, anchors: DataFrame, chunks: int) -> DataFrame:
     """Rows to their chunk, anchors to every chunk, a chunk's rows first. ``anchors``
     may carry its windows in ``positives``."""
@@ -255,7 +252,7 @@ def positive_rows(dealt: DataFrame, size: int) -> DataFrame:
         return pa.RecordBatch.from_pydict({
             "anchor": block.column("id").take(pa.array(at)), "akey": block.column("key").take(pa.array(at)),
             "id": pa.array(index.ids[found]), "key": pa.array(index.keys[found]),
-            "score": pa.array([s for w in windows for s in _long(w[0].scores)], pa.int64())})
+            "score": pa.array(np.concatenate([w[0].scores for w in windows]))})
 
     return _search_chunks(dealt, "anchor long, akey long, id long, key long, score long", ask, tell)
 
@@ -286,7 +283,7 @@ def negative_rows(dealt: DataFrame, size: int) -> DataFrame:
                     out[c] += [v] * n
                 out["id"] += index.ids[w.rows].tolist()
                 out["key"] += index.keys[w.rows].tolist()
-                out["score"] += _long(w.scores)
+                out["score"] += w.scores.tolist()
         return pa.RecordBatch.from_pydict({c: pa.array(v, pa.int64()) for c, v in out.items()})
 
     return _search_chunks(dealt, "anchor long, akey long, pid long, pkey long, pscore long, id long, key long, score long",
