@@ -84,7 +84,7 @@ def test_short_and_sampled_windows(spark, scratch):
     assert not glob.glob(local_path(target) + "/date=*")
     report = run_load(spark, landing, target, P, require_complete=False)
     assert report["loaded_rows"] == 29
-    assert report["n_incomplete"] == 1 and report["incomplete"] == ["2024-01-05..2024-01-05 (2/3)"]
+    assert report["n_incomplete"] == 1 and report["incomplete"] == ["2024-01-05..2024-01-05 (2/3) missing rows 2-2"]
     assert report["not_golden"] == ["2024-01-07..2024-01-07"]
 
 

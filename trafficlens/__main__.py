@@ -22,7 +22,7 @@ from trafficlens.params import ReportParams
 from trafficlens.plans.registry import publish_all
 from trafficlens.session import build_session
 from trafficlens.sources.mart import Mart
-from trafficlens.sources.report_api import read_report_pages, window_status
+from trafficlens.sources.report_api import current_pages, page_coverage, read_report_pages
 from trafficlens.sources.schemas import LOADED_BANNERS
 from trafficlens.streaming.incremental import incremental_append, newest_partition, stream_landed_pages
 
@@ -30,13 +30,14 @@ from trafficlens.streaming.incremental import incremental_append, newest_partiti
 def landed_pages_for(spark: SparkSession, landing_dir: str):
     """``fetch_pages`` over a landing folder laid out by window start: the range
     of days prunes the folders, then the pages are matched to the exact windows
-    (a semi-join on both bounds)."""
+    (a semi-join on both bounds). A page that landed more than once counts once, by
+    its newest landing."""
     def fetch(windows: DataFrame, first: dt.date, last: dt.date) -> DataFrame:
         wanted = windows.select(F.col("window_start").cast("string").alias("startDate"),
                                 F.col("window_end").cast("string").alias("endDate"))
         pages = read_report_pages(spark, landing_dir).where(
             F.col("startDate").between(first.isoformat(), last.isoformat()))
-        return pages.join(wanted, ["startDate", "endDate"], "left_semi")
+        return current_pages(pages.join(wanted, ["startDate", "endDate"], "left_semi"))
     return fetch
 
 
@@ -46,14 +47,20 @@ class IncompleteLoad(RuntimeError):
 
 # Failing windows named in a load's report (all are counted).
 NAMED_WINDOWS = 50
+NAMED_RANGES = 5
 
 
 def window_checks(pages: DataFrame) -> dict:
     """Quality (S11) and completeness (S10) of the fetched pages, in one job: the
-    counts of all windows and the names of the first failing ones."""
+    counts of all windows and the names of the first failing ones, with the rows
+    they cover and the ranges of rows that are missing."""
     name = F.concat_ws("..", "startDate", "endDate")
-    rows = F.concat(name, F.lit(" ("), F.col("landed_rows"), F.lit("/"), F.col("expected_rows"), F.lit(")"))
-    status = window_status(pages)
+    ranges = F.array_join(F.transform(F.slice("missing", 1, NAMED_RANGES), lambda r: F.concat_ws("-", r["first"], r["stop"] - 1)), ", ")
+    rows = F.concat(name, F.lit(" ("), F.col("covered_rows"), F.lit("/"), F.col("expected_rows"), F.lit(")"),
+                    F.when(F.size("missing") > 0, F.concat(F.lit(" missing rows "), ranges)).otherwise(F.lit("")),
+                    F.when(F.col("overlap_rows") > 0, F.concat(F.lit(" overlapping "), F.col("overlap_rows"))).otherwise(F.lit("")),
+                    F.when(F.col("unplaced") > 0, F.concat(F.lit(" unplaced pages "), F.col("unplaced"))).otherwise(F.lit("")))
+    status = page_coverage(pages)
     failing = lambda cond, label: F.slice(
         F.sort_array(F.collect_list(F.when(cond, label))), 1, NAMED_WINDOWS)
     r = status.agg(F.count(F.lit(1)).alias("windows"), F.count_if(~F.col("golden")).alias("n_not_golden"),
