@@ -3,8 +3,8 @@
   python -m trafficlens load    --landing DIR --target PATH [--today D] [--default-start D] [--step N]
   python -m trafficlens publish --mart ROOT --out DIR [--testdata SF_DIR] [--calendar reference|testdata]
 
-``load`` adds the landed report-API pages of every window after the target's
-newest date (a repeated load replaces its dates). ``publish`` computes every
+``load`` adds the landed report-API pages of every window that the target's ledger
+wants (a repeated load replaces its dates). ``publish`` computes every
 report over the mart (one parquet directory per table under ROOT, or the
 tables derived from a test-data directory) and writes one CSV per destination.
 """
@@ -22,9 +22,10 @@ from trafficlens.params import ReportParams
 from trafficlens.plans.registry import publish_all
 from trafficlens.session import build_session
 from trafficlens.sources.mart import Mart
-from trafficlens.sources.report_api import current_pages, page_coverage, read_report_pages
+from trafficlens.sources.report_api import current_pages, read_report_pages
 from trafficlens.sources.schemas import LOADED_BANNERS
-from trafficlens.streaming.incremental import incremental_append, newest_partition, stream_landed_pages
+from trafficlens.streaming.incremental import newest_partition, stream_landed_pages
+from trafficlens.streaming.ledger import ledger_load, ledger_path
 
 
 def landed_pages_for(spark: SparkSession, landing_dir: str):
@@ -50,52 +51,54 @@ NAMED_WINDOWS = 50
 NAMED_RANGES = 5
 
 
-def window_checks(pages: DataFrame) -> dict:
-    """Quality (S11) and completeness (S10) of the fetched pages, in one job: the
-    counts of all windows and the names of the first failing ones, with the rows
+def window_checks(statuses: list) -> dict:
+    """Quality (S11) and completeness (S10) of the landed windows (``page_coverage``
+    rows): the counts of all and the names of the first failing ones, with the rows
     they cover and the ranges of rows that are missing."""
-    name = F.concat_ws("..", "startDate", "endDate")
-    ranges = F.array_join(F.transform(F.slice("missing", 1, NAMED_RANGES), lambda r: F.concat_ws("-", r["first"], r["stop"] - 1)), ", ")
-    rows = F.concat(name, F.lit(" ("), F.col("covered_rows"), F.lit("/"), F.col("expected_rows"), F.lit(")"),
-                    F.when(F.size("missing") > 0, F.concat(F.lit(" missing rows "), ranges)).otherwise(F.lit("")),
-                    F.when(F.col("overlap_rows") > 0, F.concat(F.lit(" overlapping "), F.col("overlap_rows"))).otherwise(F.lit("")),
-                    F.when(F.col("unplaced") > 0, F.concat(F.lit(" unplaced pages "), F.col("unplaced"))).otherwise(F.lit("")))
-    status = page_coverage(pages)
-    failing = lambda cond, label: F.slice(
-        F.sort_array(F.collect_list(F.when(cond, label))), 1, NAMED_WINDOWS)
-    r = status.agg(F.count(F.lit(1)).alias("windows"), F.count_if(~F.col("golden")).alias("n_not_golden"),
-                   F.count_if(~F.col("complete")).alias("n_incomplete"),
-                   failing(~F.col("golden"), name).alias("not_golden"),
-                   failing(~F.col("complete"), rows).alias("incomplete")).first()
-    return r.asDict()
-
-
-def target_rows(spark: SparkSession, target: str, first: dt.date | None = None) -> int:
-    """Rows of the target, or those from day ``first`` on (its partitions only)."""
+    def lacking(s) -> str:
+        text = f"{s.startDate}..{s.endDate} ({s.covered_rows}/{s.expected_rows})"
+        if s.missing:
+            text += " missing rows " + ", ".join(f"{r.first}-{r.stop - 1}" for r in s.missing[:NAMED_RANGES])
+        if s.overlap_rows:
+            text += f" overlapping {s.overlap_rows}"
+        return text + (f" unplaced pages {s.unplaced}" if s.unplaced else "")
+
+    sampled = [f"{s.startDate}..{s.endDate}" for s in statuses if not s.golden]
+    short = [lacking(s) for s in statuses if not s.complete]
+    return {"windows": len(statuses), "n_not_golden": len(sampled), "n_incomplete": len(short),
+            "not_golden": sampled[:NAMED_WINDOWS], "incomplete": short[:NAMED_WINDOWS]}
+
+
+def target_rows(spark: SparkSession, target: str, days: list[dt.date] | None = None) -> int:
+    """Rows of the target, or those of some days (their partitions only)."""
     if newest_partition(spark, target) is None:
         return 0
     table = spark.read.schema(LOADED_BANNERS).parquet(target)
-    return (table if first is None else table.where(F.col("date") >= first.isoformat())).count()
+    return (table if days is None else table.where(F.col("date").isin([d.isoformat() for d in days]))).count()
 
 
 def run_load(spark: SparkSession, landing: str, target: str, params: ReportParams,
-             require_complete: bool = True, rejects: str | None = None) -> dict:
-    """Load the windows after the mark; report the windows' quality and
-    completeness (the reference's "golden data" / "warning" check). An incomplete
-    window stops the load before any write, as the mark would move past it;
-    ``require_complete=False`` loads it all the same."""
-    checks: dict = {"windows": 0, "n_not_golden": 0, "n_incomplete": 0, "not_golden": [], "incomplete": []}
-
-    def inspect(pages: DataFrame) -> None:
-        checks.update(window_checks(pages))
-        if require_complete and checks["n_incomplete"]:
+             require_complete: bool = True, rejects: str | None = None, leave_incomplete: bool = False) -> dict:
+    """Load every window that the target's ledger wants (``streaming/ledger.py``):
+    new days, and windows that failed, never landed, or came incomplete or sampled.
+    Reports the windows' quality and completeness (the reference's "golden data" /
+    "warning" check). An incomplete window stops the load before any write;
+    ``require_complete=False`` loads what there is of it, ``leave_incomplete`` loads
+    the others only. Both ask for it again."""
+    checks: dict = window_checks([])
+
+    def check(statuses: list) -> None:
+        checks.update(window_checks(statuses))
+        if require_complete and not leave_incomplete and checks["n_incomplete"]:
             raise IncompleteLoad(f"{checks['n_incomplete']} incomplete windows: {checks['incomplete']}")
 
-    first, last = incremental_append(
-        spark, target, landed_pages_for(spark, landing), params.banner_dimensions, params.banner_metrics,
-        default_start=params.load_default_start, today=params.load_today, step=params.window_step_days,
-        inspect=inspect, rejects=rejects)
-    return {"loaded_rows": target_rows(spark, target, first) if first <= last else 0, **checks}
+    done = ledger_load(
+        spark, target, ledger_path(target), landed_pages_for(spark, landing), params.banner_dimensions,
+        params.banner_metrics, default_start=params.load_default_start, today=params.load_today,
+        step=params.window_step_days, check=check, incomplete="leave" if leave_incomplete else "load", rejects=rejects)
+    return {"loaded_rows": target_rows(spark, target, done["loaded"]) if done["loaded"] else 0, **checks,
+            "n_absent": len(done["absent"]),
+            "absent": [f"{a}..{b}" for a, b in done["absent"][:NAMED_WINDOWS]]}
 
 
 def run_stream_load(spark: SparkSession, landing: str, target: str, checkpoint: str,
@@ -125,6 +128,8 @@ def main(argv: list[str] | None = None) -> None:
     load.add_argument("--step", type=int, default=1)
     load.add_argument("--allow-incomplete", action="store_true",
                       help="load windows with fewer landed rows than announced (default: stop before writing)")
+    load.add_argument("--leave-incomplete", action="store_true",
+                      help="load the other windows and ask for incomplete ones again next time")
     load.add_argument("--rejects", default=None,
                       help="table for rows whose date or numbers do not parse (default: stop)")
     load.add_argument("--stream", action="store_true",
@@ -153,7 +158,7 @@ def main(argv: list[str] | None = None) -> None:
             print(json.dumps(run_stream_load(spark, args.landing, args.target, args.checkpoint_location, params)))
         else:
             print(json.dumps(run_load(spark, args.landing, args.target, params, not args.allow_incomplete,
-                                      args.rejects)))
+                                      args.rejects, args.leave_incomplete)))
     else:
         params = ReportParams.for_testdata() if args.calendar == "testdata" else ReportParams()
         if args.cost_week_year or params.cost_week_year is None:

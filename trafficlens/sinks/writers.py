@@ -37,6 +37,20 @@ def replace_dates(df: DataFrame, path: str, partition_by: Sequence[str] = ("date
        .parquet(path))
 
 
+def replace_days(df: DataFrame, path: str, days: Sequence[str], column: str = "date") -> None:
+    """Write ``df`` in place of the given days: like ``replace_dates``, and a day that
+    ``df`` has no row for is emptied. Repeating it leaves the same table."""
+    replace_dates(df, path, (column,))
+    spark = df.sparkSession
+    to_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = to_path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    stored = {s.getPath().getName() for s in fs.listStatus(to_path(path))} & {f"{column}={d}" for d in days}
+    if stored:
+        written = {r[0] for r in df.select(column).distinct().collect()}
+        for name in stored - {f"{column}={d}" for d in written}:
+            fs.delete(to_path(f"{path}/{name}"), True)
+
+
 def as_view(df: DataFrame, name: str) -> None:
     """K2: replace a temp view used by the next SQL step."""
     df.createOrReplaceTempView(name)

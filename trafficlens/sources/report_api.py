@@ -100,7 +100,8 @@ def page_coverage(pages: DataFrame) -> DataFrame:
     ``covered_rows`` (distinct offsets below the announced count), ``overlap_rows``
     (offsets under more than one page, or past the announced count), ``unplaced``
     (pages whose token is no offset), ``missing`` (the uncovered ``[first, stop)``
-    ranges, in order), ``complete``, ``golden``.
+    ranges, in order), ``complete``, ``golden``, ``newest_landing`` (time of the newest
+    file, where known).
     """
     body = F.col("reports")[0]["data"]
     window = ["startDate", "endDate"]
@@ -110,10 +111,12 @@ def page_coverage(pages: DataFrame) -> DataFrame:
         F.when(body["rows"].isNull(), 0).otherwise(F.size(body["rows"])).cast("bigint").alias("n"),
         F.coalesce(body["rowCount"], F.lit(0)).cast("bigint").alias("announced"),
         (body["isDataGolden"].isNotNull() & body["samplesReadCounts"].isNull()).alias("golden"),
+        (F.col("landed") if "landed" in pages.columns else F.lit(None)).cast("timestamp").alias("landed"),
         F.row_number().over(Window.partitionBy(*window, page_offset("pageToken"), "pageToken").orderBy(
             *order, F.xxhash64(F.to_json("reports")))).alias("landing"))
     current = light.where(F.col("landing") == 1)
-    replaced = light.groupBy(*window).agg(F.count_if(F.col("landing") > 1).cast("bigint").alias("superseded"))
+    replaced = light.groupBy(*window).agg(F.count_if(F.col("landing") > 1).cast("bigint").alias("superseded"),
+                                         F.max("landed").alias("newest_landing"))
     before = Window.partitionBy(*window).orderBy("first", "n").rowsBetween(Window.unboundedPreceding, -1)
     placed = (current
               .withColumn("whole", F.max("announced").over(Window.partitionBy(*window)))
@@ -139,7 +142,7 @@ def page_coverage(pages: DataFrame) -> DataFrame:
            .withColumn("complete", (F.col("covered_rows") == F.col("expected_rows"))
                        & (F.col("overlap_rows") == 0) & (F.col("unplaced") == 0)))
     return out.select(*window, "pages", "superseded", "expected_rows", "landed_rows", "covered_rows", "overlap_rows",
-                      "unplaced", "missing", "complete", "golden")
+                      "unplaced", "missing", "complete", "golden", "newest_landing")
 
 
 def missing_requests(coverage: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:

@@ -104,17 +104,23 @@ def typed_report_rows(pages: DataFrame, dimensions: Sequence[str], metrics: Sequ
     return cast_metrics(flat, numbers)
 
 
-def newest_partition(spark: SparkSession, path: str, column: str = "date") -> str | None:
-    """I1 of a stored table: its newest partition value, from the folder listing
-    alone (no file is opened). None for a table without partitions or files."""
+def partition_values(spark: SparkSession, path: str, column: str = "date") -> list[str]:
+    """The partition values of a stored table, from the folder listing alone (no file
+    is opened); the NULL partition is left out."""
     jvm = spark.sparkContext._jvm
     folder = jvm.org.apache.hadoop.fs.Path(path)
     fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not fs.exists(folder):
-        return None
+        return []
     names = [s.getPath().getName() for s in fs.listStatus(folder) if s.isDirectory()]
     values = [n.split("=", 1)[1] for n in names if n.startswith(f"{column}=")]
-    return max((v for v in values if not v.startswith("__HIVE")), default=None)
+    return sorted(v for v in values if not v.startswith("__HIVE"))
+
+
+def newest_partition(spark: SparkSession, path: str, column: str = "date") -> str | None:
+    """I1 of a stored table: its newest partition value (``partition_values``). None
+    for a table without partitions or files."""
+    return max(partition_values(spark, path, column), default=None)
 
 
 def load_bounds(spark: SparkSession, target: str, default_start, today) -> tuple[dt.date, dt.date]:
