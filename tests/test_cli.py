@@ -11,7 +11,7 @@ from pages import DIMS, daily_pages, day_rows, page, write_landing
 
 from trafficlens.__main__ import IncompleteLoad, landed_pages_for, main, run_load
 from trafficlens.params import ReportParams
-from trafficlens.plans.registry import DESTINATIONS
+from trafficlens.plans.registry import DESTINATIONS, published
 from trafficlens.session import local_path
 from trafficlens.sources.schemas import LOADED_BANNERS
 from trafficlens.streaming.incremental import date_windows
@@ -51,8 +51,7 @@ def test_publish_command_writes_every_destination(spark, scratch, capsys):
     summary = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert {r["report_name"] for r in summary} == set(DESTINATIONS)
     for name in DESTINATIONS:
-        assert len(glob.glob(local_path(out) + f"/{name}/part-*.csv")) >= 1
-    assert not glob.glob(local_path(out) + "/.staging*")
+        assert len(glob.glob(local_path(published(spark, out).path(name)) + "/part-*.csv")) >= 1
 
 
 def test_fetch_reads_only_the_requested_window_directories(spark, scratch):

@@ -2,13 +2,14 @@
 
 Every published report has a destination: (workbook, sheet, anchor cell). Here
 each destination is one output directory holding the report as CSV with a
-header row. A run computes all reports into a staging folder first and then
-switches every destination, so a report that fails leaves all old ones in place.
+header row. The directories of a root form a snapshot set: a run computes all
+reports into a fresh folder and one commit makes them the current ones, so a run
+that fails or is killed at any step leaves the whole old set, and a reader that
+holds a version sees reports of one run only (``published``).
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Mapping
 from functools import reduce
 
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 from trafficlens.params import ReportParams
 from trafficlens.plans import reports as rp
 from trafficlens.session import scratch_path
+from trafficlens.sinks.snapshots import Snapshot, SnapshotSet
 from trafficlens.sinks.writers import read_matrix, write_matrix
 from trafficlens.sources.mart import Mart
 
@@ -47,19 +49,6 @@ def publish(report_name: str, df: DataFrame, root: str) -> str:
     return path
 
 
-def switch(spark: SparkSession, staged: str, root: str, names: list[str]) -> None:
-    """Move every staged report to its destination, in place of the old one."""
-    jvm = spark.sparkContext._jvm
-    to_path = jvm.org.apache.hadoop.fs.Path
-    fs = to_path(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    fs.mkdirs(to_path(root))
-    for name in names:
-        fs.delete(to_path(f"{root}/{name}"), True)
-        if not fs.rename(to_path(f"{staged}/{name}"), to_path(f"{root}/{name}")):
-            raise OSError(f"could not publish {name}; its staged output is in {staged}")
-    fs.delete(to_path(staged), True)
-
-
 def shared_event_table(mart: Mart, params: ReportParams) -> Mart:
     """The mart with ``raw_events`` replaced by the rows any report reads
     (``report_events``), written once as a table in the shared checkpoint
@@ -74,22 +63,29 @@ def shared_event_table(mart: Mart, params: ReportParams) -> Mart:
 
 def publish_all(mart: Mart, params: ReportParams, root: str, share_events: bool = True,
                 destinations: Destinations = DESTINATIONS) -> DataFrame:
-    """Compute every report with a destination into a staging folder beside
-    the destinations, then publish them all. Returns what was published, read
+    """Compute every report with a destination into a fresh folder, then make
+    them all current by one commit (other reports of the set stay). Returns what was published, read
     back: ``report_name, workbook, sheet, anchor, column_name, n_values,
     number_total, text_chars`` (``published_values``). ``share_events``: scan the
     event table once for all reports (``shared_event_table``)."""
-    root = root.rstrip("/")
+    spark = mart.table("sessions").sparkSession
+    versions = SnapshotSet(spark, root)
+    base = versions.snapshot()
     if share_events:
         mart = shared_event_table(mart, params)
-    staged = f"{root}/.staging-{uuid.uuid4().hex}"
+    staged = versions.stage()
     frames = {name: rp.REPORTS[name](mart, params) for name in destinations}
     for name, df in frames.items():
-        publish(name, df, staged)
-    spark = next(iter(frames.values())).sparkSession
-    switch(spark, staged, root, list(frames))
+        publish(name, df, f"{versions.root}/{staged}")
+    done = versions.commit(base, {name: f"{staged}/{name}" for name in frames}, info={"operation": "publish"})
     return reduce(DataFrame.unionByName, [
-        published_values(read_matrix(spark, f"{root}/{name}"), name, destinations[name]) for name in frames])
+        published_values(read_matrix(spark, done.path(name)), name, destinations[name]) for name in frames])
+
+
+def published(spark: SparkSession, root: str, version: int | None = None) -> Snapshot:
+    """The published reports as of now, or of a version: ``path(name)`` is a report's
+    directory, and stays readable while newer runs publish."""
+    return SnapshotSet(spark, root).snapshot(version)
 
 
 def published_values(report: DataFrame, name: str, destination: tuple[str, str, str]) -> DataFrame:
