@@ -78,3 +78,19 @@ def test_bitmap_bounds_the_overlap_from_above():
         left, right = nj._folded(a, bits), nj._folded(b, bits)
         only = int(np.bitwise_count(left & ~right).sum())
         assert len(x) - only >= len(np.intersect1d(x, y))
+
+
+def test_rows_that_share_an_id_are_one_node(spark, make_docs):
+    a, b = (" ".join(f"{c}{i}" for i in range(30)) for c in "ab")
+    rows = [(3, a), (4, b), (5, a), (5, b), (6, "alone"), (6, None)]
+    got = sorted((r["doc_id"], r["component_id"]) for r in nj.ngram_join(make_docs(rows)).collect())
+    assert got == [(3, 3), (4, 3), (5, 3), (5, 3), (6, 6), (6, 6)]
+
+
+def test_few_jobs(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    spark.sparkContext.setJobGroup("ngram-jobs", "ngram join")
+    nj.ngram_join(docs).count()
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("ngram-jobs"))
+    spark.sparkContext.setJobGroup("other", "other")
+    assert jobs <= 90

@@ -113,11 +113,21 @@ def rarity_classes(docs: DataFrame) -> np.ndarray:
     sums = docs.select("text").mapInArrow(count, schema)
     for _ in range(2):
         sums = sums.repartition("part", "salt").mapInArrow(add, schema)
+
+    def lengths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for part, counts in zip(batch.column("part").to_pylist(), batch.column("counts"), strict=True):
+                raw = counts.as_py()
+                one = np.frombuffer(raw, np.uint8 if len(raw) == width else np.uint32).astype(np.float64)
+                totals[part] = totals[part] + one if part in totals else one
+        for part, total in totals.items():
+            yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()),
+                                              "bits": pa.array([np.frexp(total)[1].astype(np.uint8).tobytes()])})
+
     out = np.zeros(1 << SKETCH_BITS, np.uint8)
-    for r in sums.repartition("part").mapInArrow(add, schema).groupBy("part").agg(
-            F.collect_list("counts").alias("counts")).toLocalIterator():  # one sketch in all
-        total = sum(np.frombuffer(bytes(c), np.uint32).astype(np.float64) for c in r["counts"])
-        out[r["part"] * width:(r["part"] + 1) * width] = np.frexp(total)[1]
+    for r in sums.repartition(SKETCH_PARTS, "part").mapInArrow(lengths, "part int, bits binary").collect():  # 4 MB in all
+        out[r["part"] * width:(r["part"] + 1) * width] = np.frombuffer(bytes(r["bits"]), np.uint8)
     return out
 
 
@@ -195,14 +205,19 @@ def _slot(column: str):
 
 
 def id_bitmap(ids: DataFrame, column: str) -> np.ndarray:
-    """Fixed-size bitmap of hashed ids (1 MB): a scan keeps what it may need."""
+    """Fixed-size bitmap of hashed ids (2^MAP_BITS slots, packed: 1 MB): a scan keeps
+    what it may need. With over about 2^MAP_BITS ids it lets most rows through."""
     words = (ids.select(_slot(column).alias("slot"))
              .groupBy((F.col("slot") / 64).cast("int").alias("word"))
-             .agg(F.expr("bit_or(shiftleft(1L, cast(slot % 64 as int)))").alias("bits")).collect())
+             .agg(F.expr("bit_or(shiftleft(1L, cast(slot % 64 as int)))").alias("bits")))
+    found = words.toArrow()
     bitmap = np.zeros(1 << (MAP_BITS - 6), np.int64)
-    for w in words:
-        bitmap[w["word"]] = w["bits"]
-    return np.unpackbits(bitmap.view(np.uint8), bitorder="little")
+    bitmap[found.column("word").to_numpy()] = found.column("bits").to_numpy()
+    return bitmap.view(np.uint8)
+
+
+def in_bitmap(bitmap: np.ndarray, slot: np.ndarray) -> np.ndarray:
+    return (bitmap[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
 
 
 def possibly_among(ids: DataFrame, column: str):
@@ -213,7 +228,7 @@ def possibly_among(ids: DataFrame, column: str):
     @F.arrow_udf("boolean")
     def marked(slots: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for slot in slots:
-            yield pa.array(shared.value[slot.to_numpy(zero_copy_only=False)] == 1)
+            yield pa.array(in_bitmap(shared.value, slot.to_numpy(zero_copy_only=False)))
 
     return F.col(column).isNotNull() & marked(_slot(column))
 
@@ -232,7 +247,7 @@ def verify(docs: DataFrame, pairs: DataFrame, scratch: Scratch) -> DataFrame:
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             slot = batch.column("slot").fill_null(0).to_numpy()
-            chosen = pa.array((shared.value[slot] == 1) & pc.is_valid(batch.column("id"))
+            chosen = pa.array(in_bitmap(shared.value, slot) & pc.is_valid(batch.column("id"))
                               .to_numpy(zero_copy_only=False))
             batch = batch.filter(chosen)
             grams = [h.tobytes() for h in document_sets(batch.column("text"))]
@@ -452,6 +467,17 @@ def bounded_pairs(large: DataFrame, best_only: bool) -> DataFrame:
     return met.select("x", "y").distinct()
 
 
+def of_one_id(heads: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links between the class representatives of rows that share a ``doc_id``."""
+    sets = F.struct("n", "fp1", "fp2")
+    several = (heads.groupBy("doc_id").agg(F.min(sets).alias("least"), F.max(sets).alias("most"))
+               .where(F.col("least") != F.col("most")).select("doc_id"))
+    reps = (heads.select("doc_id", "n", "fp1", "fp2").join(several, "doc_id", "left_semi")
+            .join(classes, ["n", "fp1", "fp2"]).select("doc_id", "rep").distinct())
+    first = reps.groupBy("doc_id").agg(F.min("rep").alias("b"))
+    return reps.join(first, "doc_id").select(F.col("rep").alias("a"), "b")
+
+
 def ngram_join(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``n_shingles``, ``component_id`` for every row."""
     docs = docs.select("doc_id", "text")
@@ -462,17 +488,22 @@ def ngram_join(docs: DataFrame) -> DataFrame:
     classes = scratch.keep(heads.groupBy("n", "fp1", "fp2").agg(F.min("doc_id").alias("rep")), "classes")
     reps = heads.join(classes.select(F.col("rep").alias("doc_id")).distinct(), "doc_id")
     entries = scratch.keep(shared_columns(reps), "entries")
-    labels = components(verify(docs, leading_pairs(entries), scratch), scratch)
+    labels = components(verify(docs, leading_pairs(entries), scratch).unionByName(of_one_id(heads, classes)), scratch)
+    labels = scratch.keep(labels, "labels")
     signatures = heads.select("doc_id", "signature")
     for best_only in (True, False):
         mixed = scratch.keep(mixed_entries(entries, labels), "mixed")
         pairs = bounded_pairs(large_columns(mixed, signatures), best_only)
         if best_only:  # small columns are settled in the first of the two rounds
-            pairs = pairs.unionByName(counted_pairs(mixed)).distinct()
-        links = verify(docs, scratch.keep(pairs, "pairs"), scratch)
+            pairs = pairs.unionByName(counted_pairs(mixed))
+        pairs = scratch.keep(pairs.distinct() if best_only else pairs, "pairs")
         scratch.drop(mixed)
-        known = labels.select(F.col("id").alias("a"), F.col("component").alias("b"))
-        labels = components(known.unionByName(links), scratch)
+        if not pairs.limit(1).collect():
+            continue
+        links = verify(docs, pairs, scratch)
+        if links.limit(1).collect():
+            known = labels.select(F.col("id").alias("a"), F.col("component").alias("b"))
+            labels = scratch.keep(components(known.unionByName(links), scratch), "labels")
     members = table.select("doc_id", "n", "fp1", "fp2").join(classes, ["n", "fp1", "fp2"], "left")
     out = (members.join(labels.withColumnRenamed("id", "rep"), "rep", "left")
            .select("doc_id", F.col("n").alias("n_shingles"),
