@@ -53,6 +53,16 @@ def vector_classes(vectors: DataFrame) -> DataFrame:
             .agg(F.min(F.col("vec_id").cast("long")).alias("cid"), F.count(F.lit(1)).alias("weight")))
 
 
+def of_one_id(vectors: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links between the classes of rows that share a ``vec_id``."""
+    rows = vectors.select(F.col("vec_id").cast("long").alias("id"), F.col("embedding").cast("array<double>").alias("embedding")) \
+        .where(F.col("id").isNotNull() & F.col("embedding").isNotNull())
+    several = (rows.groupBy("id").agg(F.min(F.xxhash64("embedding")).alias("least"), F.max(F.xxhash64("embedding")).alias("most"))
+               .where(F.col("least") != F.col("most")).select("id"))
+    held = rows.join(several, "id", "left_semi").join(classes.select("embedding", "cid"), "embedding").select("id", "cid").distinct()
+    return held.join(held.groupBy("id").agg(F.min("cid").alias("b")), "id").select(F.col("cid").alias("a"), "b")
+
+
 def _matrix(column: pa.Array, width: int | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Vectors of a list column padded with zeros to ``width``, and their dimensions."""
     offsets = column.offsets.to_numpy()
@@ -96,6 +106,7 @@ def range_links(classes: DataFrame, threshold: float, scratch: Scratch) -> DataF
     radius = float(np.arccos(threshold)) + _SLACK
     pivots = spark.sparkContext.broadcast(choose_pivots(classes, classes.count()))
     width = int(pivots.value.shape[1])
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
 
     def home(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -164,7 +175,7 @@ def range_links(classes: DataFrame, threshold: float, scratch: Scratch) -> DataF
             yield block.close()
 
     return (homes.mapInArrow(deal, "chunk long, role int, cid long, weight long, embedding array<double>")
-            .repartition(int(first[-1]), "chunk").sortWithinPartitions("chunk", "role")
+            .repartition(min(int(first[-1]), parts), "chunk").sortWithinPartitions("chunk", "role")
             .mapInArrow(meet, "a long, b long, n long"))
 
 
@@ -258,7 +269,7 @@ def embedding_join(vectors: DataFrame, threshold: float = 0.95) -> DataFrame:
     scratch = Scratch(vectors.sparkSession, "embedding-join")
     classes = scratch.keep(vector_classes(vectors), "classes")
     found = scratch.keep(range_links(classes, threshold, scratch), "found")
-    labels = components(found.select("a", "b"), scratch)
+    labels = components(found.select("a", "b").where(F.col("b").isNotNull()).unionByName(of_one_id(vectors, classes)), scratch)
     others = found.groupBy(F.col("a").alias("cid")).agg(F.sum("n").alias("others"))
     of_class = (classes.join(others, "cid", "left").join(labels.withColumnRenamed("id", "cid"), "cid", "left")
                 .select("embedding", (F.col("weight") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"),

@@ -99,13 +99,9 @@ def pack_shard(rows: pa.Table, capacity: int) -> np.ndarray:
     return where
 
 
-def _body() -> Column:
-    return F.btrim(F.coalesce(F.col("text"), F.lit("")), F.lit(SPACES))
-
-
-def equal_texts() -> Column:
-    """The same for texts that are equal in their lower-cased words."""
-    return F.xxhash64(F.lower(F.regexp_replace(_body(), SPACE_CLASS + "+", " ")))
+def _spaced() -> Column:
+    """The words of the text, joined by one space."""
+    return F.regexp_replace(F.btrim(F.coalesce(F.col("text"), F.lit("")), F.lit(SPACES)), SPACE_CLASS + "+", " ")
 
 
 def _node() -> Column:
@@ -113,36 +109,42 @@ def _node() -> Column:
     return F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text"))
 
 
-def near_copies(docs: DataFrame, scratch: Scratch) -> DataFrame:
+def facts(docs: DataFrame, cluster: str | None = None) -> DataFrame:
+    """``doc_id, node, digest, words, source, same, own`` of every row: all that packing
+    takes from a text, in one pass. ``same`` is equal for texts that are equal in
+    their lower-cased words; ``own`` is the hash of the cluster column, if named."""
+    named = F.lit(None).cast("long") if cluster is None else F.when(F.col(cluster).isNotNull(), F.xxhash64(cluster))
+    rows = docs.select(
+        "doc_id", _node().alias("node"), F.xxhash64("text").alias("digest"), _spaced().alias("spaced"),
+        F.when(F.col("source").isNotNull(), F.xxhash64("source")).alias("source"), named.alias("own"))
+    words = F.when(F.col("spaced") == "", F.lit(0)).otherwise(
+        F.length("spaced") - F.length(F.replace(F.col("spaced"), F.lit(" "), F.lit(""))) + 1)
+    return rows.select("doc_id", "node", "digest", words.cast("long").alias("words"), "source",
+                       F.xxhash64(F.lower("spaced")).alias("same"), "own")
+
+
+def near_copies(docs: DataFrame, known: DataFrame, scratch: Scratch) -> DataFrame:
     """``node, near``: the cluster of every document. Components of the n-gram
     join, joined where their texts are equal in lower-cased words (the n-gram join
-    folds A-Z only)."""
-    nodes = docs.select(_node().alias("doc_id"), "text")
-    groups = (ngram_join(nodes).groupBy(F.col("doc_id").alias("node"))
-              .agg(F.min("component_id").alias("near")))
-    same = (nodes.where(_body() != "").select(F.col("doc_id").alias("node"), equal_texts().alias("same"))
-            .join(groups, "node").select("same", "near").distinct())
-    links = (same.join(same.groupBy("same").agg(F.min("near").alias("b")), "same")
+    folds A-Z only). ``known``: the kept ``facts`` of the documents."""
+    groups = scratch.keep(ngram_join(docs.select(_node().alias("doc_id"), "text"))
+                          .groupBy(F.col("doc_id").alias("node")).agg(F.min("component_id").alias("near")), "groups")
+    same = known.where(F.col("words") > 0).select("node", "same").join(groups, "node").groupBy("same").agg(
+        F.min("near").alias("b"), F.max("near").alias("most")).where(F.col("b") != F.col("most")).select("same", "b")
+    links = (known.where(F.col("words") > 0).select("node", "same").join(same, "same").join(groups, "node")
              .select(F.col("near").alias("a"), "b"))
     joined = components(links, scratch).withColumnRenamed("id", "near")
     return scratch.keep(groups.join(joined, "near", "left")
                         .select("node", F.coalesce("component", "near").alias("near")), "clusters")
 
 
-def items(docs: DataFrame, capacity: int, cluster: str | None = None, clusters: DataFrame | None = None) -> DataFrame:
-    """``doc_id, digest, piece, n, source, cluster``: one row a piece (piece 0 is
-    the rest; full pieces follow). Source and cluster are 64-bit hashes; without
-    a cluster column or table (``near_copies``), equal texts form one."""
-    body = _body()
-    words = F.when(body == "", F.lit(0)).otherwise(F.size(F.split(body, SPACE_CLASS + "+")))
-    own: Column = (equal_texts() if cluster is None
-                   else F.when(F.col(cluster).isNotNull(), F.xxhash64(cluster)))
-    rows = docs.select(
-        "doc_id", F.xxhash64("text").alias("digest"), words.cast("long").alias("words"),
-        F.when(F.col("source").isNotNull(), F.xxhash64("source")).alias("source"),
-        (own if clusters is None else _node()).alias("cluster"))
+def items(known: DataFrame, capacity: int, cluster: str | None = None, clusters: DataFrame | None = None) -> DataFrame:
+    """``doc_id, digest, piece, n, source, cluster`` from ``facts``: one row a piece
+    (piece 0 is the rest; full pieces follow). Source and cluster are 64-bit hashes;
+    without a cluster column or table (``near_copies``), equal texts form one."""
+    rows = known.withColumn("cluster", F.col("same") if cluster is None else F.col("own"))
     if clusters is not None:
-        rows = (rows.withColumnRenamed("cluster", "node").join(clusters, "node", "left")
+        rows = (known.join(clusters, "node", "left")
                 .withColumn("cluster", F.xxhash64(F.coalesce("near", "node"))))
     full = F.floor(F.col("words") / capacity)
     pieces = F.when(F.col("words") == 0, F.array(F.lit(0).cast("long"))).otherwise(
@@ -153,12 +155,23 @@ def items(docs: DataFrame, capacity: int, cluster: str | None = None, clusters:
 
 
 def best_fit_packing(docs: DataFrame, capacity: int = CAPACITY, cluster: str | None = None,
-                     shard_items: int = SHARD_ITEMS, clusters: DataFrame | None = None) -> DataFrame:
+                     shard_items: int = SHARD_ITEMS) -> DataFrame:
     """``doc_id, piece, n_words, bin_id, bin_start`` for every piece of every row."""
     ship_package(docs.sparkSession)
-    docs = docs.select("doc_id", "text", "source", *([cluster] if cluster else []))
-    rows = items(docs, capacity, cluster, clusters)
-    shards = max(1, -(-docs.count() // shard_items))
+    scratch = Scratch(docs.sparkSession, "best-fit")
+    known = scratch.keep(facts(docs.select("doc_id", "text", "source", *([cluster] if cluster else [])), cluster), "facts")
+    scratch.outlive()
+    return _packed(known, items(known, capacity, cluster), capacity, shard_items)
+
+
+def _partitions(df: DataFrame) -> int:
+    """Shuffle partitions of the session: a task packs several shards one after the other."""
+    spark = df.sparkSession
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+
+
+def _packed(known: DataFrame, rows: DataFrame, capacity: int, shard_items: int) -> DataFrame:
+    shards = max(1, -(-known.count() // shard_items))
     keyed = rows.withColumn("shard", F.pmod(F.xxhash64("doc_id", "digest", "piece"), F.lit(shards)))
     schema = "doc_id long, piece long, n_words long, bin_id long, bin_start long"
 
@@ -188,7 +201,7 @@ def best_fit_packing(docs: DataFrame, capacity: int = CAPACITY, cluster: str | N
             "bin_start": pa.array(where[:, 1])})
 
     filled = (keyed.where(F.col("n") > 0).withColumn("doc_id", F.col("doc_id").cast("long"))
-              .repartition(shards, "shard").sortWithinPartitions("shard").mapInArrow(pack, schema))
+              .repartition(min(shards, _partitions(known)), "shard").sortWithinPartitions("shard").mapInArrow(pack, schema))
     nothing = F.lit(None).cast("long")
     return filled.unionByName(rows.where(F.col("n") == 0).select(
         F.col("doc_id").cast("long").alias("doc_id"), "piece", F.col("n").alias("n_words"),
@@ -199,5 +212,6 @@ def near_copy_packing(docs: DataFrame, capacity: int = CAPACITY, shard_items: in
     """``best_fit_packing`` with near copies as clusters: no bin holds two of them."""
     scratch = Scratch(docs.sparkSession, "packing")
     docs = docs.select("doc_id", "text", "source")
-    clusters = near_copies(docs, scratch)
-    return scratch.result(best_fit_packing(docs, capacity, None, shard_items, clusters))
+    known = scratch.keep(facts(docs), "facts")
+    rows = items(known, capacity, None, near_copies(docs, known, scratch))
+    return scratch.result(_packed(known, scratch.keep(rows, "items"), capacity, shard_items))

@@ -184,14 +184,17 @@ def repeated_spans(docs: DataFrame, window: int, scratch: Scratch) -> DataFrame:
     kinds = scratch.keep(
         branching.groupBy("seed", "path").agg(F.count(F.lit(1)).alias("copies"),
                                               F.min(F.struct("k1", "k2", "start", "n")).alias("one")), "kinds")
-    several = branching.join(kinds.where(F.col("copies") > 1).select("seed", "path"), ["seed", "path"], "left_semi")
+    # each join ends in a table of its own, so that Spark splits its hot keys
+    several = scratch.keep(branching.join(kinds.where(F.col("copies") > 1).select("seed", "path"), ["seed", "path"], "left_semi")
+                           .select("k1", "k2", "start", "n"), "several")
     opened = kinds.select("one.*", "seed", (F.col("copies") == 1).alias("single"))
     edges = scratch.keep(opened_windows(docs, opened, window), "edges")
-    recurring = edges.groupBy("seed", "edge").agg(F.count(F.lit(1)).alias("kinds")).where(F.col("kinds") > 1)
-    alone = edges.where("single").join(recurring.select("seed", "edge"), ["seed", "edge"], "left_semi")
+    recurring = scratch.keep(edges.groupBy("seed", "edge").agg(F.count(F.lit(1)).alias("kinds"))
+                             .where(F.col("kinds") > 1).select("seed", "edge"), "recurring")
+    alone = scratch.keep(edges.where("single").join(recurring, ["seed", "edge"], "left_semi")
+                         .select("k1", "k2", "start", F.lit(1).alias("n")), "alone")
     spans = (found.where(~F.col("branching")).select("k1", "k2", "start", "n")
-             .unionByName(several.select("k1", "k2", "start", "n"))
-             .unionByName(alone.select("k1", "k2", "start", F.lit(1).alias("n"))))
+             .unionByName(several).unionByName(alone))
     return (spans.groupBy("k1", "k2", "start").agg(F.max("n").alias("n"))
             .select("k1", "k2", "start", (F.col("start") + F.col("n") + (window - 1)).alias("stop")))
 
