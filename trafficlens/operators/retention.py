@@ -51,18 +51,33 @@ def cohort_members(df: DataFrame, user: str = "dimension1", date: str = "date",
                    week52_year: int = 2021) -> DataFrame:
     """(user, first_dt, year, iso_week) for every active week of every user,
     from one aggregate per user. NULL users are dropped (they never join)."""
-    # The active weeks (ISO weeks 1-53) as bits of one BIGINT: a fixed-width,
-    # codegen'd hash aggregate with 8 bytes of state per user (no object set).
+    return members_of(user_weeks(df, user, date), user, week52_year)
+
+
+def user_weeks(df: DataFrame, user: str = "dimension1", date: str = "date") -> DataFrame:
+    """Per user the first active date and the active weeks: ``user, first_date, weeks``.
+
+    The weeks (ISO weeks 1-53) are bits of one BIGINT: a fixed-width, codegen'd
+    hash aggregate with 8 bytes of state per user (no object set)."""
     week_bit = F.pow(F.lit(2), iso_week(date)).cast("bigint")  # 2^w, exact for w <= 53
-    per_user = (df.where(F.col(user).isNotNull())
-                .groupBy(user)
-                .agg(F.min(date).alias("_first"), F.bit_or(week_bit).alias("_weeks")))
-    active = F.expr("filter(sequence(1, 53), w -> ((_weeks >> w) & 1) = 1)")
+    return (df.where(F.col(user).isNotNull()).groupBy(user)
+            .agg(F.min(date).alias("first_date"), F.bit_or(week_bit).alias("weeks")))
+
+
+def merge_user_weeks(known: DataFrame, new: DataFrame, user: str = "dimension1") -> DataFrame:
+    """Two ``user_weeks`` frames as one. Minimum and bit union do not mind order or
+    repetition, so days can be merged late, twice or in any order."""
+    return (known.unionByName(new).groupBy(user)
+            .agg(F.min("first_date").alias("first_date"), F.bit_or("weeks").alias("weeks")))
+
+
+def members_of(per_user: DataFrame, user: str = "dimension1", week52_year: int = 2021) -> DataFrame:
+    """``user_weeks`` expanded to (user, first_dt, year, iso_week)."""
     members = per_user.select(
         F.col(user),
-        iso_week("_first").alias("first_dt"),
-        cohort_year("_first", week52_year).alias("year"),
-        F.explode(active).alias("_w"),
+        iso_week("first_date").alias("first_dt"),
+        cohort_year("first_date", week52_year).alias("year"),
+        F.explode(F.expr("filter(sequence(1, 53), w -> ((weeks >> w) & 1) = 1)")).alias("_w"),
     )
     return members.select(user, "first_dt", "year", F.col("_w").cast("bigint").alias("iso_week"))
 
@@ -86,6 +101,10 @@ def cohort_pivot(df: DataFrame, max_age: int = 52) -> DataFrame:
 def retention_matrix(traffic: DataFrame, week52_year: int, max_age: int = 52,
                      user: str = "dimension1", date: str = "date") -> DataFrame:
     """R13 core: cohort members -> age -> 53-column pivot (unordered)."""
-    members = cohort_members(traffic, user, date, week52_year)
+    return matrix_of(cohort_members(traffic, user, date, week52_year), max_age)
+
+
+def matrix_of(members: DataFrame, max_age: int = 52) -> DataFrame:
+    """Cohort members -> age -> 53-column pivot (unordered)."""
     aged = members.select("first_dt", "year", cohort_age("iso_week", "first_dt").alias("senior"))
     return cohort_pivot(aged, max_age)

@@ -496,10 +496,31 @@ WHERE product IS NOT NULL GROUP BY 1, 2, 3, 4""",
                            f"{d(P.load_today)} - 1 AS end_date FROM banners",
         "date_windows": windows_sql(P.window_step_days),
         "incremental_append": TARGET_SQL,
+        "window_ledger": ledger_windows_sql(P.window_step_days),
     }
+    b["cohort_state"] = b["report_retention"]
     return b
 
 
+def ledger_windows_sql(step: int) -> str:
+    """Days under half of the mean rows of a day, and windows over each run of days
+    without rows, by the I2 rule."""
+    return f"""
+SELECT * FROM (
+WITH days AS (SELECT date AS day, COUNT(*) AS n FROM traffic WHERE date IS NOT NULL GROUP BY date),
+free AS (SELECT CAST(c.day AS DATE) AS day FROM (SELECT UNNEST(generate_series(MIN(day), MAX(day), INTERVAL 1 DAY)) AS day FROM days) c
+         WHERE CAST(c.day AS DATE) NOT IN (SELECT day FROM days)),
+runs AS (SELECT MIN(day) AS s, MAX(day) AS e FROM (SELECT day, day - CAST(ROW_NUMBER() OVER (ORDER BY day) AS INTEGER) AS run FROM free)
+         GROUP BY run),
+cuts AS (SELECT s, e, GREATEST(CAST(CEIL((e - s) / {step}.0) AS INTEGER), 1) AS k FROM runs),
+pieces AS (SELECT s, e, k, UNNEST(generate_series(0, k - 1)) AS i FROM cuts)
+SELECT day AS window_start, day AS window_end, 'incomplete' AS reason FROM days
+WHERE n * 2 * (SELECT COUNT(*) FROM days) < (SELECT SUM(n) FROM days)
+UNION ALL
+SELECT CASE WHEN i = k - 1 THEN s ELSE e - CAST(i * {step} + {step} - 1 AS INTEGER) END, e - CAST(i * {step} AS INTEGER), 'new' FROM pieces)
+"""
+
+
 def publish_sql(bodies: dict[str, str], columns: dict[str, tuple[str, ...]]) -> str:
     """Per published column the number of values, the total of the numbers
     and the characters of the other values, as text."""

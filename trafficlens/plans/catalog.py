@@ -33,6 +33,8 @@ from trafficlens.sources.mart import Mart
 from trafficlens.sources.report_api import flatten_report, read_report_pages
 from trafficlens.sources.schemas import LOADED_BANNERS, REPORT_PAGE
 from trafficlens.streaming import incremental as inc
+from trafficlens.streaming.cohort_state import CohortState, cohort_traffic
+from trafficlens.streaming.ledger import wanted_windows
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -627,6 +629,38 @@ def _incremental_append(spark, sf_dir):
     return spark.read.schema(LOADED_BANNERS).parquet(target)
 
 
+@query("cohort_state")
+def _cohort_state(spark, sf_dir):
+    """R13 from the per-user state, after merges of all traffic out of order: the
+    later years first, then the earlier ones, then some days again."""
+    traffic = cohort_traffic(mart(spark, sf_dir).table("traffic", ["date", "dimension1", "landingpagepath"]), P)
+    state = CohortState(spark, scratch_path(spark, "cohort-state"), buckets=8)
+    late = F.year("date") >= 1998
+    for part, rows in (("late", traffic.where(late)), ("early", traffic.where(~late)),
+                       ("again", traffic.where(F.month("date") == 5))):
+        state.merge(rows, part)
+    return state.retention(P)
+
+
+@query("window_ledger")
+def _window_ledger(spark, sf_dir):
+    """Windows to ask for, over the days of the traffic table as one-day loads: a day
+    with under half of the mean rows of a day counts as incomplete."""
+    t = mart(spark, sf_dir).table("traffic", ["date"])
+    days = t.where(F.col("date").isNotNull()).groupBy("date").agg(F.count(F.lit(1)).alias("n"))
+    whole = days.agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("days"),
+                     F.min("date").alias("first"), F.max("date").alias("last")).first()  # one row
+    null = F.lit(None)
+    ledger = days.select(
+        F.col("date").alias("window_start"), F.col("date").alias("window_end"), F.lit("loaded").alias("state"),
+        F.col("n").alias("rows"), null.cast("long").alias("expected_rows"),
+        (F.col("n") * 2 * F.lit(whole["days"]) >= F.lit(whole["rows"])).alias("complete"), F.lit(True).alias("golden"),
+        null.cast("timestamp").alias("newest_landing"), F.lit("days").alias("load_id"), F.lit(1).cast("long").alias("step"))
+    if whole["first"] is None:  # no days, no windows
+        return wanted_windows(ledger, "2024-01-02", "2024-01-01", P.window_step_days)
+    return wanted_windows(ledger, whole["first"], whole["last"], P.window_step_days)
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 
