@@ -61,3 +61,10 @@ def test_copies_are_counted(spark):
     rows = [(i, [1.0, 2.0, 3.0]) for i in range(300)] + [(900, [3.0, -1.0, 0.0])]
     got = found(ej.embedding_join(frame(spark, rows)))
     assert got[0] == (299, 0, True) and got[299] == (299, 0, False) and got[900] == (0, 900, True)
+
+
+def test_rows_that_share_an_id_are_one_node(spark):
+    x, y = [1.0, 0.0, 0.0], [0.0, 1.0, 0.0]
+    rows = [(3, x), (4, y), (5, x), (5, y), (6, [0.0, 0.0, 1.0]), (6, None)]
+    got = sorted((r["vec_id"], r["component_id"], r["n_links"]) for r in ej.embedding_join(frame(spark, rows)).collect())
+    assert got == [(3, 3, 1), (4, 3, 1), (5, 3, 1), (5, 3, 1), (6, 6, 0), (6, 6, 0)]
