@@ -51,3 +51,52 @@ def test_edge_rows(make_docs):
     assert li.language_id(docs.limit(0)).collect() == []
     none = make_docs([(1, "the cat", None, None)])
     assert [r["lang_pred"] for r in li.language_id(none).collect()] == ["und"]
+
+
+def test_many_rows_of_one_id_and_many_languages(make_docs):
+    """One id with 20,000 rows is one document of the sample, and no language loses its rows to it."""
+    rows = [(1, f"the cat and the dog {i % 3}", "en", None) for i in range(20_000)]
+    rows += [(i, "the house and the garden", "en", None) for i in range(2, 30)]
+    rows += [(i, "der hund und die katze", "de", None) for i in range(30, 40)]
+    docs = make_docs(rows).select("doc_id", "text", "lang")
+    sample = li.training_sample(docs, 10)
+    assert [sum(lang == x for lang, _, _ in sample) for x in ("de", "en")] == [10, 10]
+    assert sorted(rank for lang, _, rank in sample if lang == "en") == list(range(1, 11))
+    everything = li.training_sample(docs, 1000)
+    assert len(everything) == 39 and ("the cat and the dog 0") in [t for _, t, _ in everything]
+    assert {lang for lang, _, _ in li.training_sample(docs, 10, max_langs=1)} == {"en"}
+
+
+def test_folded_weights_equal_an_unfolded_kernel_ridge(make_docs):
+    """Kernel values from n-gram sets, one solve over the landmarks, scores from kernels."""
+    import numpy as np
+    import pyarrow as pa
+    rng = np.random.default_rng(3)
+    words = {"aa": ["the", "cat", "house", "garden"], "bb": ["der", "hund", "katze", "haus"], "cc": ["le", "chat", "maison"]}
+    rows = [(lang, " ".join(rng.choice(w, 6)), rank) for lang, w in words.items() for rank in range(1, 9)]
+    rows = sorted(rows)
+    ridge = 1e-3
+    model = li.fit(rows, landmarks_per_lang=3, ridge=ridge)
+    grams = lambda t: {(k, t.encode()[i:i + k]) for k in li.ORDERS for i in range(len(t.encode()) - k + 1)}
+    marks = [grams(t) for _, t, rank in rows if rank <= 3]
+    known = set().union(*marks)
+
+    def kernel(a, b):
+        a, b = a & known, b & known
+        return len(a & b) / (max(len(a), 1) * max(len(b), 1)) ** 0.5
+
+    langs = sorted(words)
+    of_rows = np.array([[kernel(grams(t), m) for m in marks] for _, t, _ in rows])
+    of_marks = np.array([[kernel(a, b) for b in marks] for a in marks])
+    goal = np.array([[1.0 if lang == x else -1.0 for x in langs] for lang, _, _ in rows])
+    share = 1.0 / 8  # rows of a language
+    alpha = np.linalg.solve(share * of_rows.T @ of_rows + ridge * of_marks + 1e-8 * np.eye(len(marks)),
+                            share * of_rows.T @ goal)
+    texts = ["the hund", "le chat et la maison", "haus", "zzz qqq", "the cat the cat the garden"]
+    want = np.array([[kernel(grams(t), m) for m in marks] for t in texts]) @ alpha
+    lang, score = li.predict(model, pa.array(texts))
+    odds = np.exp(4 * (want - want.max(axis=1, keepdims=True)))
+    assert np.allclose(score.astype(float), 1 / odds.sum(axis=1), atol=1e-3)
+    clear = np.sort(want, axis=1)[:, -1] - np.sort(want, axis=1)[:, -2] > 1e-3
+    assert [x for x, c in zip(lang, clear, strict=True) if c] == [langs[i] for i, c in zip(want.argmax(axis=1), clear,
+                                                                                          strict=True) if c]

@@ -4,14 +4,15 @@ The kernel of two texts is the number of distinct byte n-grams (two to four
 bytes of the lower-cased text, blended) that both hold, over the square root of
 the product of their own counts; its n-grams are those of the landmark texts.
 Landmarks and fitting rows are bounded samples per language
-(``landmarks_per_lang``, ``rows_per_lang``). One-versus-rest kernel ridge
+(``landmarks_per_lang``, ``rows_per_lang``) of at most ``max_langs`` languages. One-versus-rest kernel ridge
 regression gives every landmark a weight per language; as the kernel is linear
 in the presence vectors, landmarks times weights fold into one matrix of n-gram
 by language, and a batch of documents is scored by one matrix product.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0;
 with no learnable row every text is ``und``; ties go to the first language in
-order; a null ``doc_id`` is never learned from (its held-out flag is null). Only
+order; a null ``doc_id`` is never learned from (its held-out flag is null); rows
+that share an id and a language count as one document when learning. Only
 ``doc_id``, ``text`` and ``lang`` are read.
 """
 
@@ -127,24 +128,22 @@ def predict(model: Model, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return lang, np.clip(score, 0.0, 1.0)
 
 
-def training_sample(docs: DataFrame, rows_per_lang: int) -> list[tuple[str, str, int]]:
-    """At most ``rows_per_lang`` rows of each language: the ids with the smallest
-    hashes, ranked before any text moves. The languages' counts (one row each)
-    first cut the ids to about four times what is kept, so that ranking a common
-    language never meets all its rows in one task."""
-    known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if not counts:
-        return []
-    scale = 1 << 30
-    share = F.create_map(*[F.lit(x) for lang, n in sorted(counts.items())
-                           for x in (lang, min(scale, 4 * rows_per_lang * scale // n + 1))])
-    order = Window.partitionBy("lang").orderBy(F.shiftrightunsigned(F.xxhash64("doc_id"), 34), "doc_id")
-    ids = (known.where(F.shiftrightunsigned(F.xxhash64("doc_id"), 34) < share[F.col("lang")])
-           .select("doc_id", "lang").distinct()
+def training_sample(docs: DataFrame, rows_per_lang: int, max_langs: int = 200) -> list[tuple[str, str, int]]:
+    """At most ``rows_per_lang`` documents of each language: the ids with the
+    smallest hashes, ranked before any text moves, and of an id with several rows
+    the least text. Ids are made distinct map-side, and a rank limit keeps the
+    first ids in every task before they meet, so neither a common language nor a
+    repeated id gathers in one task. Of more than ``max_langs`` languages the most
+    frequent ones (by name on ties) are learned."""
+    known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull())
+    langs = (known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang")
+             .limit(max_langs).select("lang"))
+    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    ids = (known.select("doc_id", "lang").distinct().join(F.broadcast(langs), "lang")
            .withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= rows_per_lang))
-    rows = docs.join(F.broadcast(ids), ["doc_id", "lang"]).select("lang", "text", "rank").collect()
-    return sorted((r["lang"], r["text"], r["rank"]) for r in rows if r["text"] is not None)
+    rows = (known.join(F.broadcast(ids), ["doc_id", "lang"])  # at most max_langs * rows_per_lang ids
+            .groupBy("lang", "doc_id", "rank").agg(F.min("text").alias("text")).collect())
+    return sorted((r["lang"], r["text"], r["rank"]) for r in rows)
 
 
 def learn(docs: DataFrame, rows_per_lang: int = 400, landmarks_per_lang: int = 40) -> Model:
