@@ -43,3 +43,42 @@ def test_edge_rows(spark, make_docs):
     assert len(rows) == 7 and all(0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.5) for r in rows)
     assert qc.quality_scores(docs.limit(0), labels).collect() == []
     assert {r["score"] for r in qc.quality_scores(docs, labels.limit(0)).collect()} == {0.5}
+
+
+def test_many_rows_of_one_id_are_one_document(spark, make_docs):
+    docs = make_docs([(1, "bad bad")] * 20_000 + [(i, f"good words {i}") for i in range(2, 20)]).select("doc_id", "text")
+    labels = spark.createDataFrame([(1, 0)] + [(i, 1) for i in range(2, 20)], "doc_id long, quality int")
+    sample = qc.training_sample(docs, labels, 5)
+    assert sorted(y for _, y in sample) == [0, 1, 1, 1, 1, 1]
+
+
+def test_the_dual_is_solved_and_scores_follow_from_it():
+    """Primal value of the fitted model against the dual optimum of a plain solver; scores text by text."""
+    import pyarrow as pa
+    rng = np.random.default_rng(5)
+    rows = [(np.unique(rng.integers(0, 40, 8) + 15 * y), int(y)) for y in rng.integers(0, 2, 40)]
+    cost = 1.0
+    model = qc.fit(rows, blend=1.0, cost=cost, epochs=500)
+    y = np.array([1.0 if label else -1.0 for _, label in rows])
+    v = np.zeros((len(rows), 60))
+    for i, (f, _) in enumerate(rows):
+        v[i, f] = model.ratio[f] / np.sqrt(np.dot(model.ratio[f], model.ratio[f]))
+    some = model.ratio[:60] != 0
+    w = np.where(some, model.weight[:60] / np.where(some, model.ratio[:60], 1), 0)
+    primal = 0.5 * (w @ w + model.bias ** 2) + cost * np.maximum(0, 1 - y * (v @ w + model.bias)).sum()
+    q = (v @ v.T + 1) * np.outer(y, y)
+    alpha = np.zeros(len(rows))
+    for _ in range(20_000):  # projected gradient ascent
+        alpha = np.clip(alpha + (1 - q @ alpha) / np.linalg.norm(q, 2), 0, cost)
+    dual = alpha.sum() - 0.5 * alpha @ q @ alpha
+    assert -1e-6 <= primal - dual <= 1e-2 * dual
+
+    texts = ["good words here", "", "bad bad bad", "a b c d e f g " * 50]
+    whole = qc.fit([(qc.indicators(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t)]))[1], k % 2)
+                    for k, t in enumerate(texts) if t])
+    whole = qc.fit([(np.array([1, 2, 3]), 1), (np.array([8, 9]), 0)]) if whole.weight.max() == 0 else whole
+    scores = qc.score_column(whole, pa.array(texts, pa.large_string()))
+    for t, got in zip(texts, scores, strict=True):
+        f = qc.indicators(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t.encode())]))[1] if t else []
+        margin = sum(whole.weight[k] for k in f) / max(np.sqrt(sum(whole.ratio[k] ** 2 for k in f)), 1e-12) + whole.bias
+        assert abs(got - 1 / (1 + np.exp(-whole.scale * margin))) < 1e-9

@@ -8,7 +8,8 @@ vectorised pass over every row, with the model broadcast (12 bytes per bucket).
 
 Defined cases: a null or empty text has no indicators and scores the model's
 bias; a null ``doc_id`` is never trained on (its held-out flag is null); a
-``doc_id`` labelled twice counts with the mean of its labels; without labels of
+``doc_id`` labelled twice counts with the mean of its labels, one with several
+rows of text once; without labels of
 both classes every score is 0.5; repeated rows get equal scores. Only
 ``doc_id`` and ``text`` are read from the documents.
 """
@@ -125,8 +126,8 @@ def score_column(model: Model, column: pa.Array) -> np.ndarray:
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, sample_per_class: int) -> list[tuple[np.ndarray, int]]:
-    """Features of at most ``sample_per_class`` labelled rows of each class (the
-    rows whose ids have the smallest hashes)."""
+    """Features of at most ``sample_per_class`` labelled documents of each class
+    (the ids with the smallest hashes; of an id with several rows the least text)."""
     labelled = (labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull())
                 .groupBy("doc_id").agg((F.avg("quality") >= 0.5).cast("int").alias("label")))
     ids = None
@@ -134,7 +135,8 @@ def training_sample(docs: DataFrame, labels: DataFrame, sample_per_class: int) -
         one = (labelled.where(F.col("label") == y).orderBy(F.xxhash64("doc_id"), "doc_id")
                .limit(sample_per_class))
         ids = one if ids is None else ids.unionAll(one)
-    chosen = docs.join(F.broadcast(ids), "doc_id").select("doc_id", "label", "text")  # at most two samples of ids
+    chosen = (docs.join(F.broadcast(ids), "doc_id")  # at most two samples of ids
+              .groupBy("doc_id", "label").agg(F.min("text").alias("text")))
 
     def featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
