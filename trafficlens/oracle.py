@@ -499,6 +499,7 @@ WHERE product IS NOT NULL GROUP BY 1, 2, 3, 4""",
         "window_ledger": ledger_windows_sql(P.window_step_days),
     }
     b["cohort_state"] = b["report_retention"]
+    b["distinct_state"] = b["report_monthly_users"]
     return b
 
 

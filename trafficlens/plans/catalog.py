@@ -34,6 +34,7 @@ from trafficlens.sources.report_api import flatten_report, read_report_pages
 from trafficlens.sources.schemas import LOADED_BANNERS, REPORT_PAGE
 from trafficlens.streaming import incremental as inc
 from trafficlens.streaming.cohort_state import CohortState, cohort_traffic
+from trafficlens.streaming.distinct_state import DistinctState
 from trafficlens.streaming.ledger import wanted_windows
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -642,6 +643,18 @@ def _cohort_state(spark, sf_dir):
     return state.retention(P)
 
 
+@query("distinct_state")
+def _distinct_state(spark, sf_dir):
+    """R11 from the bitmaps of days, after merges of all sessions out of order: the
+    later half of each month first, then the earlier one, then some days again."""
+    sessions = rp.section_sessions(mart(spark, sf_dir), P)
+    state = DistinctState(spark, scratch_path(spark, "distinct-state"), buckets=8)
+    late = F.dayofmonth("date") > 15
+    for rows in (sessions.where(late), sessions.where(~late), sessions.where(F.dayofmonth("date") == 7)):
+        state.merge(rows, "user_id")
+    return rp.monthly_users_of(state, P)
+
+
 @query("window_ledger")
 def _window_ledger(spark, sf_dir):
     """Windows to ask for, over the days of the traffic table as one-day loads: a day

@@ -36,6 +36,7 @@ from trafficlens.operators.retention import retention_matrix
 from trafficlens.params import DIRECT_SOURCE, NO_CAMPAIGN, NO_MEDIUM, NOT_AUTHORIZED, ReportParams
 from trafficlens.sinks.writers import as_view
 from trafficlens.sources.mart import Mart
+from trafficlens.streaming.distinct_state import DistinctState
 
 
 def _event_week(ts_col: str = "dateHourMinute"):
@@ -329,11 +330,22 @@ def report_deal_combined(mart: Mart, p: ReportParams) -> DataFrame:
 def report_monthly_users(mart: Mart, p: ReportParams) -> DataFrame:
     """Monthly distinct users of section sessions with a medium, one year.
     Columns: month, uniqs."""
+    s = flt.in_year(section_sessions(mart, p), "date", p.uniques_year)
+    return s.groupBy(month_of("date").alias("month")).agg(distinct_count("user_id", p.approx_distinct).alias("uniqs"))
+
+
+def section_sessions(mart: Mart, p: ReportParams) -> DataFrame:
+    """The sessions that R11 counts, of any year."""
     s = mart.table("sessions", ["date", "user_id", "landingpage", "utm_medium"])
     s = flt.url_contains(s, "landingpage", p.section)
-    s = flt.not_equal(s, "utm_medium", NO_MEDIUM)
-    s = flt.in_year(s, "date", p.uniques_year)
-    return s.groupBy(month_of("date").alias("month")).agg(distinct_count("user_id", p.approx_distinct).alias("uniqs"))
+    return flt.not_equal(s, "utm_medium", NO_MEDIUM)
+
+
+def monthly_users_of(state: DistinctState, p: ReportParams) -> DataFrame:
+    """R11 from the state of ``section_sessions``: no session is read."""
+    first, after = (F.make_date(F.lit(p.uniques_year + k), F.lit(1), F.lit(1)) for k in (0, 1))
+    counted = state.counts([month_of("date")], "uniqs", (F.col("date") >= first) & (F.col("date") < after))
+    return counted.select(F.col("_g0").alias("month"), "uniqs")
 
 
 # --------------------------------------------------------------------------- R12
