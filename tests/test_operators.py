@@ -151,3 +151,25 @@ def test_bounds_on_timestamp_with_time_zone_columns(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert flt.from_date(df, "ts", "2024-01-04").count() == 1
+
+
+def test_exact_cohort_ages_over_years_equal_brute_force(spark):
+    import datetime as dt
+    import random
+
+    from trafficlens.operators import retention as ret
+
+    rng = random.Random(11)
+    visits = [(rng.choice([f"u{i}" for i in range(25)] + [None]),
+               dt.date(2020, 12, 20) + dt.timedelta(days=rng.randrange(1200))) for _ in range(900)]
+    got = sorted(map(tuple, ret.exact_members(spark.createDataFrame(visits, "dimension1 string, date date")).collect()))
+    monday = lambda d: d - dt.timedelta(days=d.weekday())
+    want = set()
+    for user in {u for u, _ in visits if u}:
+        dates = [d for u, d in visits if u == user]
+        first = min(dates)
+        year, week, _ = first.isocalendar()
+        want |= {(user, week, year, (monday(d) - monday(first)).days // 7) for d in dates}
+    assert got == sorted(want) and max(r[3] for r in got) > 120
+    wide = ret.cohort_pivot(ret.exact_members(spark.createDataFrame(visits, "dimension1 string, date date")), 200)
+    assert sum(sum(r[2:]) for r in wide.collect()) == len(want)

@@ -24,7 +24,7 @@ from trafficlens.session import build_session
 from trafficlens.sources.mart import Mart
 from trafficlens.sources.report_api import current_pages, read_report_pages
 from trafficlens.sources.schemas import LOADED_BANNERS
-from trafficlens.streaming.incremental import newest_partition, stream_landed_pages
+from trafficlens.streaming.incremental import newest_partition, stream_windows
 from trafficlens.streaming.ledger import ledger_load, ledger_path
 
 
@@ -103,12 +103,11 @@ def run_load(spark: SparkSession, landing: str, target: str, params: ReportParam
 
 def run_stream_load(spark: SparkSession, landing: str, target: str, checkpoint: str,
                     params: ReportParams) -> dict:
-    """Streaming form of the load: every landed page file not yet processed is
-    flattened and written once (the file sink's commit log); stops when the
+    """Streaming form of the load, into the same table as the batch form: the windows
+    of every landed page file not yet processed are put in place; stops when the
     backlog is done. ``loaded_rows`` are the rows the target gained."""
     before = target_rows(spark, target)
-    query = stream_landed_pages(spark, landing, target, checkpoint, params.banner_dimensions,
-                                params.banner_metrics)
+    query = stream_windows(spark, landing, target, checkpoint, params.banner_dimensions, params.banner_metrics)
     query.awaitTermination()
     return {"loaded_rows": target_rows(spark, target) - before}
 

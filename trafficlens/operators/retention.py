@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trafficlens.functions.calendar import iso_week, year_of
+from trafficlens.functions.calendar import iso_week, iso_year, year_of
 from trafficlens.functions.columns import as_col
 
 
@@ -82,6 +82,40 @@ def members_of(per_user: DataFrame, user: str = "dimension1", week52_year: int =
     return members.select(user, "first_dt", "year", F.col("_w").cast("bigint").alias("iso_week"))
 
 
+# Weeks in one word of ``user_week_words``: bits 0..62 of a BIGINT.
+WORD_WEEKS = 63
+
+
+def week_number(date) -> Column:
+    """Weeks (from Monday) since the one that holds 1970-01-01: the same ISO week of
+    two years has two numbers."""
+    return F.floor((F.unix_date(as_col(date)) + 3) / 7).cast("bigint")
+
+
+def user_week_words(df: DataFrame, user: str = "dimension1", date: str = "date") -> DataFrame:
+    """Per user and word of 63 weeks the first date and the active weeks:
+    ``user, word, first_date, weeks``. Fixed-width state, collapsed map-side; one row
+    a user and 63 weeks, however many years the traffic covers."""
+    numbered = df.where(F.col(user).isNotNull() & F.col(date).isNotNull()).select(
+        user, date, F.floor(week_number(date) / WORD_WEEKS).cast("bigint").alias("word"),
+        F.pmod(week_number(date), F.lit(WORD_WEEKS)).cast("int").alias("_bit"))
+    return numbered.groupBy(user, "word").agg(F.min(date).alias("first_date"),
+                                              F.bit_or(F.expr("shiftleft(1L, _bit)")).alias("weeks"))
+
+
+def exact_members(df: DataFrame, user: str = "dimension1", date: str = "date") -> DataFrame:
+    """(user, first_dt, year, senior) for every active week of every user: ISO week and
+    ISO year of the first date, and the true number of weeks since (no wrap)."""
+    per_user = user_week_words(df, user, date).groupBy(user).agg(
+        F.min("first_date").alias("_first"), F.collect_list(F.struct("word", "weeks")).alias("_words"))
+    words = per_user.select(user, "_first", F.explode("_words").alias("_w"))
+    active = words.select(user, "_first", F.col("_w.word").alias("_word"),
+                          F.explode(F.expr(f"filter(sequence(0, {WORD_WEEKS - 1}), b -> ((_w.weeks >> b) & 1) = 1)"))
+                          .alias("_bit"))
+    return active.select(user, iso_week("_first").alias("first_dt"), iso_year("_first").alias("year"),
+                         (F.col("_word") * WORD_WEEKS + F.col("_bit") - week_number("_first")).alias("senior"))
+
+
 def cohort_pivot(df: DataFrame, max_age: int = 52) -> DataFrame:
     """Members per (first_dt, year) and age -> one column per age:
     ``New_per_week`` (age 0), ``week_1`` .. ``week_{max_age}``; 0 where empty.

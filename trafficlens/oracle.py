@@ -499,10 +499,26 @@ WHERE product IS NOT NULL GROUP BY 1, 2, 3, 4""",
         "window_ledger": ledger_windows_sql(P.window_step_days),
     }
     b["cohort_state"] = b["report_retention"]
+    b["report_retention_exact"] = exact_retention_sql(156)
     b["distinct_state"] = b["report_monthly_users"]
     return b
 
 
+def exact_retention_sql(max_age: int) -> str:
+    """Self-join of the traffic with each user's first date; ages in whole ISO weeks."""
+    ages = [f"COUNT(*) FILTER (WHERE age = {a}) AS {'New_per_week' if a == 0 else f'week_{a}'}" for a in range(max_age + 1)]
+    return f"""
+SELECT * FROM (
+WITH t AS (SELECT dimension1, date FROM traffic WHERE landingpagepath LIKE '%{P.section}%' AND date > {d(P.retention_after)}),
+f AS (SELECT dimension1, MIN(date) AS first_date FROM t GROUP BY 1),
+a AS (SELECT DISTINCT t.dimension1, first_date,
+             (CAST(date_trunc('week', date) AS DATE) - CAST(date_trunc('week', first_date) AS DATE)) // 7 AS age
+      FROM t JOIN f ON t.dimension1 = f.dimension1)
+SELECT {wk('first_date')} AS first_dt, CAST(isoyear(first_date) AS BIGINT) AS year, {', '.join(ages)}
+FROM a GROUP BY 1, 2)
+"""
+
+
 def ledger_windows_sql(step: int) -> str:
     """Days under half of the mean rows of a day, and windows over each run of days
     without rows, by the I2 rule."""

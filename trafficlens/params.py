@@ -94,6 +94,7 @@ class ReportParams:
     retention_after: str = "2021-08-09"
     retention_week52_year: int = 2021
     retention_max_age: int = 52
+    retention_exact_weeks: bool = False  # ages counted over the years, no wrap at 52
     # R14 and the incremental banner load
     banners_from: str = "2022-01-03"
     banner_dimensions: tuple[str, ...] = BANNER_DIMENSIONS

@@ -643,6 +643,12 @@ def _cohort_state(spark, sf_dir):
     return state.retention(P)
 
 
+@query("report_retention_exact")
+def _report_retention_exact(spark, sf_dir):
+    """R13 with exact ages: cohorts of every year apart, ages up to three years."""
+    return rp.report_retention(mart(spark, sf_dir), P.with_(retention_exact_weeks=True, retention_max_age=156))
+
+
 @query("distinct_state")
 def _distinct_state(spark, sf_dir):
     """R11 from the bitmaps of days, after merges of all sessions out of order: the

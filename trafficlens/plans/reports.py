@@ -32,7 +32,7 @@ from trafficlens.operators.aggregates import (distinct_count, rounded_sum, secon
                                               sort_by, sum_as_bigint)
 from trafficlens.operators.cleanup import purify_banners
 from trafficlens.operators.joins import combine_stacked, join_events, stack_columns
-from trafficlens.operators.retention import retention_matrix
+from trafficlens.operators.retention import cohort_pivot, exact_members, retention_matrix
 from trafficlens.params import DIRECT_SOURCE, NO_CAMPAIGN, NO_MEDIUM, NOT_AUTHORIZED, ReportParams
 from trafficlens.sinks.writers import as_view
 from trafficlens.sources.mart import Mart
@@ -373,6 +373,8 @@ def report_retention(mart: Mart, p: ReportParams) -> DataFrame:
     t = flt.after_date(t, "date", p.retention_after)
     if p.retention_max_age < 52:
         raise ValueError("retention_max_age below 52 would drop cohort ages")
+    if p.retention_exact_weeks:  # cohorts by ISO week and ISO year, ages over the years
+        return cohort_pivot(exact_members(t), p.retention_max_age)
     return retention_matrix(t, p.retention_week52_year, p.retention_max_age)
 
 

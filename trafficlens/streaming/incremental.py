@@ -2,7 +2,9 @@
 
 Batch form: high-water mark of the target -> request windows -> pages ->
 flatten -> typed rows -> dates replaced. Streaming form: the landed page
-directory as a file stream, ``availableNow`` trigger, exactly-once file sink.
+directory as a file stream with an ``availableNow`` trigger, into a table of its own
+(``stream_landed_pages``, exactly-once file sink) or into the batch form's table
+(``stream_windows``, whole windows put in place).
 """
 
 from __future__ import annotations
@@ -17,8 +19,8 @@ from pyspark.sql.streaming import StreamingQuery
 from trafficlens.functions.calendar import parse_compact_date, parse_iso_date
 from trafficlens.functions.columns import cast_metrics, normalize_columns
 from trafficlens.params import INTEGER_METRICS
-from trafficlens.sinks.writers import replace_dates
-from trafficlens.sources.report_api import flatten_report
+from trafficlens.sinks.writers import replace_dates, replace_days
+from trafficlens.sources.report_api import current_pages, flatten_report, page_coverage, read_report_pages
 from trafficlens.sources.schemas import REPORT_PAGE
 
 
@@ -189,3 +191,77 @@ def stream_landed_pages(
             .partitionBy("date")
             .trigger(availableNow=True)
             .start())
+
+
+def stream_windows(
+    spark: SparkSession,
+    landing_dir: str,
+    target: str,
+    checkpoint_location: str,
+    dimensions: Sequence[str],
+    metrics: Sequence[str],
+    incomplete: str = "load",
+    files_per_batch: int = 1000,
+) -> StreamingQuery:
+    """I3, streaming form that shares its table with the batch form: page files that
+    land name the request windows to load, and each micro-batch puts the days of those
+    windows in place (``foreachBatch``, ``replace_days``).
+
+    What a window's days hold is decided by all its landed pages (the newest landing of
+    each), never by the micro-batch alone: a batch that is run again after a crash, or
+    a batch load of the same windows before, between or after, leaves the same rows.
+    Of windows that share a day the one with the newest landing gives it.
+    ``incomplete="leave"`` waits for windows whose pages do not cover the announced rows.
+    Rows dated outside their window stop the stream. ``availableNow`` takes the
+    backlog, ``files_per_batch`` files at a time, and stops."""
+    if incomplete not in ("load", "leave"):
+        raise ValueError(f"incomplete: {incomplete!r}")
+
+    def load(batch: DataFrame, _batch_id: int) -> None:
+        starts = [r[0] for r in batch.select("startDate").distinct().collect()]  # at most a window a file
+        if not starts:
+            return
+        pages = read_report_pages(batch.sparkSession, landing_dir).where(F.col("startDate").isin(starts))
+        wanted = page_coverage(pages).select("startDate", "endDate", "complete", "newest_landing").collect()
+        known = [r for r in wanted if r["complete"] or incomplete == "load"]
+        for layer in window_layers(known):
+            load_windows(pages, layer)
+
+    def load_windows(pages: DataFrame, windows: list) -> None:
+        days = sorted({day for r in windows for day in days_of(r["startDate"], r["endDate"])})
+        asked = F.lit(False)
+        for r in windows:
+            asked = asked | ((F.col("startDate") == F.lit(r["startDate"])) & (F.col("endDate") == F.lit(r["endDate"])))
+        rows = typed_report_rows(current_pages(pages.where(asked)), dimensions, metrics)
+        outside = F.raise_error(F.concat(F.lit("row outside its window: "), F.col("date"))).cast("string")
+        replace_days(rows.withColumn("date", F.when(F.col("date").isin(days), F.col("date")).otherwise(outside)),
+                     target, days)
+
+    pages = (spark.readStream.schema(REPORT_PAGE).option("basePath", landing_dir)
+             .option("maxFilesPerTrigger", files_per_batch).json(landing_dir))
+    return (pages.writeStream.foreachBatch(load)
+            .option("checkpointLocation", checkpoint_location)
+            .trigger(availableNow=True)
+            .start())
+
+
+def days_of(first, last) -> list[str]:
+    """ISO days from ``first`` to ``last``."""
+    a, b = (dt.date.fromisoformat(str(v)[:10]) for v in (first, last))
+    return [(a + dt.timedelta(days=k)).isoformat() for k in range((b - a).days + 1)]
+
+
+def window_layers(windows: list) -> list[list]:
+    """Windows in groups to load one after another: by landing time, and windows that
+    share a day are in different groups, the newest landing last. Usually one group."""
+    layers: list[list] = []
+    held: list[set[str]] = []
+    for r in sorted(windows, key=lambda r: (r["newest_landing"], str(r["startDate"]), str(r["endDate"]))):
+        days = set(days_of(r["startDate"], r["endDate"]))
+        at = 1 + max((k for k, other in enumerate(held) if other & days), default=-1)
+        if at == len(layers):
+            layers.append([])
+            held.append(set())
+        layers[at].append(r)
+        held[at] |= days
+    return layers
