@@ -131,9 +131,9 @@ def predict(model: Model, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 def training_sample(docs: DataFrame, rows_per_lang: int, max_langs: int = 200) -> list[tuple[str, str, int]]:
     """At most ``rows_per_lang`` documents of each language: the ids with the
     smallest hashes, ranked before any text moves, and of an id with several rows
-    the least text. Ids are made distinct map-side, and a rank limit keeps the
-    first ids in every task before they meet, so neither a common language nor a
-    repeated id gathers in one task. Of more than ``max_langs`` languages the most
+    the least text. Ids are made distinct map-side, and every task cuts a
+    language's ids to the first ``rows_per_lang`` before one task ranks them, so
+    that task reads at most ``rows_per_lang`` ids for each task before it. Of more than ``max_langs`` languages the most
     frequent ones (by name on ties) are learned."""
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull())
     langs = (known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang")
