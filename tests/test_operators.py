@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from trafficlens.operators import aggregates as agg
@@ -173,3 +174,19 @@ def test_exact_cohort_ages_over_years_equal_brute_force(spark):
     assert got == sorted(want) and max(r[3] for r in got) > 120
     wide = ret.cohort_pivot(ret.exact_members(spark.createDataFrame(visits, "dimension1 string, date date")), 200)
     assert sum(sum(r[2:]) for r in wide.collect()) == len(want)
+
+
+@pytest.mark.parametrize("how", ["position", "key"])
+@pytest.mark.parametrize("rows", [
+    [], [(None, 1, 2), (1, 0, 5), (2, 3, 0), (4, 7, 8)], [(3, 0, 0), (1, 0, 4)], [(None, 0, 2), (2, 1, None)],
+    [(9, 4, None), (5, 6, 1), (7, 0, 3)]])
+def test_frames_of_one_aggregate_combine_as_single_frames_do(spark, how, rows):
+    weekly = spark.createDataFrame(rows, "isoweek int, a long, b long")
+    single = [weekly.where(F.col(n) > 0).select("isoweek", n) for n in "ab"]
+    want = jn.combine(single, "isoweek", how)
+    got = jn.combine_wide(weekly, "isoweek", [(n, F.col(n) > 0) for n in "ab"], how)
+    assert got.columns == want.columns
+    if how == "position":
+        assert got.collect() == want.collect()
+    else:
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))

@@ -75,3 +75,11 @@ def test_no_static_broadcast_hints_in_reports(spark):
     for name, fn in REPORTS.items():
         text = fn(mart(spark, SF), P)._jdf.queryExecution().logical().toString()
         assert "broadcast" not in text.lower(), name
+
+
+@pytest.mark.parametrize("name, most", [("report_deal_users", 6), ("report_deal_clicks", 4), ("report_deal_combined", 10)])
+def test_deal_reports_shuffle_no_more_than(spark, no_broadcast, name, most):
+    df = REPORTS[name](mart(spark, SF), P)
+    df.collect()
+    final = physical(df).split("== Initial Plan ==")[0]
+    assert len(re.findall(r"\bExchange (?:hash|range|Single|RoundRobin)", final)) <= most

@@ -84,22 +84,6 @@ def stack_frames(frames: Sequence[DataFrame], key: str) -> tuple[DataFrame, list
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged), value_cols
 
 
-def stack_columns(df: DataFrame, key: str, frames: Sequence[tuple[str, Column]], value_cols: Sequence[str],
-                  first_frame: int = 0) -> DataFrame:
-    """Long form of frames that are columns of one aggregate: frame
-    ``first_frame + i`` is ``(key, frames[i][0])`` on the rows where
-    ``frames[i][1]`` holds. The aggregate is computed once for all of them."""
-    types = dict(df.dtypes)
-    structs = []
-    for i, (name, keep) in enumerate(frames):
-        vals = [(F.col(c) if c == name else F.lit(None).cast(types.get(name, "bigint"))).alias(c)
-                for c in value_cols]
-        structs.append(F.struct(F.lit(first_frame + i).alias("_frame"), F.col(key).alias("_key"), *vals,
-                                keep.alias("_keep")))
-    exploded = df.select(F.explode(F.array(*structs)).alias("_s")).select("_s.*")
-    return exploded.where(F.col("_keep")).drop("_keep")
-
-
 def combine_stacked(long: DataFrame, key: str, value_cols: Sequence[str], how: str = "position") -> DataFrame:
     """J6 over the long form: frame 0's key, then every value column.
 
@@ -133,3 +117,35 @@ def combine(frames: Sequence[DataFrame], key: str = "isoweek", how: str = "posit
         raise ValueError("nothing to combine")
     long, value_cols = stack_frames(frames, key)
     return combine_stacked(long, key, value_cols, how)
+
+
+def combine_wide(weekly: DataFrame, key: str, frames: Sequence[tuple[str, Column]], how: str = "position") -> DataFrame:
+    """J6 where the frames are columns of one weekly aggregate ``weekly`` (unique
+    keys): frame *i* is ``(key, frames[i][0])`` on the rows where ``frames[i][1]``
+    holds. The same result as ``combine`` over the single frames.
+
+    ``position`` gathers the aggregate in one row (at most 54 weeks, or as many as
+    the keys tell apart), sorts each frame there and deals the positions out again,
+    in order: one exchange of the weekly rows. ``key`` needs none.
+    """
+    if how not in ("position", "key"):
+        raise ValueError(f"unknown combine mode {how!r}")
+    names = [name for name, _ in frames]
+    kept = [F.coalesce(keep, F.lit(False)) for _, keep in frames]
+    if how == "key":
+        def row(flags: Sequence[Column]) -> Column:
+            return F.struct(reduce(lambda a, b: a | b, flags).alias("_any"),
+                            *[F.when(k, F.col(n)).alias(n) for n, k in zip(names, flags, strict=True)])
+
+        alone = [row([k if i == j else F.lit(False) for j, k in enumerate(kept)]) for i in range(len(kept))]
+        # NULL keys never pair up: a frame's NULL week is a row of its own
+        rows = F.when(F.col(key).isNull(), F.array(*alone)).otherwise(F.array(row(kept)))
+        out = weekly.select(key, F.explode(rows).alias("_r")).where(F.col("_r._any"))
+        return out.select(key, *[F.col(f"_r.{n}").alias(n) for n in names])
+    lists = [F.sort_array(F.collect_list(F.when(k, F.struct(F.col(key).alias("key"), F.col(n).alias("value"))))).alias(n)
+             for n, k in zip(names, kept, strict=True)]
+    whole = weekly.groupBy().agg(*lists)
+    rows = F.greatest(*[F.size(n) for n in names]) if len(names) > 1 else F.size(names[0])
+    places = whole.select("*", F.explode(F.when(rows > 0, F.sequence(F.lit(0), rows - 1))).alias("_at"))
+    return places.select(F.get(F.col(names[0]), F.col("_at"))["key"].alias(key),
+                         *[F.get(F.col(n), F.col("_at"))["value"].alias(n) for n in names])

@@ -31,7 +31,7 @@ from trafficlens.operators import filters as flt
 from trafficlens.operators.aggregates import (distinct_count, rounded_sum, second_level,
                                               sort_by, sum_as_bigint)
 from trafficlens.operators.cleanup import purify_banners
-from trafficlens.operators.joins import combine_stacked, join_events, stack_columns
+from trafficlens.operators.joins import combine_wide, join_events
 from trafficlens.operators.retention import cohort_pivot, exact_members, retention_matrix
 from trafficlens.params import DIRECT_SOURCE, NO_CAMPAIGN, NO_MEDIUM, NOT_AUTHORIZED, ReportParams
 from trafficlens.sinks.writers import as_view
@@ -204,14 +204,13 @@ def _any_match(column: str, patterns) -> "F.Column":
     return reduce(lambda a, b: a | b, [F.col(column).rlike(pat) for pat in patterns])
 
 
-def weekly_label_clicks(mart: Mart, p: ReportParams, labels: dict[str, str]) -> DataFrame:
-    """R8 for several labels in one pass: weekly SUM(users) of each label's
-    events, joined to de-duplicated section sessions on session id *and* ISO
-    week. Both sides reach the join as one row per (session, week): events
-    summed, sessions as the count ``n`` of their distinct rows, which
-    multiplies the sums. One scan and one join serve every label; per label ``alias`` the
-    output has the sum and ``_n_{alias}``, the number of joined events (a
-    week belongs to a label's report when that count is positive).
+def label_clicks(mart: Mart, p: ReportParams, labels: dict[str, str]) -> DataFrame:
+    """R8 for several labels in one pass, before the weekly sum: each label's
+    SUM(users) a (session, week), joined to de-duplicated section sessions on session
+    id *and* ISO week. Both sides reach the join as one row per (session, week):
+    events summed, sessions as the count ``n`` of their distinct rows, which
+    multiplies the sums. One scan and one join serve every label; per label ``alias``
+    the output has the product and ``_n_{alias}``, the number of joined events.
     """
     tr = mart.table("sessions", ["date", "landingpage", "session_id", "user_id"])
     tr = flt.from_date(tr, "date", p.start_date)
@@ -230,9 +229,18 @@ def weekly_label_clicks(mart: Mart, p: ReportParams, labels: dict[str, str]) ->
     ev = ev.groupBy("dimension4", _event_week().alias("isoweek")).agg(*per_label)
     joined = join_events(tr, ev, how="left", require="dimension4", on_week="isoweek")
     n = F.col("n")
-    return joined.groupBy("isoweek").agg(*[
-        c for alias in labels
-        for c in (sum_as_bigint(n * F.col(alias)).alias(alias), F.sum(n * F.col(f"_n_{alias}")).alias(f"_n_{alias}"))])
+    return joined.select("isoweek", *[(n * F.col(c)).alias(c) for alias in labels for c in (alias, f"_n_{alias}")])
+
+
+def _click_sums(labels) -> list:
+    return [c for alias in labels
+            for c in (sum_as_bigint(F.col(alias)).alias(alias), F.sum(f"_n_{alias}").alias(f"_n_{alias}"))]
+
+
+def weekly_label_clicks(mart: Mart, p: ReportParams, labels: dict[str, str]) -> DataFrame:
+    """R8 for several labels: ``label_clicks`` summed by week. A week belongs to a
+    label's report when its ``_n_{alias}`` is positive."""
+    return label_clicks(mart, p, labels).groupBy("isoweek").agg(*_click_sums(labels))
 
 
 def label_frame(weekly: DataFrame, alias: str) -> DataFrame:
@@ -250,17 +258,18 @@ def report_guarantee_clicks(mart: Mart, p: ReportParams) -> DataFrame:
     return label_frame(weekly_label_clicks(mart, p, {"gd_clicks": p.guarantee_click_label}), "gd_clicks")
 
 
-def weekly_page_users(mart: Mart, p: ReportParams, pages: dict[str, str]) -> DataFrame:
-    """R9 for several pages in one pass: weekly distinct authorised users who
-    viewed each page in a section session (column per page ``alias``).
+def page_users(mart: Mart, p: ReportParams, pages: dict[str, str]) -> DataFrame:
+    """R9 for several pages in one pass, before the weekly count: one row a (week,
+    authorised user) with a flag per page ``alias`` viewed in a section session.
 
     The reference chains page views -> sessions -> users with LEFT joins and
     ``HAVING count > 0``, which equals the inner chain. Only distinct users are
     asked for, so views are cut to distinct (date, session) rows first (one flag
-    per page), sessions map them to (date, user), and the
-    authorised user-days are a semi-join. The (date, user) aggregate's shuffle
-    also serves the semi-join. Distinct users per week are then a
-    (week, user) aggregate and a sum of flags.
+    per page) and sessions map them to (date, user). The authorised user-days
+    are put under those rows with a flag of their own, so one (date, user)
+    aggregate, partial in each task, both removes repeats and keeps the
+    authorised; no join or DISTINCT of the users is needed. Distinct users per week
+    are then a (week, user) aggregate and a sum of flags.
     """
     views = mart.table("page_views", ["date", "dateHourMinute", "dimension4", "pagepath"])
     views = flt.from_ts(views, "dateHourMinute", p.deal_from_ts)
@@ -278,7 +287,7 @@ def weekly_page_users(mart: Mart, p: ReportParams, pages: dict[str, str]) -> Dat
     users = mart.table("users_dim", ["date", "dimension1", "dimension2"])
     users = flt.not_equal(users, "dimension2", NOT_AUTHORIZED)
     users = flt.from_date(users, "date", p.start_date)
-    users = users.select("date", F.col("dimension1").alias("user_id")).distinct()
+    users = users.where(F.col("dimension1").isNotNull()).select("date", F.col("dimension1").alias("user_id"))
 
     flags = list(pages)
     # The ISO week rides along as a third join key. It is a function of the
@@ -290,12 +299,22 @@ def weekly_page_users(mart: Mart, p: ReportParams, pages: dict[str, str]) -> Dat
     sess = sess.withColumn("_wk", iso_week("date"))
     cond = ((views["dimension4"] == sess["session_id"]) & (views["date"] == sess["date"])
             & (views["_wk"] == sess["_wk"]))
-    viewers = (views.join(sess, cond)
-                    .groupBy(sess["date"], sess["user_id"]).agg(*[F.max(a).alias(a) for a in flags]))
-    authorised = viewers.join(users, ["date", "user_id"], "left_semi")
-    per_user_week = authorised.groupBy(iso_week("date").alias("isoweek"), "user_id").agg(
-        *[F.max(a).alias(a) for a in flags])
-    return per_user_week.groupBy("isoweek").agg(*[F.sum(a).cast("bigint").alias(a) for a in flags])
+    viewers = views.join(sess, cond).where(sess["user_id"].isNotNull()).select(sess["date"], sess["user_id"], *flags)
+    both = viewers.withColumn("_known", F.lit(None).cast("int")).unionByName(
+        users.withColumn("_known", F.lit(1)), allowMissingColumns=True)
+    days = both.groupBy("date", "user_id").agg(F.max("_known").alias("_known"), *[F.max(a).alias(a) for a in flags])
+    # a user-day without a view has no flag at all
+    authorised = days.where((F.col("_known") == 1) & F.col(flags[0]).isNotNull())
+    return authorised.groupBy(iso_week("date").alias("isoweek"), "user_id").agg(*[F.max(a).alias(a) for a in flags])
+
+
+def _user_sums(pages) -> list:
+    return [F.sum(alias).cast("bigint").alias(alias) for alias in pages]
+
+
+def weekly_page_users(mart: Mart, p: ReportParams, pages: dict[str, str]) -> DataFrame:
+    """R9 for several pages: weekly distinct authorised users of each (column per page)."""
+    return page_users(mart, p, pages).groupBy("isoweek").agg(*_user_sums(pages))
 
 
 def page_frame(weekly: DataFrame, alias: str) -> DataFrame:
@@ -316,14 +335,14 @@ def report_guarantee_users(mart: Mart, p: ReportParams) -> DataFrame:
 def report_deal_combined(mart: Mart, p: ReportParams) -> DataFrame:
     """od_us, gd_us, od_clicks, gd_clicks side by side (position mode by
     default, as the reference). Both pages share one page-view pass and both
-    labels one event pass; each pass is stacked into long form once and folded.
-    Columns: isoweek, od_us, gd_us, od_clicks, gd_clicks."""
-    names = ["od_us", "gd_us", "od_clicks", "gd_clicks"]
-    users = weekly_page_users(mart, p, {"od_us": p.deal_page, "gd_us": p.guarantee_page})
-    clicks = weekly_label_clicks(mart, p, {"od_clicks": p.deal_click_label, "gd_clicks": p.guarantee_click_label})
-    long = stack_columns(users, "isoweek", [(n, F.col(n) > 0) for n in names[:2]], names, 0).unionByName(
-        stack_columns(clicks, "isoweek", [(n, F.col(f"_n_{n}") > 0) for n in names[2:]], names, 2))
-    return combine_stacked(long, "isoweek", names, p.combine_how)
+    labels one event pass; the two passes share the weekly aggregate, and the
+    frames are columns of it. Columns: isoweek, od_us, gd_us, od_clicks, gd_clicks."""
+    pages = {"od_us": p.deal_page, "gd_us": p.guarantee_page}
+    labels = {"od_clicks": p.deal_click_label, "gd_clicks": p.guarantee_click_label}
+    rows = page_users(mart, p, pages).drop("user_id").unionByName(label_clicks(mart, p, labels), allowMissingColumns=True)
+    weekly = rows.groupBy("isoweek").agg(*_user_sums(pages), *_click_sums(labels))
+    frames = [(n, F.col(n) > 0) for n in pages] + [(n, F.col(f"_n_{n}") > 0) for n in labels]
+    return combine_wide(weekly, "isoweek", frames, p.combine_how)
 
 
 # --------------------------------------------------------------------------- R11
