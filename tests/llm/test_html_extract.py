@@ -5,8 +5,10 @@ import re
 
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from trafficlens.llm import html_extract as he
+from trafficlens.llm.tables import Scratch
 
 SCHEMA = "page_id long, url string, html string, text string, n_chars int, host string"
 
@@ -120,3 +122,66 @@ def test_pages_equal_a_plain_reading(spark):
         blocks = [" ".join(h.unescape(re.sub(r"<(?!/?(?:p|h1)\b)[^>]*>", " ", b)).split())
                   for b in re.split(r"</?(?:p|h1)\b[^>]*>", body)]
         assert got[page_id]["text"] == "\n\n".join(b for b in blocks if b)
+
+
+def test_menus_and_adverts_of_other_words_recur_by_shape(spark):
+    def page(i, body):
+        menu = "".join(f"<li><a href=/{i}/{k}>item {i} {k}</a></li>" for k in range(3 + i % 4))
+        return f"<body><nav><ul>{menu}</ul></nav><div class=offer>buy {i}</div>{body}<div><p>note {i}</p></div>"
+
+    rows = [(i, f"http://art.example/{i}", page(i, f"<article><h1>t{i}</h1><p>tale {i}</p><ul><li><a>a{i}</a></ul></article>"))
+            for i in range(20)]
+    rows += [(100 + i, f"http://plain.example/{i}", page(i, f"<p>story {i}</p>")) for i in range(20)]
+    df = spark.createDataFrame([r + ("mine", 1, "h") for r in rows], SCHEMA)
+    alone = {r["page_id"]: r["text"] for r in he.html_extract(df, names=False).collect()}
+    assert all(alone[i] == f"t{i}\n\ntale {i}\n\na{i}" for i in range(20))
+    # without an article element short blocks may be its text: only the menus go
+    assert all(alone[100 + i] == f"buy {i}\n\nstory {i}\n\nnote {i}" for i in range(20))
+    assert run(spark, rows)[3]["text"] == "t3\n\ntale 3\n\na3"
+
+
+def test_shapes_of_long_blocks_and_of_rare_ones_stay(spark):
+    rows = [(i, f"http://s.example/{i}", f"<div class=lead>{f'long words {i} ' * 30}</div><article><p>t</p></article>"
+             + ("<div class=rare>x</div>" if i < 9 else "")) for i in range(20)]
+    df = spark.createDataFrame([r + ("mine", 1, "h") for r in rows], SCHEMA)
+    alone = {r["page_id"]: r["text"] for r in he.html_extract(df, names=False).collect()}
+    assert alone[0] == f"{('long words 0 ' * 30).strip()}\n\nt\n\nx" and alone[10].endswith("\n\nt")
+
+
+def test_comment_lists_go():
+    assert he.page_text("<article><p>t</p><ol class=commentlist><li>c</ol></article>", set()) == "t"
+
+
+def test_template_table_equals_a_plain_count(spark):
+    """Subtrees a host on the whole table, counted in Python."""
+    pages = pd.read_parquet("/root/testdata/sf0.01/pages.parquet")
+    prints, seen = {}, {}
+    for url, page in zip(pages.url, pages.html, strict=True):
+        found = re.match(r"[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", url or "")
+        if found:
+            host = found[1].lower()
+            text, hashes = he.page_hashes(page or "")
+            prints.setdefault(host, set()).add(text)
+            for value in hashes:
+                seen.setdefault((host, value), set()).add(text)
+    want = {}
+    for (host, value), texts in seen.items():
+        percent = he.MIN_PERCENT if value & 3 == he.LINKS else he.MIN_BLOCK_PERCENT
+        if len(texts) >= he.MIN_PAGES and 100 * len(texts) >= percent * len(prints[host]):
+            want.setdefault(host, set()).add(value)
+    df = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    scratch = Scratch(spark, "templates-test")
+    got = {r["host"]: set(r["templates"]) for r in he.site_templates(df, scratch).collect()}
+    scratch.close()
+    assert got == want and want
+
+
+def test_templates_alone_leave_the_article(spark):
+    """Most pages of sf0.1, by recurring subtrees without the lists of names."""
+    df = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
+    both = he.html_extract(df).select("page_id", "text").join(
+        he.html_extract(df, names=False).select("page_id", F.col("text").alias("alone")), "page_id")
+    all_, same, cut = both.agg(F.count("*"), F.count_if(F.col("text") == F.col("alone")),
+                               F.count_if(~F.contains("alone", "text"))).first()
+    print(all_, same, cut)
+    assert same >= 0.95 * all_ and cut == 0

@@ -6,11 +6,17 @@ pages each occurs. A link list found on many pages of its host (``MIN_PAGES`` an
 ``MIN_PERCENT`` of them) is template and deleted; any other subtree must be a
 whole block container outside the ``article`` or ``main`` element and recur on
 ``MIN_BLOCK_PERCENT`` of the pages: cells, list items and headings alone are text,
-and so is a passage that many articles share. Pages of equal text count as one,
+and so is a passage that many articles share. Menus and adverts whose words differ from
+page to page are found by a second hash, of the subtree's shape: text of links and of
+short blocks is masked and repeated siblings count once. A shape must recur on
+``MIN_BLOCK_PERCENT`` of the pages, outside the ``article`` or ``main`` element; on a page
+without one, only the shape of a list of ``MIN_LINKS`` links or more counts. Pages of equal text count as one,
 so copies of a page never turn its text into template. Menus, headers, footers, sidebars,
 notices, adverts, forms, scripts, styles and reader comments are deleted by
 element, role and whole class token or id as well; a form around an article is
-none of them.
+none of them. ``html_extract(pages, names=False)`` is the template removal alone: the
+whole body less the recurring subtrees, without these lists and without taking the
+article element for the text.
 
 The text is that of the page's articles, else of its ``main``, else of its body:
 character references decoded, white space inside a block made one space, blocks
@@ -42,6 +48,10 @@ MIN_PAGES = 5
 MIN_PERCENT = 10        # link lists
 MIN_BLOCK_PERCENT = 50  # other blocks outside of an article
 
+MIN_LINKS = 3           # of a link list known by its shape alone
+SHORT_BLOCK = 200       # characters of a block that its shape masks
+LINKS, BLOCK, SHAPE = 0, 1, 2  # kinds of candidates: the last two bits of their hashes
+
 MAX_DEPTH = 256  # elements nested deeper become siblings; their text stays in place
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -54,6 +64,7 @@ CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "t
 SCOPES = frozenset("ul ol dl table select article section div main body html td th".split())
 DROPPED = frozenset("script style noscript template head title nav footer aside form button select textarea input "
                     "iframe svg canvas object embed dialog menu audio video map".split())
+UNSEEN = frozenset("script style noscript template head title".split())
 DROPPED_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu "
                           "menubar".split())
 # Elements that are no article text, by class token or id: a token counts if each of its parts is one of these words
@@ -62,7 +73,7 @@ DROPPED_ROLES = frozenset("navigation banner contentinfo complementary search fo
 DROPPED_NAMES = frozenset("ad ads adv advert adverts advertisement advertising adsense adsbygoogle sponsor sponsored "
                           "promo cookie cookies consent gdpr notice notices popup modal overlay sidebar menu nav navbar "
                           "navigation breadcrumb breadcrumbs comment comments disqus share sharing social related "
-                          "newsletter subscribe login signup search pagination pager widget".split())
+                          "commentlist newsletter subscribe login signup search pagination pager widget".split())
 DROPPED_OUTSIDE = frozenset("header footer banner masthead topbar toolbar copyright".split())
 NAME_PARTS = frozenset("site page main primary secondary top bottom left right side bar box banner block area list item "
                        "items link links button buttons icons container wrapper wrap slot unit form section reply "
@@ -265,14 +276,60 @@ def hash_subtrees(node: Node, out: dict[int, int]) -> tuple[bytes, int, int]:
     return digest, size, linked
 
 
-def template_candidates(root: Node) -> dict[int, int]:
-    """Nodes that may be template (id -> hash): link lists (even hashes) and,
-    outside the article, block containers (odd hashes)."""
+def shape_of(node: Node, out: dict[int, int], link: bool = False) -> tuple[bytes, int]:
+    """Hash the shape of every subtree (``out``: id of the node to hash) and return
+    the node's with its text length: elements and the names of block elements, text in
+    links and of blocks of up to ``SHORT_BLOCK`` characters masked, equal neighbours once."""
+    link = link or node.tag == "a"
+    parts: list[tuple[bytes, str]] = []
+    size = 0
+    for child in node.children:
+        if isinstance(child, str):
+            text = " ".join(child.split())
+            n, part = len(text), (b"", text)
+        else:
+            digest, n = shape_of(child, out, link)
+            part = (digest, "")
+        size += n
+        if n:
+            parts.append(part)
+    h = blake2b(digest_size=8)
+    names = " ".join(sorted(node.names)) if node.tag in CONTAINERS else ""
+    h.update(node.tag.encode() + b"\0" + names.encode())
+    last = None
+    for digest, text in parts:
+        mark = b"\2" + digest if digest else b"\1" if link or size <= SHORT_BLOCK \
+            else b"\3" + text.encode("utf-8", "surrogatepass")
+        if mark != last:
+            h.update(mark)
+        last = mark
+    out[id(node)] = int.from_bytes(h.digest(), "big", signed=True)
+    return h.digest(), size
+
+
+def template_candidates(root: Node) -> list[tuple[int, int]]:
+    """Nodes that may be template (id, hash): link lists and, outside the article,
+    block containers, by their text; the same again by their shape, without an article
+    link lists only. The kind is in the hash's last two bits."""
     hashes: dict[int, int] = {}
     hash_subtrees(root, hashes)
     roots = article_roots(root)
     marked = {id(r) for r in roots if r is not root}
-    out: dict[int, int] = {}
+    shapes: dict[int, int] = {}
+    out: list[tuple[int, int]] = []
+    holders: set[int] = set()  # elements that hold an article
+
+    def holds(node: Node) -> bool:
+        found = id(node) in marked
+        for child in node.children:
+            if isinstance(child, Node) and holds(child):
+                found = True
+        if found:
+            holders.add(id(node))
+        return found
+
+    if marked:
+        holds(root)
 
     def walk(node: Node, inside: bool) -> None:
         for child in node.children:
@@ -281,10 +338,16 @@ def template_candidates(root: Node) -> dict[int, int]:
             if id(child) in marked:
                 walk(child, True)
                 continue
-            if child.tag in LINK_LISTS and mostly_links(child):
-                out[id(child)] = hashes[id(child)] & ~1
+            links = child.tag in LINK_LISTS and mostly_links(child)
+            if links:
+                out.append((id(child), hashes[id(child)] & ~3 | LINKS))
             elif not inside and child.tag in CONTAINERS and not is_lone(child, hashes):
-                out[id(child)] = hashes[id(child)] | 1
+                out.append((id(child), hashes[id(child)] & ~3 | BLOCK))
+            by_shape = child.tag in CONTAINERS if marked else links and count_links(child) >= MIN_LINKS
+            if by_shape and not inside and id(child) not in holders:
+                if id(child) not in shapes:
+                    shape_of(child, shapes)
+                out.append((id(child), shapes[id(child)] & ~3 | SHAPE))
             walk(child, inside)
 
     walk(root, False)
@@ -303,6 +366,10 @@ def is_lone(node: Node, hashes: dict[int, int]) -> bool:
     return True
 
 
+def count_links(node: Node) -> int:
+    return (node.tag == "a") + sum(count_links(child) for child in node.children if isinstance(child, Node))
+
+
 def mostly_links(node: Node) -> bool:
     size, linked, stack = 0, 0, [(node, False)]
     while stack:
@@ -316,8 +383,8 @@ def mostly_links(node: Node) -> bool:
     return size > 0 and 2 * linked >= size
 
 
-def blocks_of(roots: list[Node], deleted: set[int], whole_page: bool) -> list[str]:
-    """Text blocks in page order."""
+def blocks_of(roots: list[Node], deleted: set[int], whole_page: bool, names: bool = True) -> list[str]:
+    """Text blocks in page order; without ``names`` only what is never shown is left out."""
     out: list[str] = []
     run: list[str] = []
 
@@ -333,7 +400,7 @@ def blocks_of(roots: list[Node], deleted: set[int], whole_page: bool) -> list[st
                 run.append(child)
             elif child.tag == "br":
                 run.append(" ")
-            elif id(child) in deleted or is_dropped(child, inside):
+            elif id(child) in deleted or (is_dropped(child, inside) if names else child.tag in UNSEEN):
                 run.append(" ")
             elif child.tag in BLOCKS:
                 flush()
@@ -350,11 +417,11 @@ def blocks_of(roots: list[Node], deleted: set[int], whole_page: bool) -> list[st
     return out
 
 
-def page_text(html: str, templates: set[int]) -> str:
+def page_text(html: str, templates: set[int], names: bool = True) -> str:
     root = parse(html)
-    deleted = {k for k, h in template_candidates(root).items() if h in templates} if templates else set()
-    roots = article_roots(root)
-    return "\n\n".join(blocks_of(roots, deleted, roots == [root]))
+    deleted = {k for k, h in template_candidates(root) if h in templates} if templates else set()
+    roots = article_roots(root) if names else [root]
+    return "\n\n".join(blocks_of(roots, deleted, roots == [root], names))
 
 
 def page_hashes(html: str) -> tuple[int, list[int]]:
@@ -362,7 +429,7 @@ def page_hashes(html: str) -> tuple[int, list[int]]:
     root = parse(html)
     text = "\n".join(blocks_of([root], set(), True))
     print_ = int.from_bytes(blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True)
-    return print_, sorted(set(template_candidates(root).values()))
+    return print_, sorted({h for _, h in template_candidates(root)})
 
 
 def host_column(url: str = "url"):
@@ -394,14 +461,15 @@ def site_templates(pages: DataFrame, scratch: Scratch) -> DataFrame:
     most = F.max(F.when(F.col("hash").isNull(), F.col("pages")))
     hosts = scratch.keep(counts.where(F.col("pages") >= MIN_PAGES), "counts")
     total = hosts.groupBy("host").agg(most.alias("total"))
-    percent = F.when(F.col("hash").bitwiseAND(F.lit(1)) == 0, MIN_PERCENT).otherwise(MIN_BLOCK_PERCENT)
+    percent = F.when(F.col("hash").bitwiseAND(F.lit(3)) == LINKS, MIN_PERCENT).otherwise(MIN_BLOCK_PERCENT)
     return (hosts.where(F.col("hash").isNotNull()).join(total, "host")
             .where(F.col("pages") * 100 >= F.col("total") * percent)
             .groupBy("host").agg(F.collect_list("hash").alias("templates")))
 
 
-def html_extract(pages: DataFrame) -> DataFrame:
-    """``page_id``, ``url``, ``text``, ``n_chars`` for every page."""
+def html_extract(pages: DataFrame, names: bool = True) -> DataFrame:
+    """``page_id``, ``url``, ``text``, ``n_chars`` for every page; ``names=False``:
+    by recurring subtrees alone."""
     pages = pages.select("page_id", "url", "html")
     scratch = Scratch(pages.sparkSession, "html-extract")
     templates = scratch.keep(site_templates(pages, scratch), "templates")
@@ -409,7 +477,7 @@ def html_extract(pages: DataFrame) -> DataFrame:
     @F.arrow_udf("string")
     def extract(htmls: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for html, found in htmls:
-            yield pa.array([page_text(h or "", set(t or ())) for h, t in
+            yield pa.array([page_text(h or "", set(t or ()), names) for h, t in
                             zip(html.to_pylist(), found.to_pylist(), strict=True)], pa.string())
 
     scratch.outlive()
