@@ -112,3 +112,8 @@ def test_archives_are_valid_containers_and_payloads_come_back(spark, scratch):
     assert struct.pack("<I", 0x06064B50) in data
     back = warc.read_archives(spark.createDataFrame([(r["path"],) for r in manifest], "path string")).collect()
     assert sorted((r["page_id"], bytes(r["payload"]).decode()) for r in back) == [(i, h) for i, _, h in rows]
+
+
+def test_a_scheme_that_arrow_does_not_know_is_a_clear_error():
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        warc.open_fs("s3a://bucket/folder")

@@ -78,8 +78,14 @@ def parse_record(data: bytes) -> dict:
 
 
 def open_fs(path: str):
-    """File system and path of a folder or file, by its URI."""
-    return pafs.FileSystem.from_uri(path if "://" in path else "file://" + path.removeprefix("file:"))
+    """File system and path of a folder or file, by its URI. The archives are written
+    and range-read through Arrow's file systems (file, hdfs, s3, gs, abfs); a scheme that
+    only Hadoop knows, such as s3a, is an error."""
+    try:
+        return pafs.FileSystem.from_uri(path if "://" in path else "file://" + path.removeprefix("file:"))
+    except (pa.ArrowInvalid, pa.ArrowNotImplementedError) as error:
+        raise ValueError(f"archives cannot be kept in {path}: set spark.checkpoint.dir to a folder whose scheme "
+                         f"Arrow's file systems know ({error})") from error
 
 
 def with_revisits(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -199,7 +205,9 @@ def warc_round_trip(pages: DataFrame) -> DataFrame:
     rows, first = with_revisits(pages)
     first = scratch.keep(first, "originals")
     manifest = scratch.keep(write_archives(rows, scratch.path("archives"), first), "manifest")
-    records = read_archives(manifest.repartition(max(1, manifest.count()), "path"))
+    spark = pages.sparkSession
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    records = read_archives(manifest.repartition(max(1, min(manifest.count(), parts)), "path"))
     full = F.col("record_type") == "response"
     return scratch.result(records.select(
         "page_id", F.when(full, F.octet_length("payload").cast("long")).otherwise(F.col("http_length"))
