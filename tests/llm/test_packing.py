@@ -2,11 +2,25 @@ from __future__ import annotations
 
 import random
 
+import pyarrow as pa
 from brute import WORD
 
 from trafficlens.llm import packing as pk
 
 
+def test_word_facts():
+    rng = random.Random(2)
+    texts = ["".join(rng.choice(" \t\n\x0b\x0c\ré漢ab \x1c") for _ in range(rng.randrange(60))) for _ in range(2000)]
+    texts += ["", None, "   ", "a" + " " * 5000 + "b", "a b", "\na\t\tb "]
+    got = pk.word_facts(pa.array(texts)).to_pylist()
+    words = [WORD.findall(t or "") for t in texts]
+    assert [r["words"] for r in got] == [len(w) for w in words]
+    digests = {}
+    for w, r in zip(words, got, strict=True):
+        assert digests.setdefault(tuple(w), r["same"]) == r["same"]
+    assert len(set(digests.values())) == len(digests)
+
+
 def best_fit(items, capacity):
     """Reference: for each item scan all bins for the tightest compatible one."""
     bins, out = [], []

@@ -26,22 +26,26 @@ cluster column, if named) are read.
 
 from __future__ import annotations
 
+import hashlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from trafficlens.llm import textops as tx
 from trafficlens.llm.components import components
 from trafficlens.llm.ngram_join import ngram_join
-from trafficlens.llm.quality_rules import SPACE_CLASS, SPACES
 from trafficlens.llm.tables import Scratch, ship_package
 
 CAPACITY = 2048
 SHARD_ITEMS = 8192
 
+_TO_SPACE = bytes.maketrans(b"\t\n\x0b\x0c\r", b"     ")
+
 
 class Bins:
     """Open bins of one shard, ordered by residual capacity."""
@@ -99,9 +103,21 @@ def pack_shard(rows: pa.Table, capacity: int) -> np.ndarray:
     return where
 
 
-def _spaced() -> Column:
-    """The words of the text, joined by one space."""
-    return F.regexp_replace(F.btrim(F.coalesce(F.col("text"), F.lit("")), F.lit(SPACES)), SPACE_CLASS + "+", " ")
+def word_facts(texts: pa.Array) -> pa.StructArray:
+    """``words, same`` of every text: the number of its words and a 64-bit digest of
+    the words joined by one space."""
+    words, digests = [], []
+    for _, _, data, offsets in tx.text_chunks(texts):
+        raw = data.tobytes().translate(_TO_SPACE)
+        for a, b in pairwise(offsets.tolist()):
+            text = raw[a:b]
+            while b"  " in text:
+                text = text.replace(b"  ", b" ")
+            text = text.strip(b" ")
+            words.append(text.count(b" ") + 1 if text else 0)
+            digests.append(hashlib.blake2b(text, digest_size=8).digest())
+    return pa.StructArray.from_arrays([pa.array(words, pa.int64()), pa.array(np.frombuffer(b"".join(digests), np.int64))],
+                                      names=["words", "same"])
 
 
 def _node() -> Column:
@@ -114,13 +130,17 @@ def facts(docs: DataFrame, cluster: str | None = None) -> DataFrame:
     takes from a text, in one pass. ``same`` is equal for texts that are equal in
     their lower-cased words; ``own`` is the hash of the cluster column, if named."""
     named = F.lit(None).cast("long") if cluster is None else F.when(F.col(cluster).isNotNull(), F.xxhash64(cluster))
-    rows = docs.select(
-        "doc_id", _node().alias("node"), F.xxhash64("text").alias("digest"), _spaced().alias("spaced"),
-        F.when(F.col("source").isNotNull(), F.xxhash64("source")).alias("source"), named.alias("own"))
-    words = F.when(F.col("spaced") == "", F.lit(0)).otherwise(
-        F.length("spaced") - F.length(F.replace(F.col("spaced"), F.lit(" "), F.lit(""))) + 1)
-    return rows.select("doc_id", "node", "digest", words.cast("long").alias("words"), "source",
-                       F.xxhash64(F.lower("spaced")).alias("same"), "own")
+
+    @F.arrow_udf("struct<words: long, same: long>")
+    def found(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for column in texts:
+            yield word_facts(column)
+
+    return docs.select(
+        "doc_id", _node().alias("node"), F.xxhash64("text").alias("digest"),
+        found(F.lower(F.coalesce(F.col("text"), F.lit("")))).alias("found"),
+        F.when(F.col("source").isNotNull(), F.xxhash64("source")).alias("source"), named.alias("own")) \
+        .select("doc_id", "node", "digest", "found.words", "source", "found.same", "own")
 
 
 def near_copies(docs: DataFrame, known: DataFrame, scratch: Scratch) -> DataFrame:

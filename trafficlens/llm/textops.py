@@ -15,6 +15,7 @@ import pyarrow as pa
 # Bytes of text handled in one go: bounds the working arrays (about 40 bytes per
 # text byte) without cutting any document.
 CHUNK_BYTES = 1 << 20
+HASH_BYTES = 1 << 16  # bytes of words hashed in one go; a longer word goes alone
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 9, 10, 11, 12, 13]] = True
@@ -87,19 +88,33 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return starts, ends, np.searchsorted(starts, offsets)
 
 
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
+    out[0] = 1
+    return np.multiply.accumulate(out)
+
+
+_POWER = _powers(int(_BASE), HASH_BYTES)
+_INVERSE = _powers(pow(int(_BASE), -1, 1 << 64), HASH_BYTES)
+
+
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of each byte span (spans ascend, do not overlap and are not empty)."""
-    if len(starts) == 0:
-        return np.zeros(0, np.uint64)
-    lens = ends - starts
-    firsts = np.concatenate(([0], np.cumsum(lens)[:-1]))
-    place = np.arange(int(lens.sum()), dtype=np.int64) - np.repeat(firsts, lens)
-    source = place + np.repeat(starts, lens)
-    power = np.full(int(lens.max()), _BASE, np.uint64)
-    power[0] = np.uint64(1)
-    power = np.multiply.accumulate(power)
-    codes = _BYTE_CODE[data[source]] * power[place]
-    return mix64(np.add.reduceat(codes, firsts) + lens.astype(np.uint64) * _STEP)
+    """64-bit hash of each byte span (spans ascend, do not overlap and are not empty).
+
+    A span's polynomial is the difference of two running sums over a run of
+    spans, times the inverse power of its place in the run."""
+    out = np.empty(len(starts), np.uint64)
+    first = 0
+    while first < len(starts):
+        low = int(starts[first])
+        last = max(first + 1, int(np.searchsorted(ends, low + HASH_BYTES, side="right")))
+        a, b = starts[first:last] - low, ends[first:last] - low
+        n = int(b[-1])
+        sums = np.zeros(n + 1, np.uint64)
+        np.cumsum(_BYTE_CODE[data[low:low + n]] * (_POWER[:n] if n <= HASH_BYTES else _powers(int(_BASE), n)), out=sums[1:])
+        out[first:last] = (sums[b] - sums[a]) * _INVERSE[a]
+        first = last
+    return mix64(out + (ends - starts).astype(np.uint64) * _STEP)
 
 
 def shingle_hashes(words: np.ndarray, word_offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
