@@ -4,6 +4,7 @@ import collections
 import hashlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -84,6 +85,24 @@ def test_few_words_repeat_in_all_ways(spark, texts):
     assert run(spark, rows, 2, window=9) == brute(rows, 9)
 
 
+def test_a_long_text_is_opened_in_bounded_batches():
+    """One text of 3000 paths and a short one: no batch holds all their windows."""
+    text = " ".join(words(np.random.default_rng(8), 60_000))
+    paths = [{"start": s, "n": 20, "seed": s, "single": s % 40 == 0} for s in range(0, 59_940, 20)]
+    few = [{"start": 3, "n": 2, "seed": -1, "single": True}]
+    rows = pa.table({"k1": [7, 8], "k2": [1, 2], "text": [text, text], "paths": [paths, few]}).combine_chunks()
+    batches = list(sub.opened_batches(rows.to_batches()[0], 35, most=4096))
+    assert max(b.num_rows for b in batches) <= 4096 + 20
+    got = [tuple(r.values()) for b in batches for r in b.to_pylist()]
+    at = [(7, 1, s, p["seed"], p["single"]) for p in paths for s in range(p["start"], p["start"] + 20)]
+    at += [(8, 2, 3, -1, True), (8, 2, 4, -1, True)]
+    assert [r[:4] + r[5:] for r in got] == at
+    w = text.split()
+    for r in got[::500] + got[-2:]:
+        window = " ".join(w[r[2]:r[2] + 35]).encode()
+        assert r[4] == int.from_bytes(hashlib.blake2b(window, digest_size=8).digest(), "little", signed=True)
+
+
 @pytest.mark.parametrize("window", [1, 5, 8, 9, 35])
 def test_seeds_are_the_first_least(window):
     rng = np.random.default_rng(7)

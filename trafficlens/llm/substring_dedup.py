@@ -38,6 +38,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,6 +48,7 @@ from trafficlens.llm.tables import Scratch
 
 WINDOW = 35
 SEED = 8
+OPENED = 1 << 16  # windows opened at a time
 
 _STEP = np.uint64(0xD1342543DE82EF95)
 _TEXT = [("k1", "long"), ("k2", "long")]  # names a text
@@ -140,31 +142,36 @@ def path_table(docs: DataFrame, window: int) -> DataFrame:
         build, "k1 long, k2 long, start int, n int, seed long, path long")
 
 
+def opened_batches(batch: pa.RecordBatch, window: int, most: int = OPENED) -> Iterator[pa.RecordBatch]:
+    """The windows of the ``paths`` of each text, in batches of about ``most``, however long a text is."""
+    for first, last, data, offsets in tx.text_chunks(batch.column("text")):
+        chunk = _Chunk(data, offsets, window)
+        lists = batch.column("paths").slice(first, last - first)
+        paths = lists.flatten()
+        doc = np.repeat(np.arange(last - first), pc.list_value_length(lists).to_numpy())
+        begin, n, seed = (paths.field(c).to_numpy() for c in ("start", "n", "seed"))
+        single = paths.field("single").to_numpy(zero_copy_only=False)
+        part = np.cumsum(n, dtype=np.int64) // most
+        for run in np.split(np.arange(len(n)), np.flatnonzero(part[1:] != part[:-1]) + 1):
+            many = n[run]
+            start = np.arange(many.sum()) + np.repeat(begin[run] - (np.cumsum(many) - many), many)
+            at = start + np.repeat(chunk.firsts[doc[run]], many)
+            row = first + np.repeat(doc[run], many)
+            edges = b"".join([_digest(chunk.text[i:j]) for i, j in zip(
+                chunk.cuts[at].tolist(), (chunk.cuts[at + window] - 1).tolist(), strict=True)])
+            yield pa.RecordBatch.from_pydict({
+                "k1": batch.column("k1").take(pa.array(row)), "k2": batch.column("k2").take(pa.array(row)),
+                "start": pa.array(start.astype(np.int32)), "seed": pa.array(np.repeat(seed[run], many)),
+                "edge": pa.array(np.frombuffer(edges, np.int64)), "single": pa.array(np.repeat(single[run], many))})
+
+
 def opened_windows(docs: DataFrame, opened: DataFrame, window: int) -> DataFrame:
     """``k1, k2, start, seed, edge, single`` of every window of the opened paths, read
     from the text: ``edge`` the digest of its words."""
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = [batch.column(c).to_numpy() for c, _ in _TEXT]
-            wanted = batch.column("paths")
-            for first, last, data, offsets in tx.text_chunks(batch.column("text")):
-                chunk = _Chunk(data, offsets, window)
-                out = {c: [] for c in ("row", "start", "seed", "single")}
-                edges = []
-                for d in range(last - first):
-                    at = int(chunk.firsts[d])
-                    for p in wanted[first + d].as_py():
-                        for s in range(p["start"], p["start"] + p["n"]):
-                            edges.append(_digest(chunk.slice(at + s, at + s + window)))
-                        out["start"] += range(p["start"], p["start"] + p["n"])
-                        for c, v in (("row", first + d), ("seed", p["seed"]), ("single", p["single"])):
-                            out[c] += [v] * p["n"]
-                row = np.array(out["row"], np.int64)
-                yield pa.RecordBatch.from_pydict({
-                    "k1": pa.array(keys[0][row]), "k2": pa.array(keys[1][row]), "start": pa.array(out["start"], pa.int32()),
-                    "seed": pa.array(out["seed"], pa.int64()), "edge": pa.array(np.frombuffer(b"".join(edges), np.int64)),
-                    "single": pa.array(out["single"], pa.bool_())})
+            yield from opened_batches(batch, window)
 
     lists = opened.groupBy("k1", "k2").agg(F.collect_list(F.struct("start", "n", "seed", "single")).alias("paths"))
     near = docs.where(possibly_among(opened, "k1")).select("k1", "k2", "text")
