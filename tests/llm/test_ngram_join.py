@@ -46,6 +46,42 @@ def test_columns_of_many_blocks_equal_brute_force(make_docs, monkeypatch, small)
     assert found(nj.ngram_join(make_docs(rows))) == jaccard_components(rows)
 
 
+@pytest.mark.parametrize("held", [1 << 20, 16])
+def test_shared_columns(spark, monkeypatch, held):
+    """Entries of columns with several documents, one leader a column: the smallest
+    set, where the column's bucket is held whole."""
+    monkeypatch.setattr(nj, "HELD_ENTRIES", held)
+    rng = np.random.default_rng(4)
+    kinds = rng.integers(0, 2**64, 150, dtype=np.uint64)
+    rows, columns = [], {}
+    for i in range(120):
+        grams = rng.choice(kinds, rng.integers(1, 12), replace=False)
+        if i % 2:
+            grams = np.union1d(grams, kinds[:1])  # one large column
+        rows.append((i * 7 % 121, int(rng.integers(1, 9)), bytearray(grams.tobytes())))
+        for g in grams.view(np.int64).tolist():
+            columns.setdefault(g, []).append((rows[-1][1], rows[-1][0]))
+    reps = spark.createDataFrame(rows, "doc_id long, n long, prefix binary").repartition(5)
+    for bits in (1, 6):
+        got, leaders = {}, {}
+        for r in nj.shared_columns(reps, bits).collect():
+            got.setdefault(r["gram"], []).append((r["n"], r["doc_id"]))
+            leaders.setdefault(r["gram"], set()).add((r["leader_n"], r["leader"]))
+        several = {g: sorted(c) for g, c in columns.items() if len(c) > 1}
+        assert {g: sorted(c) for g, c in got.items()} == several
+        assert all(len(x) == 1 and x <= set(several[g]) for g, x in leaders.items())
+        if held > 16:
+            assert all(x == {several[g][0]} for g, x in leaders.items())
+
+
+@pytest.mark.parametrize("held", [3, 40])
+def test_buckets_in_pieces_equal_brute_force(make_docs, monkeypatch, held):
+    monkeypatch.setattr(nj, "HELD_ENTRIES", held)
+    monkeypatch.setattr(nj, "BUCKET_ENTRIES", 50)
+    rows = copies(6, 150)
+    assert found(nj.ngram_join(make_docs(rows))) == jaccard_components(rows)
+
+
 def test_edge_rows(make_docs):
     long = " ".join(f"t{i}" for i in range(30_000))
     rows = [(1, None), (2, ""), (3, " \t\n"), (4, "one two"), (5, "ONE\ttwo"), (6, "one two three"), (7, "a b c d e"),

@@ -21,6 +21,14 @@ def test_word_facts():
     assert len(set(digests.values())) == len(digests)
 
 
+def test_word_facts_fold_case():
+    """Digests of texts are equal where their lower-cased words are, beyond A-Z too."""
+    got = pk.word_facts(pa.array(["\u00c9T\u00c9 Ab", "\u00e9t\u00e9  aB", "ete ab", "A\tB", "a b", "\u0130x"])).to_pylist()
+    assert [r["words"] for r in got] == [2, 2, 2, 2, 2, 1]
+    same = [r["same"] for r in got]
+    assert same[0] == same[1] and same[3] == same[4] and len(set(same)) == 4
+
+
 def best_fit(items, capacity):
     """Reference: for each item scan all bins for the tightest compatible one."""
     bins, out = [], []

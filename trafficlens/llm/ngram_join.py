@@ -38,6 +38,7 @@ and ``text`` are read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -59,19 +60,33 @@ MAP_BITS = 23
 BLOCK = 256
 SMALL_COLUMN = 128
 COLUMN_BLOCK = 4096
+CHUNK_BYTES = 1 << 18  # of text hashed in one go: the working arrays stay in a core's cache
+BUCKET_ENTRIES = 8192  # incidence entries of a bucket of shingles, about
+HELD_ENTRIES = 1 << 20  # most incidence entries that a task holds at once
 MIN_SIGNATURE, MAX_SIGNATURE = 256, 8192  # bits
 
 _SKETCH_SHIFT = np.uint64(64 - SKETCH_BITS)
 _OTHER = np.uint64(0xA5A5A5A55A5A5A5A)
 
 
-def document_sets(column: pa.Array) -> Iterator[np.ndarray]:
-    """Sorted distinct shingle hashes of each text of a column."""
-    for first, last, data, offsets in tx.text_chunks(column):
+def chunk_sets(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Sorted distinct shingle hashes of the texts of a column, a chunk of texts at
+    a time: the hashes one text after the other, and their offsets by text."""
+    for first, last, data, offsets in tx.text_chunks(column, CHUNK_BYTES):
         flat, cuts = tx.document_shingles(data, offsets, SIZE)
         for d in range(last - first):
-            h = np.sort(flat[cuts[d]:cuts[d + 1]])
-            yield h[np.concatenate(([True], h[1:] != h[:-1]))] if len(h) else h
+            flat[cuts[d]:cuts[d + 1]].sort()
+        kept = np.ones(len(flat), bool)
+        kept[1:] = flat[1:] != flat[:-1]
+        kept[cuts[:-1][cuts[:-1] < cuts[1:]]] = True
+        yield flat[kept], np.concatenate(([0], np.cumsum(kept)))[cuts]
+
+
+def document_sets(column: pa.Array) -> Iterator[np.ndarray]:
+    """Sorted distinct shingle hashes of each text of a column."""
+    for flat, cuts in chunk_sets(column):
+        for a, b in pairwise(cuts.tolist()):
+            yield flat[a:b]
 
 
 def rarity_classes(docs: DataFrame) -> np.ndarray:
@@ -85,7 +100,7 @@ def rarity_classes(docs: DataFrame) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << SKETCH_BITS, np.uint8)
         for batch in batches:
-            for _, _, data, offsets in tx.text_chunks(batch.column("text")):
+            for _, _, data, offsets in tx.text_chunks(batch.column("text"), CHUNK_BYTES):
                 flat, _ = tx.document_shingles(data, offsets, SIZE)
                 slot, n = np.unique((flat >> _SKETCH_SHIFT).astype(np.int32), return_counts=True)
                 total[slot] = np.minimum(total[slot].astype(np.int64) + n, 255)
@@ -131,73 +146,129 @@ def rarity_classes(docs: DataFrame) -> np.ndarray:
     return out
 
 
-def signature(h: np.ndarray) -> bytes:
-    """Bitmap of a set, by low hash bits: a power of two of about four bits a
-    shingle. Halves laid over each other give the next smaller bitmap."""
-    bits = min(MAX_SIGNATURE, max(MIN_SIGNATURE, 1 << int(4 * max(len(h), 1) - 1).bit_length()))
+def signature(mixed: np.ndarray) -> bytes:
+    """Bitmap of a set, by the low bits of its mixed hashes: a power of two of about
+    four bits a shingle. Halves laid over each other give the next smaller bitmap."""
+    bits = min(MAX_SIGNATURE, max(MIN_SIGNATURE, 1 << int(4 * max(len(mixed), 1) - 1).bit_length()))
     out = np.zeros(bits, np.uint8)
-    out[(tx.mix64(h) & np.uint64(bits - 1)).astype(np.int64)] = 1
+    out[(mixed & np.uint64(bits - 1)).astype(np.int64)] = 1
     return np.packbits(out, bitorder="little").tobytes()
 
 
+def _sums(values: np.ndarray, cuts: np.ndarray) -> np.ndarray:
+    """Sums by text, modulo 2^64."""
+    return np.diff(np.concatenate((np.zeros(1, np.uint64), np.cumsum(values)))[cuts]).view(np.int64)
+
+
 def prefix_table(docs: DataFrame, classes: np.ndarray) -> DataFrame:
     """``doc_id, n, fp1, fp2, signature, prefix`` of every row: set size, set
-    fingerprint, bitmap, prefix."""
+    fingerprint, bitmap, prefix (64-bit shingle hashes one after the other)."""
     shared = docs.sparkSession.sparkContext.broadcast(classes)
     ids = dict(docs.dtypes)["doc_id"]
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rank = shared.value
         for batch in batches:
-            n, fp, marks, prefix = [], [], [], []
-            for h in document_sets(batch.column("text")):
-                n.append(len(h))
-                fp.append((tx.mix64(h).sum(), tx.mix64(h ^ _OTHER).sum()) if len(h) else (0, 0))
-                of = rank[h >> _SKETCH_SHIFT]
-                first = np.argsort(of, kind="stable")[:len(h) // 5 + 1]
-                prefix.append(h[first].view(np.int64))
-                marks.append(signature(h) if len(h) else b"")
-            prints = np.array(fp, np.uint64).reshape(-1, 2).view(np.int64)
-            cuts = np.concatenate(([0], np.cumsum([len(p) for p in prefix]))).astype(np.int32)
+            n, fp1, fp2, marks, prefix = [], [], [], [], []
+            for flat, cuts in chunk_sets(batch.column("text")):
+                mixed, of = tx.mix64(flat), rank[flat >> _SKETCH_SHIFT]
+                n.append(np.diff(cuts))
+                fp1.append(_sums(mixed, cuts))
+                fp2.append(_sums(tx.mix64(flat ^ _OTHER), cuts))
+                for a, b in pairwise(cuts.tolist()):
+                    first = np.argsort(of[a:b], kind="stable")[:(b - a) // 5 + 1]
+                    prefix.append(flat[a:b][first].tobytes())
+                    marks.append(signature(mixed[a:b]) if b > a else b"")
+            whole = lambda parts: pa.array(np.concatenate([np.zeros(0, np.int64), *parts]))
             yield pa.RecordBatch.from_pydict({
-                "doc_id": batch.column("doc_id"), "n": pa.array(n, pa.int64()), "fp1": pa.array(prints[:, 0]),
-                "fp2": pa.array(prints[:, 1]), "signature": pa.array(marks, pa.binary()),
-                "prefix": pa.ListArray.from_arrays(pa.array(cuts), pa.array(np.concatenate([np.zeros(0, np.int64),
-                                                                                            *prefix])))})
-
-    return docs.mapInArrow(build, f"doc_id {ids}, n long, fp1 long, fp2 long, signature binary, prefix array<long>")
-
-
-def shared_columns(reps: DataFrame) -> DataFrame:
+                "doc_id": batch.column("doc_id"), "n": whole(n), "fp1": whole(fp1), "fp2": whole(fp2),
+                "signature": pa.array(marks, pa.binary()), "prefix": pa.array(prefix, pa.binary())})
+
+    return docs.mapInArrow(build, f"doc_id {ids}, n long, fp1 long, fp2 long, signature binary, prefix binary")
+
+
+def _byte_runs(values: np.ndarray, cuts: np.ndarray) -> pa.Array:
+    """64-bit values as one binary a run."""
+    return pa.Array.from_buffers(pa.binary(), len(cuts) - 1, [None, pa.py_buffer((cuts * 8).astype(np.int32)),
+                                                              pa.py_buffer(values)])
+
+
+def column_leaders(gram: np.ndarray, n: np.ndarray, doc: np.ndarray, known: np.ndarray
+                   ) -> tuple[pa.RecordBatch, np.ndarray, np.ndarray]:
+    """The entries of columns with several documents, each with the column's leader.
+    A ``known`` entry is the leader of a column that was written before, and is not
+    written again. Also the places of these leaders and of the entries that are alone
+    in their column."""
+    order = np.argsort(gram)
+    several = np.zeros(len(order) + 1, bool)
+    several[1:-1] = gram[order[1:]] == gram[order[:-1]]
+    several = several[1:] | several[:-1]
+    rows, alone = order[several], order[~several]
+    rows = rows[np.lexsort((doc[rows], n[rows], ~known[rows], gram[rows]))]
+    begins = np.ones(len(rows), bool)
+    begins[1:] = gram[rows[1:]] != gram[rows[:-1]]
+    heads = rows[begins]
+    leader = heads[np.cumsum(begins) - 1]
+    new = ~known[rows]
+    rows, leader = rows[new], leader[new]
+    return pa.RecordBatch.from_pydict({
+        "gram": pa.array(gram[rows]), "doc_id": pa.array(doc[rows]), "n": pa.array(n[rows]),
+        "leader": pa.array(doc[leader]), "leader_n": pa.array(n[leader])}), heads, alone
+
+
+def shared_columns(reps: DataFrame, bits: int) -> DataFrame:
     """The incidence entries of columns with several documents, each with the
-    column's leader (smallest set, then smallest id). One shuffle by shingle; the
-    sorted partitions stream through with constant memory."""
+    column's leader (smallest set, then smallest id). One shuffle by bucket (the
+    first ``bits`` bits of a shingle): a batch sends its entries of a bucket as one
+    row. A task takes whole buckets; of one with over ``HELD_ENTRIES`` entries it
+    keeps an entry a column and writes the others, so the leader of such a column is
+    the smallest of its first ones."""
     schema = "gram long, doc_id long, n long, leader long, leader_n long"
 
-    def lead(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        head, written = np.zeros((0, 3), np.int64), False  # leader row of the open column; has it been written
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        salt = TaskContext.get().partitionId() << 32
         for batch in batches:
-            rows = np.stack([batch.column(c).to_numpy() for c in ("gram", "n", "doc_id")], axis=1)
-            rows = np.concatenate([head, rows])
-            if not len(rows):
+            prefix = batch.column("prefix").to_pylist()
+            size = np.array([len(p) // 8 for p in prefix], np.int64)
+            gram = np.frombuffer(b"".join(prefix), np.uint64)
+            order = np.argsort(gram)
+            gram = gram[order]
+            bucket = (gram >> np.uint64(64 - bits)).astype(np.int64)
+            cuts = np.concatenate(([0], np.flatnonzero(bucket[1:] != bucket[:-1]) + 1, [len(gram)]))
+            if not len(gram):
                 continue
-            begins = np.concatenate(([True], rows[1:, 0] != rows[:-1, 0]))
-            first = np.flatnonzero(begins)[np.cumsum(begins) - 1]
-            several = np.zeros(len(rows), bool)
-            several[1:] = ~begins[1:]
-            several[:-1] |= ~begins[1:]
-            if len(head) and written:
-                several[0] = False
-            last = first[-1]
-            written = bool(several[last]) or (last == 0 and len(head) > 0 and written)
-            head = rows[last:last + 1]
-            rows, leader = rows[several], rows[first[several]]
+            row = np.repeat(np.arange(len(size)), size)[order]
             yield pa.RecordBatch.from_pydict({
-                "gram": pa.array(rows[:, 0]), "doc_id": pa.array(rows[:, 2]), "n": pa.array(rows[:, 1]),
-                "leader": pa.array(leader[:, 2]), "leader_n": pa.array(leader[:, 1])})
+                "bucket": pa.array(bucket[cuts[:-1]]), "salt": pa.array(np.full(len(cuts) - 1, salt)),
+                "grams": _byte_runs(gram, cuts), "sizes": _byte_runs(batch.column("n").to_numpy()[row], cuts),
+                "ids": _byte_runs(batch.column("doc_id").to_numpy()[row], cuts)})
+            salt += 1
+
+    def lead(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, ...]] = []  # gram, n, doc_id, known
+        size, least, open_ = 0, HELD_ENTRIES // 8, None
+        for batch in batches:
+            columns = [batch.column(c) for c in ("grams", "sizes", "ids")]
+            for i, bucket in enumerate(batch.column("bucket").to_pylist()):
+                if held and size >= (least if bucket != open_ else HELD_ENTRIES):
+                    rows = [np.concatenate(c) for c in zip(*held, strict=True)]
+                    out, heads, alone = column_leaders(*rows)
+                    held, size = [], 0
+                    if bucket == open_:
+                        rows[3][heads] = True
+                        held = [tuple(c[np.concatenate([heads, alone])] for c in rows)]
+                        size = min(len(held[0][0]), HELD_ENTRIES // 2)
+                    yield out
+                entries = [np.frombuffer(c[i].as_buffer(), np.int64) for c in columns]
+                held.append((*entries, np.zeros(len(entries[0]), bool)))
+                size += len(entries[0])
+                open_ = bucket
+        if held:
+            yield column_leaders(*(np.concatenate(c) for c in zip(*held, strict=True)))[0]
 
-    return (reps.select(F.col("doc_id").cast("long"), "n", F.explode("prefix").alias("gram"))
-            .repartition("gram").sortWithinPartitions("gram", "n", "doc_id").mapInArrow(lead, schema))
+    return (reps.select(F.col("doc_id").cast("long"), "n", "prefix")
+            .mapInArrow(deal, "bucket long, salt long, grams binary, sizes binary, ids binary")
+            .repartition("bucket").sortWithinPartitions("bucket", "salt").mapInArrow(lead, schema))
 
 
 def _slot(column: str):
@@ -487,7 +558,9 @@ def ngram_join(docs: DataFrame) -> DataFrame:
         .withColumn("doc_id", F.col("doc_id").cast("long"))
     classes = scratch.keep(heads.groupBy("n", "fp1", "fp2").agg(F.min("doc_id").alias("rep")), "classes")
     reps = heads.join(classes.select(F.col("rep").alias("doc_id")).distinct(), "doc_id")
-    entries = scratch.keep(shared_columns(reps), "entries")
+    total = heads.agg(F.sum(F.floor(F.col("n") / 5) + 1)).first()[0] or 0
+    bits = max(1, (total // BUCKET_ENTRIES).bit_length())
+    entries = scratch.keep(shared_columns(reps, bits), "entries")
     labels = components(verify(docs, leading_pairs(entries), scratch).unionByName(of_one_id(heads, classes)), scratch)
     labels = scratch.keep(labels, "labels")
     signatures = heads.select("doc_id", "signature")
@@ -497,6 +570,8 @@ def ngram_join(docs: DataFrame) -> DataFrame:
         if best_only:  # small columns are settled in the first of the two rounds
             pairs = pairs.unionByName(counted_pairs(mixed))
         pairs = scratch.keep(pairs.distinct() if best_only else pairs, "pairs")
+        if best_only:  # a column of one component stays one: the second round reads the large columns left
+            entries = scratch.keep(mixed.where(F.col("size") > SMALL_COLUMN).select("gram", "doc_id", "n"), "large")
         scratch.drop(mixed)
         if not pairs.limit(1).collect():
             continue

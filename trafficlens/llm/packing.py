@@ -44,7 +44,8 @@ from trafficlens.llm.tables import Scratch, ship_package
 CAPACITY = 2048
 SHARD_ITEMS = 8192
 
-_TO_SPACE = bytes.maketrans(b"\t\n\x0b\x0c\r", b"     ")
+# White space to spaces, A-Z to a-z.
+_TO_SPACE_LOWER = bytes.maketrans(b"\t\n\x0b\x0c\r", b"     ").lower()
 
 
 class Bins:
@@ -58,14 +59,13 @@ class Bins:
 
     def place(self, length: int, source: int, cluster: int) -> tuple[int, int]:
         """Bin and start of an item; ``source`` and ``cluster`` are bits (0: none)."""
-        at = bisect_left(self.open, (length, -1))
-        while at < len(self.open):
-            residual, k = self.open[at]
-            if not (self.sources[k] & source or self.clusters[k] & cluster):
-                del self.open[at]
+        bins, sources, clusters = self.open, self.sources, self.clusters
+        for at in range(bisect_left(bins, (length, -1)), len(bins)):
+            residual, k = bins[at]
+            if not (sources[k] & source or clusters[k] & cluster):
+                del bins[at]
                 self._keep(k, residual - length, source, cluster)
                 return k, self.capacity - residual
-            at += 1
         k = len(self.sources)
         self.sources.append(0)
         self.clusters.append(0)
@@ -105,12 +105,14 @@ def pack_shard(rows: pa.Table, capacity: int) -> np.ndarray:
 
 def word_facts(texts: pa.Array) -> pa.StructArray:
     """``words, same`` of every text: the number of its words and a 64-bit digest of
-    the words joined by one space."""
+    the lower-cased words joined by one space."""
     words, digests = [], []
     for _, _, data, offsets in tx.text_chunks(texts):
-        raw = data.tobytes().translate(_TO_SPACE)
+        raw = data.tobytes().translate(_TO_SPACE_LOWER)
         for a, b in pairwise(offsets.tolist()):
             text = raw[a:b]
+            if not text.isascii():
+                text = text.decode("utf-8", "replace").lower().encode()
             while b"  " in text:
                 text = text.replace(b"  ", b" ")
             text = text.strip(b" ")
@@ -138,7 +140,7 @@ def facts(docs: DataFrame, cluster: str | None = None) -> DataFrame:
 
     return docs.select(
         "doc_id", _node().alias("node"), F.xxhash64("text").alias("digest"),
-        found(F.lower(F.coalesce(F.col("text"), F.lit("")))).alias("found"),
+        found(F.coalesce(F.col("text"), F.lit(""))).alias("found"),
         F.when(F.col("source").isNotNull(), F.xxhash64("source")).alias("source"), named.alias("own")) \
         .select("doc_id", "node", "digest", "found.words", "source", "found.same", "own")
 

@@ -15,27 +15,27 @@ import pyarrow as pa
 # Bytes of text handled in one go: bounds the working arrays (about 40 bytes per
 # text byte) without cutting any document.
 CHUNK_BYTES = 1 << 20
-HASH_BYTES = 1 << 16  # bytes of words hashed in one go; a longer word goes alone
-
-_SPACE = np.zeros(256, dtype=bool)
-_SPACE[[0x20, 9, 10, 11, 12, 13]] = True
+HASH_BYTES = 1 << 15  # bytes of words hashed in one go; a longer word goes alone
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 _rng = np.random.default_rng(20240229)
 _BYTE_CODE = _rng.integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
+_LOWER_CODE = _BYTE_CODE[_LOWER]
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _STEP = np.uint64(0xD1342543DE82EF95)
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
     """Bijective 64-bit finalizer (splitmix64 constants)."""
-    x = x ^ (x >> np.uint64(30))
-    x = x * np.uint64(0xBF58476D1CE4E5B9)
-    x = x ^ (x >> np.uint64(27))
-    x = x * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    y = x >> np.uint64(30)
+    y ^= x
+    y *= np.uint64(0xBF58476D1CE4E5B9)
+    y ^= y >> np.uint64(27)
+    y *= np.uint64(0x94D049BB133111EB)
+    y ^= y >> np.uint64(31)
+    return y
 
 
 def text_chunks(column: pa.Array, max_bytes: int = CHUNK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -74,7 +74,7 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     if n == 0:
         empty = np.zeros(0, np.int64)
         return empty, empty, np.zeros(len(offsets), np.int64)
-    inside = ~_SPACE[data]
+    inside = (data != 0x20) & (data - np.uint8(9) > 4)
     begins = inside.copy()
     begins[1:] &= ~inside[:-1]
     cuts = offsets[1:-1]
@@ -98,12 +98,14 @@ _POWER = _powers(int(_BASE), HASH_BYTES)
 _INVERSE = _powers(pow(int(_BASE), -1, 1 << 64), HASH_BYTES)
 
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of each byte span (spans ascend, do not overlap and are not empty).
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = False) -> np.ndarray:
+    """64-bit hash of each byte span (spans ascend, do not overlap and are not empty);
+    ``lower``: as if A-Z were lower-cased.
 
     A span's polynomial is the difference of two running sums over a run of
     spans, times the inverse power of its place in the run."""
     out = np.empty(len(starts), np.uint64)
+    codes = _LOWER_CODE if lower else _BYTE_CODE
     first = 0
     while first < len(starts):
         low = int(starts[first])
@@ -111,7 +113,9 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
         a, b = starts[first:last] - low, ends[first:last] - low
         n = int(b[-1])
         sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(_BYTE_CODE[data[low:low + n]] * (_POWER[:n] if n <= HASH_BYTES else _powers(int(_BASE), n)), out=sums[1:])
+        terms = codes.take(data[low:low + n])
+        terms *= _POWER[:n] if n <= HASH_BYTES else _powers(int(_BASE), n)
+        np.cumsum(terms, out=sums[1:])
         out[first:last] = (sums[b] - sums[a]) * _INVERSE[a]
         first = last
     return mix64(out + (ends - starts).astype(np.uint64) * _STEP)
@@ -129,14 +133,11 @@ def shingle_hashes(words: np.ndarray, word_offsets: np.ndarray, size: int) -> tu
     if n >= size:
         rolled = words[:n - size + 1].copy()
         for k in range(1, size):
-            rolled = mix64(rolled * _STEP + words[k:n - size + 1 + k])
-        full = counts >= size
-        lens = many[full]
-        if len(lens):
-            starts = word_offsets[:-1][full]
-            shift = np.arange(int(lens.sum())) - np.repeat(np.concatenate(([0], np.cumsum(lens)[:-1])), lens)
-            target = np.repeat(offsets[:-1][full], lens) + shift
-            out[target] = rolled[np.repeat(starts, lens) + shift]
+            rolled *= _STEP
+            rolled += words[k:n - size + 1 + k]
+            rolled = mix64(rolled)
+        for d in np.flatnonzero(counts >= size).tolist():
+            out[offsets[d]:offsets[d + 1]] = rolled[word_offsets[d]:word_offsets[d + 1] - size + 1]
     for d in np.flatnonzero((counts > 0) & (counts < size)):
         h = np.array([counts[d]], np.uint64)
         for w in words[word_offsets[d]:word_offsets[d + 1]]:
@@ -147,6 +148,5 @@ def shingle_hashes(words: np.ndarray, word_offsets: np.ndarray, size: int) -> tu
 
 def document_shingles(data: np.ndarray, offsets: np.ndarray, size: int = 5) -> tuple[np.ndarray, np.ndarray]:
     """A-Z lower-cased word shingle hashes of each document, in text order."""
-    data = lower_ascii(data)
     starts, ends, word_offsets = word_spans(data, offsets)
-    return shingle_hashes(span_hashes(data, starts, ends), word_offsets, size)
+    return shingle_hashes(span_hashes(data, starts, ends, lower=True), word_offsets, size)
