@@ -46,3 +46,21 @@ def test_spanning_forest_keeps_connectivity():
     assert (u > v).all() and len(set(u.tolist())) == len(u)
     want = brute([(int(x), int(y)) for x, y in zip(a, b, strict=True)])
     assert dict(zip(u.tolist(), v.tolist(), strict=True)) == {i: c for i, c in want.items() if i != c}
+
+
+def test_few_links_take_few_jobs(spark):
+    """Links that fit a task are contracted in one, whatever their number of partitions."""
+    df = spark.createDataFrame(graph("path"), "a long, b long").repartition(9)
+    spark.sparkContext.setJobGroup("few-links", "components")
+    got = co.components(df, Scratch(spark, "t")).collect()
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("few-links"))
+    spark.sparkContext.setJobGroup("other", "other")
+    assert {r["component"] for r in got} == {0} and len(got) == 301
+    assert jobs <= 6
+
+
+@pytest.mark.parametrize("links", [[], [(9, 4), (4, 9), (7, 4), (3, 8)]])
+def test_links_ended_in_one_task(spark, links):
+    df = spark.createDataFrame(links, "a long, b long").repartition(3)
+    got = {r["id"]: r["component"] for r in co.ended(df).collect()}
+    assert got == brute(links)

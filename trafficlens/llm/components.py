@@ -69,6 +69,19 @@ def contracted(links: DataFrame) -> DataFrame:
     return links.where(F.col("a") != F.col("b")).select("a", "b").mapInArrow(run, "a long, b long")
 
 
+def ended(links: DataFrame) -> DataFrame:
+    """``id, component`` of at most ``HELD`` links, contracted in one task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [tuple(batch.column(c).to_numpy() for c in ("a", "b")) for batch in batches]
+        if held:
+            a, b = spanning_forest(*map(np.concatenate, zip(*held, strict=True)))
+            roots = np.unique(b)
+            yield pa.RecordBatch.from_pydict({"id": np.concatenate([a, roots]), "component": np.concatenate([b, roots])})
+
+    return links.coalesce(1).mapInArrow(run, "id long, component long")
+
+
 def _settled(links: DataFrame) -> bool:
     """No node has two links, or a link to a node that has one itself (or there are none)."""
     ends = links.select(F.col("a").alias("id"), "b").unionByName(
@@ -83,7 +96,11 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
     """``links`` (a, b: long): ``id, component`` for every id that has a link to
     another, ``component`` the smallest id reachable. Null ends and loops are left out."""
     current = scratch.keep(contracted(links), "links")
-    while not _settled(current):
+    while True:
+        if current.count() <= HELD:
+            return ended(current)
+        if _settled(current):
+            break
         both = current.unionByName(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         large = both.where(F.col("b") > F.col("a")).join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))

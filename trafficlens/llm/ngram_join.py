@@ -55,7 +55,7 @@ PERCENT = 80
 SIZE = 5
 SKETCH_BITS = 22
 SKETCH_PARTS = 32
-SKETCH_FAN_IN = 64
+SKETCH_FAN_IN = 256
 MAP_BITS = 23
 BLOCK = 256
 SMALL_COLUMN = 128
@@ -92,8 +92,8 @@ def document_sets(column: pa.Array) -> Iterator[np.ndarray]:
 def rarity_classes(docs: DataFrame) -> np.ndarray:
     """For every sketch slot the bit length of its shingle count, over all texts.
 
-    Tasks count their own texts, a slot at most 255 times; sums run in levels of
-    ``SKETCH_FAN_IN`` sketches, so their number never meets in one task."""
+    Tasks count their own texts, a slot at most 255 times; a part of the sketch is
+    summed over ``SKETCH_FAN_IN`` tasks first, so their number never meets in one task."""
     schema = "part int, salt int, counts binary"
     width = (1 << SKETCH_BITS) // SKETCH_PARTS
 
@@ -125,9 +125,7 @@ def rarity_classes(docs: DataFrame) -> np.ndarray:
         for (part, salt), total in totals.items():
             yield from sketch_rows({part: total}, salt)
 
-    sums = docs.select("text").mapInArrow(count, schema)
-    for _ in range(2):
-        sums = sums.repartition("part", "salt").mapInArrow(add, schema)
+    sums = docs.select("text").mapInArrow(count, schema).repartition("part", "salt").mapInArrow(add, schema)
 
     def lengths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[int, np.ndarray] = {}
@@ -457,7 +455,8 @@ def _folded(rows: pa.Array, bits: int) -> np.ndarray:
 def bounded_pairs(large: DataFrame, best_only: bool) -> DataFrame:
     """Pairs (x, y) of different components in a block whose sizes and bitmaps
     admit the threshold: all, each in the first column that both have, or for
-    each x outside the main component the one with the highest bound."""
+    each x outside the main component the one with the highest bound (two that
+    have each other as the best come twice)."""
 
     def meet(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         doc, n, part = (rows.column(c).to_numpy() for c in ("doc_id", "n", "component"))
@@ -534,7 +533,7 @@ def bounded_pairs(large: DataFrame, best_only: bool) -> DataFrame:
            .mapInArrow(run, "x long, y long, bound long"))
     if best_only:
         return (met.groupBy("x").agg(F.max_by("y", F.struct("bound", -F.col("y"))).alias("y"))
-                .select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct())
+                .select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")))
     return met.select("x", "y").distinct()
 
 
@@ -561,7 +560,8 @@ def ngram_join(docs: DataFrame) -> DataFrame:
     total = heads.agg(F.sum(F.floor(F.col("n") / 5) + 1)).first()[0] or 0
     bits = max(1, (total // BUCKET_ENTRIES).bit_length())
     entries = scratch.keep(shared_columns(reps, bits), "entries")
-    labels = components(verify(docs, leading_pairs(entries), scratch).unionByName(of_one_id(heads, classes)), scratch)
+    pairs = scratch.keep(leading_pairs(entries), "leading")
+    labels = components(verify(docs, pairs, scratch).unionByName(of_one_id(heads, classes)), scratch)
     labels = scratch.keep(labels, "labels")
     signatures = heads.select("doc_id", "signature")
     for best_only in (True, False):
